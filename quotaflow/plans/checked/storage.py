@@ -1,0 +1,199 @@
+"""Sources, sinks and the full run (S1-S14, Q11, T10): written, read back, compared."""
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from ...operators import cleaning as C
+from ...operators.columns import as_doubles
+from ...operators.quality import row_counts
+from ...operators.reports import brand_scorecard
+from ...schemas import SALES_DIALECTS, TARGETS_DIALECT
+from ...sources import files, tables
+from ...sources.scratch import scratch_path
+from ..full_run import run
+from ..oracle import BRAND, YEAR
+from .registry import client_targets, clients, query, sales, targets, view
+
+SOLD = ("client_id", "brand", "volume_hl", "revenue", "is_b2b")
+SOURCES = ("customer", "lineitem", "nation", "orders", "part", "region")
+CANONICAL = (
+    "client_id, material_id, is_b2b, CAST(volume_hl AS DOUBLE) AS volume_hl, CAST(revenue AS DOUBLE) AS revenue,"
+    " sale_date, CAST(packaging_code AS BIGINT) AS packaging_code, brand, material, postal_code"
+)
+
+
+def _database(spark) -> str:
+    """A database of its own, under the shared folder."""
+    path = scratch_path(spark, "database")
+    name = "quotaflow_" + path.rpartition("-")[2]
+    tables.create_database(spark, name, path)
+    return name
+
+
+def _sales_file(spark, d, path) -> str:
+    """The fixture as a source file: source names, codes written as numbers."""
+    rows = C.to_dialect(sales(spark, d), SALES_DIALECTS["local"])
+    files.write_csv(rows.withColumn("CEP_cliente", F.col("CEP_cliente").cast("int")), path)
+    return path
+
+
+def _targets_file(spark, d, path) -> str:
+    rows = C.to_dialect(targets(spark, d), TARGETS_DIALECT)
+    rows.repartition(1).write.option("header", True).option("sep", ";").csv(path)
+    return path
+
+
+@query("s1_read_sales", f"SELECT {CANONICAL} FROM sales", "sales")
+def _(spark, d):
+    return as_doubles(files.read_sales(spark, _sales_file(spark, d, scratch_path(spark, "sales"))))
+
+
+@query("s2_read_targets", "SELECT brand, target_volume, CAST(target_year AS INT) AS target_year FROM targets", "targets")
+def _(spark, d):
+    return files.read_targets(spark, _targets_file(spark, d, scratch_path(spark, "targets")))
+
+
+@query(
+    "s3_require_input",
+    " UNION ALL ".join(f"SELECT '{t}' AS stage, count(*) AS rows FROM {t}" for t in SOURCES),
+)
+def _(spark, d):
+    return row_counts({t: files.require_input(spark, f"{d}/{t}.parquet", "parquet") for t in SOURCES})
+
+
+@query(
+    "s4_rows_to_table",
+    "SELECT brand, note, CAST(sum(volume_hl) AS DOUBLE) AS volume FROM sales JOIN (VALUES ('Brand#1', 'first'),"
+    " ('Brand#2', 'second')) AS n(brand, note) USING (brand) GROUP BY 1, 2",
+    "sales",
+)
+def _(spark, d):
+    notes = files.rows_to_df(spark, [("Brand#1", "first"), ("Brand#2", "second")], "brand string, note string")
+    sums = sales(spark, d, "brand", "volume_hl").groupBy("brand").agg(F.sum("volume_hl").cast("double").alias("volume"))
+    return sums.join(notes, "brand")
+
+
+@query("s5_write_csv", "SELECT * FROM scorecard", "scorecard")
+def _(spark, d):
+    report, path = brand_scorecard(sales(spark, d, *SOLD)), scratch_path(spark, "csv")
+    files.write_csv(report, path, single=True)
+    return files.read_csv(spark, path, report.schema)
+
+
+@query("s6_write_parquet", "SELECT * FROM view", "view")
+def _(spark, d):
+    path = scratch_path(spark, "parquet")
+    files.write_parquet(view(spark, d), path)
+    return spark.read.parquet(path)
+
+
+@query("s7_write_table", "SELECT client_id, brand, client_target FROM ct", "ct")
+def _(spark, d):
+    path = scratch_path(spark, "table")
+    files.write_table(client_targets(spark, d), path)
+    return spark.read.parquet(path).select("client_id", "brand", "client_target")
+
+
+@query("s8_register_table", "SELECT * FROM dim", "dim")
+def _(spark, d):
+    return tables.register(clients(spark, d), _database(spark), "dim_client")
+
+
+@query(
+    "s9_export_all",
+    "SELECT f || ' ' || stage AS stage, rows FROM (SELECT 'view' AS stage, count(*) AS rows FROM view UNION ALL"
+    " SELECT 'targets', count(*) FROM ct), (VALUES ('csv'), ('parquet')) AS formats(f)",
+    "view",
+    "ct",
+)
+def _(spark, d):
+    results = {"view": view(spark, d), "targets": client_targets(spark, d)}
+    output = scratch_path(spark, "export")
+    files.export_all(results, output)
+    stages = {f"parquet {n}": spark.read.parquet(f"{output}/parquet/{n}") for n in results}
+    stages |= {f"csv {n}": files.read_csv(spark, f"{output}/csv/{n}", df.schema) for n, df in results.items()}
+    return row_counts(stages)
+
+
+@query("s10_publish", "SELECT * FROM view", "view")
+def _(spark, d):
+    return tables.publish({"customer_view": view(spark, d)}, _database(spark))["customer_view"]
+
+
+@query("s11_read_table", "SELECT * FROM view_abs", "view_abs")
+def _(spark, d):
+    db = _database(spark)
+    tables.publish({"customer_view": view(spark, d, mode="absolute")}, db)
+    return tables.table(spark, f"{db}.customer_view")
+
+
+@query("s12_export_selection", f"SELECT client_id, brand, client_target FROM ct WHERE brand = '{BRAND}'", "ct")
+def _(spark, d):
+    chosen = client_targets(spark, d).where(F.col("brand") == BRAND).select("client_id", "brand", "client_target")
+    path = files.export_selection(chosen, scratch_path(spark, "download"), "Client Targets", date(2001, 8, 1))
+    return files.read_csv(spark, path, chosen.schema)
+
+
+@query(
+    "s13_write_clustered",
+    "SELECT client_id, brand, CAST(volume_hl AS DOUBLE) AS volume_hl, CAST(revenue AS DOUBLE) AS revenue, is_b2b FROM sales",
+    "sales",
+)
+def _(spark, d):
+    name = f"{_database(spark)}.sales_by_client"
+    return as_doubles(tables.write_clustered(sales(spark, d, *SOLD), name, ["client_id"], 8))
+
+
+@query(
+    "s14_run_parameters",
+    f"SELECT brand, target_volume FROM targets WHERE target_year = {YEAR}",
+    "targets",
+)
+def _(spark, d):
+    config = files.RunConfig(sales="", targets=_targets_file(spark, d, scratch_path(spark, "targets")), output="", year=YEAR)
+    rows = files.read_targets(spark, config.targets)
+    return rows.where(F.col("target_year") == config.year).select("brand", "target_volume")
+
+
+def _full_run(spark, d, name):
+    root = scratch_path(spark, name)
+    config = files.RunConfig(
+        sales=_sales_file(spark, d, f"{root}/input/sales"),
+        targets=_targets_file(spark, d, f"{root}/input/targets"),
+        output=f"{root}/output",
+        year=YEAR,
+    )
+    return run(spark, config)
+
+
+@query("q11_run_summary")
+def _(spark, d):
+    return _full_run(spark, d, "summary").summary
+
+
+@query(
+    "t10_full_run",
+    "SELECT client_id AS cliente_id, last_purchase AS data_ultima_compra, avg_volume_3m AS volume_medio_3m,"
+    " avg_volume_6m AS volume_medio_6m, b2b_share_3m AS share_b2b_3m, b2b_share_6m AS share_b2b_6m,"
+    " CAST(NULL AS VARCHAR) AS cidade, CAST(NULL AS VARCHAR) AS estado FROM view",
+    "view",
+)
+def _(spark, d):
+    return spark.read.parquet(_full_run(spark, d, "run").paths["visao_consolidada"])
+
+
+@query(
+    "t10_full_run_tables",
+    "SELECT 'visao_consolidada' AS stage, count(*) AS rows FROM view UNION ALL SELECT 'metas_por_cliente', count(*) FROM ct"
+    " UNION ALL SELECT 'dim_cliente', count(*) FROM dim UNION ALL SELECT 'dim_produto', count(*) FROM prod"
+    " UNION ALL SELECT 'dim_tempo', count(*) FROM times UNION ALL SELECT 'fato_vendas', count(*) FROM sales",
+    "view",
+    "ct",
+    "prod",
+    "times",
+    "dim",
+)
+def _(spark, d):
+    paths = _full_run(spark, d, "tables").paths
+    return row_counts({name: spark.read.parquet(path) for name, path in paths.items()})
