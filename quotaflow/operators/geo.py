@@ -103,9 +103,11 @@ def enrich_geography(df: DataFrame, geo: DataFrame) -> DataFrame:
 
 
 def propagate_geo(df: DataFrame, dim: DataFrame) -> DataFrame:
-    """City and state of the client dimension on any per-client table."""
-    places = small_side(dim.select("client_id", "city", "state"))
-    return df.drop("city", "state").join(places, "client_id", "left")
+    """City and state of the client dimension on a table with few rows per client.
+
+    A plain join: both sides are spread by client and no client has many rows.
+    """
+    return df.drop("city", "state").join(dim.select("client_id", "city", "state"), "client_id", "left")
 
 
 def geo_sales(fact: DataFrame, dim: DataFrame) -> DataFrame:

@@ -19,8 +19,9 @@ _RANGE, _PLACE, _OFFSET = "_range", "_place", "_offset"
 
 
 def _ranges(df: DataFrame, order: Sequence[Column | str], partitions: int | None) -> DataFrame:
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Without a number adaptive execution merges neighbouring small ranges.
+    ranges = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    ordered = ranges.sortWithinPartitions(*order)
     # The low 33 bits of the id count the rows of the partition from 0.
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return cut_lineage(ordered.withColumn(_RANGE, F.spark_partition_id()).withColumn(_PLACE, place))

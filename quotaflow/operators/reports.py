@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..sources.scratch import small_side
 from .columns import cents, known, ratio, top, total
 
 
@@ -47,8 +46,7 @@ def choices(df: DataFrame, column: str) -> DataFrame:
 
 def with_postal(df: DataFrame, dim: DataFrame) -> DataFrame:
     """A per-client table with the client's postal code and label."""
-    codes = small_side(dim.select("client_id", "postal_code"))
-    return df.join(codes, "client_id", "left").withColumn(
+    return df.join(dim.select("client_id", "postal_code"), "client_id", "left").withColumn(
         "client_label", text.client_label(F.col("client_id"))
     )
 

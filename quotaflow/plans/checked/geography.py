@@ -7,7 +7,7 @@ from ...operators import geo as G
 from ...operators import star as S
 from ...operators.columns import as_doubles
 from ..oracle import BRAND, STATE, ratio, total
-from .registry import client_targets, clients, geography, placed_clients, placed_sales, query, sales, states, view
+from .registry import client_targets, clients, geography, placed_sales, query, sales, states, view
 
 BY_STATE = (
     f"SELECT state, {total('volume_hl')} AS volume, {total('revenue')} AS revenue, count(DISTINCT client_id) AS clients"
@@ -18,7 +18,7 @@ REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 @query("j7_clients_geography", "SELECT * FROM dim_geo", "dim_geo")
 def _(spark, d):
-    return placed_clients(spark, d)
+    return G.join_geography(clients(spark, d), geography(spark, d))
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ...operators.customer import customer_view
 from ...operators.geo import geo_totals, join_geography
-from ...operators.star import dim_client
+from ...operators import star
 from ...operators.targets import allocate_targets
 from ...sources import fixtures
 from ..oracle import YEAR, with_ctes
@@ -47,11 +47,12 @@ def client_targets(spark: SparkSession, d: str, **options) -> DataFrame:
 
 
 def clients(spark: SparkSession, d: str) -> DataFrame:
-    return dim_client(sales(spark, d, "client_id", "sale_date", "postal_code"))
+    return star.dim_client(sales(spark, d, "client_id", "sale_date", "postal_code"))
 
 
 def placed_clients(spark: SparkSession, d: str) -> DataFrame:
-    return join_geography(clients(spark, d), geography(spark, d))
+    last_codes = star.clients(sales(spark, d, "client_id", "sale_date", "postal_code"))
+    return join_geography(last_codes, geography(spark, d))
 
 
 def placed_sales(spark: SparkSession, d: str) -> DataFrame:

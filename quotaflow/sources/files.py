@@ -44,7 +44,7 @@ def require_input(spark: SparkSession, path: str, fmt: str = "csv", schema: T.St
     try:
         return (reader.schema(schema) if schema is not None else reader).format(fmt).load(path)
     except AnalysisException as error:
-        if error.getErrorClass() != "PATH_NOT_FOUND" and error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         folder = path.rstrip("/").rpartition("/")[0] or "."
         try:
@@ -115,9 +115,14 @@ def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
     The rows are brought together after their computation, so the work before
     stays parallel; a large table keeps one file per task.
     """
-    if single and is_small(df, SINGLE_FILE_ROWS):
-        df = df.repartition(1)
-    df.write.mode("overwrite").option("header", True).csv(path)
+    if single:
+        df = df.persist()
+        out = df.repartition(1) if is_small(df, SINGLE_FILE_ROWS) else df
+    else:
+        out = df
+    out.write.mode("overwrite").option("header", True).csv(path)
+    if single:
+        df.unpersist()
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -143,7 +148,10 @@ def export_all(results: Mapping[str, DataFrame], output: str, single: bool = Fal
     for name, df in results.items():
         paths[name] = f"{output}/parquet/{name}"
         write_parquet(df, paths[name])
-        write_csv(df.sparkSession.read.parquet(paths[name]), f"{output}/csv/{name}", single)
+        written = df.sparkSession.read.schema(df.schema).parquet(paths[name])
+        if single and is_small(written, SINGLE_FILE_ROWS):
+            written = written.repartition(1)
+        write_csv(written, f"{output}/csv/{name}")
     return paths
 
 

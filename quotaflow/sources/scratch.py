@@ -39,8 +39,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``rows`` rows; stops counting beyond that."""
-    return df.limit(rows + 1).count() <= rows
+    """True if ``df`` has at most ``rows`` rows.
+
+    A distributed count (a limit would move its rows into one task).  Meant for
+    input tables and written intermediate ones, where counting is cheap.
+    """
+    return df.count() <= rows
 
 
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

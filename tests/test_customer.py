@@ -1,0 +1,139 @@
+import calendar
+import random
+from collections import defaultdict
+from datetime import date, timedelta
+from decimal import ROUND_HALF_UP, Decimal
+
+import frames
+import pytest
+
+from quotaflow.operators import customer as V
+
+
+def months_between(a, b):
+    last = lambda d: d.day == calendar.monthrange(d.year, d.month)[1]
+    whole = (a.year - b.year) * 12 + a.month - b.month
+    if a.day == b.day or (last(a) and last(b)):
+        return float(whole)
+    return round(whole + (a.day - b.day) / 31.0, 8)
+
+
+def half_up(x):
+    return float(Decimal(repr(x)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+def brute_relative(rows, months=(3, 6)):
+    """The definition, client by client: day grain, windows back from the last purchase."""
+    by_client = defaultdict(list)
+    for client, _, when, volume, revenue, b2b, _ in rows:
+        by_client[client].append((when, volume, revenue, b2b))
+    result = []
+    for client, own in by_client.items():
+        last = max(w for w, *_ in own)
+        grain = defaultdict(lambda: [Decimal(0), Decimal(0), Decimal(0)])
+        for when, volume, revenue, b2b in own:
+            cell = grain[(when.strftime("%Y-%m"), months_between(last, when))]
+            cell[0] += volume
+            cell[1] += revenue
+            cell[2] += revenue if b2b else 0
+        averages, shares = [], []
+        for n in months:
+            inside = [c for (_, m), c in grain.items() if m <= n]
+            averages.append(float(sum(c[0] for c in inside)) / len(inside) if inside else 0.0)
+            whole = sum(c[1] for c in inside)
+            shares.append(half_up(float(sum(c[2] for c in inside)) / float(whole) * 100) if whole > 0 else 0.0)
+        result.append((client, last, *averages, *shares))
+    return sorted(result)
+
+
+def random_sales(seed, clients=25, n=1500):
+    rng = random.Random(seed)
+    start = date(2022, 1, 1)
+    rows = []
+    for _ in range(n):
+        # One client has a third of all rows.
+        client = 1 if rng.random() < 0.33 else rng.randrange(2, clients)
+        when = start + timedelta(days=rng.randrange(800))
+        rows.append(
+            (client, "A", when, Decimal(rng.randrange(0, 500)) / 4, Decimal(rng.randrange(0, 9000)) / 8, rng.choice([True, False, None]), None)
+        )
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_relative_equals_definition(spark, seed):
+    rows = random_sales(seed)
+    assert frames.rows(V.customer_view(spark.createDataFrame(rows, frames.SALES))) == brute_relative(rows)
+
+
+def test_month_end_distances_tie(spark):
+    df = frames.sales(
+        spark,
+        (1, "A", "2023-02-28", 1), (1, "A", "2023-01-28", 2), (1, "A", "2023-01-31", 4),
+        (2, "A", "2024-03-31", 1), (2, "A", "2024-02-29", 2), (2, "A", "2024-02-28", 4),
+    )
+    grain = frames.rows(V.monthly_grain(df), "client_id", "year_month", "months_from_last", "volume_hl")
+    assert grain == [
+        (1, "2023-01", 1.0, Decimal("6.00")),
+        (1, "2023-02", 0.0, Decimal("1.00")),
+        (2, "2024-02", 1.0, Decimal("2.00")),
+        (2, "2024-02", 1.09677419, Decimal("4.00")),
+        (2, "2024-03", 0.0, Decimal("1.00")),
+    ]
+    view = V.customer_view(df, months=(3,))
+    assert frames.rows(view, "client_id", "avg_volume_3m") == [(1, 3.5), (2, 7 / 3)]
+
+
+def test_window_edge_is_inside(spark):
+    df = frames.sales(
+        spark,
+        (1, "A", "2024-07-15", 1), (1, "A", "2024-04-15", 3), (1, "A", "2024-04-14", 50),
+        (1, "A", "2024-01-15", 100), (1, "A", "2024-01-14", 1000),
+    )
+    assert frames.rows(V.customer_view(df), "avg_volume_3m", "avg_volume_6m") == [(2.0, 38.5)]
+    absolute = V.customer_view(df, mode="absolute")
+    assert frames.rows(absolute, "avg_volume_3m", "avg_volume_6m") == [(2.0, 38.5)]
+
+
+def test_empty_window_and_no_b2b_per_mode(spark):
+    df = frames.sales(
+        spark,
+        (1, "A", "2024-07-15", 2), (2, "A", "2023-01-15", 3, 30, True), (3, "A", "2024-07-01", 5, 0, True),
+    )
+    relative = V.customer_view(df, months=(3,))
+    assert frames.rows(relative, "client_id", "avg_volume_3m", "b2b_share_3m") == [(1, 2.0, 0.0), (2, 3.0, 100.0), (3, 5.0, 0.0)]
+    absolute = V.customer_view(df, months=(3,), mode="absolute")
+    assert frames.rows(absolute, "client_id", "avg_volume_3m", "b2b_share_3m") == [(1, 2.0, None), (2, None, None), (3, 5.0, 100.0)]
+    month = V.customer_view(df, months=(3,), mode="calendar")
+    assert frames.rows(month, "client_id", "avg_volume_3m", "b2b_share_3m") == [(1, 2 / 3, 0.0), (2, 0.0, None), (3, 5 / 3, 100.0)]
+
+
+def test_as_of_ends_the_calendar_window(spark):
+    df = frames.sales(spark, (1, "A", "2024-07-15", 3), (1, "A", "2024-05-01", 6))
+    view = V.customer_view(df, months=(3,), mode="calendar", as_of="2024-06-01")
+    assert frames.rows(view, "avg_volume_3m") == [(2.0,)]
+
+
+def test_share_and_grain_options(spark):
+    df = frames.sales(
+        spark,
+        (1, "A", "2024-07-15", 1, 10, True), (1, "A", "2024-07-10", 3, 10, False), (1, "A", "2024-06-10", 4, 0, False),
+    )
+    assert frames.rows(V.customer_view(df, months=(3,), share="volume"), "b2b_share_3m") == [(12.5,)]
+    assert frames.rows(V.customer_view(df, months=(3,), grain="month"), "avg_volume_3m") == [(4.0,)]
+    with pytest.raises(ValueError):
+        V.customer_view(df, mode="other")
+
+
+def test_null_client_and_null_date(spark):
+    df = frames.sales(spark, (None, "A", "2024-07-15", 1), (1, "A", None, 5), (1, "A", "2024-07-01", 2))
+    assert frames.rows(V.customer_view(df, months=(3,)), "client_id", "avg_volume_3m") == [(1, 2.0)]
+
+
+def test_short_window_is_part_of_the_long(spark):
+    rows = random_sales(3)
+    df = spark.createDataFrame(rows, frames.SALES)
+    base = V.monthly_grain(df)
+    inside = [base.where(f"months_from_last <= {n}").selectExpr("sum(volume_hl)").first()[0] for n in (3, 6)]
+    assert inside[0] <= inside[1]
+    assert V.customer_view(df).count() == len({r[0] for r in rows})

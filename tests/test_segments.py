@@ -1,0 +1,83 @@
+import frames
+import pytest
+from pyspark.sql import functions as F
+
+from quotaflow.functions import bands as B
+from quotaflow.operators import segments as S
+
+
+def apply(spark, band, *rows):
+    """Band of each row of numbers."""
+    names = [f"c{i}" for i in range(len(rows[0]))]
+    df = spark.createDataFrame([tuple(None if v is None else float(v) for v in r) for r in rows], ", ".join(f"{n} double" for n in names))
+    return [r[0] for r in df.select(band(*[F.col(n) for n in names])).collect()]
+
+
+def test_bounds_of_one_number(spark):
+    cases = [
+        (B.volume_band, {9.99: "low", 10: "medium", 50: "medium", 50.01: "high", None: None}),
+        (B.channel_band, {0: "exclusive_b2c", 0.5: "mostly_b2c", 49.9: "mostly_b2c", 50: "mostly_b2b", 99: "mostly_b2b", 100: "exclusive_b2b", None: None}),
+        (B.abc_class, {50.01: "A", 50: "B", 20: "B", 19.99: "C", None: None}),
+        (B.attainment_band, {49.9: "critical", 50: "below", 79.9: "below", 80: "on_track", 100: "on_track", 100.1: "excellent", None: None}),
+    ]
+    for band, expected in cases:
+        assert apply(spark, band, *[(v,) for v in expected]) == list(expected.values())
+
+
+def test_bounds_of_two_numbers(spark):
+    assert apply(spark, B.volume_trend, (10.6, 10), (9.4, 10), (10.2, 10), (0, 0), (None, 1)) == ["growing", "declining", "stable", "stable", None]
+    assert apply(spark, B.volume_alert, (4.9, 10), (5, 10), (12, 10), (12.1, 10), (None, 1)) == ["sharp_decline", "none", "none", "fast_growth", None]
+    assert apply(spark, B.channel_shift, (52, 50), (50.5, 50), (40, 50)) == ["to_wholesale", "stable", "to_retail"]
+
+
+@pytest.mark.parametrize(
+    "days, status, alert",
+    [(0, "active", "active"), (29, "active", "active"), (30, "at_risk", "watch"), (59, "at_risk", "watch"),
+     (60, "at_risk", "at_risk"), (90, "at_risk", "at_risk"), (91, "inactive", "urgent")],
+)
+def test_recency_in_days(spark, days, status, alert):
+    df = spark.range(1).select(F.date_sub(F.lit("2024-12-31").cast("date"), days).alias("d"))
+    as_of = F.lit("2024-12-31").cast("date")
+    assert tuple(df.select(B.activity_status(F.col("d"), as_of), B.recency_alert(F.col("d"), as_of)).first()) == (status, alert)
+
+
+def test_recency_score_has_no_gaps(spark):
+    last = ["2024-12-31", "2024-11-01", "2024-10-31", "2024-09-01", "2024-08-31", "2024-06-01", "2024-05-31", "2023-12-01", "2023-11-30", None]
+    df = spark.createDataFrame([(frames.day(d),) for d in last], "d date")
+    got = [r[0] for r in df.select(B.recency_score(F.col("d"), F.lit("2024-12-31").cast("date"))).collect()]
+    assert got == [5, 5, 4, 4, 3, 3, 2, 2, 1, None]
+
+
+def test_segment_view_adds_all(spark):
+    row = (1, frames.day("2024-12-01"), 60.0, 40.0, 100.0, 90.0)
+    view = spark.createDataFrame([row], "client_id long, last_purchase date, avg_volume_3m double, avg_volume_6m double, b2b_share_3m double, b2b_share_6m double")
+    got = S.segment_view(view, "2024-12-31").first()
+    assert (got.volume_band, got.volume_trend, got.volume_alert, got.activity_status, got.recency_score) == ("high", "growing", "fast_growth", "at_risk", 5)
+    assert (got.channel_band, got.channel_shift, got.recency_alert) == ("exclusive_b2b", "to_wholesale", "watch")
+
+
+def test_rfm_counts_only_the_period(spark):
+    df = frames.sales(spark, (1, "A", "2024-12-01", 6), (1, "A", "2023-12-31", 6), (1, "A", "2023-12-30", 99), (1, "A", "2025-01-01", 99), (2, "A", "2020-01-01", 5))
+    got = frames.rows(S.rfm(df, "2024-12-31"), "client_id", "last_purchase", "frequency", "monetary", "recency")
+    assert got == [(1, frames.day("2024-12-01"), 2, 1.0, 5), (2, frames.day("2020-01-01"), 0, 0.0, 1)]
+
+
+def test_rfm_segments(spark):
+    scores = [(1, 5, 90, 90.0), (2, 5, 90, 50.0), (3, 2, 90, 90.0), (4, 1, 90, 90.0), (5, 5, 1, 1.0), (6, 5, 1, 1.0), (7, 5, 5, 5.0), (8, 3, 5, 5.0), (9, 3, 5, 5.0), (10, 3, 1, 1.0)]
+    df = spark.createDataFrame(scores, "client_id long, recency int, frequency long, monetary double")
+    got = dict(frames.rows(S.rfm_segment(df), "client_id", "segment"))
+    frequency = {c: sum(o[2] < f for o in scores) / 9 for c, _, f, _ in scores}
+    monetary = {c: sum(o[3] < m for o in scores) / 9 for c, _, _, m in scores}
+    for client, recency, _, _ in scores:
+        f, m = frequency[client], monetary[client]
+        if recency == 1:
+            expected = "lost"
+        elif recency >= 4 and f >= 2 / 3 and m >= 2 / 3:
+            expected = "champions"
+        elif recency >= 4 and f >= 2 / 3 and m >= 1 / 3:
+            expected = "loyal"
+        elif recency == 2 and f >= 2 / 3 and m >= 2 / 3:
+            expected = "at_risk"
+        else:
+            expected = "other"
+        assert got[client] == expected
