@@ -6,14 +6,13 @@ import time
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import quality
 from ..operators.cleaning import add_geo_placeholders, clean, rename
 from ..operators.customer import customer_view
 from ..operators.geo import enrich_geography, propagate_geo
-from ..operators.star import build_star
+from ..operators.star import Star, build_star
 from ..operators.targets import allocate_targets, ordered_targets, reconciliation_check, targets_for_year
 from ..schemas import EXPORT_NAMES, GEOGRAPHY, TABLE_NAMES
 from ..sources import files
@@ -29,48 +28,50 @@ class RunResult:
 
 @dataclass
 class _Steps:
-    """Rows and seconds of each step; rows are counted while the step writes."""
+    """Rows and seconds of each step."""
 
     rows: list[tuple] = field(default_factory=list)
     started: float = field(default_factory=time.monotonic)
 
-    def done(self, step: str, rows: int | None, output: str | None = None) -> None:
+    def done(self, step: str, rows: int, output: str) -> None:
         now = time.monotonic()
         self.rows.append((step, rows, round(now - self.started, 3), output))
         self.started = now
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+def _cleaned(spark: SparkSession, raw: DataFrame, config: files.RunConfig, steps: _Steps) -> DataFrame:
+    """Filling is a projection over the staged sales; dropping compares rows, so it is staged too."""
+    sales = clean(raw, config.policy)
+    if config.policy == "fill":
+        return sales
+    path = f"{config.output}/staging/clean"
+    steps.done("clean", files.write_counted(sales, path), path)
+    return spark.read.schema(sales.schema).parquet(path)
 
 
 def run(spark: SparkSession, config: files.RunConfig) -> RunResult:
     """Runs the job and writes every table as Parquet and CSV under the output folder.
 
-    The cleaned sales are written once and all later steps read that copy, so
-    the text is parsed once, each step reads only its columns, and a lost
-    executor costs no more than its own tasks.
+    The typed sales are written once and all later steps read that copy: the
+    text is parsed once, each step reads only its columns, and a lost executor
+    costs no more than its own tasks.
     """
     steps = _Steps()
-    raw = files.read_sales(spark, config.sales, config.dialect)
+    parsed = files.read_sales(spark, config.sales, config.dialect)
     targets = files.read_targets(spark, config.targets)
-
     staged = f"{config.output}/staging/sales"
-    cleaned, seen = _counted(clean(raw, config.policy))
-    files.write_parquet(cleaned, staged)
-    sales = spark.read.parquet(staged)
-    steps.done("clean", seen.get["rows"], staged)
+    steps.done("load", files.write_counted(parsed, staged), staged)
+    raw = spark.read.schema(parsed.schema).parquet(staged)
 
     profile_path = f"{config.output}/staging/profile"
-    files.write_parquet(quality.null_profile(raw), profile_path)
-    steps.done("profile", None, profile_path)
+    profile = quality.null_profile(raw)
+    steps.done("profile", files.write_counted(profile, profile_path), profile_path)
 
-    star = build_star(sales, "local" if config.policy == "fill" else "notebook")
+    sales = _cleaned(spark, raw, config, steps)
+    notebook = config.policy == "drop"
+    star = build_star(sales, "notebook" if notebook else "local")
     view = customer_view(sales, mode=config.mode)
-    client_targets = allocate_targets(
-        sales, targets, config.year, share_scale=None if config.policy == "fill" else 4
-    )
+    client_targets = allocate_targets(sales, targets, config.year, share_scale=4 if notebook else None)
     dim_client = star.dim_client
     if config.geography is None:
         dim_client, view, client_targets = map(add_geo_placeholders, (dim_client, view, client_targets))
@@ -78,30 +79,34 @@ def run(spark: SparkSession, config: files.RunConfig) -> RunResult:
         geo = files.require_input(spark, config.geography, schema=GEOGRAPHY, header=True)
         dim_client = enrich_geography(dim_client, geo)
         view, client_targets = propagate_geo(view, dim_client), propagate_geo(client_targets, dim_client)
-
-    paths = {}
     tables = star.tables() | {
         "dim_client": dim_client,
         "customer_view": view,
         "client_targets": ordered_targets(client_targets),
     }
+
+    paths, written, outputs = {}, {}, []
+    ours = {theirs: name for name, theirs in EXPORT_NAMES.items()}
     for name, df in tables.items():
-        counted, seen = _counted(rename(df, EXPORT_NAMES))
         out = TABLE_NAMES[name]
-        paths |= files.export_all({out: counted}, config.output, single=True)
-        steps.done(name, seen.get["rows"], paths[out])
+        result = rename(df, EXPORT_NAMES)
+        exported = files.export_all({out: result}, config.output, single=True)[out]
+        steps.done(name, exported.rows, exported.parquet)
+        paths[out] = exported.parquet
+        outputs += [exported.parquet, exported.csv]
+        written[name] = rename(spark.read.schema(result.schema).parquet(exported.parquet), ours)
 
-    names = {theirs: ours for ours, theirs in EXPORT_NAMES.items()}
-    written = {name: rename(spark.read.parquet(paths[TABLE_NAMES[name]]), names) for name in tables}
     checks = [
         quality.no_nulls_check(sales, ["client_id", "sale_date", "volume_hl"], "sales"),
         quality.check_not_empty(targets_for_year(targets, config.year), f"targets of {config.year}"),
         quality.metrics_check(written["customer_view"], ["avg_volume_3m", "avg_volume_6m"], "customer view"),
         reconciliation_check(written["client_targets"]),
+        quality.star_integrity(Star(*[written[name] for name in star.tables()]), sales),
+        files.outputs_present(spark, outputs),
     ]
     return RunResult(
         paths,
-        spark.read.parquet(profile_path),
+        spark.read.schema(profile.schema).parquet(profile_path),
         reduce(DataFrame.unionByName, checks),
         quality.run_summary(spark, steps.rows),
     )

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # Volume and money stay decimal so that totals are exact and do not depend on
-# the order in which partial sums arrive.
-AMOUNT = T.DecimalType(20, 8)
+# the order in which partial sums arrive.  18 digits fit into one long.
+AMOUNT = T.DecimalType(18, 6)
 
 SALES = T.StructType(
     [

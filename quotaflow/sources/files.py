@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,20 +139,49 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").save(path)
 
 
-def export_all(results: Mapping[str, DataFrame], output: str, single: bool = False) -> dict[str, str]:
-    """Every result as Parquet and as CSV; returns name -> Parquet path.
+@dataclass(frozen=True)
+class Exported:
+    parquet: str
+    csv: str
+    rows: int
+
+
+def write_counted(df: DataFrame, path: str) -> int:
+    """Writes Parquet and returns the number of rows, counted by the writing tasks."""
+    seen = Observation()
+    write_parquet(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    return seen.get["rows"]
+
+
+def export_all(results: Mapping[str, DataFrame], output: str, single: bool = False) -> dict[str, Exported]:
+    """Every result as Parquet and as CSV.
 
     The CSV is written from the Parquet, so each result is computed once.
+    ``single`` asks for one CSV file per table that is small.
     """
-    paths = {}
+    exported = {}
     for name, df in results.items():
-        paths[name] = f"{output}/parquet/{name}"
-        write_parquet(df, paths[name])
-        written = df.sparkSession.read.schema(df.schema).parquet(paths[name])
-        if single and is_small(written, SINGLE_FILE_ROWS):
-            written = written.repartition(1)
-        write_csv(written, f"{output}/csv/{name}")
-    return paths
+        out = Exported(f"{output}/parquet/{name}", f"{output}/csv/{name}", write_counted(df, f"{output}/parquet/{name}"))
+        written = df.sparkSession.read.schema(df.schema).parquet(out.parquet)
+        if single and out.rows <= SINGLE_FILE_ROWS:
+            written = written.coalesce(1)
+        write_csv(written, out.csv)
+        exported[name] = out
+    return exported
+
+
+def outputs_present(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Check row: every output has at least one file."""
+    absent = []
+    for path in paths:
+        try:
+            empty = list_input(spark, path).isEmpty()
+        except AnalysisException:
+            empty = True
+        if empty:
+            absent.append(path)
+    detail = f"absent: {', '.join(absent)}" if absent else f"{len(paths)} written"
+    return rows_to_df(spark, [("every output is written", not absent, detail)], "check string, passed boolean, detail string")
 
 
 def selection_name(table: str, day: date) -> str:

@@ -32,7 +32,7 @@ def test_local_dialect(spark, inputs):
     got = files.read_sales(spark, str(inputs / "sales.csv")).collect()
     first, second, third = got
     assert (first.client_id, first.is_b2b, first.packaging_code, first.brand_code, first.brand) == (10, True, 12, 3, "A")
-    assert (first.volume_hl, first.sale_date, first.postal_code) == (Decimal("1.50000000"), date(2024, 1, 31), "01310100")
+    assert (first.volume_hl, first.sale_date, first.postal_code) == (Decimal("1.500000"), date(2024, 1, 31), "01310100")
     assert (second.is_b2b, second.brand, second.packaging_code) == (None, None, None)
     assert (third.volume_hl, third.sale_date) == (None, None)
 
@@ -55,6 +55,13 @@ def test_absent_input_says_what_is_there(spark, inputs):
     assert {r.path.rpartition("/")[2] for r in files.list_input(spark, str(inputs)).collect()} >= {"geo.csv", "sales.csv"}
 
 
+def test_outputs_present(spark, tmp_path):
+    files.write_parquet(spark.range(3), str(tmp_path / "there"))
+    rows = files.outputs_present(spark, [str(tmp_path / "there"), str(tmp_path / "absent")]).collect()
+    assert [(r.passed, r.detail) for r in rows] == [(False, f"absent: {tmp_path / 'absent'}")]
+    assert files.outputs_present(spark, [str(tmp_path / "there")]).first().passed
+
+
 def test_single_file_only_while_small(spark, tmp_path, monkeypatch):
     df = spark.range(100).repartition(4)
     files.write_csv(df, str(tmp_path / "one"), single=True)
@@ -112,8 +119,11 @@ def test_publish_replaces(spark, tmp_path):
     assert tables.table(spark, "publish_test.t").count() == 5
 
 
-@pytest.mark.parametrize("policy, mode, geography", [("fill", "relative", None), ("drop", "absolute", "geo.csv")])
-def test_full_run(spark, inputs, policy, mode, geography):
+@pytest.mark.parametrize(
+    "policy, mode, geography, unmet",
+    [("fill", "relative", None, ["sales: no nulls in client_id, sale_date, volume_hl"]), ("drop", "absolute", "geo.csv", [])],
+)
+def test_full_run(spark, inputs, policy, mode, geography, unmet):
     config = files.RunConfig(
         sales=str(inputs / "sales.csv"), targets=str(inputs / "targets.csv"), output=str(inputs / "out"),
         policy=policy, mode=mode, geography=geography and str(inputs / geography),
@@ -124,7 +134,7 @@ def test_full_run(spark, inputs, policy, mode, geography):
     sold = 3 if policy == "fill" else 2
     assert written["fato_vendas"].count() == sold
     rows = {r.step: r.rows for r in result.summary.collect()}
-    assert rows["clean"] == rows["fact_sales"] == sold
+    assert rows["load"] == 3 and rows["fact_sales"] == sold
     assert written["visao_consolidada"].columns == [
         "cliente_id", "data_ultima_compra", "volume_medio_3m", "volume_medio_6m", "share_b2b_3m", "share_b2b_6m", "cidade", "estado",
     ]
@@ -134,8 +144,10 @@ def test_full_run(spark, inputs, policy, mode, geography):
     else:
         assert set(places.values()) == {None}
     checks = {r.check: r.passed for r in result.checks.collect()}
-    assert checks["targets of 2025 is not empty"] and len(checks) == 4
+    assert [name for name, passed in checks.items() if not passed] == unmet
+    assert len(checks) == 9
     for name in result.paths:
         assert len(list((inputs / "out" / "csv" / name).glob("part-*"))) == 1
-    view = frames.rows(customer_view(spark.read.parquet(str(inputs / "out/staging/sales")), mode=mode))
+    staged = "sales" if policy == "fill" else "clean"
+    view = frames.rows(customer_view(spark.read.parquet(str(inputs / "out/staging" / staged)), mode=mode))
     assert frames.rows(written["visao_consolidada"].drop("cidade", "estado")) == view
