@@ -94,13 +94,19 @@ def _relative(sales, months, share, grain, scale):
     return base.groupBy("client_id", "last_purchase").agg(*metrics)
 
 
-def _fixed_end(sales, months, share, end: Column, calendar: bool, scale):
+def _fixed_end(sales, months, share, as_of: str | None, calendar: bool, scale):
     """Windows that end on one date for all clients: a single aggregate per client."""
+    if as_of is None:
+        # A scalar subquery: computed once, then a constant in the aggregate.
+        end, ended = reference_date(sales).scalar(), F.lit(True)
+    else:
+        end = F.lit(as_of).cast("date")
+        ended = F.col("sale_date") <= end
     measure = F.col(_MEASURE[share])
     metrics = [F.max("sale_date").alias("last_purchase")]
     shares = []
     for n in months:
-        inside = (F.col("sale_date") >= F.add_months(end, -n)) & (F.col("sale_date") <= end)
+        inside = ended & (F.col("sale_date") >= F.add_months(end, -n))
         volume = F.when(inside, F.col("volume_hl"))
         whole = F.sum(F.when(inside, measure))
         part = F.sum(F.when(inside & F.col("is_b2b"), measure))
@@ -140,6 +146,4 @@ def customer_view(
     if mode not in ("absolute", "calendar"):
         raise ValueError(f"unknown mode {mode!r}")
     scale = None if share_scale == "default" else share_scale
-    # A scalar subquery: computed once, then a constant in the aggregate.
-    end = F.lit(as_of).cast("date") if as_of else reference_date(sales).scalar()
-    return _fixed_end(sales, months, share or "volume", end, mode == "calendar", scale)
+    return _fixed_end(sales, months, share or "volume", as_of, mode == "calendar", scale)

@@ -4,7 +4,6 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_points
-from quotaflow.operators.customer import customer_view  # noqa: F401
 
 QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 

@@ -4,6 +4,7 @@ from decimal import Decimal
 import frames
 import pytest
 
+from quotaflow.__main__ import main
 from quotaflow.operators.customer import customer_view
 from quotaflow.plans.full_run import run
 from quotaflow.sources import files, scratch, tables
@@ -151,3 +152,17 @@ def test_full_run(spark, inputs, policy, mode, geography, unmet):
     staged = "sales" if policy == "fill" else "clean"
     view = frames.rows(customer_view(spark.read.parquet(str(inputs / "out/staging" / staged)), mode=mode))
     assert frames.rows(written["visao_consolidada"].drop("cidade", "estado")) == view
+
+
+def test_command_line(spark, inputs, capsys):
+    # The session's warehouse takes the published tables.
+    main(
+        ["--sales", str(inputs / "notebook.csv"), "--targets", str(inputs / "targets.csv"), "--output", str(inputs / "out"),
+         "--dialect", "notebook", "--policy", "drop", "--mode", "calendar", "--database", "command_line_test"]
+    )
+    printed = capsys.readouterr().out
+    assert "every output is written" in printed
+    sold = frames.rows(tables.table(spark, "command_line_test.fato_vendas"), "valor", "b2b_status")
+    assert sold == [(Decimal("150.000000"), True), (Decimal("200.000000"), False)]
+    with pytest.raises(FileNotFoundError):
+        main(["--sales", str(inputs / "absent.csv"), "--targets", str(inputs / "targets.csv"), "--output", str(inputs / "o")])
