@@ -66,7 +66,10 @@ def dedupe(df: DataFrame) -> DataFrame:
 def require_not_null(
     df: DataFrame, columns: Sequence[str] = ("client_id", "sale_date", "volume_hl")
 ) -> DataFrame:
-    return df.na.drop(subset=list(columns))
+    """Rows in which none of the columns is null; NaN is not null."""
+    for name in columns:
+        df = df.where(df[name].isNotNull())
+    return df
 
 
 def cast_types(df: DataFrame) -> DataFrame:

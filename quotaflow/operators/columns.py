@@ -26,8 +26,16 @@ def cents(column: str) -> Column:
 
 
 def known(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows in which none of the columns is null."""
-    return df.na.drop(subset=list(columns))
+    """Rows in which none of the columns is null or not a number.
+
+    Written as plain predicates, which reach the Parquet scan.
+    """
+    for name in columns:
+        col = df[name]
+        df = df.where(col.isNotNull())
+        if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+            df = df.where(~F.isnan(col))
+    return df
 
 
 def top(df: DataFrame, n: int, by: str, *ties: str) -> DataFrame:

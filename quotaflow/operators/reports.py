@@ -33,7 +33,8 @@ def filter_channel(df: DataFrame, which: str | None = None) -> DataFrame:
 
 def min_volume(df: DataFrame, least: float, column: str = "avg_volume_3m") -> DataFrame:
     """Rows whose value is a number of at least ``least``."""
-    return df.withColumn(column, text.to_number(F.col(column))).where(F.col(column) >= least)
+    # A NaN would compare as the greatest number.
+    return known(df.withColumn(column, text.to_number(F.col(column))), column).where(F.col(column) >= least)
 
 
 def min_target(df: DataFrame, least: float) -> DataFrame:

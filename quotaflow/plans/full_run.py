@@ -15,6 +15,7 @@ from ..operators.geo import enrich_geography, propagate_geo
 from ..operators.star import Star, build_star
 from ..operators.targets import allocate_targets, ordered_targets, reconciliation_check, targets_for_year
 from ..schemas import EXPORT_NAMES, GEOGRAPHY, TABLE_NAMES
+from ..session import size_shuffles
 from ..sources import files
 
 
@@ -60,6 +61,7 @@ def run(spark: SparkSession, config: files.RunConfig) -> RunResult:
     parsed = files.read_sales(spark, config.sales, config.dialect)
     targets = files.read_targets(spark, config.targets)
     staged = f"{config.output}/staging/sales"
+    size_shuffles(spark, files.input_bytes(spark, config.sales))
     steps.done("load", files.write_counted(parsed, staged), staged)
     raw = spark.read.schema(parsed.schema).parquet(staged)
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# Aim for the input bytes behind one shuffle partition.
+PARTITION_BYTES = 128 * 1024 * 1024
+
 
 def build_session(app: str = "quotaflow", **conf: str) -> SparkSession:
     """Adaptive session; everything else is left to the cluster's defaults."""
@@ -17,3 +20,15 @@ def build_session(app: str = "quotaflow", **conf: str) -> SparkSession:
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raises the number of shuffle partitions to suit the input; never lowers it.
+
+    Too few partitions spill or fail; too many are merged by adaptive execution.
+    """
+    wanted = -(-input_bytes // PARTITION_BYTES)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, current)

@@ -38,6 +38,11 @@ def list_input(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("binaryFile").load(folder).select("path", "length")
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder, from its listing."""
+    return list_input(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 def require_input(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None, **options) -> DataFrame:
     """The table at ``path``; an absent input fails here and not at the first action."""
     reader = spark.read.options(**options)
@@ -59,9 +64,8 @@ def _header(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str
     return require_input(spark, path, header=True, sep=sep, encoding=encoding).columns
 
 
-def _typed(name: str, kind: T.DataType) -> Column:
+def _typed(raw: Column, name: str, kind: T.DataType) -> Column:
     """A canonical column out of its text."""
-    raw = F.col(name)
     if isinstance(kind, T.BooleanType):
         value = text.parse_flag(raw)
     elif isinstance(kind, T.DateType):
@@ -80,19 +84,24 @@ def _typed(name: str, kind: T.DataType) -> Column:
 
 
 def _read(spark, path, names: Mapping[str, str], target: T.StructType, sep: str, encoding: str) -> DataFrame:
-    """All columns are declared as text and typed by expressions: bad text gives null, no type is guessed."""
+    """All columns are declared as text and typed by expressions: bad text gives null, no type is guessed.
+
+    A folder's files must agree on their header; one that differs is an error
+    and not a table with its columns mixed up.
+    """
     header = _header(spark, path, sep, encoding)
-    by_name = {k.lower(): v for k, v in names.items()}
-    ours = [by_name.get(h.strip().lower(), h) for h in header]
+    by_name = {theirs.lower(): ours for theirs, ours in names.items()}
+    column = {by_name[h.strip().lower()]: h for h in header if h.strip().lower() in by_name}
     raw = require_input(
         spark,
         path,
-        schema=T.StructType([T.StructField(c, T.StringType()) for c in ours]),
+        schema=T.StructType([T.StructField(h, T.StringType()) for h in header]),
         header=True,
+        enforceSchema=False,
         sep=sep,
         encoding=encoding,
     )
-    return raw.select([_typed(f.name, f.dataType) for f in target.fields if f.name in ours])
+    return raw.select([_typed(raw[f"`{column[f.name]}`"], f.name, f.dataType) for f in target.fields if f.name in column])
 
 
 def read_sales(

@@ -108,5 +108,14 @@ def test_numbers_and_units(spark):
     assert tuple(df.limit(1).select(*text.volume_units(F.lit(Decimal("1.50")))).first()) == (150.0, 0.15)
 
 
-def test_known_drops_rows_with_any_null(raw):
+def test_known_drops_rows_with_any_null_or_nan(raw):
     assert known(raw, "brand", "sale_date").count() == 1
+    assert known(raw, "loss").count() == 1
+    assert C.require_not_null(raw, ["loss"]).count() == 2
+
+
+def test_not_null_reaches_the_scan(raw, tmp_path, capsys):
+    raw.write.parquet(str(tmp_path / "t"))
+    known(raw.sparkSession.read.parquet(str(tmp_path / "t")), "brand").groupBy("brand").count().explain()
+    plan = capsys.readouterr().out
+    assert "PushedFilters: [IsNotNull(brand)]" in plan and "ReadSchema: struct<brand:string>" in plan

@@ -27,7 +27,7 @@ def test_filters(sold):
 
 
 def test_lower_bounds_are_inclusive(spark, ct):
-    view = spark.createDataFrame([(1, "2.5"), (2, "x"), (3, None), (4, "2.4")], "client_id long, avg_volume_3m string")
+    view = spark.createDataFrame([(1, "2.5"), (2, "x"), (3, None), (4, "2.4"), (5, "NaN")], "client_id long, avg_volume_3m string")
     assert frames.rows(R.min_volume(view, 2.5), "client_id") == [(1,)]
     assert frames.rows(R.top_clients(view, "avg_volume_3m", 5, least=0), "client_id") == [(1,), (4,)]
     assert frames.rows(R.min_target(ct, 50.0), "brand", "client_id") == [("A", 1)]

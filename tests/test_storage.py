@@ -4,6 +4,7 @@ from decimal import Decimal
 import frames
 import pytest
 
+from quotaflow import session
 from quotaflow.__main__ import main
 from quotaflow.operators.customer import customer_view
 from quotaflow.plans.full_run import run
@@ -44,6 +45,25 @@ def test_notebook_dialect_in_its_own_order(spark, inputs):
     assert frames.rows(df, "client_id", "is_b2b", "postal_code") == [(10, True, "01310100"), (20, False, "50030230")]
 
 
+def test_files_of_a_folder_must_share_a_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Marca;Meta;Ano\nA;1;2025\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("Marca;Ano;Meta\nB;2025;2\n", encoding="utf-8")
+    with pytest.raises(Exception, match="CSV header"):
+        files.read_targets(spark, str(tmp_path)).collect()
+
+
+def test_shuffles_grow_with_the_input(spark, inputs, monkeypatch):
+    assert files.input_bytes(spark, str(inputs / "sales.csv")) == len(LOCAL.encode())
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert session.size_shuffles(spark, 10) == int(before)
+        monkeypatch.setattr(session, "PARTITION_BYTES", 100)
+        assert session.size_shuffles(spark, 1701) == 18
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "18"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_targets_with_byte_order_mark(spark, inputs):
     df = files.read_targets(spark, str(inputs / "targets.csv"))
     assert df.dtypes == [("brand", "string"), ("target_volume", "bigint"), ("target_year", "int")]
