@@ -28,14 +28,18 @@ def _ranges(df: DataFrame, order: Sequence[Column | str], partitions: int | None
 
 
 def _with_offsets(ranged: DataFrame, amount: Column) -> DataFrame:
-    """Adds what the earlier ranges hold; the broadcast side has one row per range."""
+    """Adds what the earlier ranges hold; the broadcast side has one row per range.
+
+    Every row has its offset.  A left join says so to the optimizer, which then
+    leaves the join out wherever the number itself is not read.
+    """
     before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy(_RANGE)
         .agg(amount.alias("_amount"))
         .select(_RANGE, F.coalesce(F.sum("_amount").over(before), F.lit(0)).alias(_OFFSET))
     )
-    return ranged.join(F.broadcast(offsets), _RANGE)
+    return ranged.join(F.broadcast(offsets), _RANGE, "left")
 
 
 def number_rows(

@@ -54,3 +54,8 @@ def test_rank_cuts_equal_percent_rank(spark, values):
     for cut, share in zip(cuts, (1 / 3, 2 / 3)):
         reached = [v for v in known if rank[v] >= share]
         assert cut == (min(reached) if reached else None)
+
+
+def test_unread_numbers_cost_no_join(spark, capsys):
+    N.number_rows(spark.range(100), ["id"], "n").select("id").explain()
+    assert "Join" not in capsys.readouterr().out
