@@ -75,7 +75,7 @@ def _typed(raw: Column, name: str, kind: T.DataType) -> Column:
         value = F.coalesce(raw.try_cast(kind), raw.try_cast("double").try_cast(kind))
     elif name == "postal_code":
         # Written as a number the leading zeros are lost; other texts stay as they are.
-        value = F.when(raw.rlike("^[0-9]{1,7}$"), F.lpad(raw, 8, "0")).otherwise(raw)
+        value = F.when(raw.rlike("^[0-9]{1,7}$"), text.postal_from_number(raw)).otherwise(raw)
     elif isinstance(kind, T.StringType):
         value = raw
     else:
