@@ -156,15 +156,19 @@ def _(spark, d):
     return rows.where(F.col("target_year") == config.year).select("brand", "target_volume")
 
 
-def _full_run(spark, d, name):
+def source_files(spark, d, name) -> files.RunConfig:
+    """The fixture as source files, and the parameters of a run over them."""
     root = scratch_path(spark, name)
-    config = files.RunConfig(
+    return files.RunConfig(
         sales=_sales_file(spark, d, f"{root}/input/sales"),
         targets=_targets_file(spark, d, f"{root}/input/targets"),
         output=f"{root}/output",
         year=YEAR,
     )
-    return run(spark, config)
+
+
+def _full_run(spark, d, name):
+    return run(spark, source_files(spark, d, name))
 
 
 @query("q11_run_summary")

@@ -34,7 +34,7 @@ class _Steps:
     rows: list[tuple] = field(default_factory=list)
     started: float = field(default_factory=time.monotonic)
 
-    def done(self, step: str, rows: int, output: str) -> None:
+    def done(self, step: str, rows: int | None, output: str | None) -> None:
         now = time.monotonic()
         self.rows.append((step, rows, round(now - self.started, 3), output))
         self.started = now
@@ -72,6 +72,7 @@ def run(spark: SparkSession, config: files.RunConfig) -> RunResult:
     sales = _cleaned(spark, raw, config, steps)
     notebook = config.policy == "drop"
     star = build_star(sales, "notebook" if notebook else "local")
+    steps.done("dimensions", None, None)
     view = customer_view(sales, mode=config.mode)
     client_targets = allocate_targets(sales, targets, config.year, share_scale=4 if notebook else None)
     dim_client = star.dim_client
@@ -87,16 +88,15 @@ def run(spark: SparkSession, config: files.RunConfig) -> RunResult:
         "client_targets": ordered_targets(client_targets),
     }
 
-    paths, written, outputs = {}, {}, []
+    results = {name: rename(df, EXPORT_NAMES) for name, df in tables.items()}
+    exported = files.export_all({TABLE_NAMES[n]: df for n, df in results.items()}, config.output, single=True)
+    paths = {out: e.parquet for out, e in exported.items()}
     ours = {theirs: name for name, theirs in EXPORT_NAMES.items()}
-    for name, df in tables.items():
-        out = TABLE_NAMES[name]
-        result = rename(df, EXPORT_NAMES)
-        exported = files.export_all({out: result}, config.output, single=True)[out]
-        steps.done(name, exported.rows, exported.parquet)
-        paths[out] = exported.parquet
-        outputs += [exported.parquet, exported.csv]
-        written[name] = rename(spark.read.schema(result.schema).parquet(exported.parquet), ours)
+    written = {
+        name: rename(spark.read.schema(df.schema).parquet(paths[TABLE_NAMES[name]]), ours)
+        for name, df in results.items()
+    }
+    steps.rows += [(name, e.rows, e.seconds, e.parquet) for name, e in exported.items()]
 
     checks = [
         quality.no_nulls_check(sales, ["client_id", "sale_date", "volume_hl"], "sales"),
@@ -104,7 +104,7 @@ def run(spark: SparkSession, config: files.RunConfig) -> RunResult:
         quality.metrics_check(written["customer_view"], ["avg_volume_3m", "avg_volume_6m"], "customer view"),
         reconciliation_check(written["client_targets"]),
         quality.star_integrity(Star(*[written[name] for name in star.tables()]), sales),
-        files.outputs_present(spark, outputs),
+        files.outputs_present(spark, [p for e in exported.values() for p in (e.parquet, e.csv)]),
     ]
     return RunResult(
         paths,

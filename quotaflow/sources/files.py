@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
@@ -153,6 +155,7 @@ class Exported:
     parquet: str
     csv: str
     rows: int
+    seconds: float
 
 
 def write_counted(df: DataFrame, path: str) -> int:
@@ -162,21 +165,30 @@ def write_counted(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def export_all(results: Mapping[str, DataFrame], output: str, single: bool = False) -> dict[str, Exported]:
+def export(df: DataFrame, name: str, output: str, single: bool = False) -> Exported:
+    """A result as Parquet and as CSV, computed once: the CSV is written from the Parquet.
+
+    ``single`` asks for one CSV file if the table is small.
+    """
+    began = time.monotonic()
+    parquet, csv = f"{output}/parquet/{name}", f"{output}/csv/{name}"
+    rows = write_counted(df, parquet)
+    written = df.sparkSession.read.schema(df.schema).parquet(parquet)
+    write_csv(written.coalesce(1) if single and rows <= SINGLE_FILE_ROWS else written, csv)
+    return Exported(parquet, csv, rows, round(time.monotonic() - began, 3))
+
+
+def export_all(
+    results: Mapping[str, DataFrame], output: str, single: bool = False, at_once: int = 4
+) -> dict[str, Exported]:
     """Every result as Parquet and as CSV.
 
-    The CSV is written from the Parquet, so each result is computed once.
-    ``single`` asks for one CSV file per table that is small.
+    A few results are written at a time, so that the cluster is not left to the
+    last tasks of one table while others wait.
     """
-    exported = {}
-    for name, df in results.items():
-        out = Exported(f"{output}/parquet/{name}", f"{output}/csv/{name}", write_counted(df, f"{output}/parquet/{name}"))
-        written = df.sparkSession.read.schema(df.schema).parquet(out.parquet)
-        if single and out.rows <= SINGLE_FILE_ROWS:
-            written = written.coalesce(1)
-        write_csv(written, out.csv)
-        exported[name] = out
-    return exported
+    with ThreadPoolExecutor(at_once) as pool:
+        jobs = {name: pool.submit(export, df, name, output, single) for name, df in results.items()}
+    return {name: job.result() for name, job in jobs.items()}
 
 
 def outputs_present(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

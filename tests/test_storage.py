@@ -155,7 +155,7 @@ def test_full_run(spark, inputs, policy, mode, geography, unmet):
     sold = 3 if policy == "fill" else 2
     assert written["fato_vendas"].count() == sold
     rows = {r.step: r.rows for r in result.summary.collect()}
-    assert rows["load"] == 3 and rows["fact_sales"] == sold
+    assert rows["load"] == 3 and rows["fato_vendas"] == sold
     assert written["visao_consolidada"].columns == [
         "cliente_id", "data_ultima_compra", "volume_medio_3m", "volume_medio_6m", "share_b2b_3m", "share_b2b_6m", "cidade", "estado",
     ]
