@@ -28,6 +28,8 @@ from .base import pieces, text_bytes
 WINDOW = 64
 HIDDEN = 8
 SAMPLE_DOCS = 400
+# The sample of a language is drawn from so many hash slots, each sorted by itself.
+SLOTS = 40
 SAMPLE_WINDOWS = 8
 EPOCHS = 6
 BATCH = 128
@@ -208,10 +210,10 @@ def fit(training: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 5) -> N
     """
     rows = training.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL AND length(text) > 0")
     keyed = rows.withColumn("h", F.xxhash64("text"))
-    order = W.partitionBy("lang").orderBy("h")
+    order = W.partitionBy("lang", F.pmod("h", F.lit(SLOTS))).orderBy("h")
     # Hash values only; their number is bounded by the sample size and the number of languages.
     places = keyed.select("lang", "h").distinct().withColumn("place", F.row_number().over(order))
-    picked = places.where(F.col("place") <= sample_docs).select("lang", "h")
+    picked = places.where(F.col("place") <= max(1, sample_docs // SLOTS)).select("lang", "h")
     sample = (
         keyed.join(F.broadcast(picked), ["lang", "h"], "left_semi")
         .groupBy("lang", "h")

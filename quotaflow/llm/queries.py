@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language
+from . import decontaminate, host_quality, jaccard, language, licences, lm_score, pieces, repeats, toxicity, url_rules
 from .base import crc_mod, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def query(key: str, sql: str | None = None):
     return add
 
 
+@query("op1_quality_rules")
+def quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    return host_quality.judge(table(spark, d, "documents"))
+
+
 @query("op2_language_id")
 def language_id(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
@@ -36,8 +41,50 @@ def language_id(spark: SparkSession, d: str) -> DataFrame:
     return language.identify(docs, net, keep=(held_out.alias("held_out"),))
 
 
+@query("op3_toxicity")
+def toxicity_scores(spark: SparkSession, d: str) -> DataFrame:
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    scorer = toxicity.fit(docs, labels.where(~held_out))
+    scored = toxicity.score(docs, scorer, keep=(held_out.alias("held_out"),))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("op4_url_filters")
+def url_filters(spark: SparkSession, d: str) -> DataFrame:
+    return url_rules.judge(table(spark, d, "pages"))
+
+
+@query("op5_sentencepiece")
+def sentencepiece_ids(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.digest(pieces.encode(table(spark, d, "documents"), pieces.load()))
+
+
+@query("op6_substring_dedup")
+def substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return repeats.digest(repeats.remove_repeats(table(spark, d, "documents")))
+
+
+@query("op7_lm_scoring")
+def lm_scoring(spark: SparkSession, d: str) -> DataFrame:
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 10) == 0, F.lit(False))
+    docs = table(spark, d, "documents").select("doc_id", "text", (~held_out & F.col("doc_id").isNotNull()).alias("learn"))
+    scored = lm_score.score(docs, lm_score.read_vocabulary())
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op8_licence_scan")
+def licence_scan(spark: SparkSession, d: str) -> DataFrame:
+    return licences.find_licences(table(spark, d, "documents"))
+
+
 @query("op9_benchmark_decontamination")
 def benchmark_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.digest(
         decontaminate.find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
     )
+
+
+@query("op10_ngram_jaccard_join")
+def ngram_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard.join(table(spark, d, "documents"))
