@@ -64,6 +64,10 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             yield batch.slice(start)
 
 
+def is_text(column: Column | str) -> bool:
+    return isinstance(column, str) and column == "text"
+
+
 def text_bytes(texts: pa.Array) -> list[bytes]:
     """The rows' texts as UTF-8; null is empty."""
     return [b"" if t is None else t for t in texts.cast(pa.binary()).to_pylist()]

@@ -27,7 +27,7 @@ WORD_GAP = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\f\r"
 WINDOW = 8
 # Soft limits, in hundredths of the words (of the lines, for repeated lines).
-SYMBOLS, SHOUTS, DUP_LINES, MEAN_WORD = 10, 30, 30, 1200
+SYMBOLS, SHOUTS, DUP_LINES, MEAN_WORD = 10, 30, 50, 1200
 # Shrunken failure rates below and above which a host is trusted or strict, in hundredths.
 TRUSTED, STRICT = 2, 50
 STRETCH, TIGHTEN = 2.0, 0.5

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .base import pieces, text_bytes
+from .base import is_text, pieces, text_bytes
 
 WINDOW = 64
 HIDDEN = 8
@@ -236,11 +236,11 @@ def fit(training: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 5) -> N
     return net
 
 
-def identify(docs: DataFrame, net: Network | None, keep: tuple[Column, ...] = ()) -> DataFrame:
+def identify(docs: DataFrame, net: Network | None, keep: tuple[Column | str, ...] = ()) -> DataFrame:
     """``doc_id``, the columns of ``keep``, ``lang_pred`` and ``score`` of every document; only the text is looked at."""
-    chosen = docs.select("doc_id", "text", *keep)
-    names = [c for c in chosen.columns if c != "text"]
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields if f.name != "text"]
+    chosen = docs.select("doc_id", "text", *(c for c in keep if not is_text(c)))
+    fields = [f for f in chosen.schema.fields if f.name != "text" or any(map(is_text, keep))]
+    names, kinds = [f.name for f in fields], [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
     predictor = net.predictor() if net is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -116,6 +116,11 @@ def _bands(shingles: Column) -> Column:
     )
 
 
+def _place(size: int):
+    """Names a window by its class and first word."""
+    return lambda first: F.struct(F.lit(size).alias("class"), first.alias("first"))
+
+
 def find_licences(
     docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, containment: float = CONTAINMENT
 ) -> DataFrame:
@@ -135,10 +140,7 @@ def find_licences(
     worded = worded.where(F.arrays_overlap("words", F.array(*map(F.lit, rare))))
     starts = F.array(
         *[
-            F.transform(
-                F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(c)),
-                lambda i, c=c: F.struct(F.lit(c).alias("class"), i.alias("first")),
-            )
+            F.transform(F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(c)), _place(c))
             for c in classes
         ]
     )

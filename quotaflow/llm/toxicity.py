@@ -4,11 +4,12 @@
   from labelled documents by log-odds, each split into a few lists by hash, so that lists
   of one kind can agree or differ; a public list of insults and patterns (shouting, runs
   of ``!``) vote beside them.  A voter fires or stays silent.
-* Label model.  Two hidden classes; every voter has a firing rate in each.  Expectation
-  maximisation finds the rates and the class balance without the labels, starting from
-  the number of voters that fire.  Pairs of voters that are still correlated inside a
-  class count less: a voter's weight is 1 / (1 + its correlations).  The posterior is the
-  class probability under the weighted rates.
+* Label model.  Two hidden classes; every voter has a firing rate in each, and a silent
+  voter abstains, so insults of one language say nothing about those of another.  One
+  voter fires when no lexicon does, and speaks for clean.  Expectation maximisation finds
+  the rates without the labels, from whether a lexicon fires on; the class balance is that
+  of the sample.  Voters that are still correlated inside a class count less: a voter's weight is
+  1 / (1 + its squared correlations).  The posterior follows from the weighted rates.
 * Classifier.  A logistic regression on lexicon entries, per-kind and any-hit marks is
   trained on the posteriors, so a score needs the text alone.
 
@@ -33,13 +34,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import pieces, text_bytes
+from .base import is_text, pieces, text_bytes
 
 TOXIC_DOCS, CLEAN_DOCS = 1500, 3000
 LEXICON_SIZE = 1500
-# A lexicon entry occurs in so many toxic sample documents at least, and its share of
-# toxic documents, both classes weighed alike, is at least PURITY.
-LEAST_DOCS, PURITY = 4, 0.97
+# A lexicon entry occurs in LEAST_DOCS toxic sample documents at least, and in so many that
+# a word without meaning would do so by chance with probability CHANCE at most; its share
+# of toxic documents, both classes weighed alike, is at least PURITY.
+LEAST_DOCS, CHANCE, PURITY = 4, 1e-6, 0.97
 BEGINNINGS = (4, 5, 6)
 LISTS = 3
 ROUNDS = 60
@@ -93,9 +95,11 @@ def mine_lexicon(toxic: list[set[str]], clean: list[set[str]], size: int = LEXIC
     if not toxic or not clean:
         return []
     hits, noise = Counter(f for s in toxic for f in s), Counter(f for s in clean for f in s)
+    share = len(toxic) / (len(toxic) + len(clean))
+    least = max(LEAST_DOCS, math.log(CHANCE) / math.log(share))
     chosen = []
     for f, n in hits.items():
-        if n >= LEAST_DOCS:
+        if n >= least:
             a, b = (n + 0.5) / (len(toxic) + 1), (noise[f] + 0.1) / (len(clean) + 1)
             if a / (a + b) >= PURITY and noise[f] <= 0.05 * n:
                 chosen.append((-n, f))
@@ -112,7 +116,8 @@ class Voters:
         kinds = ["w", *map(str, BEGINNINGS)]
         self.of_entry = [kinds.index(f[0]) * LISTS + crc32(f.encode()) % LISTS for f in lexicon]
         self.n_lists = len(kinds) * LISTS
-        self.n_voters = self.n_lists + 3
+        # Lexicons, then the public list and the patterns, then the voter for clean.
+        self.n_voters = self.n_lists + 4
         self.n_features = len(lexicon) + self.n_voters + 1
 
     def look(self, text: bytes) -> tuple[list[int], list[int]]:
@@ -123,6 +128,7 @@ class Voters:
             found += [self.starts[f] for f in beginnings(words) & self.starts.keys()]
         votes = {self.of_entry[i] for i in found}
         n = self.n_lists
+        votes = votes or {n + 3}
         votes |= {n + k for k, on in enumerate((words & INSULTS, _SHOUT.search(text), _BANGS.search(text))) if on}
         return found, sorted(votes)
 
@@ -143,21 +149,18 @@ class LabelModel:
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         p = np.clip(self.rates, 1e-4, 1 - 1e-4)
-        on, off = np.log(p[1] / p[0]), np.log((1 - p[1]) / (1 - p[0]))
-        x = votes @ (self.weights * on) + (1 - votes) @ (self.weights * off) + math.log(self.balance / (1 - self.balance))
+        x = votes @ (self.weights * np.log(p[1] / p[0])) + math.log(self.balance / (1 - self.balance))
         return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_label_model(votes: np.ndarray, rounds: int = ROUNDS) -> LabelModel:
+def fit_label_model(votes: np.ndarray, balance: float, rounds: int = ROUNDS) -> LabelModel:
     """Expectation maximisation on a documents x voters matrix of 0 and 1."""
-    n, m = votes.shape
-    lists = votes[:, : max(1, m - 2)].sum(1)
-    belief = np.where(lists > 0, 0.9, 0.05)
-    model = LabelModel(np.zeros((2, m)), 0.5, np.ones(m))
+    m = votes.shape[1]
+    belief = np.where(votes[:, -1] > 0, 0.05, 0.9)
+    model = LabelModel(np.zeros((2, m)), float(np.clip(balance, 0.02, 0.98)), np.ones(m))
     for step in range(rounds):
         for k, b in ((0, 1 - belief), (1, belief)):
             model.rates[k] = (b @ votes + 0.5) / (b.sum() + 1)
-        model.balance = float(np.clip(belief.mean(), 0.02, 0.98))
         if step >= 2:
             model.weights = 1 / (1 + _correlations(votes, belief, model.rates))
         new = model.posterior(votes)
@@ -241,7 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, clean_
     votes = np.zeros((len(texts), voters.n_voters))
     for i, (_, v) in enumerate(looked):
         votes[i, v] = 1
-    belief = fit_label_model(votes).posterior(votes)
+    belief = fit_label_model(votes, toxic.mean()).posterior(votes)
     # The sample has more toxic documents than the labels: each class weighs as in the labels.
     share = toxic.mean()
     weight = np.where(toxic, balance / share, (1 - balance) / (1 - share))
@@ -249,11 +252,11 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, clean_
     return Scorer(voters, w, bias)
 
 
-def score(docs: DataFrame, scorer: Scorer | None, keep: tuple[Column, ...] = ()) -> DataFrame:
+def score(docs: DataFrame, scorer: Scorer | None, keep: tuple[Column | str, ...] = ()) -> DataFrame:
     """``doc_id``, the columns of ``keep`` and ``score`` of every document; only the text is looked at."""
-    chosen = docs.select("doc_id", "text", *keep)
-    names = [c for c in chosen.columns if c != "text"]
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields if f.name != "text"]
+    chosen = docs.select("doc_id", "text", *(c for c in keep if not is_text(c)))
+    fields = [f for f in chosen.schema.fields if f.name != "text" or any(map(is_text, keep))]
+    names, kinds = [f.name for f in fields], [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
