@@ -98,13 +98,13 @@ def measures(text: Column) -> Column:
 
 
 def soft_failures(scale: Column | float) -> list[Column]:
-    """The soft rules, with their limits times ``scale``."""
+    """The soft rules; the limits of all shares are taken times ``scale``."""
     c = F.col
     return [
         100 * c("n_symbols") > scale * SYMBOLS * c("n_words"),
         100 * c("n_shouts") > scale * SHOUTS * c("n_words"),
         100 * c("n_dup_lines") > scale * DUP_LINES * c("n_lines"),
-        100 * c("word_chars") > scale * MEAN_WORD * c("n_words"),
+        100 * c("word_chars") > MEAN_WORD * c("n_words"),
     ]
 
 

@@ -33,7 +33,7 @@ SHINGLE = 3
 BANDS = 48
 CONTAINMENT = 0.8
 # Template length classes, in words.
-CLASSES = (8, 16, 32, 64)
+CLASSES = (4, 8, 16, 32, 64)
 
 # Wordings of public licence notices.
 TEMPLATES = {

@@ -1,0 +1,52 @@
+"""A small table with every awkward row: nulls, blanks, copies, near copies, long texts, repeated ids."""
+
+from __future__ import annotations
+
+import random
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, chunk int, n_words string"
+
+
+def prose(seed: int, n: int, vocabulary: int = 300) -> list[str]:
+    r = random.Random(seed)
+    return [f"w{r.randrange(vocabulary)}x{r.randrange(vocabulary)}" for _ in range(n)]
+
+
+def rows() -> list[tuple]:
+    a, b, c = prose(1, 120), prose(2, 260), prose(3, 90)
+    passage = prose(4, 70)
+    near = a.copy()
+    near[60] = "changed"
+    texts = [
+        " ".join(a),
+        None,
+        "",
+        " \t\n ",
+        " ".join(a),
+        " ".join(near),
+        " ".join(b[:100] + passage + b[100:]),
+        " ".join(passage + c),
+        "\n".join(c) + " " + " ".join(passage),
+        " ".join(passage[:50]),
+        " ".join(passage[:49]),
+        "one two three",
+        "ONE two three",
+        "x " * 30_000,
+        " ".join(prose(5, 8_000, 90)),
+        "Ünïcode wörds here   and\x1cthere",
+        " ".join(b + b),
+        " ".join(near[5:]),
+    ]
+    out = [(i * 3 - 6, t, ["en", "de", None][i % 3], ["s0", None][i % 2], 1, 0.5, 9, "x") for i, t in enumerate(texts)]
+    # The same row again, an id again with another text, and null ids.
+    out += [out[0], (out[5][0], " ".join(prose(6, 80)), "en", "s0", 1, 0.5, 9, "x")]
+    out += [(None, " ".join(a), "en", "s0", 1, 0.5, 9, "x"), (None, None, None, None, None, None, None, None)]
+    return out
+
+
+def docs(spark):
+    return spark.createDataFrame(rows(), SCHEMA)
+
+
+def pairs() -> list[tuple]:
+    return [r[:2] for r in rows()]
