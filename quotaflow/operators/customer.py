@@ -98,15 +98,15 @@ def _fixed_end(sales, months, share, as_of: str | None, calendar: bool, scale):
     """Windows that end on one date for all clients: a single aggregate per client."""
     if as_of is None:
         # A scalar subquery: computed once, then a constant in the aggregate.
-        end, ended = reference_date(sales).scalar(), F.lit(True)
+        end = reference_date(sales).scalar()
     else:
         end = F.lit(as_of).cast("date")
-        ended = F.col("sale_date") <= end
+        sales = sales.where(F.col("sale_date") <= end)
     measure = F.col(_MEASURE[share])
     metrics = [F.max("sale_date").alias("last_purchase")]
     shares = []
     for n in months:
-        inside = ended & (F.col("sale_date") >= F.add_months(end, -n))
+        inside = F.col("sale_date") >= F.add_months(end, -n)
         volume = F.when(inside, F.col("volume_hl"))
         whole = F.sum(F.when(inside, measure))
         part = F.sum(F.when(inside & F.col("is_b2b"), measure))
@@ -139,6 +139,8 @@ def customer_view(
                   nothing B2B.
     ``calendar``  windows end at ``as_of`` (default: the last date of all
                   sales); average is window total / months; share of volume.
+
+    Sales after ``as_of`` count for nothing, the last purchase included.
     """
     if mode == "relative":
         scale = 2 if share_scale == "default" else share_scale

@@ -111,10 +111,10 @@ def brand_scorecard(sales: DataFrame) -> DataFrame:
 
 
 def brand_detail(sales: DataFrame, client_targets: DataFrame, brand: str) -> DataFrame:
-    """One brand: scorecard, target, clients with target and the gap to the target."""
+    """One brand: scorecard, and for each target year target, clients with target and the gap to the target."""
     target = (
         client_targets.where(F.col("brand") == brand)
-        .groupBy("brand")
+        .groupBy("brand", "target_year")
         .agg(F.max("target_volume").alias("target_volume"), F.countDistinct("client_id").alias("target_clients"))
     )
     gap = F.col("target_volume") - F.col("volume")
@@ -161,18 +161,24 @@ def top_clients_by_target(client_targets: DataFrame, n: int = 20) -> DataFrame:
 
 
 def target_hierarchy(client_targets: DataFrame) -> DataFrame:
-    """Targets by brand and by client within brand, with the target-weighted mean share."""
+    """Targets by brand and by client within brand, with the target-weighted mean share.
+
+    The brand level sums the client level, which has a row per client and brand.
+    """
     weight = cents("client_target")
-    return (
-        client_targets.rollup("brand", "client_id")
-        .agg(
-            F.grouping_id().alias("_level"),
-            total(weight).alias("total_target"),
-            ratio(F.sum(weight * F.col("share_pct").cast("decimal(9,4)")), F.sum(weight)).alias("mean_share"),
-        )
-        .where(F.col("_level") < 3)
-        .withColumn("level", F.when(F.col("_level") == 1, "brand").otherwise("client"))
-        .drop("_level")
+    by_client = client_targets.groupBy("brand", "client_id").agg(
+        F.sum(weight).alias("_weight"), F.sum(weight * F.col("share_pct").cast("decimal(9,4)")).alias("_weighted")
+    )
+    by_brand = by_client.groupBy("brand").agg(F.sum("_weight").alias("_weight"), F.sum("_weighted").alias("_weighted"))
+    levels = by_client.withColumn("level", F.lit("client")).unionByName(
+        by_brand.withColumns({"client_id": F.lit(None).cast("long"), "level": F.lit("brand")})
+    )
+    return levels.select(
+        "brand",
+        "client_id",
+        F.coalesce(F.col("_weight").cast("double"), F.lit(0.0)).alias("total_target"),
+        ratio(F.col("_weighted"), F.col("_weight")).alias("mean_share"),
+        "level",
     )
 
 

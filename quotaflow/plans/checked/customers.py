@@ -2,6 +2,7 @@
 
 from ...operators import customer as V
 from ...operators.columns import as_doubles
+from ..oracle import PAST
 from .registry import query, sales, view
 
 NEEDED = ("client_id", "sale_date", "volume_hl", "revenue", "is_b2b")
@@ -112,3 +113,9 @@ def _(spark, d):
 @query("k7_b2b_volume_share", "SELECT client_id, b2b_share_3m, b2b_share_6m FROM view_cal", "view_cal")
 def _(spark, d):
     return view(spark, d, mode="calendar").select("client_id", "b2b_share_3m", "b2b_share_6m")
+
+
+@query("k1_mean_volume_as_of", "SELECT client_id, last_purchase, avg_volume_3m, avg_volume_6m FROM view_as_of", "view_as_of")
+def _(spark, d):
+    past = view(spark, d, mode="calendar", as_of=PAST)
+    return past.select("client_id", "last_purchase", "avg_volume_3m", "avg_volume_6m")

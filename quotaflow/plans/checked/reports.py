@@ -3,7 +3,7 @@
 from ...operators import reports as R
 from ...operators.columns import as_doubles
 from ..oracle import BRAND, ratio, total
-from .registry import client_targets, clients, query, sales, view
+from .registry import client_targets, clients, in_order, query, sales, view
 
 SUM = "sum(CAST(client_target AS DECIMAL(20,2)))"
 WINDOWS = "avg_volume_3m, avg_volume_6m, b2b_share_3m, b2b_share_6m"
@@ -117,9 +117,9 @@ def _(spark, d):
 
 @query(
     "a19_brand_detail",
-    "SELECT s.*, t.target_volume, t.target_clients, t.target_volume - s.volume AS gap,"
+    "SELECT s.*, t.target_year, t.target_volume, t.target_clients, t.target_volume - s.volume AS gap,"
     f" {ratio('(t.target_volume - s.volume)', 's.volume')} * 100 AS gap_pct FROM scorecard s LEFT JOIN (SELECT brand,"
-    " max(target_volume) AS target_volume, count(DISTINCT client_id) AS target_clients FROM ct GROUP BY 1) t USING (brand)"
+    " target_year, max(target_volume) AS target_volume, count(DISTINCT client_id) AS target_clients FROM ct GROUP BY 1, 2) t USING (brand)"
     f" WHERE brand = '{BRAND}'",
     "scorecard",
     "ct",
@@ -184,9 +184,13 @@ def _(spark, d):
     return R.top_participation(client_targets(spark, d)).select("client_id", "brand", "share_pct", "client_target")
 
 
-@query("o5_sorted_brands", "SELECT brand, volume FROM scorecard", "scorecard")
+@query(
+    "o5_sorted_brands",
+    "SELECT brand, volume, row_number() OVER (ORDER BY volume DESC, brand) AS place FROM scorecard",
+    "scorecard",
+)
 def _(spark, d):
-    return R.brand_scorecard(sales(spark, d, *SOLD)).select("brand", "volume")
+    return in_order(R.brand_scorecard(sales(spark, d, *SOLD)).select("brand", "volume"))
 
 
 @query(

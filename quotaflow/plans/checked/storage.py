@@ -1,6 +1,7 @@
 """Sources, sinks and the full run (S1-S14, Q11, T10): written, read back, compared."""
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -15,6 +16,10 @@ from ..full_run import run
 from ..oracle import BRAND, YEAR
 from .registry import client_targets, clients, query, sales, targets, view
 
+ALL = (
+    "client_id, brand, target_year, CAST(client_volume AS DOUBLE) AS client_volume, CAST(brand_volume AS DOUBLE) AS brand_volume,"
+    " share_pct, target_volume, client_target"
+)
 SOLD = ("client_id", "brand", "volume_hl", "revenue", "is_b2b")
 SOURCES = ("customer", "lineitem", "nation", "orders", "part", "region")
 CANONICAL = (
@@ -88,11 +93,11 @@ def _(spark, d):
     return spark.read.parquet(path)
 
 
-@query("s7_write_table", "SELECT client_id, brand, client_target FROM ct", "ct")
+@query("s7_write_table", f"SELECT {ALL} FROM ct", "ct")
 def _(spark, d):
     path = scratch_path(spark, "table")
     files.write_table(client_targets(spark, d), path)
-    return spark.read.parquet(path).select("client_id", "brand", "client_target")
+    return as_doubles(spark.read.parquet(path))
 
 
 @query("s8_register_table", "SELECT * FROM dim", "dim")
@@ -102,8 +107,9 @@ def _(spark, d):
 
 @query(
     "s9_export_all",
-    "SELECT f || ' ' || stage AS stage, rows FROM (SELECT 'view' AS stage, count(*) AS rows FROM view UNION ALL"
-    " SELECT 'targets', count(*) FROM ct), (VALUES ('csv'), ('parquet')) AS formats(f)",
+    "SELECT f AS format, client_id, brand, client_target, last_purchase, avg_volume_3m, b2b_share_6m FROM (SELECT client_id, NULL AS brand,"
+    " NULL AS client_target, last_purchase, avg_volume_3m, b2b_share_6m FROM view UNION ALL SELECT client_id, brand, client_target, NULL,"
+    " NULL, NULL FROM ct), (VALUES ('csv'), ('parquet')) AS formats(f)",
     "view",
     "ct",
 )
@@ -111,9 +117,12 @@ def _(spark, d):
     results = {"view": view(spark, d), "targets": client_targets(spark, d)}
     output = scratch_path(spark, "export")
     files.export_all(results, output)
-    stages = {f"parquet {n}": spark.read.parquet(f"{output}/parquet/{n}") for n in results}
-    stages |= {f"csv {n}": files.read_csv(spark, f"{output}/csv/{n}", df.schema) for n, df in results.items()}
-    return row_counts(stages)
+    columns = ("format", "client_id", "brand", "client_target", "last_purchase", "avg_volume_3m", "b2b_share_6m")
+    found = []
+    for n, df in results.items():
+        for fmt, rows in (("parquet", spark.read.parquet(f"{output}/parquet/{n}")), ("csv", files.read_csv(spark, f"{output}/csv/{n}", df.schema))):
+            found.append(rows.withColumn("format", F.lit(fmt)).select(*[c for c in columns if c == "format" or c in rows.columns]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found).select(*columns)
 
 
 @query("s10_publish", "SELECT * FROM view", "view")
@@ -171,9 +180,23 @@ def _full_run(spark, d, name):
     return run(spark, source_files(spark, d, name))
 
 
-@query("q11_run_summary")
+@query(
+    "q11_run_summary",
+    "SELECT 'load' AS step, count(*) AS rows, 'sales' AS output FROM sales UNION ALL SELECT 'profile', 10, 'profile' UNION ALL"
+    " SELECT 'dimensions', NULL, NULL UNION ALL SELECT 'visao_consolidada', count(*), 'visao_consolidada' FROM view UNION ALL"
+    " SELECT 'metas_por_cliente', count(*), 'metas_por_cliente' FROM ct UNION ALL SELECT 'dim_cliente', count(*), 'dim_cliente' FROM dim"
+    " UNION ALL SELECT 'dim_produto', count(*), 'dim_produto' FROM prod UNION ALL SELECT 'dim_tempo', count(*), 'dim_tempo' FROM times"
+    " UNION ALL SELECT 'fato_vendas', count(*), 'fato_vendas' FROM sales",
+    "view",
+    "ct",
+    "prod",
+    "times",
+    "dim",
+)
 def _(spark, d):
-    return _full_run(spark, d, "summary").summary
+    """Without the seconds: they are another every time."""
+    steps = _full_run(spark, d, "summary").summary
+    return steps.select("step", "rows", F.substring_index("output", "/", -1).alias("output"))
 
 
 @query(

@@ -6,19 +6,23 @@ import time
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import quality
 from ..operators.cleaning import add_geo_placeholders, clean, rename
 from ..operators.customer import customer_view
 from ..operators.geo import enrich_geography, propagate_geo
 from ..operators.star import Star, build_star
-from ..operators.targets import allocate_targets, ordered_targets, reconciliation_check, targets_for_year
+from ..operators.targets import allocate_targets, reconciliation_check, targets_for_year
 from ..schemas import EXPORT_NAMES, GEOGRAPHY, TABLE_NAMES
-from ..session import size_shuffles
+from ..session import shuffle_partitions
 from ..sources import files
 
 
+SAMPLE_ROWS = 10
+
+
 @dataclass
 class RunResult:
     paths: dict[str, str]
@@ -26,6 +30,10 @@ class RunResult:
     checks: DataFrame
     summary: DataFrame
 
+    def failed(self) -> list[str]:
+        """Names of the checks that did not pass."""
+        return [r["check"] for r in self.checks.where(~F.col("passed")).select("check").collect()]
+
 
 @dataclass
 class _Steps:
@@ -50,24 +58,60 @@ def _cleaned(spark: SparkSession, raw: DataFrame, config: files.RunConfig, steps
     return spark.read.schema(sales.schema).parquet(path)
 
 
+def _load(marked: DataFrame, path: str) -> tuple[DataFrame, int, dict[str, int]]:
+    """Writes the typed rows; the writing tasks count them and the texts that could not be read."""
+    names = [c for c in marked.columns if c != files.UNREAD]
+    unread = {c: F.count_if(F.array_contains(files.UNREAD, c)).alias(c) for c in names}
+    seen = Observation()
+    rows = marked.observe(seen, F.count(F.lit(1)).alias("_rows"), *unread.values()).select(*names)
+    files.write_parquet(rows, path)
+    counts = dict(seen.get)
+    return marked.sparkSession.read.schema(rows.schema).parquet(path), counts.pop("_rows"), counts
+
+
+def _profile(raw: DataFrame, targets: DataFrame) -> dict[str, DataFrame]:
+    """The exploration of both inputs, and what the filling policy will put in."""
+    return {
+        "sales_schema": quality.schema_report(raw),
+        "sales_statistics": quality.describe(raw),
+        "sales_sample": raw.limit(SAMPLE_ROWS),
+        "sales_nulls": quality.null_profile(raw),
+        "sales_filled": quality.clean_report(raw),
+        "targets_schema": quality.schema_report(targets),
+        "targets_sample": targets.limit(SAMPLE_ROWS),
+    }
+
+
+def _unread_check(name: str, counts: dict[str, int], spark: SparkSession) -> DataFrame:
+    bad = {c: n for c, n in counts.items() if n}
+    detail = ", ".join(f"{c}: {n}" for c, n in bad.items()) or "none"
+    return files.rows_to_df(spark, [(f"{name}: every text could be read", not bad, detail)], "check string, passed boolean, detail string")
+
+
 def run(spark: SparkSession, config: files.RunConfig) -> RunResult:
     """Runs the job and writes every table as Parquet and CSV under the output folder.
 
     The typed sales are written once and all later steps read that copy: the
     text is parsed once, each step reads only its columns, and a lost executor
-    costs no more than its own tasks.
+    costs no more than its own tasks.  The checks are computed and written with
+    the results, and the run's steps are appended to the summary.
     """
+    with shuffle_partitions(spark, config.shuffle_partitions):
+        return _run(spark, config)
+
+
+def _run(spark: SparkSession, config: files.RunConfig) -> RunResult:
     steps = _Steps()
-    parsed = files.read_sales(spark, config.sales, config.dialect)
-    targets = files.read_targets(spark, config.targets)
     staged = f"{config.output}/staging/sales"
-    size_shuffles(spark, files.input_bytes(spark, config.sales))
-    steps.done("load", files.write_counted(parsed, staged), staged)
-    raw = spark.read.schema(parsed.schema).parquet(staged)
+    raw, n_sales, unread_sales = _load(files.read_sales(spark, config.sales, config.dialect, mark=True), staged)
+    steps.done("load", n_sales, staged)
+    targets, _, unread_targets = _load(files.read_targets(spark, config.targets, mark=True), f"{config.output}/staging/targets")
 
     profile_path = f"{config.output}/staging/profile"
-    profile = quality.null_profile(raw)
-    steps.done("profile", files.write_counted(profile, profile_path), profile_path)
+    profile = _profile(raw, targets)
+    for name, table in profile.items():
+        files.write_parquet(table, f"{profile_path}/{name}")
+    steps.done("profile", len(raw.columns), profile_path)
 
     sales = _cleaned(spark, raw, config, steps)
     notebook = config.policy == "drop"
@@ -85,11 +129,18 @@ def run(spark: SparkSession, config: files.RunConfig) -> RunResult:
     tables = star.tables() | {
         "dim_client": dim_client,
         "customer_view": view,
-        "client_targets": ordered_targets(client_targets),
+        "client_targets": client_targets,
     }
 
     results = {name: rename(df, EXPORT_NAMES) for name, df in tables.items()}
-    exported = files.export_all({TABLE_NAMES[n]: df for n, df in results.items()}, config.output, single=True)
+    theirs_of = lambda *names: [EXPORT_NAMES.get(n, n) for n in names]
+    brand, target, client = theirs_of("brand", "client_target", "client_id")
+    # The Parquet files keep no order, so the ordered table is sorted as its CSV is written.
+    exported = files.export_all(
+        {TABLE_NAMES[n]: df for n, df in results.items()},
+        config.output,
+        orders={TABLE_NAMES["client_targets"]: [brand, F.desc(target), client]},
+    )
     paths = {out: e.parquet for out, e in exported.items()}
     ours = {theirs: name for name, theirs in EXPORT_NAMES.items()}
     written = {
@@ -99,6 +150,8 @@ def run(spark: SparkSession, config: files.RunConfig) -> RunResult:
     steps.rows += [(name, e.rows, e.seconds, e.parquet) for name, e in exported.items()]
 
     checks = [
+        _unread_check("sales", unread_sales, spark),
+        _unread_check("targets", unread_targets, spark),
         quality.no_nulls_check(sales, ["client_id", "sale_date", "volume_hl"], "sales"),
         quality.check_not_empty(targets_for_year(targets, config.year), f"targets of {config.year}"),
         quality.metrics_check(written["customer_view"], ["avg_volume_3m", "avg_volume_6m"], "customer view"),
@@ -106,9 +159,13 @@ def run(spark: SparkSession, config: files.RunConfig) -> RunResult:
         quality.star_integrity(Star(*[written[name] for name in star.tables()]), sales),
         files.outputs_present(spark, [p for e in exported.values() for p in (e.parquet, e.csv)]),
     ]
+    judged = reduce(DataFrame.unionByName, checks)
+    files.write_parquet(judged, f"{config.output}/checks")
+    summary = quality.run_summary(spark, steps.rows)
+    summary.coalesce(1).write.mode("append").parquet(f"{config.output}/summary")
     return RunResult(
         paths,
-        spark.read.schema(profile.schema).parquet(profile_path),
-        reduce(DataFrame.unionByName, checks),
-        quality.run_summary(spark, steps.rows),
+        spark.read.schema(profile["sales_nulls"].schema).parquet(f"{profile_path}/sales_nulls"),
+        spark.read.schema(judged.schema).parquet(f"{config.output}/checks"),
+        summary,
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 AS_OF = "2001-08-01"
+PAST = "1999-06-15"
 YEAR = 2001
 BRAND = "Brand#1"
 STATE = "ASIA"
@@ -57,14 +58,14 @@ def _relative_window(n: int, table_months: str = "months_from_last") -> str:
     )
 
 
-def _allocation(pct: str, target: str, shown: str) -> str:
+def _allocation(pct: str, target: str, shown: str, years: str = f"t.target_year = {YEAR}") -> str:
     return f"""
       SELECT client_id, brand, target_year, client_volume, brand_volume, {shown} AS share_pct, target_volume,
              {target} AS client_target
       FROM (SELECT v.client_id, v.brand, t.target_year, v.client_volume, b.brand_volume, t.target_volume,
                    {pct} AS pct
             FROM client_brand v JOIN brand_total b ON v.brand = b.brand
-            JOIN targets t ON t.brand = v.brand AND t.target_year = {YEAR})"""
+            JOIN targets t ON t.brand = v.brand AND {years})"""
 
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
@@ -86,21 +87,23 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "targets": (
         (),
         """
-      SELECT b.p_brand AS brand, y.y AS target_year, CAST(b.n*1000 + (y.y-2000)*500 AS BIGINT) AS target_volume
+      SELECT CASE WHEN b.n <= 10 THEN b.p_brand ELSE 'Unsold ' || b.p_brand END AS brand, y.y AS target_year,
+             CAST(b.n*1000 + (y.y-2000)*500 AS BIGINT) AS target_volume
       FROM (SELECT DISTINCT p_brand, CAST(substr(p_brand, 7) AS INT) AS n FROM part) b
-      CROSS JOIN (SELECT 2000 AS y UNION ALL SELECT 2001 AS y) y WHERE b.n <= 10""",
+      CROSS JOIN (SELECT 2000 AS y UNION ALL SELECT 2001 AS y) y""",
     ),
     "geo": (
         (),
         f"""
-      SELECT {_postal('n.n_nationkey')} AS postal_code, n.n_name AS city, r.r_name AS state
-      FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE n.n_nationkey <> 24""",
+      SELECT CASE WHEN n.n_nationkey = 24 THEN '99999999' ELSE {_postal('n.n_nationkey')} END AS postal_code,
+             n.n_name AS city, r.r_name AS state
+      FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
     ),
     "states": (
         (),
         """
-      SELECT r_name AS state, 'Region ' || r_name AS state_name, CAST(r_regionkey*10 AS DOUBLE) AS lat,
-             CAST(r_regionkey*-10 AS DOUBLE) AS lon FROM region WHERE r_name <> 'AFRICA'""",
+      SELECT CASE WHEN r_name = 'AFRICA' THEN 'ATLANTIS' ELSE r_name END AS state, 'Region ' || r_name AS state_name,
+             CAST(r_regionkey*10 AS DOUBLE) AS lat, CAST(r_regionkey*-10 AS DOUBLE) AS lon FROM region""",
     ),
     "filled": (
         ("sales",),
@@ -139,6 +142,13 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
       SELECT client_id, max(sale_date) AS last_purchase, {_fixed_window(3, 'ref', True)}, {_fixed_window(6, 'ref', True)}
       FROM sales, (SELECT max(sale_date) AS ref FROM sales) GROUP BY client_id""",
     ),
+    "view_as_of": (
+        ("sales",),
+        f"""
+      SELECT client_id, max(sale_date) AS last_purchase, {_fixed_window(3, f"DATE '{PAST}'", True)},
+             {_fixed_window(6, f"DATE '{PAST}'", True)}
+      FROM sales WHERE sale_date <= DATE '{PAST}' GROUP BY client_id""",
+    ),
     "client_brand": (
         ("sales",),
         "SELECT client_id, brand, sum(volume_hl) AS client_volume FROM sales WHERE brand IS NOT NULL GROUP BY 1, 2",
@@ -153,6 +163,12 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
             f"{ratio('client_volume', 'brand_volume')} * 100", rounded("pct / 100 * target_volume"), rounded("pct")
         ),
     ),
+    "ct_all": (
+        ("client_brand", "brand_total", "targets"),
+        _allocation(
+            f"{ratio('client_volume', 'brand_volume')} * 100", rounded("pct / 100 * target_volume"), rounded("pct"), "TRUE"
+        ),
+    ),
     "ct4": (
         ("client_brand", "brand_total", "targets"),
         _allocation(

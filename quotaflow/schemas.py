@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # Volume and money stay decimal so that totals are exact and do not depend on
-# the order in which partial sums arrive.  18 digits fit into one long.
-AMOUNT = T.DecimalType(18, 6)
+# the order in which partial sums arrive.  Ten places and 18 digits before them;
+# a sum has ten digits more.
+AMOUNT = T.DecimalType(28, 10)
 
 SALES = T.StructType(
     [

@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-
-# Aim for the input bytes behind one shuffle partition.
-PARTITION_BYTES = 128 * 1024 * 1024
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark.sql import SparkSession
 
 def build_session(app: str = "quotaflow", **conf: str) -> SparkSession:
-    """Adaptive session; everything else is left to the cluster's defaults."""
+    """A session in UTC; everything else is left to the cluster's defaults."""
     builder = (
         SparkSession.builder.appName(app)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
     )
     for key, value in conf.items():
@@ -22,13 +18,18 @@ def build_session(app: str = "quotaflow", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Raises the number of shuffle partitions to suit the input; never lowers it.
+@contextmanager
+def shuffle_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
+    """The number of shuffle partitions for the work inside; the session's own afterwards.
 
-    Too few partitions spill or fail; too many are merged by adaptive execution.
+    None leaves it alone.  Adaptive execution merges small partitions, so a number for
+    the largest shuffle does for the others.
     """
-    wanted = -(-input_bytes // PARTITION_BYTES)
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return max(wanted, current)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        if number is not None:
+            spark.conf.set(key, str(number))
+        yield
+    finally:
+        spark.conf.set(key, before)

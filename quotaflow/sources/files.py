@@ -15,10 +15,10 @@ from pyspark.sql import types as T
 
 from ..functions import text
 from ..schemas import DEFAULT_YEAR, SALES, SALES_DIALECTS, TARGETS, TARGETS_DIALECT
-from .scratch import is_small
 
-# A report below this many rows is written as one file.
-SINGLE_FILE_ROWS = 1_000_000
+# What a file must name for its rows to mean anything.
+REQUIRED = {"sales": ("client_id", "sale_date", "volume_hl"), "targets": ("brand", "target_volume", "target_year")}
+UNREAD = "__unread"
 
 
 @dataclass(frozen=True)
@@ -33,6 +33,8 @@ class RunConfig:
     dialect: str = "local"
     policy: str = "fill"
     mode: str = "relative"
+    # For the run only; None leaves the session's number.
+    shuffle_partitions: int | None = None
 
 
 def list_input(spark: SparkSession, folder: str) -> DataFrame:
@@ -40,11 +42,6 @@ def list_input(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("binaryFile").load(folder).select("path", "length")
 
 
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Size of a file or folder, from its listing."""
-    return list_input(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-
-
 def require_input(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None, **options) -> DataFrame:
     """The table at ``path``; an absent input fails here and not at the first action."""
     reader = spark.read.options(**options)
@@ -55,7 +52,8 @@ def require_input(spark: SparkSession, path: str, fmt: str = "csv", schema: T.St
             raise
         folder = path.rstrip("/").rpartition("/")[0] or "."
         try:
-            found = [r.path.rpartition("/")[2] for r in list_input(spark, folder).limit(20).collect()]
+            # The driver has listed the folder already to plan this.
+            found = [f"{r.path.rpartition('/')[2]} ({r.length} bytes)" for r in list_input(spark, folder).orderBy("path").collect()]
         except AnalysisException:
             found = []
         raise FileNotFoundError(f"no input at {path}; the folder holds {found or 'nothing'}") from error
@@ -73,20 +71,29 @@ def _typed(raw: Column, name: str, kind: T.DataType) -> Column:
     elif isinstance(kind, T.DateType):
         value = text.parse_date(F.substring(raw, 1, 10))
     elif isinstance(kind, (T.LongType, T.IntegerType)):
-        # Codes may have been written as 12 or 12.0.
-        value = F.coalesce(raw.try_cast(kind), raw.try_cast("double").try_cast(kind))
+        # Codes may have been written as 12 or 12.0; 12.7 is no code.
+        exact = raw.try_cast("decimal(38,10)")
+        value = F.coalesce(raw.try_cast(kind), F.when(exact == F.floor(exact), F.floor(exact).try_cast(kind)))
     elif name == "postal_code":
         # Written as a number the leading zeros are lost; other texts stay as they are.
         value = F.when(raw.rlike("^[0-9]{1,7}$"), text.postal_from_number(raw)).otherwise(raw)
     elif isinstance(kind, T.StringType):
         value = raw
     else:
+        # More places than the type has are no reading of it but a rounding.
+        exact = raw.try_cast(T.DecimalType(38, 18))
         value = raw.try_cast(kind)
+        value = F.when(exact.isNull() | (exact == value), value)
     return value.alias(name)
 
 
-def _read(spark, path, names: Mapping[str, str], target: T.StructType, sep: str, encoding: str) -> DataFrame:
-    """All columns are declared as text and typed by expressions: bad text gives null, no type is guessed.
+def _read(
+    spark, path, names: Mapping[str, str], target: T.StructType, sep: str, encoding: str, required: Sequence[str], mark: bool
+) -> DataFrame:
+    """All columns are declared as text and typed by expressions: text that is no value of its type gives null.
+
+    A header that lacks a required column is an error.  With ``mark`` an array column names the
+    columns of a row whose text could not be read (see ``count_unread``).
 
     A folder's files must agree on their header; one that differs is an error
     and not a table with its columns mixed up.
@@ -94,6 +101,8 @@ def _read(spark, path, names: Mapping[str, str], target: T.StructType, sep: str,
     header = _header(spark, path, sep, encoding)
     by_name = {theirs.lower(): ours for theirs, ours in names.items()}
     column = {by_name[h.strip().lower()]: h for h in header if h.strip().lower() in by_name}
+    if absent := [c for c in required if c not in column]:
+        raise ValueError(f"{path} has no column for {', '.join(absent)}; with separator {sep!r} its header is {header}")
     raw = require_input(
         spark,
         path,
@@ -103,37 +112,50 @@ def _read(spark, path, names: Mapping[str, str], target: T.StructType, sep: str,
         sep=sep,
         encoding=encoding,
     )
-    return raw.select([_typed(raw[f"`{column[f.name]}`"], f.name, f.dataType) for f in target.fields if f.name in column])
+    fields = [(f.name, raw[f"`{column[f.name]}`"], f.dataType) for f in target.fields if f.name in column]
+    typed = [_typed(*[text_, name, kind]) for name, text_, kind in fields]
+    if not mark:
+        return raw.select(typed)
+    unread = [
+        F.when((F.trim(text_) != "") & value.isNull(), F.lit(name))
+        for (name, text_, _), value in zip(fields, typed, strict=True)
+    ]
+    return raw.select(*typed, F.array_compact(F.array(*unread)).alias(UNREAD))
 
 
 def read_sales(
-    spark: SparkSession, path: str, dialect: str = "local", sep: str = ",", encoding: str = "UTF-8"
+    spark: SparkSession, path: str, dialect: str = "local", sep: str = ",", encoding: str = "UTF-8", mark: bool = False
 ) -> DataFrame:
-    return _read(spark, path, SALES_DIALECTS[dialect], SALES, sep, encoding)
+    return _read(spark, path, SALES_DIALECTS[dialect], SALES, sep, encoding, REQUIRED["sales"], mark)
+
 
+def read_targets(spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8", mark: bool = False) -> DataFrame:
+    return _read(spark, path, TARGETS_DIALECT, TARGETS, sep, encoding, REQUIRED["targets"], mark)
 
-def read_targets(spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8") -> DataFrame:
-    return _read(spark, path, TARGETS_DIALECT, TARGETS, sep, encoding)
+
+def count_unread(marked: DataFrame) -> DataFrame:
+    """Column and number of its texts that were no value of its type; one row per column."""
+    names = [c for c in marked.columns if c != UNREAD]
+    counts = F.array(*[F.struct(F.lit(c).alias("column_name"), F.count_if(F.array_contains(UNREAD, c)).alias("unread")) for c in names])
+    return marked.agg(counts.alias("rows")).select(F.inline("rows"))
 
 
 def rows_to_df(spark: SparkSession, rows: Sequence, schema: T.StructType | str) -> DataFrame:
     return spark.createDataFrame(list(rows), schema)
 
 
-def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
-    """CSV with header.  ``single`` gives one file while the table is small.
+def write_csv(df: DataFrame, path: str, single: bool = False, order: Sequence[str | Column] = ()) -> None:
+    """CSV with header, one file per task, or one file with ``single``.
 
-    The rows are brought together after their computation, so the work before
-    stays parallel; a large table keeps one file per task.
+    ``single`` is the caller's choice for a table that one task can write: its rows are
+    brought together after their computation, so the work before stays parallel.
+    ``order`` sorts the rows over the files, by their names.
     """
     if single:
-        df = df.persist()
-        out = df.repartition(1) if is_small(df, SINGLE_FILE_ROWS) else df
-    else:
-        out = df
-    out.write.mode("overwrite").option("header", True).csv(path)
-    if single:
-        df.unpersist()
+        df = df.repartition(1).sortWithinPartitions(*order) if order else df.repartition(1)
+    elif order:
+        df = df.orderBy(*order)
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -165,29 +187,30 @@ def write_counted(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def export(df: DataFrame, name: str, output: str, single: bool = False) -> Exported:
-    """A result as Parquet and as CSV, computed once: the CSV is written from the Parquet.
-
-    ``single`` asks for one CSV file if the table is small.
-    """
+def export(df: DataFrame, name: str, output: str, single: bool = False, order: Sequence[str | Column] = ()) -> Exported:
+    """A result as Parquet and as CSV, computed once: the CSV is written from the Parquet, in ``order``."""
     began = time.monotonic()
     parquet, csv = f"{output}/parquet/{name}", f"{output}/csv/{name}"
     rows = write_counted(df, parquet)
-    written = df.sparkSession.read.schema(df.schema).parquet(parquet)
-    write_csv(written.coalesce(1) if single and rows <= SINGLE_FILE_ROWS else written, csv)
+    write_csv(df.sparkSession.read.schema(df.schema).parquet(parquet), csv, single, order)
     return Exported(parquet, csv, rows, round(time.monotonic() - began, 3))
 
 
 def export_all(
-    results: Mapping[str, DataFrame], output: str, single: bool = False, at_once: int = 4
+    results: Mapping[str, DataFrame],
+    output: str,
+    single: bool = False,
+    at_once: int = 4,
+    orders: Mapping[str, Sequence[str | Column]] | None = None,
 ) -> dict[str, Exported]:
-    """Every result as Parquet and as CSV.
+    """Every result as Parquet and as CSV; ``orders`` has the row order of those whose CSV has one.
 
     A few results are written at a time, so that the cluster is not left to the
     last tasks of one table while others wait.
     """
+    orders = orders or {}
     with ThreadPoolExecutor(at_once) as pool:
-        jobs = {name: pool.submit(export, df, name, output, single) for name, df in results.items()}
+        jobs = {name: pool.submit(export, df, name, output, single, orders.get(name, ())) for name, df in results.items()}
     return {name: job.result() for name, job in jobs.items()}
 
 

@@ -62,31 +62,29 @@ def _sale_columns() -> dict[str, Column]:
 
 
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Brands 1 to 10 for the years 2000 and 2001."""
-    number = F.substring("p_brand", 7, 10).cast("int")
-    brands = source(spark, sf_dir, "part").select("p_brand").distinct().where(number <= 10)
+    """All brands for the years 2000 and 2001; those above 10 under a name that nobody sells."""
+    number = F.substring("p_brand", 7, 10).cast("long")
+    name = F.when(number <= 10, F.col("p_brand")).otherwise(F.concat(F.lit("Unsold "), "p_brand"))
+    brands = source(spark, sf_dir, "part").select(name.alias("brand"), number.alias("_n")).distinct()
     year = F.explode(F.array(F.lit(2000), F.lit(2001)))
-    return brands.select(F.col("p_brand").alias("brand"), year.alias("target_year")).select(
-        "brand",
-        "target_year",
-        (F.substring("brand", 7, 10).cast("long") * 1000 + (F.col("target_year") - 2000) * 500).alias("target_volume"),
+    return brands.select("brand", "_n", year.alias("target_year")).select(
+        "brand", "target_year", (F.col("_n") * 1000 + (F.col("target_year") - 2000) * 500).alias("target_volume")
     )
 
 
 def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations as cities and regions as states; nation 24 is left out, so one code is unknown."""
+    """Nations as cities and regions as states; nation 24 has a code no client has, so theirs is unknown."""
     nation, region = source(spark, sf_dir, "nation"), source(spark, sf_dir, "region")
     return (
-        nation.where("n_nationkey <> 24")
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(_postal("n_nationkey").alias("postal_code"), F.col("n_name").alias("city"), F.col("r_name").alias("state"))
+        nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(F.when(F.col("n_nationkey") == 24, "99999999").otherwise(_postal("n_nationkey")).alias("postal_code"), F.col("n_name").alias("city"), F.col("r_name").alias("state"))
     )
 
 
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Regions in the place of the states table; one is left out, so one state is unknown."""
-    return source(spark, sf_dir, "region").where("r_name <> 'AFRICA'").select(
-        F.col("r_name").alias("state"),
+    """Regions in the place of the states table; one has another name, so one state is unknown."""
+    return source(spark, sf_dir, "region").select(
+        F.when(F.col("r_name") == "AFRICA", "ATLANTIS").otherwise(F.col("r_name")).alias("state"),
         F.concat(F.lit("Region "), "r_name").alias("state_name"),
         (F.col("r_regionkey") * 10).cast("double").alias("lat"),
         (F.col("r_regionkey") * -10).cast("double").alias("lon"),

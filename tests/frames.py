@@ -29,3 +29,8 @@ def targets(spark, *rows):
 def rows(df, *columns):
     picked = df.select(*columns) if columns else df
     return sorted((tuple(r) for r in picked.collect()), key=lambda r: tuple((v is not None, v) for v in r))
+
+
+def plan(df):
+    """The physical plan as text."""
+    return df._jdf.queryExecution().executedPlan().toString()

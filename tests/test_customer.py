@@ -137,3 +137,11 @@ def test_short_window_is_part_of_the_long(spark):
     inside = [base.where(f"months_from_last <= {n}").selectExpr("sum(volume_hl)").first()[0] for n in (3, 6)]
     assert inside[0] <= inside[1]
     assert V.customer_view(df).count() == len({r[0] for r in rows})
+
+
+def test_sales_after_as_of_count_for_nothing(spark):
+    sales = spark.createDataFrame(
+        [(1, "2024-01-20", 6), (1, "2024-06-10", 60), (2, "2024-05-01", 9)], "client_id long, d string, v int"
+    ).selectExpr("client_id", "to_date(d) as sale_date", "cast(v as decimal(12,2)) as volume_hl", "cast(v as decimal(12,2)) as revenue", "true as is_b2b")
+    view = V.customer_view(sales, mode="calendar", as_of="2024-02-01")
+    assert [(r.client_id, r.last_purchase, r.avg_volume_3m) for r in view.collect()] == [(1, date(2024, 1, 20), 2.0)]

@@ -52,16 +52,44 @@ def test_files_of_a_folder_must_share_a_header(spark, tmp_path):
         files.read_targets(spark, str(tmp_path)).collect()
 
 
-def test_shuffles_grow_with_the_input(spark, inputs, monkeypatch):
-    assert files.input_bytes(spark, str(inputs / "sales.csv")) == len(LOCAL.encode())
+def test_shuffle_partitions_are_restored(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert session.size_shuffles(spark, 10) == int(before)
-        monkeypatch.setattr(session, "PARTITION_BYTES", 100)
-        assert session.size_shuffles(spark, 1701) == 18
+    with pytest.raises(KeyError), session.shuffle_partitions(spark, 18):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "18"
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        raise KeyError
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    with session.shuffle_partitions(spark, None):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_nothing_is_rounded_or_lost(spark, tmp_path):
+    head = LOCAL.split("\n")[0]
+    lines = [
+        "9007199254740993.0,1,True,2000000000000,0.12345678,2024-01-31,1,1,A,x,1",
+        "12.7,1,True,0.123456789012,1e3,2024-02-30,1,1,A,x,1",
+        "13,,,,,,,,,,",
+    ]
+    (tmp_path / "sales.csv").write_text("\n".join([head, *lines]) + "\n", encoding="utf-8")
+    first, second, third = files.read_sales(spark, str(tmp_path / "sales.csv")).collect()
+    assert (first.client_id, first.volume_hl, first.revenue) == (9007199254740993, Decimal(2000000000000), Decimal("0.12345678"))
+    assert (second.client_id, second.volume_hl, second.revenue, second.sale_date) == (None, None, Decimal(1000), None)
+    assert third.client_id == 13 and third.volume_hl is None
+    counted = files.count_unread(files.read_sales(spark, str(tmp_path / "sales.csv"), mark=True))
+    assert {r.column_name: r.unread for r in counted.collect() if r.unread} == {"client_id": 1, "volume_hl": 1, "sale_date": 1}
+
+
+def test_wrong_header_is_an_error(spark, inputs):
+    with pytest.raises(ValueError, match="data_doc"):
+        files.read_sales(spark, str(inputs / "sales.csv"), "notebook")
+    with pytest.raises(ValueError, match="client_id, sale_date, volume_hl"):
+        files.read_sales(spark, str(inputs / "sales.csv"), sep=";")
+
+
+def test_listing_is_complete(spark, tmp_path):
+    for i in range(1, 30):
+        (tmp_path / f"file{i:02d}.csv").write_text("x" * i)
+    with pytest.raises(FileNotFoundError, match=r"file01.csv \(1 bytes\).*file29.csv \(29 bytes\)"):
+        files.require_input(spark, str(tmp_path / "absent.csv"))
 
 
 def test_targets_with_byte_order_mark(spark, inputs):
@@ -83,23 +111,28 @@ def test_outputs_present(spark, tmp_path):
     assert files.outputs_present(spark, [str(tmp_path / "there")]).first().passed
 
 
-def test_single_file_only_while_small(spark, tmp_path, monkeypatch):
+def test_single_file_and_order_are_the_callers_choice(spark, tmp_path):
     df = spark.range(100).repartition(4)
     files.write_csv(df, str(tmp_path / "one"), single=True)
-    assert len(list((tmp_path / "one").glob("part-*"))) == 1
-    monkeypatch.setattr(files, "SINGLE_FILE_ROWS", 10)
-    files.write_csv(df, str(tmp_path / "many"), single=True)
-    assert len(list((tmp_path / "many").glob("part-*"))) == 4
+    files.write_csv(df, str(tmp_path / "many"))
+    assert [len(list((tmp_path / n).glob("part-*"))) for n in ("one", "many")] == [1, 4]
+    files.write_csv(df, str(tmp_path / "sorted"), order=["id"])
+    files.write_csv(df, str(tmp_path / "single"), single=True, order=["id"])
+    for name in ("sorted", "single"):
+        parts = sorted((tmp_path / name).glob("part-*"))
+        read = [int(x) for p in parts for x in p.read_text().split()[1:]]
+        assert read == list(range(100))
 
 
 def test_selection_name():
     assert files.selection_name("Visão Consolidada", date(2025, 10, 21)) == "visão_consolidada_20251021.csv"
 
 
-def test_small_side_checks_size(spark):
-    assert scratch.is_small(spark.range(5), 5) and not scratch.is_small(spark.range(6), 5)
-    hinted = scratch.small_side(spark.range(5), 5)._jdf.queryExecution().logical().toString()
-    plain = scratch.small_side(spark.range(6), 5)._jdf.queryExecution().logical().toString()
+def test_small_side_checks_bytes(spark):
+    narrow, wide = spark.range(1000), spark.range(1000).selectExpr("id", "repeat('x', 500) as t")
+    assert scratch.is_small(narrow, 100_000) and not scratch.is_small(wide, 100_000)
+    hinted = scratch.small_side(narrow, 100_000)._jdf.queryExecution().logical().toString()
+    plain = scratch.small_side(wide, 100_000)._jdf.queryExecution().logical().toString()
     assert "hint" in hinted.lower() and "hint" not in plain.lower()
 
 
@@ -108,17 +141,29 @@ class _Conf(dict):
         self[key] = value
 
 
+class _Context:
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+
 class _Session:
-    def __init__(self, **conf):
-        self.conf = _Conf(conf)
+    def __init__(self, master="local[2]", folder=None, **conf):
+        self.conf, self.sparkContext = _Conf(conf), _Context(master, folder)
 
 
 def test_shared_folder_is_the_one_the_cluster_names():
-    named = _Session(**{"spark.checkpoint.dir": "hdfs://nn/shared/"})
+    named = _Session("spark://m:7077", **{"spark.checkpoint.dir": "hdfs://nn/shared/"})
     path = scratch.scratch_path(named, "x")
     assert path.startswith("hdfs://nn/shared/x-") and path != scratch.scratch_path(named, "x")
+    assert scratch.shared_root(_Session("yarn", "hdfs://nn/set")) == "hdfs://nn/set"
     unnamed = _Session()
     assert scratch.shared_root(unnamed) == scratch.shared_root(unnamed)
+    for master in ("yarn", "spark://m:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch.shared_root(_Session(master))
 
 
 def test_clustered_table_joins_without_shuffle(spark, tmp_path, capsys):
@@ -142,7 +187,7 @@ def test_publish_replaces(spark, tmp_path):
 
 @pytest.mark.parametrize(
     "policy, mode, geography, unmet",
-    [("fill", "relative", None, ["sales: no nulls in client_id, sale_date, volume_hl"]), ("drop", "absolute", "geo.csv", [])],
+    [("fill", "relative", None, ["sales: every text could be read", "sales: no nulls in client_id, sale_date, volume_hl"]), ("drop", "absolute", "geo.csv", ["sales: every text could be read"])],
 )
 def test_full_run(spark, inputs, policy, mode, geography, unmet):
     config = files.RunConfig(
@@ -166,9 +211,12 @@ def test_full_run(spark, inputs, policy, mode, geography, unmet):
         assert set(places.values()) == {None}
     checks = {r.check: r.passed for r in result.checks.collect()}
     assert [name for name, passed in checks.items() if not passed] == unmet
-    assert len(checks) == 9
-    for name in result.paths:
-        assert len(list((inputs / "out" / "csv" / name).glob("part-*"))) == 1
+    assert len(checks) == 11
+    assert sorted(result.failed()) == sorted(unmet)
+    assert spark.read.parquet(str(inputs / "out/checks")).count() == 11
+    assert spark.read.parquet(str(inputs / "out/summary")).count() == result.summary.count()
+    kinds = ("sales_schema", "sales_statistics", "sales_sample", "sales_nulls", "sales_filled", "targets_schema", "targets_sample")
+    assert all(spark.read.parquet(str(inputs / "out/staging/profile" / k)).columns for k in kinds)
     staged = "sales" if policy == "fill" else "clean"
     view = frames.rows(customer_view(spark.read.parquet(str(inputs / "out/staging" / staged)), mode=mode))
     assert frames.rows(written["visao_consolidada"].drop("cidade", "estado")) == view

@@ -97,7 +97,34 @@ def test_attainment_without_sales_in_the_year(spark):
     ]
 
 
-def test_large_targets_table_is_not_broadcast(spark, monkeypatch):
+def test_large_targets_table_is_not_broadcast(spark, monkeypatch, shuffle_joins):
     monkeypatch.setattr(G, "is_small", lambda df: False)
+    plan = frames.plan(split(spark, [600, 300, 100]))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
     assert frames.rows(split(spark, [600, 300, 100]), "client_target") == [(100.0,), (300.0,), (600.0,)]
     assert frames.rows(split(spark, [1, 1, 1], 100, exact=True), "client_target") == [(33.33,), (33.33,), (33.34,)]
+
+
+def test_wanted_brands_are_pushed_below_the_sums(spark, tmp_path):
+    """With targets from a file only sales of their brands are summed and shuffled, once."""
+    from quotaflow.sources import files
+
+    (tmp_path / "targets.csv").write_text("Marca;Meta;Ano\nA;100;2025\n", encoding="utf-8")
+    goals = files.read_targets(spark, str(tmp_path / "targets.csv"))
+    sales = frames.sales(spark, (1, "A", "2024-01-01", 3), (2, "B", "2024-01-01", 5))
+    text = frames.plan(G.allocate_targets(sales, goals, 2025))
+    before_sum = text[text.index("partial_sum(volume_hl") :]
+    assert "LeftSemi" in before_sum
+    assert [r.client_id for r in G.allocate_targets(sales, goals, 2025).collect()] == [1]
+
+
+def test_years_are_kept_apart(spark):
+    sales = spark.createDataFrame(
+        [(1, "A", "2023-05-01", 10), (1, "A", "2024-05-01", 90)], "client_id long, brand string, sale_date string, volume_hl int"
+    ).selectExpr("client_id", "brand", "to_date(sale_date) as sale_date", "cast(volume_hl as decimal(12,2)) as volume_hl")
+    goals = spark.createDataFrame([("A", 100, 2023), ("A", 900, 2024)], "brand string, target_volume long, target_year int")
+    every = G.allocate_targets(sales, goals, None)
+    got = {r.target_year: (r.actual_volume, r.attainment_pct) for r in G.target_attainment(sales, every).collect()}
+    assert got == {2023: (10.0, 10.0), 2024: (90.0, 10.0)}
+    assert [r.target_year for r in G.target_attainment(sales, every, 2024).collect()] == [2024]
+    assert {r.target_year: r.difference for r in G.reconcile_targets(every, mode="notebook").collect()} == {2023: 0.0, 2024: 0.0}
