@@ -15,11 +15,13 @@ words are one shingle, no words none.  Two documents link when ``100 * |A & B| >
    class not linked to it the short lists are merged, what reaches the count they must
    give is probed by binary search in the long ones, and what reaches the overlap links.
    Classes already connected are not compared again.
-5. Short lists whose classes are still in different components give the remaining pairs,
-   all of which are compared.  So no link between components is missed.
+5. Short lists whose classes are still in different components join these into fields.
+   The classes of a field are searched in the same way, block against block, so no link
+   between components is missed; pairs are compared inside a task, not sent as rows.
 
-Groups larger than ``GROUP`` are dealt by hash, the hub going to each part; step 5 covers
-pairs that the parts separate.  Step results are written to the shared folder.
+Groups and fields larger than ``GROUP`` are dealt by hash: of a group the hub goes to each
+part, and step 5 covers pairs that the parts separate; of a field every part meets every
+other.  Step results are written to the shared folder.
 
 Defined cases: null and empty texts have an empty set and link with nothing; a null id
 has a null component and links with nothing; rows with equal ids are compared like
@@ -42,7 +44,7 @@ from .components import components
 
 SIZE = 5
 PERCENT = 80
-GROUP = 1000
+GROUP = 400
 U64 = np.uint64
 
 
@@ -175,60 +177,77 @@ def _divide(group: pa.Table, told: pa.Table, size: int, buckets: int, percent: i
     return pa.Table.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["class", "n", "shingles", "short"])
 
 
-def search(sets: list[np.ndarray], percent: int = PERCENT, hub: int = 0) -> list[tuple[int, int]]:
-    """Links that connect the sets as all links would, as pairs of places."""
-    sizes = np.array([len(s) for s in sets])
-    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-    parent = list(range(len(sets)))
+class _Parts:
+    """Which places are known to be connected."""
+
+    def __init__(self, labels):
+        first: dict = {}
+        self.parent = [first.setdefault(x, i) for i, x in enumerate(labels)]
 
-    def root(i: int) -> int:
+    def root(self, i: int) -> int:
+        parent = self.parent
         while parent[i] != i:
             parent[i] = parent[parent[i]]
             i = parent[i]
         return i
 
-    with_hub = np.bincount(owner, chunks.find(flat, sets[hub])[1], len(sets)).astype(np.int64)
-    linked = links(with_hub, sizes, sizes[hub], percent)
-    linked[hub] = False
-    found = [(hub, int(i)) for i in np.flatnonzero(linked)]
-    for _, i in found:
-        parent[i] = hub
-    rest = [int(i) for i in np.flatnonzero(~linked) if i != hub]
-    if not rest:
-        return found
-    # Inverted lists over all sets; members ascend in each.
+    def join(self, i: int, j: int) -> bool:
+        a, b = self.root(i), self.root(j)
+        self.parent[a] = b
+        return a != b
+
+
+def search(sets: list[np.ndarray], percent: int = PERCENT, hub: int | None = None, labels=None, side: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that connect the sets as all links would, as pairs of places.
+
+    ``labels`` are equal where sets are connected already.  With ``side`` only sets of
+    different sides are compared.
+    """
+    n = len(sets)
+    sizes = np.array([len(s) for s in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(n), sizes)
+    parts, found = _Parts(labels if labels is not None else range(n)), []
+    side = np.zeros(n, np.int64) if side is None else side
+    across = bool(side.any())
+    with_hub = np.zeros(n, bool)
+    if hub is not None:
+        overlap = np.bincount(owner, chunks.find(flat, sets[hub])[1], n).astype(np.int64)
+        with_hub = links(overlap, sizes, sizes[hub], percent)
+        found = [(hub, int(i)) for i in np.flatnonzero(with_hub) if parts.join(int(i), hub)]
+    queries = [int(i) for i in np.flatnonzero(side == 0 if across else ~with_hub)]
+    # Inverted lists; their members ascend.
     order = np.lexsort((owner, flat))
     values, first, length = np.unique(flat[order], return_index=True, return_counts=True)
     members = owner[order]
-    done = np.zeros(len(sets), bool)
-    done[hub] = True
-    for q in rest:
-        done[q] = True
+    # A pair of two queries is looked at once, from the later one; any other from its query.
+    open_to = side == 1 if across else with_hub.copy()
+    for q in queries:
+        if not across:
+            open_to[q] = True
+        mine = parts.root(q)
+        other = np.fromiter((parts.root(i) != mine for i in range(n)), bool, n) & open_to
+        if not other.any():
+            continue
         least = int(least_overlap(sizes[q], percent))
         at = np.searchsorted(values, sets[q])
         at = at[np.argsort(length[at], kind="stable")]
         at = at[length[at] > 1]
         if len(at) < least:
             continue
-        aside = min(least - 1, max(0, int(least / (0.01 * np.log(max(2, length[at[-1]])) + 1))))
+        # Divide: more lists are set aside the longer they are, at most one less than the overlap.
+        aside = min(least - 1, int(least / (0.01 * np.log(max(2, length[at[-1]])) + 1)))
         brief, long = at[: len(at) - aside], at[len(at) - aside :]
-        merged = np.sort(np.concatenate([members[first[k] : first[k] + length[k]] for k in brief]))
-        who, count = np.unique(merged, return_counts=True)
-        who, count = who[count >= least - aside], count[count >= least - aside]
-        # A pair of two unlinked sets is looked at once, from the later one; any other from here.
-        mine = root(q)
-        fit = np.array([(done[c] or linked[c]) and root(int(c)) != mine for c in who], bool)
-        who, count = who[fit], count[fit]
-        for k in long:
+        merged = np.bincount(np.concatenate([members[first[k] : first[k] + length[k]] for k in brief]), minlength=n)
+        who = np.flatnonzero((merged >= least - aside) & other)
+        count = merged[who]
+        for left, k in zip(range(len(long), 0, -1), long, strict=True):
+            fit = count + left >= least
+            who, count = who[fit], count[fit]
             if not len(who):
                 break
-            own = members[first[k] : first[k] + length[k]]
-            count = count + chunks.find(who, own)[1]
-        good = links(count, sizes[q], sizes[who], percent)
-        for c in who[good]:
-            a, b = root(q), root(int(c))
-            if a != b:
-                parent[a] = b
+            count = count + chunks.find(who, members[first[k] : first[k] + length[k]])[1]
+        for c in who[links(count, sizes[q], sizes[who], percent)]:
+            if parts.join(q, int(c)):
                 found.append((q, int(c)))
     return found
 
@@ -236,24 +255,30 @@ def search(sets: list[np.ndarray], percent: int = PERCENT, hub: int = 0) -> list
 LINKS = "a long, b long"
 
 
+def _found(names: list[int], pairs: list[tuple[int, int]]) -> pa.Table:
+    return pa.table({"a": pa.array([names[i] for i, _ in pairs], pa.int64()), "b": pa.array([names[j] for _, j in pairs], pa.int64())})
+
+
+def _sets_of(rows: list[dict]) -> list[np.ndarray]:
+    return [np.frombuffer(r["shingles"], "<u8").astype(U64) for r in rows]
+
+
 def _group_links(group: pa.Table, percent: int) -> pa.Table:
+    """Links of a hub's group."""
     rows = group.to_pylist()
-    hub = next((i for i, r in enumerate(rows) if r["class"] == r["hub"]), 0)
-    pairs = search([np.frombuffer(r["shingles"], "<u8").astype(U64) for r in rows], percent, hub) if len(rows) > 1 else []
-    name = [r["class"] for r in rows]
-    return pa.table({"a": pa.array([name[i] for i, _ in pairs], pa.int64()), "b": pa.array([name[j] for _, j in pairs], pa.int64())})
+    hub = next((i for i, r in enumerate(rows) if r["class"] == r["hub"]), None)
+    return _found([r["class"] for r in rows], search(_sets_of(rows), percent, hub) if len(rows) > 1 else [])
 
 
-def _pair_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        a, b, links_ab = batch.column("a").to_pylist(), batch.column("b").to_pylist(), []
-        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-            x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-            links_ab.append(bool(links(int(chunks.find(x, y)[1].sum()), len(x), len(y), percent)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([v for v, ok in zip(a, links_ab, strict=True) if ok], pa.int64()), pa.array([v for v, ok in zip(b, links_ab, strict=True) if ok], pa.int64())],
-            ["a", "b"],
-        )
+def _block_links(group: pa.Table, percent: int) -> pa.Table:
+    """Links of a block of a field with itself or with another."""
+    rows = group.to_pylist()
+    if len({r["c"] for r in rows}) < 2:
+        return _found([], [])
+    side = np.array([r["side"] for r in rows])
+    if rows[0]["lo"] != rows[0]["hi"] and len(set(side.tolist())) < 2:
+        return _found([], [])
+    return _found([r["class"] for r in rows], search(_sets_of(rows), percent, None, [r["c"] for r in rows], side))
 
 
 def _candidates(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
@@ -281,29 +306,33 @@ def _hub_groups(candidates: DataFrame, postings: DataFrame) -> DataFrame:
     return members.unionByName(centres).join(candidates.select("class", "shingles"), "class")
 
 
+def _fields(candidates: DataFrame, placed: DataFrame) -> DataFrame:
+    """Classes of torn short lists by field and pair of blocks; placed: class, short list ``h``, component ``c``."""
+    torn = placed.groupBy("h").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least <> most").select("h", "least")
+    opened = written(placed.join(torn, "h").select("class", "c", "least").distinct(), "torn-lists")
+    fields = components(opened.where("c <> least").select(F.col("c").alias("a"), F.col("least").alias("b")))
+    members = opened.select("class", "c").distinct().join(fields.select(F.col("node").alias("c"), F.col("least").alias("field")), "c")
+    parts = members.groupBy("field").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("parts"))
+    dealt = members.join(parts, "field").withColumn("part", F.pmod(F.xxhash64("class"), "parts").cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    blocks = met.select(
+        "field", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), (F.col("part") > F.col("other")).cast("int").alias("side"), "class", "c"
+    )
+    return blocks.join(candidates.select("class", "shingles"), "class")
+
+
 def join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (the smallest id its links reach, its own included)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = written(docs.mapInArrow(lambda b: _sets(b, size), "doc_id long, n_shingles long, class long"), "sets")
     known = docs.where("doc_id IS NOT NULL")
     candidates = written(_candidates(known, sets.where("doc_id IS NOT NULL"), size, percent), "candidates")
-    postings = candidates.select("class", "n", F.explode("short").alias("h"))
+    postings = candidates.select("class", F.explode("short").alias("h"))
     groups = _hub_groups(candidates, postings)
     first = written(groups.groupBy("hub", "part").applyInArrow(lambda g: _group_links(g, percent), LINKS), "hub-links")
     reached = written(components(first), "components")
-    placed = postings.join(reached.withColumnRenamed("node", "class"), "class", "left").select("class", "n", "h", F.coalesce("least", "class").alias("c"))
-    torn = placed.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("h")
-    open_lists = placed.join(torn, "h")
-    x, y = open_lists.alias("x"), open_lists.alias("y")
-    pairs = (
-        x.join(y, F.col("x.h") == F.col("y.h"))
-        .where("x.class < y.class AND x.c <> y.c")
-        .where(100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-        .select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
-        .distinct()
-    )
-    of = lambda key, name: candidates.select(F.col("class").alias(key), F.col("shingles").alias(name))
-    second = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").mapInArrow(lambda b: _pair_links(b, percent), LINKS)
+    placed = postings.join(reached.withColumnRenamed("node", "class"), "class", "left").select("class", "h", F.coalesce("least", "class").alias("c"))
+    second = written(_fields(candidates, placed).groupBy("field", "lo", "hi").applyInArrow(lambda g: _block_links(g, percent), LINKS), "block-links")
     reached = components(first.unionByName(second))
     classes = sets.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("doc"))
     placed = classes.join(reached.withColumnRenamed("node", "class"), "class", "left").select("class", "doc", F.coalesce("least", "class").alias("c"))
