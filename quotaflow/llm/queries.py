@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, host_quality, jaccard, language, licences, lm_score, pieces, repeats, toxicity, url_rules
+from . import decontaminate, host_quality, jaccard, language, licences, lm_score, oracles, pieces, repeats, toxicity, url_rules
 from .base import crc_mod, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,7 +28,7 @@ def query(key: str, sql: str | None = None):
     return add
 
 
-@query("op1_quality_rules")
+@query("op1_quality_rules", oracles.OP1)
 def quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return host_quality.judge(table(spark, d, "documents"))
 
@@ -60,7 +60,7 @@ def sentencepiece_ids(spark: SparkSession, d: str) -> DataFrame:
     return pieces.digest(pieces.encode(table(spark, d, "documents"), pieces.load()))
 
 
-@query("op6_substring_dedup")
+@query("op6_substring_dedup", oracles.OP6)
 def substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     return repeats.digest(repeats.remove_repeats(table(spark, d, "documents")))
 
@@ -78,13 +78,13 @@ def licence_scan(spark: SparkSession, d: str) -> DataFrame:
     return licences.find_licences(table(spark, d, "documents"))
 
 
-@query("op9_benchmark_decontamination")
+@query("op9_benchmark_decontamination", oracles.OP9)
 def benchmark_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.digest(
         decontaminate.find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
     )
 
 
-@query("op10_ngram_jaccard_join")
+@query("op10_ngram_jaccard_join", oracles.OP10)
 def ngram_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
     return jaccard.join(table(spark, d, "documents"))
