@@ -9,7 +9,7 @@ from ...operators import cleaning as C
 from ...operators.columns import as_doubles
 from ...operators.quality import row_counts
 from ...operators.reports import brand_scorecard
-from ...schemas import SALES_DIALECTS, TARGETS_DIALECT
+from ...schemas import EXPORT_NAMES, SALES_DIALECTS, TABLE_NAMES, TARGETS_DIALECT
 from ...sources import files, tables
 from ...sources.scratch import scratch_path
 from ..full_run import run
@@ -210,6 +210,32 @@ def _(spark, d):
     return spark.read.parquet(_full_run(spark, d, "run").paths["visao_consolidada"])
 
 
+def _written(spark, d, name) -> dict:
+    """The tables of a run as written, under our names."""
+    ours = {theirs: column for column, theirs in EXPORT_NAMES.items()}
+    paths = _full_run(spark, d, name).paths
+    return {table: C.rename(spark.read.parquet(paths[theirs]), ours) for table, theirs in TABLE_NAMES.items()}
+
+
+@query("t10_full_run_targets", f"SELECT {ALL} FROM ct", "ct")
+def _(spark, d):
+    found = _written(spark, d, "run-targets")["client_targets"]
+    return as_doubles(found.drop("city", "state"))
+
+
+@query(
+    "t10_full_run_fact",
+    "SELECT client_id, sale_date, brand, CAST(volume_hl AS DOUBLE) AS volume_hl, CAST(revenue AS DOUBLE) AS revenue, is_b2b FROM filled",
+    "filled",
+)
+def _(spark, d):
+    """The fact with its keys looked up in the three dimensions."""
+    t = _written(spark, d, "run-fact")
+    rows = t["fact_sales"].join(t["dim_client"].select("client_key", "client_id"), "client_key")
+    rows = rows.join(t["dim_time"].select("time_key", "sale_date"), "time_key").join(t["dim_product"], "product_key")
+    return as_doubles(rows.select("client_id", "sale_date", "brand", "volume_hl", "revenue", "is_b2b"))
+
+
 @query(
     "t10_full_run_tables",
     "SELECT 'visao_consolidada' AS stage, count(*) AS rows FROM view UNION ALL SELECT 'metas_por_cliente', count(*) FROM ct"

@@ -92,3 +92,15 @@ def test_choices_browse_and_detail(spark, sold):
     view = spark.createDataFrame([(1, 2.0, 3.0), (2, 4.0, 1.0)], "client_id long, avg_volume_3m double, avg_volume_6m double")
     detail = R.client_detail(view, 1)
     assert detail.columns == ["client_id", "avg_volume_3m", "avg_volume_6m"] and detail.first().client_id == 2
+
+
+def test_no_report_multiplies_its_rows(spark):
+    """Neither the target levels nor the geographic counts expand the client rows."""
+    from quotaflow.operators import geo
+
+    ct = spark.createDataFrame([("A", 1, 2.0, 50.0)], "brand string, client_id long, client_target double, share_pct double")
+    assert "Expand" not in frames.plan(R.target_hierarchy(ct))
+    gs = spark.createDataFrame([(1, "c", "s", 1)], "client_id long, city string, state string, volume_hl int")
+    gs = gs.withColumn("volume_hl", gs.volume_hl.cast("decimal(12,2)"))
+    assert "Expand" not in frames.plan(geo.geo_kpis(gs))
+    assert geo.geo_kpis(gs).collect() == [(1, 1, 1, 1.0)]
