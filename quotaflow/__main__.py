@@ -22,13 +22,15 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--policy", choices=["fill", "drop"], default="fill")
     parser.add_argument("--mode", choices=["relative", "absolute", "calendar"], default="relative")
     parser.add_argument("--database", help="also publish the tables in this database")
+    parser.add_argument("--shuffle-partitions", type=int, help="for this run; the session's own number by default")
+    parser.add_argument("--strict", action="store_true", help="end with exit code 1 when a check fails")
     return parser.parse_args(arguments)
 
 
 def main(arguments: list[str] | None = None) -> None:
     """An error ends the process with a failure; nothing is swallowed."""
     options = vars(parse(arguments))
-    database = options.pop("database")
+    database, strict = options.pop("database"), options.pop("strict")
     spark = build_session()
     result = run(spark, RunConfig(**options))
     if database:
@@ -36,6 +38,8 @@ def main(arguments: list[str] | None = None) -> None:
         tables.publish({name: spark.read.parquet(path) for name, path in result.paths.items()}, database)
     result.summary.show(truncate=False)
     result.checks.show(truncate=False)
+    if strict and (failed := result.failed()):
+        raise SystemExit(f"failed checks: {', '.join(failed)}")
 
 
 if __name__ == "__main__":

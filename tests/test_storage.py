@@ -232,5 +232,8 @@ def test_command_line(spark, inputs, capsys):
     assert "every output is written" in printed
     sold = frames.rows(tables.table(spark, "command_line_test.fato_vendas"), "valor", "b2b_status")
     assert sold == [(Decimal("150.000000"), True), (Decimal("200.000000"), False)]
+    arguments = ["--sales", str(inputs / "sales.csv"), "--targets", str(inputs / "targets.csv"), "--output", str(inputs / "strict"), "--strict"]
+    with pytest.raises(SystemExit, match="every text could be read"):
+        main(arguments)
     with pytest.raises(FileNotFoundError):
         main(["--sales", str(inputs / "absent.csv"), "--targets", str(inputs / "targets.csv"), "--output", str(inputs / "o")])
