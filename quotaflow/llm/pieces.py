@@ -39,8 +39,11 @@ from .base import pieces as batch_pieces
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED, VARIANTS = 0.1, 17, 4
 CACHE = 200_000
+# Characters up to which scanning a unit's agenda beats a heap.
+SHORT_UNIT = 40
+_NONE = 1 << 30
 MARK = "▁"
-_MASK = (1 << 64) - 1
+_MASK = (1 << 32) - 1
 _LITERAL = re.compile(f"([{MARK}\0])")
 
 
@@ -73,26 +76,64 @@ def load(path: str = MODEL) -> Vocabulary:
     return Vocabulary(content, ids, {p: r for r, p in enumerate(order)}, byte, (path, len(content)))
 
 
-def keyed_hash(seed: int, variant: int, unit: int, place: int, piece: int) -> int:
-    """A 64-bit hash of a candidate merge."""
-    x = (seed * 0x9E3779B97F4A7C15 ^ variant * 0xC2B2AE3D27D4EB4F ^ unit * 0x165667B19E3779F9 ^ place * 0x27D4EB2F165667C5 ^ piece * 0x85EBCA77C2B2AE63) & _MASK
-    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & _MASK
-    x = (x ^ x >> 27) * 0x94D049BB133111EB & _MASK
-    return x ^ x >> 31
+def unit_key(seed: int, variant: int, unit: str) -> int:
+    """The part of the key that all candidates of a unit share: a crc32 of its text started from seed and variant."""
+    return crc32(unit.encode(), (seed * 0x9E3779B1 + variant * 0x85EBCA6B) & _MASK)
+
+
+def keyed_hash(key: int, place: int, piece: int) -> int:
+    """A 32-bit hash of a candidate merge."""
+    x = key ^ (place * 0x9E3779B1 + piece * 0x85EBCA6B & _MASK)
+    x = (x ^ x >> 15) * 0x2C1B3C6D & _MASK
+    x = (x ^ x >> 12) * 0x297A2D39 & _MASK
+    return x ^ x >> 15
 
 
 class Encoder:
     def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
         self.v, self.dropout, self.seed, self.variants = vocabulary, dropout, seed, max(1, variants)
-        self.below = int(dropout * (1 << 64))
+        self.below = int(dropout * (1 << 32))
         self.known: list[dict[str, array]] = [{} for _ in range(self.variants)]
 
     def segment(self, unit: str, variant: int) -> list[int]:
         """Ids of one unit (marks for blanks)."""
-        rank, ids, symbols = self.v.rank, self.v.ids, list(unit)
+        key = unit_key(self.seed, variant, unit) if self.below else 0
+        symbols = self._by_heap(unit, key) if len(unit) > SHORT_UNIT else self._by_scan(unit, key)
+        ids, out = self.v.ids, []
+        for s in symbols:
+            known = ids.get(s)
+            if known is not None:
+                out.append(known)
+            else:
+                out += [self.v.byte[b] for b in s.encode()]
+        return out
+
+    def _by_scan(self, unit: str, key: int) -> list[str]:
+        """The agenda of a short unit is a list of its neighbours' ranks; the first least one is next."""
+        get, below, symbols = self.v.rank.get, self.below, list(unit)
+        agenda = [get(a + b, _NONE) for a, b in zip(symbols, symbols[1:])]
+        place = list(range(len(symbols)))
+        while agenda:
+            r = min(agenda)
+            if r == _NONE:
+                break
+            i = agenda.index(r)
+            if below and keyed_hash(key, place[i], r) < below:
+                agenda[i] = _NONE
+                continue
+            symbols[i] += symbols[i + 1]
+            del symbols[i + 1], place[i + 1], agenda[i]
+            if i:
+                agenda[i - 1] = get(symbols[i - 1] + symbols[i], _NONE)
+            if i < len(agenda):
+                agenda[i] = get(symbols[i] + symbols[i + 1], _NONE)
+        return symbols
+
+    def _by_heap(self, unit: str, key: int) -> list[str]:
+        """The agenda of a long unit is a heap, with stale entries passed over."""
+        rank, symbols = self.v.rank, list(unit)
         n = len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        of_unit = crc32(unit.encode())
         agenda: list[tuple[int, int, str, str]] = []
 
         def offer(i: int, j: int) -> None:
@@ -108,7 +149,7 @@ class Encoder:
             j = after[i]
             if symbols[i] != left or j >= n or symbols[j] != right:
                 continue
-            if self.below and keyed_hash(self.seed, variant, of_unit, i, r) < self.below:
+            if self.below and keyed_hash(key, i, r) < self.below:
                 continue
             symbols[i], symbols[j] = left + right, ""
             after[i] = after[j]
@@ -116,15 +157,7 @@ class Encoder:
                 before[after[i]] = i
             offer(before[i], i)
             offer(i, after[i])
-        out: list[int] = []
-        for s in symbols:
-            if s:
-                known = ids.get(s)
-                if known is not None:
-                    out.append(known)
-                else:
-                    out += [self.v.byte[b] for b in s.encode()]
-        return out
+        return [s for s in symbols if s]
 
     def encode(self, text: str, key: int = 0) -> array:
         """Ids of a text; ``key`` (of its row) chooses where the cycle of variants begins."""
@@ -140,7 +173,8 @@ class Encoder:
             found = cache.get(unit)
             if found is None:
                 if len(cache) >= CACHE:
-                    cache.clear()
+                    # Common units come early: the first half stays.
+                    cache = self.known[variant] = dict(islice(cache.items(), CACHE // 2))
                 found = array("i", self.segment(unit, variant))
                 if len(unit) <= 64:
                     cache[unit] = found

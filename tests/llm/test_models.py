@@ -188,6 +188,15 @@ def test_pieces_come_back_exactly(vocabulary, dropout):
             assert encoder.decode(encoder.encode(t, key)) == t
 
 
+@pytest.mark.parametrize("dropout", [0.0, 0.3])
+def test_both_agendas_cut_alike(vocabulary, dropout):
+    encoder = pieces.Encoder(vocabulary, dropout)
+    for unit in ["▁international", "▁aaaaaaa", "▁thththth.", "é▁", "x", "▁▁▁▁x", "▁" + "un" * 15]:
+        for variant in range(4):
+            key = pieces.unit_key(encoder.seed, variant, unit)
+            assert encoder._by_scan(unit, key) == encoder._by_heap(unit, key)
+
+
 def test_dropout_varies_and_repeats(vocabulary):
     one, two = pieces.Encoder(vocabulary, 0.2), pieces.Encoder(vocabulary, 0.2)
     text = "international collaboration " * 8
