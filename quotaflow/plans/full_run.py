@@ -15,7 +15,7 @@ from ..operators.customer import customer_view
 from ..operators.geo import enrich_geography, propagate_geo
 from ..operators.star import Star, build_star
 from ..operators.targets import allocate_targets, reconciliation_check, targets_for_year
-from ..schemas import EXPORT_NAMES, GEOGRAPHY, TABLE_NAMES
+from ..schemas import EXPORT_NAMES, GEOGRAPHY, NOTEBOOK_DROPS, TABLE_NAMES, export_names
 from ..session import shuffle_partitions
 from ..sources import files
 
@@ -132,9 +132,9 @@ def _run(spark: SparkSession, config: files.RunConfig) -> RunResult:
         "client_targets": client_targets,
     }
 
-    results = {name: rename(df, EXPORT_NAMES) for name, df in tables.items()}
-    theirs_of = lambda *names: [EXPORT_NAMES.get(n, n) for n in names]
-    brand, target, client = theirs_of("brand", "client_target", "client_id")
+    drops = NOTEBOOK_DROPS if notebook else {}
+    results = {n: rename(df.drop(*drops.get(n, ())), export_names(n, notebook)) for n, df in tables.items()}
+    brand, target, client = (EXPORT_NAMES.get(n, n) for n in ("brand", "client_target", "client_id"))
     # The Parquet files keep no order, so the ordered table is sorted as its CSV is written.
     exported = files.export_all(
         {TABLE_NAMES[n]: df for n, df in results.items()},
@@ -142,11 +142,14 @@ def _run(spark: SparkSession, config: files.RunConfig) -> RunResult:
         orders={TABLE_NAMES["client_targets"]: [brand, F.desc(target), client]},
     )
     paths = {out: e.parquet for out, e in exported.items()}
-    ours = {theirs: name for name, theirs in EXPORT_NAMES.items()}
+    ours = lambda table: {theirs: name for name, theirs in export_names(table, notebook).items()}
     written = {
-        name: rename(spark.read.schema(df.schema).parquet(paths[TABLE_NAMES[name]]), ours)
+        name: rename(spark.read.schema(df.schema).parquet(paths[TABLE_NAMES[name]]), ours(name))
         for name, df in results.items()
     }
+    if notebook:
+        # The exported targets are of one year and do not say which.
+        written["client_targets"] = written["client_targets"].withColumn("target_year", F.lit(config.year))
     steps.rows += [(name, e.rows, e.seconds, e.parquet) for name, e in exported.items()]
 
     checks = [

@@ -112,6 +112,13 @@ DEFAULT_YEAR = 2025
 ESTIMATED_PRICE = 100
 
 # The names of the exported tables.
+# Where the notebook variant names a table's columns otherwise, and what it leaves out.
+NOTEBOOK_NAMES = {
+    "dim_time": {"sale_date": "date"},
+    "client_targets": {"client_volume": "volume_total"},
+}
+NOTEBOOK_DROPS = {"client_targets": ("target_year", "brand_volume")}
+
 TABLE_NAMES = {
     "customer_view": "visao_consolidada",
     "client_targets": "metas_por_cliente",
@@ -120,3 +127,8 @@ TABLE_NAMES = {
     "dim_time": "dim_tempo",
     "fact_sales": "fato_vendas",
 }
+
+
+def export_names(table: str, notebook: bool) -> dict[str, str]:
+    """Our column names to the exported ones, for a table of a variant."""
+    return EXPORT_NAMES | (NOTEBOOK_NAMES.get(table, {}) if notebook else {})

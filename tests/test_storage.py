@@ -204,6 +204,11 @@ def test_full_run(spark, inputs, policy, mode, geography, unmet):
     assert written["visao_consolidada"].columns == [
         "cliente_id", "data_ultima_compra", "volume_medio_3m", "volume_medio_6m", "share_b2b_3m", "share_b2b_6m", "cidade", "estado",
     ]
+    if policy == "drop":
+        assert written["dim_tempo"].columns == ["sk_tempo", "date", "ano", "mes", "trimestre"]
+        assert written["metas_por_cliente"].columns[:6] == [
+            "cliente_id", "marca", "volume_total", "percentual_participacao", "meta_marca", "meta_cliente",
+        ]
     places = {r.cliente_id: r.cidade for r in written["dim_cliente"].collect()}
     if geography:
         assert places == {10: "Não encontrado"}
