@@ -90,19 +90,25 @@ def near_copies_out(texts: list[bytes]) -> list[int]:
     return kept
 
 
-def mine_lexicon(toxic: list[set[str]], clean: list[set[str]], size: int = LEXICON_SIZE) -> list[str]:
+def mine_lexicon(toxic: list[bytes], clean: list[bytes], size: int = LEXICON_SIZE) -> list[str]:
     """Entries told by their smoothed share among toxic documents; the most frequent first."""
     if not toxic or not clean:
         return []
-    hits, noise = Counter(f for s in toxic for f in s), Counter(f for s in clean for f in s)
     share = len(toxic) / (len(toxic) + len(clean))
     least = max(LEAST_DOCS, math.log(CHANCE) / math.log(share))
+    hits: Counter[str] = Counter()
+    for text in toxic:
+        hits.update(features(word_set(text)))
+    hits = Counter({f: n for f, n in hits.items() if n >= least})
+    # Of the clean documents only what can become an entry is counted.
+    noise: Counter[str] = Counter()
+    for text in clean:
+        noise.update(features(word_set(text)) & hits.keys())
     chosen = []
     for f, n in hits.items():
-        if n >= least:
-            a, b = (n + 0.5) / (len(toxic) + 1), (noise[f] + 0.1) / (len(clean) + 1)
-            if a / (a + b) >= PURITY and noise[f] <= 0.05 * n:
-                chosen.append((-n, f))
+        a, b = (n + 0.5) / (len(toxic) + 1), (noise[f] + 0.1) / (len(clean) + 1)
+        if a / (a + b) >= PURITY and noise[f] <= 0.05 * n:
+            chosen.append((-n, f))
     return [f for _, f in sorted(chosen)[:size]]
 
 
@@ -236,9 +242,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, clean_
     texts, toxic = [texts[i] for i in keep], sample["toxic"].to_numpy()[keep].astype(bool)
     if not toxic.any() or toxic.all():
         return None
-    found = [features(word_set(t)) for t in texts]
-    lexicon = mine_lexicon([f for f, y in zip(found, toxic, strict=True) if y], [f for f, y in zip(found, toxic, strict=True) if not y])
-    del found
+    lexicon = mine_lexicon([t for t, y in zip(texts, toxic, strict=True) if y], [t for t, y in zip(texts, toxic, strict=True) if not y])
     voters = Voters(lexicon)
     looked = [voters.look(t) for t in texts]
     votes = np.zeros((len(texts), voters.n_voters))
