@@ -5,10 +5,14 @@ one blank mark before it and blanks as marks, and falls into units: a run of mar
 the non-blank characters after it (no piece crosses a unit).  A unit starts as characters,
 those without a piece as byte pieces.  An agenda holds the merges of neighbours whose
 concatenation is a piece, best score first, then leftmost; a merge taken from it is
-skipped when a keyed hash of (seed, variant, unit, place, piece) falls below ``dropout``,
-else it is made and its new neighbours are added.  The variant changes from unit to unit
-and text to text among ``variants`` values, so equal words are cut differently within and
-across texts, while a unit's segmentations are a bounded, repeatable set.
+skipped when a keyed hash of (seed, row, position of the unit, unit, place, piece) falls
+below ``dropout``, else it is made and its new neighbours are added.  So every occurrence
+of a word is cut on its own, within and across texts, and repeatably.
+
+What is kept of a unit are its candidates, not its cuts: the candidates that come up while
+none is skipped, and for each first skip that occurred those that come up after it, and so
+on.  The hashes of many occurrences are compared at once, and lead through these lists to
+the cut that the agenda gives.
 
 With ``dropout`` 0 this is the model's own segmentation.  Decoding joins pieces and bytes
 and takes the first mark away; the literal mark character is always spelled in bytes, so
@@ -25,7 +29,6 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import cycle, islice
 from zlib import crc32
 
 import numpy as np
@@ -35,10 +38,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .base import pieces as batch_pieces
+from .scan import U64, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-DROPOUT, SEED, VARIANTS = 0.1, 17, 3
-CACHE = 180_000
+DROPOUT, SEED = 0.1, 17
+# Lists of candidates a worker keeps, and units that are looked up at once.
+CACHE, AT_ONCE = 540_000, 100_000
 # Characters up to which scanning a unit's agenda beats a heap.
 SHORT_UNIT = 40
 _NONE = 1 << 30
@@ -76,49 +81,43 @@ def load(path: str = MODEL) -> Vocabulary:
     return Vocabulary(content, ids, {p: r for r, p in enumerate(order)}, byte, (path, len(content)))
 
 
-def unit_key(seed: int, variant: int, unit: str) -> int:
-    """The part of the key that all candidates of a unit share: a crc32 of its text started from seed and variant."""
-    return crc32(unit.encode(), (seed * 0x9E3779B1 + variant * 0x85EBCA6B) & _MASK)
+def unit_key(seed: int, occurrence: int, unit: str) -> int:
+    """The part of the key that all candidates of an occurrence of a unit share."""
+    return crc32(unit.encode(), seed * 0x9E3779B1 & _MASK) ^ occurrence
 
 
-def spread(x: int) -> int:
-    """Mixes a 32-bit number."""
-    x = (x ^ x >> 16) * 0x21F0AAAD & _MASK
-    return (x ^ x >> 15) * 0x735A2D97 & _MASK
+def occurrences(seed: int, rows: np.ndarray, positions: np.ndarray) -> np.ndarray:
+    """32-bit numbers of the units at ``positions`` of the texts with the keys ``rows``."""
+    return (mix(mix(rows ^ U64(seed & (1 << 64) - 1)) + positions.astype(U64) * U64(0x9E3779B97F4A7C15)) >> U64(32)).astype(np.uint32)
 
 
-def keyed_hash(key: int, of_place: int, of_piece: int) -> int:
-    """A 32-bit hash of a candidate merge, from the unit's key and the hashes of its place and its piece."""
-    x = key ^ of_place ^ of_piece
+def spread(x):
+    """Mixes a 32-bit number, or an array of them."""
     x = (x ^ x >> 16) * 0x21F0AAAD & _MASK
-    return x ^ x >> 15
+    return (x ^ x >> 15) * 0x735A2D97 & _MASK
 
 
 class Encoder:
-    def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
-        self.v, self.dropout, self.seed, self.variants = vocabulary, dropout, seed, max(1, variants)
+    def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED, cache: int = CACHE):
+        self.v, self.dropout, self.seed, self.cache = vocabulary, dropout, seed, cache
         self.below = int(dropout * (1 << 32))
-        self.known: list[dict[str, array]] = [{} for _ in range(self.variants)]
         self.of_piece = [spread(r + 1) for r in range(len(vocabulary.rank))]
         self.of_place = [spread(p + 0x5BD1E995) for p in range(SHORT_UNIT)]
-
-    def segment(self, unit: str, variant: int) -> list[int]:
-        """Ids of one unit (marks for blanks)."""
-        key = unit_key(self.seed, variant, unit) if self.below else 0
-        symbols = self._by_heap(unit, key) if len(unit) > SHORT_UNIT else self._by_scan(unit, key)
-        ids, out = self.v.ids, []
-        for s in symbols:
-            known = ids.get(s)
-            if known is not None:
-                out.append(known)
-            else:
-                out += [self.v.byte[b] for b in s.encode()]
-        return out
-
-    def _by_scan(self, unit: str, key: int) -> list[str]:
-        """The agenda of a short unit is a list of its neighbours' ranks; the first least one is next."""
+        # A node is a unit with the candidates skipped so far; ``known`` has the nodes without a skip, ``after`` those
+        # after one more skip.  Node 0 is empty.
+        self.known: dict[str, int] = {}
+        self.after: dict[int, int] = {}
+        self.unit, self.skipped, self.crc = [""], [()], array("I", [0])
+        self.ids, self.id_at = array("i"), array("q", [0, 0])
+        self.salts, self.salt_at = array("I"), array("q", [0, 0])
+
+    def _by_scan(self, unit: str, key: int, skipped: tuple[int, ...] = (), salts: list[int] | None = None) -> list[str]:
+        """The agenda of a short unit is a list of its neighbours' ranks; the first least one is next.
+
+        With ``salts``, the candidates' parts of the key are appended to it, and those numbered in ``skipped`` are skipped.
+        """
         get, below, symbols = self.v.rank.get, self.below, list(unit)
-        of_piece, of_place, mask = self.of_piece, self.of_place, _MASK
+        of_piece, of_place = self.of_piece, self.of_place
         agenda = [get(a + b, _NONE) for a, b in zip(symbols, symbols[1:])]
         place = list(range(len(symbols)))
         while agenda:
@@ -126,13 +125,15 @@ class Encoder:
             if r == _NONE:
                 break
             i = agenda.index(r)
-            if below:
-                # keyed_hash, written out: this line runs for every candidate of a corpus.
-                x = key ^ of_place[place[i]] ^ of_piece[r]
-                x = (x ^ x >> 16) * 0x21F0AAAD & mask
-                if x ^ x >> 15 < below:
-                    agenda[i] = _NONE
-                    continue
+            salt = of_place[place[i]] ^ of_piece[r]
+            if salts is None:
+                skip = below and spread(key ^ salt) < below
+            else:
+                skip = len(salts) in skipped
+                salts.append(salt)
+            if skip:
+                agenda[i] = _NONE
+                continue
             symbols[i] += symbols[i + 1]
             del symbols[i + 1], place[i + 1], agenda[i]
             if i:
@@ -161,7 +162,7 @@ class Encoder:
             j = after[i]
             if symbols[i] != left or j >= n or symbols[j] != right:
                 continue
-            if self.below and keyed_hash(key, spread(i + 0x5BD1E995 & _MASK), self.of_piece[r]) < self.below:
+            if self.below and spread(key ^ spread(i + 0x5BD1E995 & _MASK) ^ self.of_piece[r]) < self.below:
                 continue
             symbols[i], symbols[j] = left + right, ""
             after[i] = after[j]
@@ -171,36 +172,154 @@ class Encoder:
             offer(i, after[i])
         return [s for s in symbols if s]
 
-    def encode(self, text: str, key: int = 0) -> array:
-        """Ids of a text; ``key`` (of its row) chooses where the cycle of variants begins."""
-        out = array("i")
-        if not text:
-            return out
-        if MARK in text or "\0" in text:
-            # Both are spelled in bytes, so that no merge takes them.
-            return self._plain(text)
-        k, m = key % self.variants, self.variants
-        for unit, variant in zip(units(text), islice(cycle(range(m)), k, None)):
-            cache = self.known[variant]
-            found = cache.get(unit)
-            if found is None:
-                if len(cache) >= CACHE:
-                    # Common units come early: the first half stays.
-                    cache = self.known[variant] = dict(islice(cache.items(), CACHE // 2))
-                found = array("i", self.segment(unit, variant))
-                if len(unit) <= 64:
-                    cache[unit] = found
-            out += found
+    def spell(self, symbols: list[str]) -> list[int]:
+        """Ids of the symbols; those without a piece are spelled in bytes."""
+        ids, out = self.v.ids, []
+        for s in symbols:
+            known = ids.get(s)
+            if known is not None:
+                out.append(known)
+            else:
+                out += [self.v.byte[b] for b in s.encode()]
         return out
 
-    def _plain(self, text: str) -> array:
-        out = array("i")
+    def _node(self, unit: str, skipped: tuple[int, ...] = ()) -> int:
+        """A new node: the agenda of ``unit`` with exactly the candidates of these numbers skipped."""
+        if unit[0] == "\0":
+            # A literal mark or NUL: spelled in bytes, so that no merge takes it.
+            salts, ids = [], [self.v.byte[b] for b in (unit[1:] or unit).encode()]
+        else:
+            salts: list[int] = []
+            ids = self.spell(self._by_scan(unit, 0, skipped, salts))
+        self.unit.append(unit)
+        self.skipped.append(skipped)
+        self.crc.append(unit_key(self.seed, 0, unit))
+        self.ids.extend(ids)
+        self.id_at.append(len(self.ids))
+        # Those up to the last skip are decided.
+        self.salts.extend(salts[skipped[-1] + 1 :] if skipped else salts)
+        self.salt_at.append(len(self.salts))
+        return len(self.unit) - 1
+
+    def _shrink(self) -> None:
+        """Common units come early: the first half stays."""
+        n = self.cache // 2 + 1
+        self.known = {u: e for u, e in self.known.items() if e < n}
+        self.after = {c: e for c, e in self.after.items() if e < n}
+        del self.unit[n:], self.skipped[n:], self.crc[n:], self.id_at[n + 1 :], self.salt_at[n + 1 :]
+        del self.ids[self.id_at[-1] :], self.salts[self.salt_at[-1] :]
+
+    def _cut(self, found: list[str], of_occurrence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the units one after the other, and the number of each."""
+        if len(self.unit) > self.cache:
+            self._shrink()
+        nodes = list(map(self.known.get, found))
+        long = []
+        if None in nodes:
+            for i, node in enumerate(nodes):
+                if node is None:
+                    u = found[i]
+                    if len(u) > SHORT_UNIT:
+                        long.append(i)
+                        nodes[i] = 0
+                    else:
+                        node = self.known.get(u)
+                        if node is None:
+                            node = self.known[u] = self._node(u)
+                        nodes[i] = node
+        node = np.array(nodes, np.int64)
+        if self.below:
+            key = of_occurrence ^ np.frombuffer(self.crc, np.uint32)[node]
+            open_ = np.arange(len(node))
+            while len(open_):
+                at = np.frombuffer(self.salt_at, np.int64)
+                first = at[node[open_]]
+                size = at[node[open_] + 1] - first
+                del at
+                owner, place = _runs(size)
+                h = spread(np.frombuffer(self.salts, np.uint32)[first[owner] + place] ^ key[open_][owner])
+                hit = np.flatnonzero(h < np.uint64(self.below))
+                hit = hit[np.flatnonzero(np.diff(owner[hit], prepend=-1))]
+                open_, place = open_[owner[hit]], place[hit]
+                codes = (node[open_] * SHORT_UNIT**2 + place).tolist()
+                nexts = list(map(self.after.get, codes))
+                if None in nexts:
+                    for i, (code, known) in enumerate(zip(codes, nexts)):
+                        if known is None:
+                            known = self.after.get(code)
+                            if known is None:
+                                known = self.after[code] = self._after(*divmod(code, SHORT_UNIT**2))
+                            nexts[i] = known
+                node[open_] = nexts
+        at = np.frombuffer(self.id_at, np.int64)
+        first = at[node]
+        size = at[node + 1] - first
+        del at
+        cuts = []
+        for i in long:
+            key = unit_key(self.seed, int(of_occurrence[i]), found[i])
+            cuts.append(np.array(self.spell(self._by_heap(found[i], key)), np.int32))
+            size[i] = len(cuts[-1])
+        owner, place = _runs(size)
+        source = first[owner] + place
+        if not long:
+            return (np.frombuffer(self.ids, np.int32)[source] if len(source) else np.zeros(0, np.int32)), size
+        is_long = np.zeros(len(node), bool)
+        is_long[long] = True
+        out, inside = np.empty(len(source), np.int32), is_long[owner]
+        out[~inside] = np.frombuffer(self.ids, np.int32)[source[~inside]] if not inside.all() else 0
+        out[inside] = np.concatenate(cuts)
+        return out, size
+
+    def _after(self, node: int, place: int) -> int:
+        skipped = self.skipped[node]
+        return self._node(self.unit[node], (*skipped, (skipped[-1] + 1 if skipped else 0) + place))
+
+    def encode_all(self, texts: list[str], keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts one after the other, and the number of each; ``keys`` are those of their rows."""
+        out, sizes = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64)
+        found, of_text, position, n = [], [], [], 0
+
+        def flush() -> None:
+            nonlocal found, of_text, position, n
+            if n:
+                text, place = np.concatenate(of_text), np.concatenate(position)
+                rows = np.array([keys[i] & (1 << 64) - 1 for i in range(text[0], text[-1] + 1)], U64)[text - text[0]]
+                ids, size = self._cut(found, occurrences(self.seed, rows, place))
+                out.append(ids)
+                np.add.at(sizes, text, size)
+            found, of_text, position, n = [], [], [], 0
+
+        for i, text in enumerate(texts):
+            own = self._units(text)
+            for first in range(0, len(own), AT_ONCE):
+                part = own[first : first + AT_ONCE]
+                found += part
+                of_text.append(np.full(len(part), i))
+                position.append(np.arange(first, first + len(part)))
+                n += len(part)
+                if n >= AT_ONCE:
+                    flush()
+        flush()
+        return np.concatenate(out), sizes
+
+    def encode(self, text: str, key: int = 0) -> array:
+        """Ids of a text; ``key`` is that of its row."""
+        return array("i", self.encode_all([text], [key])[0].tobytes())
+
+    def _units(self, text: str) -> list[str]:
+        if not text:
+            return []
+        if MARK not in text and "\0" not in text:
+            return units(text)
+        out = []
         for i, part in enumerate(_LITERAL.split(text)):
-            if part == MARK or part == "\0":
-                out.extend(self.v.byte[b] for b in part.encode())
-                continue
-            for unit in units(part, i == 0):
-                out.extend(self.segment(unit, 0))
+            if part == "\0":
+                out.append(part)
+            elif part == MARK and i % 2:
+                out.append("\0" + part)
+            else:
+                out += units(part, i == 0)
         return out
 
     def decode(self, ids) -> str:
@@ -225,14 +344,20 @@ def units(text: str, first: bool = True) -> list[str]:
     return out
 
 
+def _runs(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For runs of these sizes, each element's run and its place there."""
+    owner = np.repeat(np.arange(len(size)), size)
+    return owner, np.arange(len(owner)) - (np.cumsum(size) - size)[owner]
+
+
 _encoders: dict[tuple, Encoder] = {}
 
 
-def _encoder(vocabulary: Vocabulary, dropout: float, seed: int, variants: int) -> Encoder:
-    key = (vocabulary.key, dropout, seed, variants)
+def _encoder(vocabulary: Vocabulary, dropout: float, seed: int) -> Encoder:
+    key = (vocabulary.key, dropout, seed)
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(vocabulary, dropout, seed, variants)
+        _encoders[key] = Encoder(vocabulary, dropout, seed)
     return _encoders[key]
 
 
@@ -241,7 +366,6 @@ def encode(
     vocabulary: Vocabulary,
     dropout: float = DROPOUT,
     seed: int = SEED,
-    variants: int = VARIANTS,
     keep: tuple[Column, ...] = (),
 ) -> DataFrame:
     """``doc_id``, the columns of ``keep``, ``ids`` and ``lossless`` (whether decoding them gave the text)."""
@@ -251,19 +375,15 @@ def encode(
     share = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _encoder(share.value, dropout, seed, variants)
+        coder = _encoder(share.value, dropout, seed)
         for batch in batch_pieces(batches):
-            flat, ends, same, valid = array("i"), [0], [], []
-            for text, key in zip(batch.column("text").to_pylist(), batch.column("__key").to_pylist(), strict=True):
-                if text is not None:
-                    ids = coder.encode(text, key)
-                    same.append(coder.decode(ids) == text)
-                    flat += ids
-                else:
-                    same.append(None)
-                valid.append(text is not None)
-                ends.append(len(flat))
-            values = pa.array(np.frombuffer(flat, np.int32) if len(flat) else np.zeros(0, np.int32))
+            texts = batch.column("text").to_pylist()
+            flat, sizes = coder.encode_all([t or "" for t in texts], batch.column("__key").to_pylist())
+            ends = [0, *np.cumsum(sizes).tolist()]
+            listed = flat.tolist()
+            same = [None if t is None else coder.decode(listed[a:b]) == t for t, a, b in zip(texts, ends, ends[1:])]
+            valid = [t is not None for t in texts]
+            values = pa.array(flat)
             mask = pa.array([not v for v in valid], pa.bool_())
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values, mask=mask)
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), ids, pa.array(same, pa.bool_())], [*names, "ids", "lossless"])

@@ -206,6 +206,31 @@ def test_dropout_varies_and_repeats(vocabulary):
     assert len(one.encode(text)) > len(pieces.Encoder(vocabulary, 0.0).encode(text))
 
 
+def test_every_occurrence_is_cut_on_its_own(vocabulary):
+    encoder = pieces.Encoder(vocabulary, 0.3)
+    assert len({tuple(encoder.encode("internationalization", k)) for k in range(300)}) > 10
+    cuts = []
+    for i in encoder.encode("internationalization " * 300):
+        content = vocabulary.content[i]
+        cuts += [[]] if content.startswith(b" ") else []
+        cuts[-1].append(i)
+    assert len(set(map(tuple, cuts))) > 10
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5, 1.0])
+@pytest.mark.parametrize("cache", [40, pieces.CACHE])
+def test_kept_candidates_give_the_agendas_cuts(vocabulary, spark, sf_dir, dropout, cache):
+    encoder = pieces.Encoder(vocabulary, dropout, cache=cache)
+    texts = [t for t in TEXTS if "▁" not in t and "\0" not in t]
+    texts += [r["text"] for r in table(spark, sf_dir, "documents").select("text").limit(30).collect()]
+    for row, text in enumerate(texts):
+        found = pieces.units(text) if text else []
+        of = pieces.occurrences(encoder.seed, np.full(len(found), row, np.uint64), np.arange(len(found)))
+        keys = [pieces.unit_key(encoder.seed, int(k), u) for k, u in zip(of, found)]
+        plain = [encoder.spell(encoder._by_heap(u, k)) for u, k in zip(found, keys)]
+        assert list(encoder.encode(text, row)) == [i for ids in plain for i in ids]
+
+
 def test_pieces_query(spark, sf_dir):
     found = QUERIES["op5_sentencepiece"](spark, sf_dir)
     assert found.where("NOT lossless").count() == 0
