@@ -217,6 +217,15 @@ def test_every_occurrence_is_cut_on_its_own(vocabulary):
     assert len(set(map(tuple, cuts))) > 10
 
 
+def test_texts_with_a_literal_mark_vary_too(vocabulary):
+    encoder = pieces.Encoder(vocabulary, 0.3)
+    for literal in ("▁", "\0"):
+        text = "international collaboration " * 8 + literal + " international" * 8
+        found = [encoder.encode(text, key) for key in range(20)]
+        assert len(set(map(tuple, found))) > 10
+        assert all(encoder.decode(ids) == text for ids in found)
+
+
 @pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5, 1.0])
 @pytest.mark.parametrize("cache", [40, pieces.CACHE])
 def test_kept_candidates_give_the_agendas_cuts(vocabulary, spark, sf_dir, dropout, cache):
