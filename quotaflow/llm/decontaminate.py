@@ -13,6 +13,7 @@ empty benchmark leaves every document clean.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -22,7 +23,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import pieces, text_bytes
+from .base import pieces, text_bytes, written
 
 WINDOW = 10
 # Benchmark text behind one automaton; a larger benchmark is split and scanned part by part.
@@ -89,8 +90,6 @@ def scan(text: bytes, machine: ahocorasick.Automaton | None) -> tuple[int, int,
 
 def _merge(parts: list[tuple[int, int, list[int], list[dict]]], text: bytes):
     """Results of several automata over one text as one."""
-    if len(parts) == 1:
-        return parts[0]
     solid = np.frombuffer(text.translate(_FORM), np.uint8) != _SPACE
     mark = np.zeros(len(text) + 1, np.int64)
     for part in parts:
@@ -107,21 +106,28 @@ def _merge(parts: list[tuple[int, int, list[int], list[dict]]], text: bytes):
     return parts[0][0], int((begin & inside).sum()), sorted({i for p in parts for i in p[2]}), spans
 
 
-def _share(benchmark: DataFrame, limit: int) -> list[Broadcast]:
-    """The items in broadcasts of at most ``limit`` bytes each (or one item, if it is longer)."""
-    context = benchmark.sparkSession.sparkContext
+def _share(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[int, bytes]]]:
+    """The items in blocks of at most ``limit`` bytes (or one item, if it is longer); the driver holds one at a time."""
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("binary")).dropna()
-    shares, block, size = [], [], 0
+    block, size = [], 0
     for row in items.toLocalIterator():
         if block and size + len(row[1]) > limit:
-            shares.append(context.broadcast(block))
+            yield block
             block, size = [], 0
         block.append((row[0], bytes(row[1])))
         size += len(row[1])
-    return [*shares, context.broadcast(block)]
+    yield block
 
 
-_built: dict[tuple, list] = {}
+# The automaton of the last share that this worker scanned against, by the name of the share.
+_built: dict[str, ahocorasick.Automaton | None] = {}
+
+
+def _machine(name: str, share: Broadcast, size: int) -> ahocorasick.Automaton | None:
+    if name not in _built:
+        _built.clear()
+        _built[name] = build(patterns(iter(share.value), size))
+    return _built[name]
 
 
 def find_leaks(
@@ -129,23 +135,40 @@ def find_leaks(
 ) -> DataFrame:
     """One row per document: ``doc_id``, the columns of ``keep``, words, hit words, items, hit spans (byte offsets).
 
-    The documents are scanned where they are, without a shuffle.
+    The documents are scanned where they are, without a shuffle.  A benchmark of more than
+    ``limit`` bytes is scanned share by share, with one automaton in a worker at a time: the
+    documents with what is found so far are written once per further share, when this is called.
     """
-    shares = _share(benchmark.select("item_id", "text"), limit)
     chosen = docs.select("doc_id", "text", *[c for c in keep if c not in ("doc_id", "text")])
-    fields = [f for f in chosen.schema.fields if f.name in ("doc_id", *keep)]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), SCHEMA])
+    wanted = [f.name for f in chosen.schema.fields if f.name in ("doc_id", *keep)]
+    found, context = chosen, docs.sparkSession.sparkContext
+    blocks = _share(benchmark.select("item_id", "text"), limit)
+    block, is_first = next(blocks), True
+    while block is not None:
+        after = next(blocks, None)
+        found = _pass(found, context.broadcast(block), size, chosen.schema.fields if after is not None else [chosen.schema[n] for n in wanted], is_first)
+        if after is not None:
+            found = written(found, "leaks")
+        block, is_first = after, False
+    return found
+
+
+def _pass(docs: DataFrame, share: Broadcast, size: int, fields: list, is_first: bool) -> DataFrame:
+    """``fields`` and what is found in one share, merged with what the columns of ``docs`` have of earlier ones."""
+    name = uuid.uuid4().hex
     names = [f.name for f in fields]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), SCHEMA])
     kinds = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    told = ["n_words", "n_hit", "items", "spans"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (tuple(s.id if hasattr(s, "id") else id(s) for s in shares), size)
-        if key not in _built:
-            _built.clear()
-            _built[key] = [build(patterns(iter(s.value), size)) for s in shares]
-        machines = _built[key]
+        machine = _machine(name, share, size)
         for batch in pieces(batches):
-            rows = [_merge([scan(t, m) for m in machines], t) for t in text_bytes(batch.column("text"))]
+            texts = text_bytes(batch.column("text"))
+            rows = [scan(t, machine) for t in texts]
+            if not is_first:
+                earlier = zip(*(batch.column(c).to_pylist() for c in told), strict=True)
+                rows = [_merge([e, r], t) for e, r, t in zip(earlier, rows, texts, strict=True)]
             columns = [batch.column(n) for n in names]
             columns += [
                 pa.array([r[0] for r in rows], pa.int64()),
@@ -153,9 +176,9 @@ def find_leaks(
                 pa.array([r[2] for r in rows], pa.list_(pa.int64())),
                 pa.array([r[3] for r in rows], pa.list_(kinds)),
             ]
-            yield pa.RecordBatch.from_arrays(columns, [*names, "n_words", "n_hit", "items", "spans"])
+            yield pa.RecordBatch.from_arrays(columns, [*names, *told])
 
-    return chosen.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def digest(found: DataFrame) -> DataFrame:

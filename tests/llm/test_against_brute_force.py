@@ -97,6 +97,28 @@ def test_leaks_without_items_or_documents(spark):
     assert decontaminate.find_leaks(cases.docs(spark).limit(0), none).count() == 0
 
 
+def test_one_automaton_is_kept_and_found_by_its_name():
+    class Share:
+        """Stands for a broadcast; two may come to lie at one address."""
+
+    share = Share()
+    share.value = [(1, b"an earlier item")]
+    assert decontaminate.scan(b"an earlier item", decontaminate._machine("first", share, 10))[2] == [1]
+    share.value = [(2, b"a later item")]
+    machine = decontaminate._machine("second", share, 10)
+    assert decontaminate.scan(b"a later item", machine)[2] == [2]
+    assert decontaminate._built == {"second": machine}
+
+
+def test_shares_are_scanned_one_after_the_other(spark):
+    docs = spark.createDataFrame([(1, "x one two three y"), (2, "four five six"), (3, None), (4, "one two three four five six")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "one two three"), (8, "four five six"), (9, "three four")], "item_id long, text string")
+    whole, parts = (decontaminate.find_leaks(docs, items, keep=("text",), limit=n) for n in (1 << 20, 1))
+    assert whole.columns == parts.columns
+    assert sorted(map(str, whole.collect())) == sorted(map(str, parts.collect()))
+    assert len(list(decontaminate._share(items, 1))) == 3
+
+
 def test_groups(spark, sf_dir):
     found = QUERIES["op10_ngram_jaccard_join"](spark, sf_dir)
     assert bag(found.collect()) == bag(brute.groups(pairs_of(spark, sf_dir)))
