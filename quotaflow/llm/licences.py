@@ -7,8 +7,10 @@ and a template share a band when one of ``BANDS`` minima of keyed hashes over th
 shingles is equal.  A window that holds the required ``CONTAINMENT`` of a template has a
 Jaccard similarity of at least ``containment / (windows' size over template's + 1 -
 containment)`` with it; with one row per band all bands miss with a probability below
-``(1 - that) ** BANDS``: 8e-7 for 0.8, windows of 2.9 times and 48 bands.
-``miss_bound`` computes it for other settings.
+``(1 - that) ** BANDS``, which ``miss_bound`` computes.  It grows with the windows' size over
+the template's.  A template with a bound above ``MISS`` is retrieved by shingles as well: of
+its ``n``, any ``n - need + 1`` have one in every window that holds the ``need`` required, so
+looking these up misses nothing.
 Retrieved pairs are verified by exact containment of the template's shingles.
 
 Before windows are made, a document must have one of the templates' rare words; every
@@ -32,6 +34,8 @@ from pyspark.sql import functions as F
 SHINGLE = 3
 BANDS = 48
 CONTAINMENT = 0.8
+# Largest probability of a miss up to which bands alone retrieve a template.
+MISS = 1e-6
 # Template length classes, in words.
 CLASSES = (4, 8, 16, 32, 64)
 
@@ -97,6 +101,16 @@ def miss_bound(shingles: int, window: int, containment: float = CONTAINMENT, ban
     return (1 - min(1.0, jaccard)) ** bands
 
 
+def looked_up(words: list[str], containment: float = CONTAINMENT) -> list[str]:
+    """The shingles by which windows are looked up for a template; none where the bands do."""
+    shingles = sorted(template_shingles(words), key=lambda s: (sum(w in COMMON for w in s.split()), -len(s), s))
+    n = len(shingles)
+    if miss_bound(n, 2 * size_class(len(words)), containment) <= MISS:
+        return []
+    need = next(k for k in range(n + 1) if k / n >= containment)
+    return shingles[: n - need + 1]
+
+
 def text_words(text: Column) -> Column:
     lower = F.translate(text, ascii_uppercase, ascii_lowercase)
     return F.filter(F.split(lower, "[^a-z0-9]+"), lambda w: w != "")
@@ -116,6 +130,11 @@ def _bands(shingles: Column) -> Column:
     )
 
 
+def _with_looked_up(bands: Column, shingles: Column) -> Column:
+    """The bands with the hashes of looked-up shingles, which have no band number."""
+    return F.concat(bands, F.transform(shingles, lambda s: F.xxhash64(F.lit("shingle"), s)))
+
+
 def _place(size: int):
     """Names a window by its class and first word."""
     return lambda first: F.struct(F.lit(size).alias("class"), first.alias("first"))
@@ -129,11 +148,13 @@ def find_licences(
     rare = rare_words(templates, containment)
     rows = [(name, template_words(text)) for name, text in templates.items()]
     classes = sorted({size_class(len(words)) for _, words in rows})
+    direct = {n: looked_up(w, containment) for n, w in rows}
     known = (
-        spark.createDataFrame([(n, w, size_class(len(w))) for n, w in rows], "template string, words array<string>, class int")
-        .select("template", "class", _shingles(F.col("words")).alias("wanted"))
-        .select("template", "class", "wanted", F.explode(_bands(F.col("wanted"))).alias("band"))
+        spark.createDataFrame([(n, w, size_class(len(w)), direct[n]) for n, w in rows], "template string, words array<string>, class int, direct array<string>")
+        .select("template", "class", "direct", _shingles(F.col("words")).alias("wanted"))
+        .select("template", "class", "wanted", F.explode(_with_looked_up(_bands(F.col("wanted")), F.col("direct"))).alias("band"))
     )
+    watched = F.lit(sorted({s for found in direct.values() for s in found})).cast("array<string>")
     # A cheap test on the raw text first, then on whole words.
     marks = reduce(lambda a, b: a | b, [F.contains(F.lower("text"), F.lit(w)) for w in _stems(rare, templates, containment)])
     worded = docs.select("doc_id", "text").where(marks).select("doc_id", text_words(F.col("text")).alias("words"))
@@ -150,7 +171,7 @@ def find_licences(
     cut = cut.where(F.arrays_overlap("words", F.array(*map(F.lit, rare))))
     shingled = cut.select("doc_id", "class", "first", _shingles(F.col("words")).alias("has"))
     retrieved = (
-        shingled.select("doc_id", "class", "first", "has", F.explode(_bands(F.col("has"))).alias("band"))
+        shingled.select("doc_id", "class", "first", "has", F.explode(_with_looked_up(_bands(F.col("has")), F.array_intersect("has", watched))).alias("band"))
         .join(F.broadcast(known), ["class", "band"])
         .select(
             "doc_id", "template", "first",

@@ -294,6 +294,27 @@ def test_band_settings_retrieve_what_is_required():
         assert bound < 0.02
 
 
+def test_every_template_is_retrieved_within_the_stated_bound():
+    for text in licences.TEMPLATES.values():
+        words = licences.template_words(text)
+        own = licences.template_shingles(words)
+        direct = licences.looked_up(words)
+        if direct:
+            # Without these the rest is below what is required.
+            assert len(own - set(direct)) < licences.CONTAINMENT * len(own) and set(direct) <= own
+        else:
+            assert licences.miss_bound(len(own), 2 * licences.size_class(len(words))) <= licences.MISS
+
+
+def test_short_notices_do_not_hang_on_the_bands(spark, monkeypatch):
+    monkeypatch.setattr(licences, "BANDS", 1)
+    short = {n: licences.TEMPLATES[n] for n in ("all-rights", "mit-short")}
+    rows = [(i, name, " ".join([*cases.prose(i, 2), text, *cases.prose(i + 999, 9)])) for i in range(100) for name, text in short.items()]
+    docs = spark.createDataFrame([(f"{i} {name}", text) for i, name, text in rows], "doc_id string, text string")
+    found = {(r["doc_id"], r["template"]) for r in licences.find_licences(docs).where("containment = 1").collect()}
+    assert {(f"{i} {name}", name) for i, name, _ in rows} <= found
+
+
 def test_given_url_rules(spark):
     rows = [
         (1, "http://A.Example.COM/en/x?q#f"), (2, "https://www.example.com/en/1"), (3, "https://net/es/"), (4, "x.net/fr/"),
