@@ -14,7 +14,7 @@
   trained on the posteriors, so a score needs the text alone.
 
 Fitting takes a bounded sample of the labelled rows (``TOXIC_DOCS`` and ``CLEAN_DOCS``,
-chosen by a hash of the id; near copies in it count once); every row is scored on its
+rows chosen by a hash of id and text; near copies in it count once); every row is scored on its
 whole text.  Defined cases: null, empty and wordless texts have no feature and get the
 score of the bias; labels that are null, or missing one class, give a score of 0 to
 everything; repeated rows score alike.
@@ -224,15 +224,18 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, clean_
     """
     named = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "toxic").dropDuplicates(["doc_id"])
     balance = named.agg(F.avg("toxic")).first()[0]
-    order = [F.xxhash64("doc_id"), "doc_id"]
-    # At most toxic_docs + clean_docs ids.
-    picked = named.where("toxic = 1").orderBy(*order).limit(toxic_docs).unionByName(
-        named.where("toxic = 0").orderBy(*order).limit(clean_docs)
+    # Texts stay where they are until rows are picked by the hash of id and text: at most toxic_docs + clean_docs.
+    hashed = docs.where("text IS NOT NULL").withColumn("row_hash", F.xxhash64("doc_id", "text"))
+    rows = hashed.select("doc_id", "row_hash").join(named, "doc_id").distinct()
+    order = ["row_hash", "doc_id"]
+    picked = rows.where("toxic = 1").orderBy(*order).limit(toxic_docs).unionByName(
+        rows.where("toxic = 0").orderBy(*order).limit(clean_docs)
     )
     sample = (
-        docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-        .where("text IS NOT NULL")
-        .join(F.broadcast(picked), "doc_id")
+        hashed.select("doc_id", "row_hash", F.col("text").cast("binary").alias("text"))
+        .join(F.broadcast(picked), ["doc_id", "row_hash"])
+        .groupBy("doc_id", "row_hash", "toxic")
+        .agg(F.min("text").alias("text"))
         .orderBy("doc_id", "text")
         .select("text", "toxic")
         .toPandas()

@@ -92,6 +92,30 @@ def test_toxicity_learns_new_words(spark):
     assert {r["score"] for r in toxicity.score(docs, None).collect()} == {0.0}
 
 
+def test_training_samples_are_bounded_in_rows(spark, monkeypatch):
+    """One id with most rows, which comes first whatever the order of ids, is not collected whole."""
+    rows = [(1, f"zorgle number{i} word{i * 7}") for i in range(400)] + [(1, "zorgle again")] * 50
+    rows += [(i, f"plain words number{i} here{i * 3}") for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i == 1)) for i in range(1, 40)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "near_copies_out", lambda texts: seen.append(len(texts)) or list(range(len(texts))))
+    toxicity.fit(docs, labels, toxic_docs=20, clean_docs=10)
+    assert seen == [30]
+
+    class Tokens(lm_score.Subwords):
+        def types(self, word):
+            texts.append(word)
+            return super().types(word)
+
+    texts = []
+    monkeypatch.setattr(lm_score, "Subwords", Tokens)
+    vocabulary = lm_score.read_vocabulary()
+    one = docs.where("doc_id = 1").where("text <> 'zorgle again'")
+    lm_score.fit(one, vocabulary, np.ones(2 * len(vocabulary) + 2), sample_docs=10)
+    assert len(texts) == 3 * 10
+
+
 def test_label_model_weighs_voters_by_accuracy():
     r = np.random.default_rng(3)
     truth = r.random(4000) < 0.3
