@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from string import ascii_lowercase, ascii_uppercase
 
-from . import decontaminate, host_quality, jaccard, repeats
+from . import decontaminate, hash_ring, host_quality, jaccard, repeats
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = f"translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}')"
@@ -85,3 +85,43 @@ reach(a, b) AS (SELECT rid, rid FROM d UNION SELECT reach.a, link.b FROM reach J
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least.component_id
 FROM d LEFT JOIN n USING (rid)
 JOIN (SELECT reach.a AS rid, min(o.doc_id) AS component_id FROM reach JOIN d o ON o.rid = reach.b GROUP BY 1) AS least USING (rid)"""
+
+_R = hash_ring
+# The table of the reflected polynomial 0xEDB88320 for four bits.
+_CRC = (
+    "[0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, 3988292384, 4027552580,"
+    " 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]"
+)
+_BITS = r"string_split(regexp_replace(hex(encode(text)), '(.)(.)', '\2\1', 'g'), '')"
+# Checksum of the bytes by halves, the lower half of each first.
+_CRC32 = (
+    f"CASE WHEN text = '' THEN 0 ELSE xor(list_reduce([4294967295] || list_transform({_BITS}, lambda x: instr('0123456789ABCDEF', x) - 1),"
+    f" lambda c, b: xor(c >> 4, {_CRC}[(xor(c, b) & 15) + 1])), 4294967295) END"
+)
+
+
+def _place(name: str) -> str:
+    return f"CAST('0x' || substr(md5({name}), 1, 8) AS BIGINT)"
+
+
+# Row by row along the ring, where the operator cuts whole arcs.
+OP12 = rf"""
+WITH RECURSIVE t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+d AS MATERIALIZED (SELECT doc_id, CAST(strlen(text) + {_R.ROW_BYTES} AS BIGINT) AS size, CAST({_CRC32} AS BIGINT) AS text_crc32,
+      {_place("coalesce(CAST(doc_id AS VARCHAR), '')")} AS place FROM t),
+node AS MATERIALIZED (SELECT row_number() OVER (ORDER BY cell, s) - 1 AS i, s, cell FROM (SELECT s, {_place("s || '#' || v")} >> {32 - _R.CELL_BITS} AS cell
+      FROM range({_R.SHARDS}) AS a(s), range({_R.VNODES}) AS b(v))),
+walk AS MATERIALIZED (SELECT i, list(s ORDER BY away) AS walk FROM (SELECT a.i, b.s, min((b.i - a.i + {_R.SHARDS * _R.VNODES}) % {_R.SHARDS * _R.VNODES}) AS away
+      FROM node a, node b GROUP BY 1, 2) GROUP BY i),
+n AS MATERIALIZED (SELECT row_number() OVER (ORDER BY place, doc_id NULLS FIRST, text_crc32, size) AS k, *,
+      (SELECT count(*) FROM node WHERE cell < place >> {32 - _R.CELL_BITS}) % {_R.SHARDS * _R.VNODES} AS i FROM d),
+keys AS MATERIALIZED (SELECT k, walk FROM n JOIN walk USING (i)),
+gone AS (
+  SELECT CAST(0 AS BIGINT) AS k, list_transform(range({_R.SHARDS}), lambda s: rows // {_R.SHARDS} + CAST(s < rows % {_R.SHARDS} AS BIGINT)) AS rooms,
+         CAST(NULL AS BIGINT) AS shard FROM (SELECT count(*) AS rows FROM d)
+  UNION ALL
+  SELECT k, list_transform(range({_R.SHARDS}), lambda s: rooms[s + 1] - CAST(s = shard AS BIGINT)), shard
+  FROM (SELECT keys.k, rooms, list_filter(walk, lambda s: rooms[s + 1] > 0)[1] AS shard FROM gone JOIN keys ON keys.k = gone.k + 1))
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard, row_number() OVER (PARTITION BY shard ORDER BY k) - 1 AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM n JOIN gone USING (k)"""

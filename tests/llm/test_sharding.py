@@ -1,0 +1,91 @@
+"""The ring against a walk of every row by itself."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+from collections import Counter
+
+import cases
+import pytest
+from pyspark.sql import functions as F
+
+from quotaflow.llm import hash_ring
+
+
+def _place(name: str) -> int:
+    return int(hashlib.md5(name.encode()).hexdigest()[:8], 16)
+
+
+def walked(rows, shards, vnodes, slack=0.0):
+    """Row by row: the first node clockwise whose shard has room."""
+    shift = 32 - hash_ring.CELL_BITS
+    nodes = sorted((_place(f"{s}#{v}") >> shift, s) for s in range(shards) for v in range(vnodes))
+    n = len(rows)
+    rooms = [-(-n * (1 + slack) // shards) if slack else n // shards + (s < n % shards) for s in range(shards)]
+    facts = [(i, len((t or "").encode()) + hash_ring.ROW_BYTES, zlib.crc32((t or "").encode())) for i, t in rows]
+    place = lambda i: _place("" if i is None else str(i))
+    filled, out = Counter(), []
+    for i, size, crc in sorted(facts, key=lambda f: (place(f[0]), f[0] is not None, f[0] or 0, f[2], f[1])):
+        cell = place(i) >> shift
+        start = next((k for k, (c, _) in enumerate(nodes) if c >= cell), 0)
+        shard = next(s for _, s in nodes[start:] + nodes[:start] if filled[s] < rooms[s])
+        out.append((i, size, crc, shard, filled[shard]))
+        filled[shard] += 1
+    return out
+
+
+def bag(rows):
+    return sorted((tuple(r) for r in rows), key=repr)
+
+
+@pytest.mark.parametrize(("shards", "vnodes", "slack"), [(24, 64, 0.0), (5, 3, 0.0), (7, 8, 0.25), (1, 1, 0.0), (40, 2, 0.0)])
+def test_every_row_by_itself(spark, shards, vnodes, slack):
+    found = hash_ring.assign(cases.docs(spark), shards, vnodes, slack)
+    assert bag(found.collect()) == bag(walked(cases.pairs(), shards, vnodes, slack))
+
+
+def test_empty_table(spark):
+    found = hash_ring.digest(hash_ring.assign(cases.docs(spark).limit(0)))
+    assert found.count() == 0
+    assert found.columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+
+
+def test_a_key_of_a_third_of_the_rows(spark):
+    rows = [(7, "the same text") if i % 3 == 0 else (i, f"text {i}") for i in range(3000)]
+    found = hash_ring.assign(spark.createDataFrame(rows, "doc_id long, text string"))
+    sizes = Counter(r["shard"] for r in found.collect())
+    assert sorted(sizes.values()) == [125] * 24
+    assert bag(found.collect()) == bag(walked(rows, 24, hash_ring.VNODES))
+
+
+def test_one_more_shard_moves_few_rows(spark):
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+
+    def moved(slack):
+        before = hash_ring.assign(docs, 24, slack=slack).select("doc_id", F.col("shard").alias("before"))
+        after = hash_ring.assign(docs, 25, slack=slack)
+        return after.join(before, "doc_id").where("shard <> before").count() / 6000
+
+    # Ideal is 1/25; dealing by remainder moves 24/25.
+    assert moved(0.2) < 0.08
+    assert moved(0.0) < 0.25
+
+
+def test_other_columns_are_carried(spark):
+    docs = cases.docs(spark).withColumnsRenamed({"chunk": "shard", "score": "slot"}).withColumn("_cell", F.lit("x"))
+    found = hash_ring.assign(docs, 3, 4, keep=(F.col("lang"), F.col("shard").alias("theirs")))
+    assert found.columns == ["doc_id", "size", "text_crc32", "shard", "slot", "lang", "theirs"]
+    assert Counter(r["lang"] for r in found.collect()) == Counter(r["lang"] for r in docs.collect())
+    assert {r["theirs"] for r in found.collect()} == {9, None}
+
+
+def test_no_texts_in_the_exchange_and_no_python(spark):
+    found = hash_ring.assign(cases.docs(spark))
+    plan = found._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_refused_parameters(spark):
+    with pytest.raises(ValueError):
+        hash_ring.assign(cases.docs(spark), 0)
