@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hash_ring, host_quality, jaccard, language, licences, lm_score, oracles, pieces, repeats, toxicity, url_rules
+from . import decontaminate, hash_ring, host_quality, jaccard, language, licences, lm_score, oracles, pieces, repeats, toxicity, url_rules, whitening
 from .base import crc_mod, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,9 @@ def ngram_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
 @query("op12_sharding", oracles.OP12)
 def sharding(spark: SparkSession, d: str) -> DataFrame:
     return hash_ring.digest(hash_ring.assign(table(spark, d, "documents")))
+
+
+@query("op13_embedding_whitening")
+def embedding_whitening(spark: SparkSession, d: str) -> DataFrame:
+    vectors = table(spark, d, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
