@@ -162,3 +162,12 @@ def test_intervals_hold_what_they_count():
     cuts = list(feast.intervals(matrix, 32, 1e-12, values[-1] * 1.1))
     assert sum(n for *_, n in cuts) >= 32
     assert all(((values > low) & (values < high)).sum() == n for low, high, n in cuts)
+
+
+def test_mixed_values_inside_are_not_taken():
+    """Many spectra with other eigenvalues close outside, which first give values inside without being one."""
+    for seed in range(60):
+        z = np.random.default_rng(seed).standard_normal((200, 64)) * 5
+        matrix = z.T @ z / 200
+        values, _ = feast.leading(matrix, 32)
+        assert values == pytest.approx(np.linalg.eigvalsh(matrix)[::-1][:32], rel=1e-12)
