@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hash_ring, host_quality, jaccard, language, licences, lm_score, oracles, pieces, repeats, toxicity, url_rules, whitening
+from . import decontaminate, hash_ring, host_quality, jaccard, language, licences, lm_score, oracles, pieces, repeats, token_align, toxicity, url_rules, whitening
 from .base import crc_mod, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +90,11 @@ def ngram_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
     return jaccard.join(table(spark, d, "documents"))
 
 
+@query("op11_token_alignment")
+def token_alignment(spark: SparkSession, d: str) -> DataFrame:
+    return token_align.digest(token_align.align(table(spark, d, "documents")))
+
+
 @query("op12_sharding", oracles.OP12)
 def sharding(spark: SparkSession, d: str) -> DataFrame:
     return hash_ring.digest(hash_ring.assign(table(spark, d, "documents")))

@@ -1,0 +1,150 @@
+"""Alignment against its definition, token by token, with each library used directly."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import cases
+import numpy as np
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from quotaflow.llm import token_align
+from quotaflow.llm.queries import QUERIES
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    a = Tokenizer.from_file(token_align.BYTE_BPE)
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=token_align.PIECE_BPE)
+
+
+def _spans(pieces):
+    at, out = 0, []
+    for i, raw in pieces:
+        out.append((i, at, at + len(raw)))
+        at += len(raw)
+    return out
+
+
+def by_definition(rows, libraries):
+    a_lib, b_lib = libraries
+    of = token_align.byte_of_symbol()
+    docs, counts = [], Counter()
+    for doc_id, text in rows:
+        wanted = (" " + (text or "")).encode()
+        a = [(i, bytes(of[c] for c in a_lib.id_to_token(i))) for i in a_lib.encode(" " + (text or ""), add_special_tokens=False).ids]
+        b = []
+        for i in b_lib.encode(text or ""):
+            p = b_lib.id_to_piece(i)
+            b.append((i, bytes([int(p[3:5], 16)]) if b_lib.is_byte(i) else p.replace("▁", " ").encode()))
+        if not text or any(b"".join(raw for _, raw in x) != wanted for x in (a, b)):
+            docs.append((doc_id, [], [], [], []))
+            continue
+        a, b = _spans(a), _spans(b)
+        links = [(i, k) for i, s, e in a for k, u, v in b if s < v and u < e]
+        cuts = sorted({e for *_, e in a} & {e for *_, e in b})
+        groups = [
+            "|".join(",".join(str(i) for i, _, e in side if low < e <= high) for side in (a, b))
+            for low, high in zip([0, *cuts], cuts)
+        ]
+        docs.append((doc_id, a, b, groups, links))
+        counts.update(links)
+    best = {}
+    for (_, k), n in counts.items():
+        best[k] = max(best.get(k, 0), n)
+    return [
+        (
+            doc_id, len(a), len(b), len(groups), len(links),
+            sum(counts[p] == best[p[1]] for p in links), sum(counts[p] for p in links),
+            hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "",
+        )
+        for doc_id, a, b, groups, links in docs
+    ]
+
+
+def bag(rows):
+    return sorted((tuple(r) for r in rows), key=repr)
+
+
+ODD = [
+    "<|endoftext|> and <s> </s> <unk> are text", "  two  blanks   and\ttabs\n\nlines  ", "▁ a literal mark", "a\0b", "you're I'LL 'tis it's",
+    "héllo wörld straße ½ ²", "日本語のテキスト and 😀 emoji", " \u0085 x\x1c", "é combining", "…—“quoted”", " ", "\n", "word",
+    "x" * 3000, "ab " * 500, "١٢٣ ४५६", "\U0001f469‍\U0001f4bb", "a" + " " * 300 + "b",
+]
+
+
+def given(rows):
+    return [(i, t[:1500] if t and len(t) > 20_000 else t) for i, t in rows] + list(enumerate(ODD, 1000))
+
+
+def test_definition(spark, libraries):
+    rows = given(cases.pairs())
+    found = token_align.digest(token_align.align(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)))
+    assert bag(found.collect()) == bag(by_definition(rows, libraries))
+
+
+def test_many_lots(spark, libraries, monkeypatch):
+    monkeypatch.setattr(token_align, "LOT_BYTES", 200)
+    rows = given(cases.pairs())[:60]
+    found = token_align.digest(token_align.align(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)))
+    assert bag(found.collect()) == bag(by_definition(rows, libraries))
+
+
+def test_joins_that_shuffle(spark, libraries, shuffle_joins, monkeypatch):
+    monkeypatch.setattr(token_align, "small_side", lambda df: df)
+    rows = given(cases.pairs())[:40]
+    found = token_align.digest(token_align.align(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert bag(found.collect()) == bag(by_definition(rows, libraries))
+
+
+def test_query_on_texts_that_are_short_enough_to_check(spark, sf_dir, libraries):
+    """Token counts and group texts of the whole table's query; its corpus counts hold among themselves."""
+    found = {r["doc_id"]: r for r in QUERIES["op11_token_alignment"](spark, sf_dir).collect()}
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    assert len(found) == len(rows)
+    short = [r for r in rows if r[1] is None or len(r[1]) < 1200]
+    assert len(short) > 20
+    for w in by_definition(short, libraries):
+        r = found[w[0]]
+        assert (r["n_a"], r["n_b"], r["n_groups"], r["n_links"], r["groups_sha256"]) == (*w[1:5], w[7])
+        assert r["n_best"] <= r["n_links"] <= r["count_sum"] or not r["n_links"]
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None)], [(1, ""), (None, None)], [(5, "▁")]])
+def test_nothing_to_align(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = token_align.digest(token_align.align(frame)).collect()
+    assert bag(found) == bag((i, 0, 0, 0, 0, 0, 0, "") for i, _ in rows)
+
+
+def test_other_columns_are_carried(spark):
+    docs = cases.docs(spark).limit(3).withColumn("lot", F.lit("x")).withColumn("head", F.lit(True)).withColumn("_0", F.lit(1))
+    found = token_align.align(docs, keep=(F.col("lang"), F.col("lot"), F.col("head").alias("theirs")))
+    assert found.columns[:4] == ["doc_id", "lang", "lot", "theirs"]
+    assert {r["lot"] for r in found.collect()} == {"x"}
+
+
+def test_both_libraries_of_side_a_agree(libraries):
+    """Over every character that is encoded by ranks, beside blanks, letters, digits and quotes."""
+    coder, (a, _) = token_align.Coder(token_align.BYTE_BPE, token_align.PIECE_BPE), libraries
+    chars = [chr(i) for i in range(0x250) if token_align._OTHER.search(chr(i)) is None]
+    texts = [f" {c}{d} x{c}y{d}{d} {c} '{c}\n{c}" for c in chars for d in (" ", "'", "A", "0", ".", "é", "\n")]
+    r = random.Random(3)
+    texts += [" " + "".join(r.choices(["don't", " ", "  ", "\n", "12", "é", "a", "Z", "-", "'ll"], k=20)) for _ in range(2000)]
+    assert coder.a.encode(texts) == [e.ids for e in a.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_windows_that_meet_by_hash_are_told_apart(monkeypatch):
+    ids = np.array([5, 6, 5, 6, 7, 5], np.int64)
+    windows = token_align.Windows(ids, ids, np.array([0, 2, 4, 5, 6]), np.array([0, 2, 4, 5, 6]))
+    first, of = windows.distinct()
+    assert len(first) == 3 and of[0] == of[1] and len({*of.tolist()}) == 3
+    monkeypatch.setattr(token_align.Windows, "hashes", lambda self: np.zeros(len(self), np.uint64))
+    first, of = windows.distinct()
+    assert first.tolist() == [0, 2, 3] and of.tolist() == [0, 0, 1, 2]

@@ -166,7 +166,7 @@ def test_intervals_hold_what_they_count():
 
 def test_mixed_values_inside_are_not_taken():
     """Many spectra with other eigenvalues close outside, which first give values inside without being one."""
-    for seed in range(60):
+    for seed in range(12):
         z = np.random.default_rng(seed).standard_normal((200, 64)) * 5
         matrix = z.T @ z / 200
         values, _ = feast.leading(matrix, 32)
