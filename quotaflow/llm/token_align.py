@@ -43,7 +43,7 @@ from .scan import U64, mix
 
 BYTE_BPE, PIECE_BPE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 # Bytes of text of a lot.
-LOT_BYTES = 2 << 20
+LOT_BYTES = 3 << 20
 MARK = "▁"
 
 # The first cuts of the byte-level tokenizer.
@@ -183,40 +183,49 @@ class Coder:
         anchor[-1] = True
         return Windows(a, b, np.append(0, in_a[anchor] + 1), np.append(0, in_b[anchor] + 1))
 
-    def align(self, windows: Windows) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-        """Group texts, numbers of groups, where the links start, and the links (A id above, B id in the low 32 bits)."""
+    def _groups(self, windows: Windows) -> tuple[np.ndarray, ...]:
+        """Ends of all tokens of both sides, and where a token of both ends."""
+        a_ends, b_ends = np.cumsum(self.a.length[windows.a]), np.cumsum(self.b.length[windows.b])
+        return a_ends, b_ends, np.intersect1d(a_ends, b_ends, assume_unique=True)
+
+    def links(self, windows: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of groups, where the links start, and the links (A id above, B id in the low 32 bits)."""
         if not len(windows):
-            return [], np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64)
-        a, b = windows.a, windows.b
-        a_ends, b_ends = np.cumsum(self.a.length[a]), np.cumsum(self.b.length[b])
+            return np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64)
+        a_ends, b_ends, shared = self._groups(windows)
         stops = a_ends[windows.a_at[1:] - 1]
         # Between two neighbouring ends one token of either side overlaps one of the other.
         ends = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
         ends = ends[np.append(True, ends[1:] != ends[:-1])]
-        links = a[np.searchsorted(a_ends, ends)] << 32 | b[np.searchsorted(b_ends, ends)]
-        link_at = np.append(0, np.searchsorted(ends, stops, side="right"))
-        shared = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        groups = np.searchsorted(shared, stops, side="right")
+        links = windows.a[np.searchsorted(a_ends, ends)] << 32 | windows.b[np.searchsorted(b_ends, ends)]
+        groups = np.diff(np.searchsorted(shared, stops, side="right"), prepend=0)
+        return groups, np.append(0, np.searchsorted(ends, stops, side="right")), links
+
+    def texts(self, windows: Windows) -> list[str]:
+        """The groups of each window."""
+        if not len(windows):
+            return []
+        a_ends, b_ends, shared = self._groups(windows)
         group_a, group_b = np.searchsorted(shared, a_ends), np.searchsorted(shared, b_ends)
-        codes = np.concatenate([2 * a + (shared[group_a] == a_ends), 2 * (b + len(self.a.bytes)) + (shared[group_b] == b_ends)])
+        last_a, last_b = shared[group_a] == a_ends, shared[group_b] == b_ends
+        codes = np.concatenate([2 * windows.a + last_a, 2 * (windows.b + len(self.a.bytes)) + last_b])
         codes = codes[np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")]
         text = "".join(map(self.shown.__getitem__, codes.tolist()))
         # A window's last token is one of B, with a semicolon that is not shown.
-        ends_at = np.cumsum(self.shown_length[codes])[windows.a_at[1:] + windows.b_at[1:] - 1].tolist()
-        texts = [text[i : j - 1] for i, j in zip([0, *ends_at], ends_at)]
-        return texts, np.diff(groups, prepend=0), link_at, links
+        ends = np.cumsum(self.shown_length[codes])[windows.a_at[1:] + windows.b_at[1:] - 1].tolist()
+        return [text[i : j - 1] for i, j in zip([0, *ends], ends)]
 
 
 @dataclass
 class Lot:
-    """Texts as numbers of windows; ``texts``, ``link_at`` and ``counts`` are per distinct window."""
+    """Texts as numbers of distinct windows, of which the commonest come first; ``counts`` and ``link_at`` are theirs."""
 
     windows: list[np.ndarray | None]
+    distinct: Windows
     n_a: np.ndarray
     n_b: np.ndarray
     n_groups: np.ndarray
     n_links: np.ndarray
-    texts: list[str]
     link_at: np.ndarray
     links: np.ndarray
     counts: np.ndarray
@@ -236,19 +245,22 @@ def align_lot(coder: Coder, texts: list[str | None]) -> Lot:
     none = np.zeros(1, np.int64)
     windows = coder.cut(a, b) if len(a) else Windows(a, b, none, none)
     some, which = windows.distinct()
-    shown, groups, link_at, links = coder.align(windows.take(some))
+    counts = np.bincount(which, minlength=len(some))
+    order = np.argsort(-counts, kind="stable")
+    distinct, counts, which = windows.take(some[order]), counts[order], np.argsort(order)[which]
+    groups, link_at, links = coder.links(distinct)
     first = np.searchsorted(windows.a_at, np.append(0, np.cumsum(n_a)))
     so_far = lambda values: np.append(0, np.cumsum(values[which]))[first]
     return Lot(
         [which[i:j] if s else None for i, j, s in zip(first[:-1], first[1:], sound, strict=True)],
+        distinct,
         n_a,
         n_b,
         np.diff(so_far(groups)),
         np.diff(so_far(np.diff(link_at))),
-        shown,
         link_at,
         links,
-        np.bincount(which, minlength=len(shown)),
+        counts,
     )
 
 
@@ -260,35 +272,38 @@ def _coder(a_path: str, b_path: str, _open: dict = {}) -> Coder:  # noqa: B006
     return _open[a_path, b_path]
 
 
-_HEAD = T.StructType([
-    T.StructField("pairs", T.ArrayType(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType()), T.StructField("n", T.LongType())]))),
-    T.StructField("links", T.BinaryType()),
-    T.StructField("link_at", T.BinaryType()),
-    T.StructField("texts", T.ArrayType(T.StringType())),
-])
+# Of a lot's windows: ids of both sides, and how many of them each window has.
+_IDS = ("a_ids", "b_ids", "a_sizes", "b_sizes")
 _PAIRS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())]))
 _NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Numbers by byte significance: the high bytes, mostly zeros, lie together and compress away."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
 def _rows(lot: Lot, name: str, kept: pa.RecordBatch) -> pa.RecordBatch:
-    """A row for each text, and one more with what the lot's windows mean."""
+    """A row for each text, and one more with the lot's windows and pairs."""
     pairs, place = np.unique(lot.links, return_inverse=True)
     times = np.bincount(place, np.repeat(lot.counts, np.diff(lot.link_at)), len(pairs)).astype(np.int64)
     found = pa.StructArray.from_arrays(
         [pa.array(x) for x in ((pairs >> 32).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32), times)], fields=list(_PAIRS.value_type)
     )
-    n = kept.num_rows
+    n, one = kept.num_rows, lot.distinct
     columns = {"lot": pa.array([name] * (n + 1)), "head": pa.array([False] * n + [True])}
     for field, values in zip(kept.schema, kept.columns, strict=True):
         columns[field.name] = pa.concat_arrays([values, pa.nulls(1, field.type)])
     for field in _NUMBERS:
         columns[field] = pa.array([*getattr(lot, field).tolist(), None], pa.int64())
-    columns["windows"] = pa.array([None if w is None else w.astype("<i4").tobytes() for w in lot.windows] + [None], pa.binary())
-    none = [None] * n
+    columns["windows"] = pa.array([None if w is None else packed(w) for w in lot.windows] + [None], pa.binary())
     columns["pairs"] = pa.concat_arrays([pa.nulls(n, _PAIRS), pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), found)])
-    columns["links"] = pa.array([*none, place.astype("<i4").tobytes()], pa.binary())
-    columns["link_at"] = pa.array([*none, lot.link_at.astype("<i4").tobytes()], pa.binary())
-    columns["texts"] = pa.array([*none, lot.texts], pa.list_(pa.string()))
+    for field, values in zip(_IDS, (one.a, one.b, np.diff(one.a_at), np.diff(one.b_at)), strict=True):
+        columns[field] = pa.array([None] * n + [packed(values)], pa.binary())
     return pa.record_batch(columns)
 
 
@@ -302,7 +317,9 @@ def code(docs: DataFrame, keep: tuple[Column, ...] = (), a_path: str = BYTE_BPE,
         schema = schema.add(name, field.dataType)
     for name in _NUMBERS:
         schema = schema.add(name, T.LongType())
-    schema = T.StructType([*schema.add("windows", T.BinaryType()).fields, *_HEAD.fields])
+    schema = schema.add("windows", T.BinaryType()).add("pairs", "array<struct<a:int,b:int,n:bigint>>")
+    for name in _IDS:
+        schema = schema.add(name, T.BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, task = _coder(a_path, b_path), TaskContext.get().partitionId()
@@ -322,22 +339,24 @@ def count_pairs(coded: DataFrame) -> DataFrame:
     return written(totals.join(small_side(most), "b").select("a", "b", "total", (F.col("total") == F.col("most")).alias("best")), "pair-counts")
 
 
-def _summed(lot: pa.Table, answers: pa.Table) -> tuple[pa.Table, list[str], np.ndarray, np.ndarray]:
+def _summed(coder: Coder, lot: pa.Table, answers: pa.Table) -> tuple[pa.Table, list[str], np.ndarray, np.ndarray]:
     """The lot's texts with group texts, best links and sums of counts."""
     is_head = lot.column("head").to_numpy(zero_copy_only=False).astype(bool)
     head = lot.take(pa.array(np.flatnonzero(is_head)))
-    texts_of = head.column("texts")[0].as_py()
-    place = np.frombuffer(head.column("links")[0].as_py(), "<i4")
-    at = np.frombuffer(head.column("link_at")[0].as_py(), "<i4")
-    total, best = np.zeros(answers.num_rows, np.int64), np.zeros(answers.num_rows, np.int64)
-    order = answers.column("at").to_numpy()
-    total[order], best[order] = answers.column("total").to_numpy(), answers.column("best").to_numpy(zero_copy_only=False)
-    sums = [np.diff(np.append(0, np.cumsum(x[place]))[at]) for x in (best, total)]
+    a, b, a_sizes, b_sizes = (unpacked(head.column(name)[0].as_py()) for name in _IDS)
+    windows = Windows(a, b, np.append(0, np.cumsum(a_sizes)), np.append(0, np.cumsum(b_sizes)))
+    shown = coder.texts(windows)
+    _, link_at, links = coder.links(windows)
+    pairs = answers.column("a").to_numpy().astype(np.int64) << 32 | answers.column("b").to_numpy()
+    order = np.argsort(pairs)
+    place = order[np.searchsorted(pairs, links, sorter=order)] if len(links) else links
+    best, total = (answers.column(n).to_numpy(zero_copy_only=False).astype(np.int64)[place] for n in ("best", "total"))
+    sums = [np.diff(np.append(0, np.cumsum(x))[link_at]) for x in (best, total)]
     docs = lot.take(pa.array(np.flatnonzero(~is_head)))
     groups, n_best, count_sum = [], np.zeros(docs.num_rows, np.int64), np.zeros(docs.num_rows, np.int64)
     for i, raw in enumerate(docs.column("windows").to_pylist()):
-        which = np.frombuffer(raw or b"", "<i4")
-        groups.append(";".join(map(texts_of.__getitem__, which.tolist())))
+        which = unpacked(raw or b"")
+        groups.append(";".join(map(shown.__getitem__, which.tolist())))
         n_best[i], count_sum[i] = (int(s[which].sum()) for s in sums)
     return docs, groups, n_best, count_sum
 
@@ -348,8 +367,8 @@ def align(docs: DataFrame, keep: tuple[Column, ...] = (), a_path: str = BYTE_BPE
     """
     coded = code(docs, keep, a_path, b_path)
     counts = count_pairs(coded)
-    pairs = coded.where("head").select("lot", F.posexplode("pairs").alias("at", "pair")).select("lot", "at", "pair.a", "pair.b")
-    answers = pairs.join(small_side(counts), ["a", "b"]).select(F.col("lot").alias("of"), "at", "total", "best")
+    pairs = coded.where("head").select(F.col("lot").alias("of"), F.inline("pairs")).drop("n")
+    answers = pairs.join(small_side(counts), ["a", "b"]).select("of", "a", "b", "total", "best")
     kept = docs.select("doc_id", *keep)
     names = [f"_{i}" for i in range(len(kept.columns))]
     schema = T.StructType([*kept.schema.fields])
@@ -358,7 +377,7 @@ def align(docs: DataFrame, keep: tuple[Column, ...] = (), a_path: str = BYTE_BPE
     schema = schema.add("groups", T.StringType())
 
     def run(lot: pa.Table, answered: pa.Table) -> pa.Table:
-        found, groups, n_best, count_sum = _summed(lot, answered)
+        found, groups, n_best, count_sum = _summed(_coder(a_path, b_path), lot, answered)
         columns = [found.column(n) for n in (*names, *_NUMBERS)]
         return pa.table([*columns, pa.array(n_best), pa.array(count_sum), pa.array(groups, pa.string())], names=schema.names)
 
