@@ -317,7 +317,8 @@ def code(docs: DataFrame, keep: tuple[Column, ...] = (), a_path: str = BYTE_BPE,
         schema = schema.add(name, field.dataType)
     for name in _NUMBERS:
         schema = schema.add(name, T.LongType())
-    schema = schema.add("windows", T.BinaryType()).add("pairs", "array<struct<a:int,b:int,n:bigint>>")
+    pair = T.StructType().add("a", T.IntegerType()).add("b", T.IntegerType()).add("n", T.LongType())
+    schema = schema.add("windows", T.BinaryType()).add("pairs", T.ArrayType(pair))
     for name in _IDS:
         schema = schema.add(name, T.BinaryType())
 
