@@ -22,7 +22,7 @@ whatever their names.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -42,8 +42,8 @@ from .base import written
 from .scan import U64, mix
 
 BYTE_BPE, PIECE_BPE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
-# Bytes of text of a lot.
-LOT_BYTES = 3 << 20
+# Bytes of text of a lot, and of what a task holds as tokens at a time.
+LOT_BYTES, SLICE_BYTES = 4 << 20, 1 << 18
 MARK = "▁"
 
 # The first cuts of the byte-level tokenizer.
@@ -231,8 +231,21 @@ class Lot:
     counts: np.ndarray
 
 
-def align_lot(coder: Coder, texts: list[str | None]) -> Lot:
-    """Windows of all texts.  A text starts with a space on both sides and ends on both, so its ends are anchors."""
+def _joined(parts: list[Windows]) -> Windows:
+    """All windows of the parts, one after the other."""
+    sides = []
+    for ids, at in (("a", "a_at"), ("b", "b_at")):
+        sides.append(np.concatenate([getattr(p, ids) for p in parts]))
+        sizes = np.concatenate([np.diff(getattr(p, at)) for p in parts])
+        sides.append(np.append(0, np.cumsum(sizes)))
+    return Windows(sides[0], sides[2], sides[1], sides[3])
+
+
+def _slice(coder: Coder, texts: list[str | None]) -> tuple[Windows, list[np.ndarray | None], list[int], list[int]]:
+    """Distinct windows of some texts, the numbers of each text's windows, and its numbers of tokens.
+
+    A text starts with a space on both sides and ends on both, so its ends are anchors.
+    """
     spaced = [" " + (t or "") for t in texts]
     ids = coder.a.encode(spaced), coder.b.encode(spaced)
     sound = []
@@ -240,28 +253,32 @@ def align_lot(coder: Coder, texts: list[str | None]) -> Lot:
         wanted = text.encode()
         sound.append(bool(t) and coder.a.spell(a) == wanted and coder.b.spell(b) == wanted)
     taken = [[x if s else [] for x, s in zip(side, sound, strict=True)] for side in ids]
-    n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in taken)
+    n_a, n_b = ([len(x) for x in side] for side in taken)
     a, b = (np.array(list(chain.from_iterable(side)), np.int64) for side in taken)
     none = np.zeros(1, np.int64)
     windows = coder.cut(a, b) if len(a) else Windows(a, b, none, none)
     some, which = windows.distinct()
-    counts = np.bincount(which, minlength=len(some))
+    first = np.searchsorted(windows.a_at, np.append(0, np.cumsum(n_a)))
+    return windows.take(some), [which[i:j] if s else None for i, j, s in zip(first[:-1], first[1:], sound, strict=True)], n_a, n_b
+
+
+def align_lot(coder: Coder, slices: Iterable[list[str | None]]) -> Lot:
+    """Windows of all texts, which come in slices so that no more than one is held as tokens at a time."""
+    parts = [_slice(coder, texts) for texts in slices]
+    windows = _joined([p[0] for p in parts])
+    some, of = windows.distinct()
+    before = np.append(0, np.cumsum([len(p[0]) for p in parts]))
+    texts = [None if w is None else of[w + n] for p, n in zip(parts, before, strict=False) for w in p[1]]
+    every = np.concatenate([w for w in texts if w is not None] or [np.zeros(0, np.int64)])
+    counts = np.bincount(every, minlength=len(some))
     order = np.argsort(-counts, kind="stable")
-    distinct, counts, which = windows.take(some[order]), counts[order], np.argsort(order)[which]
+    place = np.argsort(order)
+    distinct, counts = windows.take(some[order]), counts[order]
     groups, link_at, links = coder.links(distinct)
-    first = np.searchsorted(windows.a_at, np.append(0, np.cumsum(n_a)))
-    so_far = lambda values: np.append(0, np.cumsum(values[which]))[first]
-    return Lot(
-        [which[i:j] if s else None for i, j, s in zip(first[:-1], first[1:], sound, strict=True)],
-        distinct,
-        n_a,
-        n_b,
-        np.diff(so_far(groups)),
-        np.diff(so_far(np.diff(link_at))),
-        link_at,
-        links,
-        counts,
-    )
+    texts = [None if w is None else place[w] for w in texts]
+    added = lambda values: np.array([0 if w is None else int(values[w].sum()) for w in texts], np.int64)
+    n_a, n_b = (np.array(list(chain.from_iterable(p[k] for p in parts)), np.int64) for k in (2, 3))
+    return Lot(texts, distinct, n_a, n_b, added(groups), added(np.diff(link_at)), link_at, links, counts)
 
 
 def _coder(a_path: str, b_path: str, _open: dict = {}) -> Coder:  # noqa: B006
@@ -325,7 +342,8 @@ def code(docs: DataFrame, keep: tuple[Column, ...] = (), a_path: str = BYTE_BPE,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, task = _coder(a_path, b_path), TaskContext.get().partitionId()
         for number, batch in enumerate(batch_pieces(batches, limit=LOT_BYTES)):
-            lot = align_lot(coder, batch.column("text").to_pylist())
+            parts = batch_pieces(iter([batch]), limit=SLICE_BYTES)
+            lot = align_lot(coder, (part.column("text").to_pylist() for part in parts))
             yield _rows(lot, f"{task}-{number}", batch.select(names))
 
     return written(rows.mapInArrow(run, schema), "aligned")

@@ -91,6 +91,7 @@ def test_definition(spark, libraries):
 
 def test_many_lots(spark, libraries, monkeypatch):
     monkeypatch.setattr(token_align, "LOT_BYTES", 200)
+    monkeypatch.setattr(token_align, "SLICE_BYTES", 60)
     rows = given(cases.pairs())[:60]
     found = token_align.digest(token_align.align(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)))
     assert bag(found.collect()) == bag(by_definition(rows, libraries))
