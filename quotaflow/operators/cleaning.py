@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import text
 from ..schemas import ESTIMATED_PRICE, NOT_CONSULTED, NOT_INFORMED
+from ..sources.scratch import BROADCAST_BYTES, cut_lineage, is_small
 
 
 def parse_dates(df: DataFrame, column: str = "sale_date", pattern: str = "yyyy-MM-dd") -> DataFrame:
@@ -63,6 +64,34 @@ def dedupe(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def dedupe_counted(df: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, DataFrame]:
+    """One of each set of fully equal rows, and a row with the number of rows before, after and dropped.
+
+    Rows meet by a digest of 128 bits; only those whose digest occurs twice are compared as a whole, and shuffled.
+    Should there be too many such digests to send them to every task, all rows are.  Starts a job.
+    """
+    digest = {"_high": F.xxhash64(*df.columns), "_low": F.xxhash64(F.lit("low"), *reversed(df.columns))}
+    keyed = df.withColumns(digest)
+    twice = keyed.groupBy("_high", "_low").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_high", "_low")
+    twice = cut_lineage(twice)
+    if is_small(twice, limit):
+        again = keyed.join(F.broadcast(twice), ["_high", "_low"], "left_semi").select(*df.columns)
+        once = keyed.join(F.broadcast(twice), ["_high", "_low"], "left_anti").select(*df.columns)
+        unique = again.dropDuplicates()
+        lost = again.agg(F.count(F.lit(1)).alias("_n")).select("_n", F.lit(0).alias("_m"))
+        lost = lost.unionByName(unique.agg(F.count(F.lit(1)).alias("_m")).select(F.lit(0).alias("_n"), "_m"))
+        dropped = lost.agg((F.sum("_n") - F.sum("_m")).alias("dropped"))
+        kept = once.unionByName(unique)
+    else:
+        kept = df.dropDuplicates()
+        dropped = df.groupBy(*df.columns).count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("dropped"))
+    rows = df.agg(F.count(F.lit(1)).alias("rows_before")).scalar()
+    report = dropped.select(
+        rows.alias("rows_before"), (rows - F.col("dropped")).alias("rows_after"), F.col("dropped").alias("dropped_rows")
+    )
+    return kept, report
+
+
 def require_not_null(
     df: DataFrame, columns: Sequence[str] = ("client_id", "sale_date", "volume_hl")
 ) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +38,22 @@ def known(df: DataFrame, *columns: str) -> DataFrame:
     return df
 
 
+def distinct_counts(df: DataFrame, kinds: Mapping[str, Column], amount: Column, name: str) -> DataFrame:
+    """One row: how many distinct values, nulls apart, each kind has, and the exact sum of ``amount`` as ``name``.
+
+    Every row gives a (kind, value) pair for each kind, which the tasks already add up, so one pass and
+    one aggregate serve all counts.
+    """
+    first = next(iter(kinds))
+    pairs = F.array(*[
+        F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"), F.when(F.lit(kind == first), amount).alias("amount"))
+        for kind, value in kinds.items()
+    ])
+    sums = df.select(F.inline(pairs)).groupBy("kind", "value").agg(F.sum("amount").alias("amount"))
+    counts = [F.count_if((F.col("kind") == kind) & F.col("value").isNotNull()).alias(kind) for kind in kinds]
+    return sums.agg(*counts, total("amount").alias(name))
+
+
 def top(df: DataFrame, n: int, by: str, *ties: str) -> DataFrame:
     """First ``n`` rows by ``by`` descending, ties broken ascending."""
     return df.orderBy(F.desc_nulls_last(by), *[F.asc(t) for t in ties]).limit(n)

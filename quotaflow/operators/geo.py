@@ -11,7 +11,7 @@ from ..functions import text
 from ..schemas import NOT_FOUND, NOT_INFORMED
 from ..sources.scratch import small_side
 from .cleaning import add_geo_placeholders
-from .columns import known, ratio, top, total
+from .columns import distinct_counts, known, ratio, top, total
 from .numbering import running_total
 from .reports import filter_brand
 
@@ -140,17 +140,9 @@ def filter_states(df: DataFrame, states: Sequence[str] | None = None) -> DataFra
 
 
 def geo_kpis(gs: DataFrame) -> DataFrame:
-    """Distinct states, cities (by name alone) and clients, and the volume.
-
-    Clients first, then their places, then the names: each count is over distinct rows of
-    the one before, and none multiplies the rows.
-    """
-    places = gs.groupBy("client_id", "state", "city").agg(F.sum("volume_hl").alias("volume_hl"))
-    one = places.groupBy("client_id").agg(F.sum("volume_hl").alias("volume_hl"))
-    whole = one.agg(F.count("client_id").alias("clients"), total("volume_hl").alias("volume"))
-    named = places.select("state", "city").distinct()
-    count = lambda name: named.where(F.col(name).isNotNull()).select(name).distinct().agg(F.count(name)).scalar()
-    return whole.select(count("state").alias("states"), count("city").alias("cities"), "clients", "volume")
+    """Distinct states, cities (by name alone) and clients, and the volume."""
+    kinds = {"states": F.col("state"), "cities": F.col("city"), "clients": F.col("client_id")}
+    return distinct_counts(gs, kinds, F.col("volume_hl"), "volume")
 
 
 def _rollup(gs: DataFrame, *keys: str) -> DataFrame:

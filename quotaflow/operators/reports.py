@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from .columns import cents, known, ratio, top, total
+from .columns import distinct_counts, cents, known, ratio, top, total
 
 
 def filter_brands(df: DataFrame, brands: Sequence[str] | None = None) -> DataFrame:
@@ -144,11 +144,9 @@ def target_kpis(client_targets: DataFrame, brand: str | None = None, least: floa
     chosen = F.col("client_target") >= least
     if brand:
         chosen &= F.col("brand") == brand
-    return client_targets.agg(
-        total(F.when(chosen, cents("client_target"))).alias("total_target"),
-        F.countDistinct(F.when(chosen, F.col("client_id"))).alias("clients"),
-        F.countDistinct("brand").alias("brands"),
-    )
+    kinds = {"clients": F.when(chosen, F.col("client_id")), "brands": F.col("brand")}
+    counted = distinct_counts(client_targets, kinds, F.when(chosen, cents("client_target")), "total_target")
+    return counted.select("total_target", "clients", "brands")
 
 
 def top_clients_by_target(client_targets: DataFrame, n: int = 20) -> DataFrame:

@@ -76,12 +76,8 @@ def with_time_key(sales: DataFrame, dim: DataFrame) -> DataFrame:
     return sales.join(small_side(dim.select("sale_date", "time_key")), "sale_date", "left")
 
 
-def build_star(sales: DataFrame, variant: str = "local") -> Star:
-    """``local``: year-month in the time dimension, null brand is a member.
-
-    ``notebook``: quarter in the time dimension, null brand left out, date kept
-    in the fact.
-    """
+def build_dimensions(sales: DataFrame, variant: str = "local") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Client, product and time dimension of a variant (see ``build_star``)."""
     notebook = {"local": False, "notebook": True}[variant]
     # Numbering writes each dimension once; the three do not wait for each other.
     with ThreadPoolExecutor(3) as pool:
@@ -91,14 +87,28 @@ def build_star(sales: DataFrame, variant: str = "local") -> Star:
             pool.submit(dim_time, sales),
         ]
     client, product, time = [job.result() for job in jobs]
-    time = time.drop("year_month" if notebook else "quarter")
+    return client, product, time.drop("year_month" if notebook else "quarter")
+
+
+def fact_sales(sales: DataFrame, client: DataFrame, product: DataFrame, time: DataFrame, variant: str = "local") -> DataFrame:
+    """A row per sale with the keys of its dimensions."""
     keyed = (
         sales.transform(with_client_key, client)
         .transform(with_product_key, product)
         .transform(with_time_key, time)
     )
-    keys = ["client_key", "time_key", "product_key"] + (["sale_date"] if notebook else [])
-    return Star(client, product, time, keyed.select(*keys, "volume_hl", "revenue", "is_b2b"))
+    keys = ["client_key", "time_key", "product_key"] + (["sale_date"] if variant == "notebook" else [])
+    return keyed.select(*keys, "volume_hl", "revenue", "is_b2b")
+
+
+def build_star(sales: DataFrame, variant: str = "local") -> Star:
+    """``local``: year-month in the time dimension, null brand is a member.
+
+    ``notebook``: quarter in the time dimension, null brand left out, date kept
+    in the fact.
+    """
+    dimensions = build_dimensions(sales, variant)
+    return Star(*dimensions, fact_sales(sales, *dimensions, variant))
 
 
 def fact_with_brand(fact: DataFrame, product: DataFrame) -> DataFrame:

@@ -10,6 +10,9 @@ from ..sources.scratch import is_small, small_side
 from .columns import cents, known, ratio, total
 from .numbering import number_rows
 
+# Share of the rows from which a brand is joined without a shuffle.
+HOT = 0.01
+
 
 def targets_for_year(targets: DataFrame, year: int | None) -> DataFrame:
     return targets if year is None else targets.where(F.col("target_year") == year)
@@ -32,12 +35,19 @@ def participation(sales: DataFrame) -> DataFrame:
     """Each client's percentage of its brand; sales without brand are left out.
 
     A window over the brand would put all clients of a large brand into one
-    task; one total per brand joined back does not.
+    task; one total per brand joined back does not.  Brands with at least ``HOT`` of the
+    rows, which cannot be more than its inverse, are sent to every task; only the others' rows are
+    shuffled, and no task gets more than its share of them.
     """
     by_client = volume_by_client_brand(known(sales, "brand"))
-    return by_client.join(_brand_totals(by_client), "brand").withColumn(
-        "share_pct", ratio(F.col("client_volume"), F.col("brand_volume")) * 100
-    )
+    totals = by_client.groupBy("brand").agg(F.sum("client_volume").alias("brand_volume"), F.count(F.lit(1)).alias("_n"))
+    rows = totals.agg(F.sum("_n")).scalar()
+    is_hot = F.col("_n") >= rows * HOT
+    hot, others = (totals.where(c).drop("_n") for c in (is_hot, ~is_hot))
+    # At most 1 / HOT rows, whatever the sales.
+    of_hot = by_client.join(F.broadcast(hot), "brand")
+    rest = by_client.join(F.broadcast(hot.select("brand")), "brand", "left_anti").join(others, "brand")
+    return of_hot.unionByName(rest).withColumn("share_pct", ratio(F.col("client_volume"), F.col("brand_volume")) * 100)
 
 
 def allocate_targets(

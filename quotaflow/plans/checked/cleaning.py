@@ -79,6 +79,18 @@ def _(spark, d):
     return as_doubles(C.dedupe(rows.unionAll(rows)))
 
 
+@query(
+    "p7_dropped_rows",
+    "SELECT CAST(sum(n) AS BIGINT) AS rows_before, count(*) AS rows_after, CAST(sum(n) - count(*) AS BIGINT) AS dropped_rows FROM"
+    " (SELECT count(*) AS n FROM (SELECT * FROM sales UNION ALL SELECT * FROM sales WHERE client_id % 3 = 0)"
+    f" GROUP BY {FILLED})",
+    "sales",
+)
+def _(spark, d):
+    rows = sales(spark, d)
+    return C.dedupe_counted(rows.unionAll(rows.where("client_id % 3 = 0")))[1]
+
+
 @query(
     "p8_require_not_null",
     "SELECT client_id, brand, sale_date FROM sales WHERE brand IS NOT NULL AND is_b2b IS NOT NULL",

@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ...operators.customer import customer_view
 from ...operators.geo import geo_totals, join_geography
 from ...operators import star
+from ...operators.numbering import number_as_they_come
 from ...operators.targets import allocate_targets
 from ...sources import fixtures
-from ...sources.scratch import scratch_path
 from ..oracle import YEAR, with_ctes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,11 +48,8 @@ def client_targets(spark: SparkSession, d: str, **options) -> DataFrame:
 
 
 def in_order(df: DataFrame) -> DataFrame:
-    """The rows as written one after the other, with their place: shows the order they come in."""
-    path = scratch_path(df.sparkSession, "ordered")
-    df.coalesce(1).write.parquet(path)
-    place = F.monotonically_increasing_id() + 1
-    return df.sparkSession.read.schema(df.schema).parquet(path).coalesce(1).withColumn("place", place)
+    """The rows with their place: shows the order they come in."""
+    return number_as_they_come(df, "place")
 
 
 def clients(spark: SparkSession, d: str) -> DataFrame:

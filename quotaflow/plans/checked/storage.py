@@ -1,5 +1,6 @@
 """Sources, sinks and the full run (S1-S14, Q11, T10): written, read back, compared."""
 
+from dataclasses import replace
 from datetime import date
 from functools import reduce
 
@@ -10,11 +11,11 @@ from ...operators.columns import as_doubles
 from ...operators.quality import row_counts
 from ...operators.reports import brand_scorecard
 from ...schemas import EXPORT_NAMES, SALES_DIALECTS, TABLE_NAMES, TARGETS_DIALECT
-from ...sources import files, tables
+from ...sources import curve, files, tables
 from ...sources.scratch import scratch_path
 from ..full_run import run
 from ..oracle import BRAND, YEAR
-from .registry import client_targets, clients, query, sales, targets, view
+from .registry import client_targets, clients, geography, query, sales, targets, view
 
 ALL = (
     "client_id, brand, target_year, CAST(client_volume AS DOUBLE) AS client_volume, CAST(brand_volume AS DOUBLE) AS brand_volume,"
@@ -54,6 +55,45 @@ def _(spark, d):
     return as_doubles(files.read_sales(spark, _sales_file(spark, d, scratch_path(spark, "sales"))))
 
 
+REJECTS = """
+    SELECT column_name, raw, reason, count(*) AS rows FROM (
+      SELECT 'volume_hl' AS column_name, volume_hl || '000000000002' AS raw, 'rounded' AS reason, client_id FROM sales WHERE client_id % 7 = 1
+      UNION ALL SELECT 'revenue', 'n/a ' || client_id, 'unread', client_id FROM sales WHERE client_id % 11 = 2
+      UNION ALL SELECT 'sale_date', '31/12/1999', 'unread', client_id FROM sales WHERE client_id % 13 = 3)
+    GROUP BY ALL"""
+
+
+def _spoilt_file(spark, d, path) -> str:
+    """Source file with float artefacts, texts for numbers and another date format."""
+    rows = sales(spark, d, "client_id", "sale_date", "volume_hl", "revenue")
+    n = F.col("client_id")
+    spoilt = rows.select(
+        n.alias("client_id"),
+        F.when(n % 13 == 3, "31/12/1999").otherwise(F.col("sale_date").cast("string")).alias("sale_date"),
+        F.when(n % 7 == 1, F.concat(F.col("volume_hl").cast("string"), F.lit("000000000002"))).otherwise(F.col("volume_hl").cast("string")).alias("volume_hl"),
+        F.when(n % 11 == 2, F.concat(F.lit("n/a "), n.cast("string"))).otherwise(F.col("revenue").cast("string")).alias("revenue"),
+    )
+    files.write_csv(C.to_dialect(spoilt, SALES_DIALECTS["local"]), path)
+    return path
+
+
+@query("s1_rejects", REJECTS, "sales")
+def _(spark, d):
+    marked = files.read_sales(spark, _spoilt_file(spark, d, scratch_path(spark, "spoilt")), mark=True)
+    return files.rejects(marked).groupBy("column_name", "raw", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "s1_read_rounded",
+    "SELECT client_id, CASE WHEN client_id % 13 <> 3 THEN sale_date END AS sale_date, CAST(volume_hl AS DOUBLE) AS volume_hl,"
+    " CASE WHEN client_id % 11 <> 2 THEN CAST(revenue AS DOUBLE) END AS revenue FROM sales",
+    "sales",
+)
+def _(spark, d):
+    read = files.read_sales(spark, _spoilt_file(spark, d, scratch_path(spark, "spoilt")))
+    return as_doubles(read.select("client_id", "sale_date", "volume_hl", "revenue"))
+
+
 @query("s2_read_targets", "SELECT brand, target_volume, CAST(target_year AS INT) AS target_year FROM targets", "targets")
 def _(spark, d):
     return files.read_targets(spark, _targets_file(spark, d, scratch_path(spark, "targets")))
@@ -119,8 +159,9 @@ def _(spark, d):
     files.export_all(results, output)
     columns = ("format", "client_id", "brand", "client_target", "last_purchase", "avg_volume_3m", "b2b_share_6m")
     found = []
+    exported = files.current(spark, output)
     for n, df in results.items():
-        for fmt, rows in (("parquet", spark.read.parquet(f"{output}/parquet/{n}")), ("csv", files.read_csv(spark, f"{output}/csv/{n}", df.schema))):
+        for fmt, rows in (("parquet", spark.read.parquet(exported[n].parquet)), ("csv", files.read_csv(spark, exported[n].csv, df.schema))):
             found.append(rows.withColumn("format", F.lit(fmt)).select(*[c for c in columns if c == "format" or c in rows.columns]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found).select(*columns)
 
@@ -154,6 +195,21 @@ def _(spark, d):
     return as_doubles(tables.write_clustered(sales(spark, d, *SOLD), name, ["client_id"], 8))
 
 
+@query(
+    "s13_curve_lookup",
+    "SELECT 'client' AS looked_up, client_id, brand, CAST(volume_hl AS DOUBLE) AS volume_hl FROM sales WHERE client_id = (SELECT max(client_id) FROM sales)"
+    f" UNION ALL SELECT 'brand', client_id, brand, CAST(volume_hl AS DOUBLE) FROM sales WHERE brand = '{BRAND}'"
+    " UNION ALL SELECT 'no brand', client_id, brand, CAST(volume_hl AS DOUBLE) FROM sales WHERE brand IS NULL",
+    "sales",
+)
+def _(spark, d):
+    rows, path = sales(spark, d, "client_id", "brand", "volume_hl"), scratch_path(spark, "curve")
+    last = curve.write_curve(rows, path, ["client_id", "brand"]).agg(F.max("client_id")).first()[0]
+    lookups = {"client": {"client_id": last}, "brand": {"brand": BRAND}, "no brand": {"brand": None}}
+    found = [curve.lookup(spark, path, **keys).withColumn("looked_up", F.lit(name)) for name, keys in lookups.items()]
+    return as_doubles(reduce(lambda a, b: a.unionByName(b), found)).select("looked_up", "client_id", "brand", "volume_hl")
+
+
 @query(
     "s14_run_parameters",
     f"SELECT brand, target_volume FROM targets WHERE target_year = {YEAR}",
@@ -183,6 +239,7 @@ def _full_run(spark, d, name):
 @query(
     "q11_run_summary",
     "SELECT 'load' AS step, count(*) AS rows, 'sales' AS output FROM sales UNION ALL SELECT 'profile', 10, 'profile' UNION ALL"
+    " SELECT 'rejects', 0, 'sales_rejects' UNION ALL"
     " SELECT 'dimensions', NULL, NULL UNION ALL SELECT 'visao_consolidada', count(*), 'visao_consolidada' FROM view UNION ALL"
     " SELECT 'metas_por_cliente', count(*), 'metas_por_cliente' FROM ct UNION ALL SELECT 'dim_cliente', count(*), 'dim_cliente' FROM dim"
     " UNION ALL SELECT 'dim_produto', count(*), 'dim_produto' FROM prod UNION ALL SELECT 'dim_tempo', count(*), 'dim_tempo' FROM times"
@@ -250,3 +307,76 @@ def _(spark, d):
 def _(spark, d):
     paths = _full_run(spark, d, "tables").paths
     return row_counts({name: spark.read.parquet(path) for name, path in paths.items()})
+
+
+def _notebook_run(spark, d, name):
+    """The notebook variant with geography, end to end: drop, absolute windows, postal table."""
+    config = source_files(spark, d, name)
+    path = f"{config.output}/../input/geography"
+    files.write_csv(geography(spark, d), path)
+    return run(spark, replace(config, geography=path, policy="drop", mode="absolute"))
+
+
+@query(
+    "t10_notebook_geography_view",
+    "SELECT client_id AS cliente_id, last_purchase AS data_ultima_compra, avg_volume_3m AS volume_medio_3m,"
+    " avg_volume_6m AS volume_medio_6m, b2b_share_3m AS share_b2b_3m, b2b_share_6m AS share_b2b_6m,"
+    " city AS cidade, state AS estado FROM view_abs JOIN dim_marked USING (client_id)",
+    "view_abs",
+    "dim_marked",
+)
+def _(spark, d):
+    return spark.read.parquet(_notebook_run(spark, d, "notebook").paths["visao_consolidada"])
+
+
+@query(
+    "t10_notebook_geography_targets",
+    "SELECT client_id AS cliente_id, brand AS marca, CAST(client_volume AS DOUBLE) AS volume_total, share_pct AS percentual_participacao,"
+    " target_volume AS meta_marca, client_target AS meta_cliente, city AS cidade, state AS estado FROM ct4 JOIN dim_marked USING (client_id)",
+    "ct4",
+    "dim_marked",
+)
+def _(spark, d):
+    return as_doubles(spark.read.parquet(_notebook_run(spark, d, "notebook-targets").paths["metas_por_cliente"]))
+
+
+CONTENTS = """
+    SELECT 'visao_consolidada' AS stage, CAST(client_id AS VARCHAR) AS key, CAST(NULL AS VARCHAR) AS text, avg_volume_3m AS number FROM view
+    UNION ALL SELECT 'metas_por_cliente', client_id || ' ' || brand, CAST(target_year AS VARCHAR), client_target FROM ct
+    UNION ALL SELECT 'dim_cliente', CAST(client_id AS VARCHAR), postal_code, CAST(client_key AS DOUBLE) FROM dim
+    UNION ALL SELECT 'dim_produto', brand, NULL, CAST(product_key AS DOUBLE) FROM prod_filled
+    UNION ALL SELECT 'dim_tempo', CAST(sale_date AS VARCHAR), year_month, CAST(time_key AS DOUBLE) FROM times
+    UNION ALL SELECT 'fato_vendas', CAST(client_key AS VARCHAR) || ' ' || time_key, CAST(product_key AS VARCHAR), CAST(volume_hl AS DOUBLE)
+      FROM filled JOIN dim USING (client_id) JOIN times USING (sale_date) JOIN prod_filled USING (brand)"""
+FILLED_BRANDS = "prod_filled AS (SELECT brand, row_number() OVER (ORDER BY brand) AS product_key FROM (SELECT DISTINCT brand FROM filled))"
+
+
+@query(
+    "t10_full_run_contents",
+    f"SELECT * FROM (WITH {FILLED_BRANDS} {CONTENTS})",
+    "view",
+    "ct",
+    "dim",
+    "times",
+    "filled",
+)
+def _(spark, d):
+    """A key, a text and a number of every row of all six tables."""
+    t = _written(spark, d, "run-contents")
+    text = lambda c: F.col(c).cast("string")
+    facts = {
+        "customer_view": (text("client_id"), None, "avg_volume_3m"),
+        "client_targets": (F.concat_ws(" ", "client_id", "brand"), text("target_year"), "client_target"),
+        "dim_client": (text("client_id"), F.col("postal_code"), "client_key"),
+        "dim_product": (F.col("brand"), None, "product_key"),
+        "dim_time": (text("sale_date"), F.col("year_month"), "time_key"),
+        "fact_sales": (F.concat_ws(" ", "client_key", "time_key"), text("product_key"), "volume_hl"),
+    }
+    found = [
+        t[name].select(
+            F.lit(TABLE_NAMES[name]).alias("stage"), key.alias("key"),
+            (F.lit(None).cast("string") if value is None else value).alias("text"), F.col(number).cast("double").alias("number"),
+        )
+        for name, (key, value, number) in facts.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), found)

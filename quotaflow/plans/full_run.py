@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
-import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import quality
-from ..operators.cleaning import add_geo_placeholders, clean, rename
+from ..operators.cleaning import add_geo_placeholders, clean, dedupe_counted, ensure_revenue, rename, require_not_null
 from ..operators.customer import customer_view
 from ..operators.geo import enrich_geography, propagate_geo
-from ..operators.star import Star, build_star
+from ..operators.star import Star, build_dimensions, fact_sales
 from ..operators.targets import allocate_targets, reconciliation_check, targets_for_year
 from ..schemas import EXPORT_NAMES, GEOGRAPHY, NOTEBOOK_DROPS, TABLE_NAMES, export_names
 from ..session import shuffle_partitions
 from ..sources import files
+from .steps import Steps, fingerprint
 
 
 SAMPLE_ROWS = 10
+AT_ONCE = 4
+DIMENSIONS = ("dim_client", "dim_product", "dim_time")
 
 
 @dataclass
@@ -29,44 +34,40 @@ class RunResult:
     profile: DataFrame
     checks: DataFrame
     summary: DataFrame
+    rejects: DataFrame
+    # Steps an earlier run had done.
+    skipped: list[str] = field(default_factory=list)
 
     def failed(self) -> list[str]:
         """Names of the checks that did not pass."""
         return [r["check"] for r in self.checks.where(~F.col("passed")).select("check").collect()]
 
 
-@dataclass
-class _Steps:
-    """Rows and seconds of each step."""
-
-    rows: list[tuple] = field(default_factory=list)
-    started: float = field(default_factory=time.monotonic)
+def _again(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """The written copy of ``df``."""
+    return spark.read.schema(df.schema).parquet(path)
 
-    def done(self, step: str, rows: int | None, output: str | None) -> None:
-        now = time.monotonic()
-        self.rows.append((step, rows, round(now - self.started, 3), output))
-        self.started = now
 
+def _load(marked: DataFrame, path: str) -> dict:
+    """Writes the typed rows with what was rejected in them, in one pass; the writing tasks count both.
 
-def _cleaned(spark: SparkSession, raw: DataFrame, config: files.RunConfig, steps: _Steps) -> DataFrame:
-    """Filling is a projection over the staged sales; dropping compares rows, so it is staged too."""
-    sales = clean(raw, config.policy)
-    if config.policy == "fill":
-        return sales
-    path = f"{config.output}/staging/clean"
-    steps.done("clean", files.write_counted(sales, path), path)
-    return spark.read.schema(sales.schema).parquet(path)
+    The rejects get a table of their own out of the written copy, of which only that column is read.
+    """
+    spark, names = marked.sparkSession, files.typed_columns(marked)
+    kinds = [(c, r) for c in names for r in (files.UNREAD, files.ROUNDED)]
+    counts = {f"{r}_{c}": files.count_rejected(c, r).alias(f"{r}_{c}") for c, r in kinds}
+    seen = Observation()
+    files.write_parquet(marked.observe(seen, F.count(F.lit(1)).alias("_rows"), *counts.values()), path)
+    found = dict(seen.get)
+    files.write_parquet(files.rejects(_again(spark, marked, path)), f"{path}_rejects")
+    return {"rows": found["_rows"]} | {r: {c: n for c in names if (n := found[f"{r}_{c}"])} for r in (files.UNREAD, files.ROUNDED)}
 
 
-def _load(marked: DataFrame, path: str) -> tuple[DataFrame, int, dict[str, int]]:
-    """Writes the typed rows; the writing tasks count them and the texts that could not be read."""
-    names = [c for c in marked.columns if c != files.UNREAD]
-    unread = {c: F.count_if(F.array_contains(files.UNREAD, c)).alias(c) for c in names}
-    seen = Observation()
-    rows = marked.observe(seen, F.count(F.lit(1)).alias("_rows"), *unread.values()).select(*names)
-    files.write_parquet(rows, path)
-    counts = dict(seen.get)
-    return marked.sparkSession.read.schema(rows.schema).parquet(path), counts.pop("_rows"), counts
+def _clean(spark: SparkSession, raw: DataFrame, path: str) -> dict:
+    """The notebook's cleaning: one of equal rows, none without its keys.  Dropping compares rows, so it is staged."""
+    unique, report = dedupe_counted(raw)
+    sales = unique.transform(require_not_null).transform(ensure_revenue)
+    return {"rows": files.write_counted(sales, path), "dropped": report.first()["dropped_rows"]}
 
 
 def _profile(raw: DataFrame, targets: DataFrame) -> dict[str, DataFrame]:
@@ -82,10 +83,11 @@ def _profile(raw: DataFrame, targets: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def _unread_check(name: str, counts: dict[str, int], spark: SparkSession) -> DataFrame:
-    bad = {c: n for c, n in counts.items() if n}
-    detail = ", ".join(f"{c}: {n}" for c, n in bad.items()) or "none"
-    return files.rows_to_df(spark, [(f"{name}: every text could be read", not bad, detail)], "check string, passed boolean, detail string")
+def _unread_check(name: str, facts: dict, spark: SparkSession) -> DataFrame:
+    told = lambda reason: ", ".join(f"{c}: {n}" for c, n in facts[reason].items())
+    rounded = f"; rounded {told(files.ROUNDED)}" if facts[files.ROUNDED] else ""
+    row = (f"{name}: every text could be read", not facts[files.UNREAD], (told(files.UNREAD) or "none") + rounded)
+    return files.rows_to_df(spark, [row], "check string, passed boolean, detail string")
 
 
 def run(spark: SparkSession, config: files.RunConfig) -> RunResult:
@@ -95,28 +97,72 @@ def run(spark: SparkSession, config: files.RunConfig) -> RunResult:
     text is parsed once, each step reads only its columns, and a lost executor
     costs no more than its own tasks.  The checks are computed and written with
     the results, and the run's steps are appended to the summary.
+
+    Every finished step is recorded.  A run that was ended goes on, when it is started again over the same
+    inputs with the same parameters, with the first step that was not finished.  The tables are
+    written to a folder of the run and become current together at the end (``files.current``).
     """
     with shuffle_partitions(spark, config.shuffle_partitions):
         return _run(spark, config)
 
 
 def _run(spark: SparkSession, config: files.RunConfig) -> RunResult:
-    steps = _Steps()
-    staged = f"{config.output}/staging/sales"
-    raw, n_sales, unread_sales = _load(files.read_sales(spark, config.sales, config.dialect, mark=True), staged)
-    steps.done("load", n_sales, staged)
-    targets, _, unread_targets = _load(files.read_targets(spark, config.targets, mark=True), f"{config.output}/staging/targets")
+    mark = fingerprint(spark, config)
+    steps = Steps(spark, f"{config.output}/steps", mark if config.resume else uuid4().hex)
+    staging, notebook = f"{config.output}/staging", config.policy == "drop"
+    variant = "notebook" if notebook else "local"
+    # Results never go to a folder that another run has made current.
+    folder = f"{config.output}/runs/" + steps.once("begin", lambda: {"run": uuid4().hex})["run"]
+
+    marked = files.read_sales(spark, config.sales, config.dialect, mark=True)
+    marked_targets = files.read_targets(spark, config.targets, mark=True)
+    load = steps.once("load", lambda: _load(marked, f"{staging}/sales"))
+    load_targets = steps.once("load_targets", lambda: _load(marked_targets, f"{staging}/targets"))
+    raw, targets = (
+        _again(spark, df.select(*files.typed_columns(df)), f"{staging}/{name}")
+        for df, name in ((marked, "sales"), (marked_targets, "targets"))
+    )
+    rejects = [
+        _again(spark, files.rejects(df), f"{staging}/{name}_rejects").withColumn("input", F.lit(name))
+        for df, name in ((marked, "sales"), (marked_targets, "targets"))
+    ]
+    rejected = sum(sum(facts[r].values()) for facts in (load, load_targets) for r in (files.UNREAD, files.ROUNDED))
 
-    profile_path = f"{config.output}/staging/profile"
     profile = _profile(raw, targets)
-    for name, table in profile.items():
-        files.write_parquet(table, f"{profile_path}/{name}")
-    steps.done("profile", len(raw.columns), profile_path)
-
-    sales = _cleaned(spark, raw, config, steps)
-    notebook = config.policy == "drop"
-    star = build_star(sales, "notebook" if notebook else "local")
-    steps.done("dimensions", None, None)
+
+    def explore() -> dict:
+        for name, table in profile.items():
+            files.write_parquet(table, f"{staging}/profile/{name}")
+        return {"rows": len(raw.columns)}
+
+    explored = steps.once("profile", explore)
+    rows = [
+        ("load", load["rows"], load["seconds"], f"{staging}/sales"),
+        ("rejects", rejected, 0.0, f"{staging}/sales_rejects"),
+        ("profile", explored["rows"], explored["seconds"], f"{staging}/profile"),
+    ]
+    sales = clean(raw, config.policy)
+    if notebook:
+        cleaned = steps.once("clean", lambda: _clean(spark, raw, f"{staging}/clean"))
+        sales = _again(spark, sales, f"{staging}/clean")
+        rows += [
+            ("clean", cleaned["rows"], cleaned["seconds"], f"{staging}/clean"),
+            ("duplicates dropped", cleaned["dropped"], 0.0, None),
+        ]
+
+    def dimensions() -> dict:
+        built = build_dimensions(sales, variant)
+        for name, df in zip(DIMENSIONS, built, strict=True):
+            files.write_parquet(df, f"{staging}/star/{name}")
+        return {"rows": None, "schemas": [df.schema.jsonValue() for df in built]}
+
+    numbered = steps.once("dimensions", dimensions)
+    client, product, time = (
+        spark.read.schema(T.StructType.fromJson(shape)).parquet(f"{staging}/star/{name}")
+        for shape, name in zip(numbered["schemas"], DIMENSIONS, strict=True)
+    )
+    rows.append(("dimensions", None, numbered["seconds"], None))
+    star = Star(client, product, time, fact_sales(sales, client, product, time, variant))
     view = customer_view(sales, mode=config.mode)
     client_targets = allocate_targets(sales, targets, config.year, share_scale=4 if notebook else None)
     dim_client = star.dim_client
@@ -134,27 +180,31 @@ def _run(spark: SparkSession, config: files.RunConfig) -> RunResult:
 
     drops = NOTEBOOK_DROPS if notebook else {}
     results = {n: rename(df.drop(*drops.get(n, ())), export_names(n, notebook)) for n, df in tables.items()}
-    brand, target, client = (EXPORT_NAMES.get(n, n) for n in ("brand", "client_target", "client_id"))
+    brand, target, customer = (EXPORT_NAMES.get(n, n) for n in ("brand", "client_target", "client_id"))
     # The Parquet files keep no order, so the ordered table is sorted as its CSV is written.
-    exported = files.export_all(
-        {TABLE_NAMES[n]: df for n, df in results.items()},
-        config.output,
-        orders={TABLE_NAMES["client_targets"]: [brand, F.desc(target), client]},
-    )
+    orders = {"client_targets": [brand, F.desc(target), customer]}
+
+    def write(name: str) -> dict:
+        done = files.export(results[name], TABLE_NAMES[name], folder, order=orders.get(name, ()))
+        return {"rows": done.rows, "took": done.seconds}
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        jobs = {n: pool.submit(steps.once, f"table_{n}", lambda n=n: write(n)) for n in results}
+    exported = {}
+    for name, job in jobs.items():
+        out, facts = TABLE_NAMES[name], job.result()
+        exported[out] = files.Exported(f"{folder}/parquet/{out}", f"{folder}/csv/{out}", facts["rows"], facts["took"])
     paths = {out: e.parquet for out, e in exported.items()}
     ours = lambda table: {theirs: name for name, theirs in export_names(table, notebook).items()}
-    written = {
-        name: rename(spark.read.schema(df.schema).parquet(paths[TABLE_NAMES[name]]), ours(name))
-        for name, df in results.items()
-    }
+    written = {name: rename(_again(spark, df, paths[TABLE_NAMES[name]]), ours(name)) for name, df in results.items()}
     if notebook:
         # The exported targets are of one year and do not say which.
         written["client_targets"] = written["client_targets"].withColumn("target_year", F.lit(config.year))
-    steps.rows += [(name, e.rows, e.seconds, e.parquet) for name, e in exported.items()]
+    rows += [(name, e.rows, e.seconds, e.parquet) for name, e in exported.items()]
 
     checks = [
-        _unread_check("sales", unread_sales, spark),
-        _unread_check("targets", unread_targets, spark),
+        _unread_check("sales", load, spark),
+        _unread_check("targets", load_targets, spark),
         quality.no_nulls_check(sales, ["client_id", "sale_date", "volume_hl"], "sales"),
         quality.check_not_empty(targets_for_year(targets, config.year), f"targets of {config.year}"),
         quality.metrics_check(written["customer_view"], ["avg_volume_3m", "avg_volume_6m"], "customer view"),
@@ -163,12 +213,20 @@ def _run(spark: SparkSession, config: files.RunConfig) -> RunResult:
         files.outputs_present(spark, [p for e in exported.values() for p in (e.parquet, e.csv)]),
     ]
     judged = reduce(DataFrame.unionByName, checks)
-    files.write_parquet(judged, f"{config.output}/checks")
-    summary = quality.run_summary(spark, steps.rows)
+
+    def judge() -> dict:
+        files.write_parquet(judged, f"{config.output}/checks")
+        files.switch(spark, config.output, folder, exported)
+        return {}
+
+    steps.once("checks", judge)
+    summary = quality.run_summary(spark, rows)
     summary.coalesce(1).write.mode("append").parquet(f"{config.output}/summary")
     return RunResult(
         paths,
-        spark.read.schema(profile["sales_nulls"].schema).parquet(f"{profile_path}/sales_nulls"),
-        spark.read.schema(judged.schema).parquet(f"{config.output}/checks"),
+        _again(spark, profile["sales_nulls"], f"{staging}/profile/sales_nulls"),
+        _again(spark, judged, f"{config.output}/checks"),
         summary,
+        reduce(DataFrame.unionByName, rejects),
+        steps.skipped,
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -15,10 +16,13 @@ from pyspark.sql import types as T
 
 from ..functions import text
 from ..schemas import DEFAULT_YEAR, SALES, SALES_DIALECTS, TARGETS, TARGETS_DIALECT
+from . import places
 
 # What a file must name for its rows to mean anything.
 REQUIRED = {"sales": ("client_id", "sale_date", "volume_hl"), "targets": ("brand", "target_volume", "target_year")}
-UNREAD = "__unread"
+# Column with the texts of a row that are no value of their type or more exact than it.
+REJECTED = "__rejected"
+UNREAD, ROUNDED = "unread", "rounded"
 
 
 @dataclass(frozen=True)
@@ -35,6 +39,8 @@ class RunConfig:
     mode: str = "relative"
     # For the run only; None leaves the session's number.
     shuffle_partitions: int | None = None
+    # Steps that a run over the same inputs and parameters has finished are not done again.
+    resume: bool = True
 
 
 def list_input(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,20 +86,28 @@ def _typed(raw: Column, name: str, kind: T.DataType) -> Column:
     elif isinstance(kind, T.StringType):
         value = raw
     else:
-        # More places than the type has are no reading of it but a rounding.
-        exact = raw.try_cast(T.DecimalType(38, 18))
+        # More places than the type has are rounded, as floats written out have them.
         value = raw.try_cast(kind)
-        value = F.when(exact.isNull() | (exact == value), value)
     return value.alias(name)
 
 
+def _is_rounded(raw: Column, value: Column, kind: T.DataType) -> Column:
+    """True if the text has more places than its type, not counting zeros."""
+    if not isinstance(kind, T.DecimalType):
+        return F.lit(False)
+    exact = raw.try_cast(T.DecimalType(38, 18))
+    beyond = raw.rlike(rf"^[^eE]*\.[0-9]{{{kind.scale}}}[0-9]*[1-9][^eE]*$")
+    return value.isNotNull() & (beyond | F.coalesce(exact != value, F.lit(False)))
+
+
 def _read(
     spark, path, names: Mapping[str, str], target: T.StructType, sep: str, encoding: str, required: Sequence[str], mark: bool
 ) -> DataFrame:
     """All columns are declared as text and typed by expressions: text that is no value of its type gives null.
 
-    A header that lacks a required column is an error.  With ``mark`` an array column names the
-    columns of a row whose text could not be read (see ``count_unread``).
+    A header that lacks a required column is an error.  With ``mark`` an array column has, for each text
+    of a row that could not be read or was rounded, file, column, the text itself and which of both
+    it is (see ``rejects``).
 
     A folder's files must agree on their header; one that differs is an error
     and not a table with its columns mixed up.
@@ -116,11 +130,13 @@ def _read(
     typed = [_typed(*[text_, name, kind]) for name, text_, kind in fields]
     if not mark:
         return raw.select(typed)
-    unread = [
-        F.when((F.trim(text_) != "") & value.isNull(), F.lit(name))
-        for (name, text_, _), value in zip(fields, typed, strict=True)
-    ]
-    return raw.select(*typed, F.array_compact(F.array(*unread)).alias(UNREAD))
+    found = []
+    for (name, text_, kind), value in zip(fields, typed, strict=True):
+        entry = [F.col("_metadata.file_name").alias("file"), F.lit(name).alias("column_name"), text_.alias("raw")]
+        unread = (F.trim(text_) != "") & value.isNull()
+        reason = F.when(unread, UNREAD).when(_is_rounded(text_, value, kind), ROUNDED)
+        found.append(F.when(reason.isNotNull(), F.struct(*entry, reason.alias("reason"))))
+    return raw.select(*typed, F.array_compact(F.array(*found)).alias(REJECTED))
 
 
 def read_sales(
@@ -133,11 +149,24 @@ def read_targets(spark: SparkSession, path: str, sep: str = ";", encoding: str =
     return _read(spark, path, TARGETS_DIALECT, TARGETS, sep, encoding, REQUIRED["targets"], mark)
 
 
+def typed_columns(marked: DataFrame) -> list[str]:
+    return [c for c in marked.columns if c != REJECTED]
+
+
+def count_rejected(column: str, reason: str) -> Column:
+    """Aggregate over marked rows: texts of a column that were rejected for a reason."""
+    return F.count_if(F.exists(REJECTED, lambda r: (r["column_name"] == column) & (r["reason"] == reason)))
+
+
 def count_unread(marked: DataFrame) -> DataFrame:
     """Column and number of its texts that were no value of its type; one row per column."""
-    names = [c for c in marked.columns if c != UNREAD]
-    counts = F.array(*[F.struct(F.lit(c).alias("column_name"), F.count_if(F.array_contains(UNREAD, c)).alias("unread")) for c in names])
-    return marked.agg(counts.alias("rows")).select(F.inline("rows"))
+    counts = [F.struct(F.lit(c).alias("column_name"), count_rejected(c, UNREAD).alias("unread")) for c in typed_columns(marked)]
+    return marked.agg(F.array(*counts).alias("rows")).select(F.inline("rows"))
+
+
+def rejects(marked: DataFrame) -> DataFrame:
+    """File, column, raw text and reason of every text that was not read as it stands."""
+    return marked.where(F.size(REJECTED) > 0).select(F.inline(REJECTED))
 
 
 def rows_to_df(spark: SparkSession, rows: Sequence, schema: T.StructType | str) -> DataFrame:
@@ -196,22 +225,58 @@ def export(df: DataFrame, name: str, output: str, single: bool = False, order: S
     return Exported(parquet, csv, rows, round(time.monotonic() - began, 3))
 
 
+def new_run(output: str) -> str:
+    """A folder for the results of one run, under ``output``."""
+    return f"{output}/runs/{uuid.uuid4().hex}"
+
+
+def switch(spark: SparkSession, output: str, folder: str, exported: Mapping[str, Exported], keep: int = 2) -> None:
+    """Makes the run in ``folder`` the current one, for all its tables at once.
+
+    The last ``keep`` runs stay, so that who has just looked up the one before can go on reading it; older ones are removed.
+    """
+    tables = {name: [e.rows, e.seconds] for name, e in exported.items()}
+    for old in places.point(spark, f"{output}/current", {"run": folder.rpartition("/")[2], "tables": tables}, keep):
+        if "run" in old:
+            places.delete(spark, f"{output}/runs/{old['run']}")
+
+
+def current(spark: SparkSession, output: str) -> dict[str, Exported]:
+    """The tables of the run that was finished last."""
+    found = places.pointed(spark, f"{output}/current")
+    if found is None:
+        raise FileNotFoundError(f"no finished run under {output}")
+    folder = f"{output}/runs/{found['run']}"
+    return {name: Exported(f"{folder}/parquet/{name}", f"{folder}/csv/{name}", *facts) for name, facts in found["tables"].items()}
+
+
 def export_all(
     results: Mapping[str, DataFrame],
     output: str,
     single: bool = False,
     at_once: int = 4,
     orders: Mapping[str, Sequence[str | Column]] | None = None,
+    keep: int = 2,
 ) -> dict[str, Exported]:
     """Every result as Parquet and as CSV; ``orders`` has the row order of those whose CSV has one.
 
-    A few results are written at a time, so that the cluster is not left to the
-    last tasks of one table while others wait.
+    All are written to a folder of their own, and become current together when the last is done (see
+    ``current``); a write that fails leaves what was current before.  A few results are written at a
+    time, so that the cluster is not left to the last tasks of one table while others wait.
     """
-    orders = orders or {}
-    with ThreadPoolExecutor(at_once) as pool:
-        jobs = {name: pool.submit(export, df, name, output, single, orders.get(name, ())) for name, df in results.items()}
-    return {name: job.result() for name, job in jobs.items()}
+    if not results:
+        raise ValueError("nothing to export")
+    orders, folder = orders or {}, new_run(output)
+    spark = next(iter(results.values())).sparkSession
+    try:
+        with ThreadPoolExecutor(at_once) as pool:
+            jobs = {name: pool.submit(export, df, name, folder, single, orders.get(name, ())) for name, df in results.items()}
+        exported = {name: job.result() for name, job in jobs.items()}
+    except Exception:
+        places.delete(spark, folder)
+        raise
+    switch(spark, output, folder, exported, keep)
+    return exported
 
 
 def outputs_present(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -233,7 +298,26 @@ def selection_name(table: str, day: date) -> str:
     return f"{table.replace(' ', '_').lower()}_{day:%Y%m%d}.csv"
 
 
-def export_selection(df: DataFrame, folder: str, table: str, day: date) -> str:
-    path = f"{folder}/{selection_name(table, day)}"
-    write_csv(df, path, single=True)
+def write_parts(df: DataFrame, path: str, order: Sequence[str | Column] = ()) -> list[tuple[str, int]]:
+    """CSV parts without header, one per task, in ``order``; their manifest: each part's path and length, as they follow."""
+    (df.orderBy(*order) if order else df).write.mode("overwrite").option("header", False).csv(path)
+    parts = df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "length")
+    # The writing tasks number their files by partition.
+    return sorted((r["path"], r["length"]) for r in parts.collect())
+
+
+def export_selection(df: DataFrame, folder: str, table: str, day: date, order: Sequence[str | Column] = ()) -> str:
+    """One CSV file with header.  The tasks write its parts, which are then joined as files: no task gets all rows."""
+    spark, path = df.sparkSession, f"{folder}/{selection_name(table, day)}"
+    parts = write_parts(df, f"{path}.parts", order)
+    head = spark.createDataFrame([tuple(df.columns)], T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(df.columns))]))
+    header = write_parts(head.coalesce(1), f"{path}.header")
+    listed = [p for p, _ in (*header, *parts)]
+    places.join_files(spark, listed, f"{path}.joined")
+    wanted, found = sum(n for _, n in (*header, *parts)), places.length(spark, f"{path}.joined")
+    if found != wanted:
+        raise OSError(f"{path} has {found} bytes, its parts {wanted}")
+    places.replace(spark, f"{path}.joined", path)
+    for rest in (".parts", ".header"):
+        places.delete(spark, path + rest)
     return path

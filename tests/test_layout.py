@@ -1,0 +1,126 @@
+"""Where rows end up: curves, joined downloads, plans without one big task."""
+
+import random
+from datetime import date
+from decimal import Decimal
+
+import frames
+import pytest
+from pyspark.sql import functions as F
+
+from quotaflow.operators import cleaning, geo, numbering, reports, targets
+from quotaflow.sources import curve, files
+
+
+def test_a_lookup_on_each_indexed_column_opens_few_files(spark, tmp_path):
+    """Clients of the view, clients and brands of the targets, clients and products of the fact."""
+    rows = spark.range(60_000).select(
+        (F.col("id") * 7919 % 997).alias("client_id"), F.concat(F.lit("brand "), (F.col("id") * 31 % 53).cast("string")).alias("brand"),
+        (F.col("id") * 17 % 101).alias("product_key"), F.col("id").alias("sale"),
+    )
+    laid = {
+        "view": (rows.select("client_id").distinct(), ["client_id"], [{"client_id": 500}]),
+        "targets": (rows, ["client_id", "brand"], [{"client_id": 3}, {"brand": "brand 7"}]),
+        "fact": (rows, ["client_id", "product_key"], [{"client_id": 996}, {"product_key": 100}]),
+    }
+    for name, (df, keys, lookups) in laid.items():
+        path = str(tmp_path / name)
+        curve.write_curve(df, path, keys, files=32)
+        total = spark.read.parquet(f"{path}/files").count()
+        assert total >= 16
+        for equals in lookups:
+            wanted = df
+            for key, value in equals.items():
+                wanted = wanted.where(F.col(key) == value)
+            found = curve.lookup(spark, path, **equals)
+            assert frames.rows(found) == frames.rows(wanted)
+            assert 0 < len(curve.files_for(spark, path, **equals)) <= 0.35 * total
+            assert len(found.inputFiles()) == len(curve.files_for(spark, path, **equals))
+    assert curve.lookup(spark, str(tmp_path / "fact"), client_id=5000).count() == 0
+
+
+def test_curve_with_nulls_ties_and_no_rows(spark, tmp_path):
+    rows = spark.createDataFrame([(1, None)] * 300 + [(None, "b")] + [(i, "c") for i in range(100)], "client_id long, brand string")
+    written = curve.write_curve(rows, str(tmp_path / "t"), ["client_id", "brand"], files=4)
+    assert frames.rows(written) == frames.rows(rows)
+    assert curve.lookup(spark, str(tmp_path / "t"), client_id=None).count() == 1
+    assert curve.lookup(spark, str(tmp_path / "t"), client_id=1, brand=None).count() == 300
+    # Equal rows are spread over the files.
+    assert spark.read.parquet(f"{tmp_path / 't'}/files").agg(F.max("rows")).first()[0] < 200
+    curve.write_curve(rows.limit(0), str(tmp_path / "none"), ["client_id"], files=4)
+    assert curve.lookup(spark, str(tmp_path / "none"), client_id=1).count() == 0
+
+
+def test_a_download_is_one_file_that_no_task_wrote_alone(spark, tmp_path):
+    rows = spark.range(1000).repartition(7).withColumn("note", F.concat(F.lit('a, "b" '), F.col("id").cast("string")))
+    path = files.export_selection(rows, str(tmp_path), "Client Targets", date(2001, 8, 1), order=["id"])
+    assert path.endswith("/client_targets_20010801.csv")
+    lines = (tmp_path / "client_targets_20010801.csv").read_text().splitlines()
+    assert lines[0] == "id,note" and len(lines) == 1001
+    assert [int(x.split(",")[0]) for x in lines[1:]] == list(range(1000))
+    assert frames.rows(files.read_csv(spark, path, rows.schema).select("id")) == [(i,) for i in range(1000)]
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["client_targets_20010801.csv"]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = files.write_parts(rows, str(tmp_path / "parts"), ["id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(parts) == 8 and all(n > 0 for _, n in parts)
+    # Written over, and without rows.
+    files.export_selection(rows.limit(0), str(tmp_path), "Client Targets", date(2001, 8, 1))
+    assert (tmp_path / "client_targets_20010801.csv").read_text().splitlines() == ["id,note"]
+
+
+def test_several_distinct_counts_in_one_pass(spark):
+    allotted = spark.createDataFrame([(1, "A", 1.25), (1, "B", 2.5), (None, "A", 1.0), (2, None, 4.0), (3, "C", 0.1)], "client_id long, brand string, client_target double")
+    found = reports.target_kpis(allotted, least=0.5)
+    plan = frames.plan(found)
+    assert "Expand" not in plan and plan.count("Scan ExistingRDD") == 1
+    assert found.collect()[0].asDict() == {"total_target": 8.75, "clients": 2, "brands": 3}
+    assert reports.target_kpis(allotted.limit(0)).collect()[0].asDict() == {"total_target": 0.0, "clients": 0, "brands": 0}
+    sold = spark.createDataFrame([(1, "SP", "x", Decimal("1.5")), (1, "SP", "y", Decimal(2)), (2, None, "x", None)], "client_id long, state string, city string, volume_hl decimal(12,2)")
+    kpis = geo.geo_kpis(sold)
+    assert "Expand" not in frames.plan(kpis) and frames.plan(kpis).count("Scan ExistingRDD") == 1
+    assert kpis.collect()[0].asDict() == {"states": 1, "cities": 2, "clients": 2, "volume": 3.5}
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_dedupe_counts_what_it_drops(spark, limit):
+    r = random.Random(2)
+    rows = [(r.choice([None, 1, 2, 3]), r.choice([None, "a", "b"]), r.randrange(30)) for _ in range(400)]
+    # Equal digests of rows that differ in where the null is must not make them one.
+    rows += [(None, "a", 1), (1, None, 1)]
+    df = spark.createDataFrame(rows, "n long, t string, v long")
+    kept, report = cleaning.dedupe_counted(df, limit)
+    assert frames.rows(kept) == sorted(set(rows), key=lambda x: tuple((v is not None, v) for v in x))
+    assert report.collect()[0].asDict() == {"rows_before": 402, "rows_after": len(set(rows)), "dropped_rows": 402 - len(set(rows))}
+    none, report = cleaning.dedupe_counted(df.limit(0), limit)
+    assert none.count() == 0 and tuple(report.first()) == (0, 0, 0)
+
+
+def test_only_rows_that_occur_twice_are_shuffled(spark):
+    df = spark.createDataFrame([(i, str(i % 90)) for i in range(100)], "id long, t string")
+    kept, _ = cleaning.dedupe_counted(df)
+    plan = frames.plan(kept)
+    # One shuffle, of the rows that met their equals; the others come straight from the scan.
+    assert plan.count("Exchange hashpartitioning(") == 1 and plan.count("LeftSemi") == plan.count("LeftAnti") == 1, plan
+    assert "SortMergeJoin" not in plan
+
+
+def test_a_brand_with_most_rows_is_not_shuffled(spark, shuffle_joins):
+    sold = [(i, "hot", "2024-01-01", 1) for i in range(900)] + [(i, f"cold {i}", "2024-01-01", 2) for i in range(200)]
+    found = targets.participation(frames.sales(spark, *sold))
+    plan = frames.plan(found)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+    shares = {(r.client_id, r.brand): r.share_pct for r in found.collect()}
+    assert len(shares) == 1100 and shares[5, "hot"] == pytest.approx(100 / 900) and shares[7, "cold 7"] == 100.0
+    # What reaches the shuffle join is the others' rows.
+    hot_rows = found.where("brand = 'hot'").count()
+    assert hot_rows == 900
+
+
+def test_rows_are_numbered_as_they_come(spark):
+    rows = spark.range(5000).withColumn("v", F.col("id") * 7919 % 5000).repartition(6).orderBy(F.desc("v"))
+    found = numbering.number_as_they_come(rows, "place")
+    assert frames.rows(found, "place", "v") == [(i + 1, 4999 - i) for i in range(5000)]
+    assert numbering.number_as_they_come(rows.limit(0), "place").count() == 0

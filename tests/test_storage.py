@@ -62,7 +62,7 @@ def test_shuffle_partitions_are_restored(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
-def test_nothing_is_rounded_or_lost(spark, tmp_path):
+def test_nothing_is_lost_and_rounding_is_listed(spark, tmp_path):
     head = LOCAL.split("\n")[0]
     lines = [
         "9007199254740993.0,1,True,2000000000000,0.12345678,2024-01-31,1,1,A,x,1",
@@ -72,10 +72,28 @@ def test_nothing_is_rounded_or_lost(spark, tmp_path):
     (tmp_path / "sales.csv").write_text("\n".join([head, *lines]) + "\n", encoding="utf-8")
     first, second, third = files.read_sales(spark, str(tmp_path / "sales.csv")).collect()
     assert (first.client_id, first.volume_hl, first.revenue) == (9007199254740993, Decimal(2000000000000), Decimal("0.12345678"))
-    assert (second.client_id, second.volume_hl, second.revenue, second.sale_date) == (None, None, Decimal(1000), None)
+    assert (second.client_id, second.volume_hl, second.revenue, second.sale_date) == (None, Decimal("0.123456789"), Decimal(1000), None)
     assert third.client_id == 13 and third.volume_hl is None
     counted = files.count_unread(files.read_sales(spark, str(tmp_path / "sales.csv"), mark=True))
-    assert {r.column_name: r.unread for r in counted.collect() if r.unread} == {"client_id": 1, "volume_hl": 1, "sale_date": 1}
+    assert {r.column_name: r.unread for r in counted.collect() if r.unread} == {"client_id": 1, "sale_date": 1}
+    found = files.rejects(files.read_sales(spark, str(tmp_path / "sales.csv"), mark=True))
+    assert frames.rows(found) == [
+        ("sales.csv", "client_id", "12.7", "unread"),
+        ("sales.csv", "sale_date", "2024-02-30", "unread"),
+        ("sales.csv", "volume_hl", "0.123456789012", "rounded"),
+    ]
+
+
+@pytest.mark.parametrize(
+    "raw, value, rounded",
+    [("12.340000000000002", "12.34", True), ("0.30000000000000004", "0.3", True), ("1.5", "1.5", False), ("1.50000000000000000000", "1.5", False),
+     ("1e-12", "0", True), ("1.00000000001e5", "100000.000001", False), ("0.00000000000000000000001", "0", True), ("-7", "-7", False)],
+)
+def test_float_artefacts_are_rounded(spark, tmp_path, raw, value, rounded):
+    (tmp_path / "sales.csv").write_text(f"{LOCAL.split(chr(10))[0]}\n1,1,True,{raw},1,2024-01-31,1,1,A,x,1\n", encoding="utf-8")
+    marked = files.read_sales(spark, str(tmp_path / "sales.csv"), mark=True)
+    assert marked.first().volume_hl == Decimal(value)
+    assert [(r.raw, r.reason) for r in files.rejects(marked).collect()] == ([(raw, "rounded")] if rounded else [])
 
 
 def test_wrong_header_is_an_error(spark, inputs):
