@@ -8,10 +8,10 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-_rng = np.random.default_rng(20240229)
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
-_LOWER = _BYTE.copy()
-_LOWER[65:91] = _BYTE[97:123]
+# A-Z as a-z, and the low bytes of a number: none, one ... all eight.
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
 # ASCII white space: a word is a run of other bytes.
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -36,7 +36,7 @@ class _Powers:
         return self.up[:n], self.down[:n]
 
 
-_bytes_powers, _word_powers = _Powers(_P), _Powers(_Q)
+_word_powers = _Powers(_Q)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -67,6 +67,26 @@ class Words:
         return np.diff(self.first)
 
 
+def _hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of words, eight bytes at a time.
+
+    Each eight bytes are mixed with their place before they are added up, so no arrangement of equal parts gives
+    equal sums, as it would in a polynomial modulo a power of two.
+    """
+    eights = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    length = end - begin
+    hashes = mix(eights[begin] & _LOW_BYTES[np.minimum(length, 8)])
+    longer = np.flatnonzero(length > 8)
+    if len(longer):
+        more = (length[longer] - 1) >> 3
+        start = np.cumsum(more) - more
+        place = np.arange(more.sum()) - np.repeat(start, more) + 1
+        at = np.repeat(begin[longer], more) + 8 * place
+        rest = eights[at] & _LOW_BYTES[np.minimum(np.repeat(end[longer], more) - at, 8)]
+        hashes[longer] += np.add.reduceat(mix(rest ^ mix(place.astype(U64) * _P)), start)
+    return mix(hashes + length.astype(U64) * U64(0xA0761D6478BD642F))
+
+
 def words(texts: pa.Array, lower: bool = False) -> Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of the texts with their hashes; ``lower`` takes A-Z as a-z."""
     texts = texts.cast(pa.binary()).fill_null(b"")
@@ -88,11 +108,7 @@ def words(texts: pa.Array, lower: bool = False) -> Words:
     edge[:-1] = ~solid[1:]
     edge[offsets[1:][offsets[1:] > 0] - 1] = True
     end = np.flatnonzero(solid & edge) + 1
-    up, down = _bytes_powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, U64)
-    np.cumsum((_LOWER if lower else _BYTE)[data] * up[:-1], out=sums[1:])
-    length = (end - begin).astype(U64)
-    hashes = mix((sums[end] - sums[begin]) * down[begin] + length * U64(0xA0761D6478BD642F))
+    hashes = _hashes(_LOWER[data] if lower else data, begin, end)
     first = np.searchsorted(begin, offsets)
     doc = np.repeat(np.arange(n), np.diff(first))
     return Words(data, begin, end, first, doc, hashes)
