@@ -4,8 +4,8 @@ A stage is ``(name, function)``; the function takes ``(spark, docs, sf_dir)`` an
 gets as its documents.  All but the last return the columns of ``documents``.
 
 * ``toxicity`` drops documents that score 0.5 or more, learning from ``labels``.
-* ``near_duplicates`` keeps the document with the smallest id of each group of linked ones; rows
-  equal in id and text are one.  A null id is in no group and stays.
+* ``near_duplicates`` keeps one document of each group of linked ones, that with the smallest id (of several with
+  that id, that with the smallest hash of its text); rows equal in id and text are one.  A null id is in no group and stays.
 * ``repeated_passages`` takes out passages that an earlier document has; a document left without
   a word goes.  A text that loses nothing stays as it is.
 * ``benchmark_leaks`` drops documents that hold a window of a benchmark item.
@@ -33,10 +33,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    groups = jaccard.join(docs)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    one = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return one.unionByName(docs.where("doc_id IS NULL")).select(*COLUMNS)
+    groups = jaccard.join(docs, detail=True).where("doc_id IS NOT NULL")
+    row = F.struct("doc_id", "text_hash")
+    first = groups.where("component IS NOT NULL").groupBy("component").agg(F.min(row).alias("row")).select("row.*")
+    # Documents without words are linked with nothing.
+    kept = first.unionByName(groups.where("component IS NULL").select("doc_id", "text_hash")).distinct()
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+    one = hashed.join(kept, ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text"])
+    return one.select(*COLUMNS).unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -86,7 +86,7 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
     for batch in pieces(batches):
         found = scan.words(batch.column("text"), lower=True)
         count, cls = classes_of(*shingles(found, size), batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(count), pa.array(cls)], ["doc_id", "n_shingles", "class"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(count), pa.array(cls), batch.column("text_hash")], ["doc_id", "n_shingles", "class", "text_hash"])
 
 
 def _representatives(group: pa.Table, reps: pa.Table, size: int):
@@ -321,10 +321,15 @@ def _fields(candidates: DataFrame, placed: DataFrame) -> DataFrame:
     return blocks.join(candidates.select("class", "shingles"), "class")
 
 
-def join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (the smallest id its links reach, its own included)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = written(docs.mapInArrow(lambda b: _sets(b, size), "doc_id long, n_shingles long, class long"), "sets")
+def join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, detail: bool = False) -> DataFrame:
+    """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (the smallest id its links reach, its own included).
+
+    Where ids occur more than once, ``detail`` tells rows and components apart: ``text_hash`` (``xxhash64`` of the
+    text), and ``component``, a number of each set of linked documents, null for one that is linked with nothing for want of words.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    sets = written(docs.mapInArrow(lambda b: _sets(b, size), "doc_id long, n_shingles long, class long, text_hash long"), "sets")
+    docs = docs.select("doc_id", "text")
     known = docs.where("doc_id IS NOT NULL")
     candidates = written(_candidates(known, sets.where("doc_id IS NOT NULL"), size, percent), "candidates")
     postings = candidates.select("class", F.explode("short").alias("h"))
@@ -336,8 +341,9 @@ def join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame
     reached = components(first.unionByName(second))
     classes = sets.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("doc"))
     placed = classes.join(reached.withColumnRenamed("node", "class"), "class", "left").select("class", "doc", F.coalesce("least", "class").alias("c"))
-    named = placed.join(placed.groupBy("c").agg(F.min("doc").alias("component_id")), "c").select("class", "component_id")
+    named = placed.join(placed.groupBy("c").agg(F.min("doc").alias("component_id")), "c").select("class", "component_id", F.col("c").alias("component"))
     return sets.join(named, "class", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))).alias("component_id"),
+        *(["text_hash", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("component")).alias("component")] if detail else []),
     )

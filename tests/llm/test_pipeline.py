@@ -6,8 +6,10 @@ import brute
 import cases
 import corpus_pipeline as pipeline
 
-from quotaflow.llm import pieces
-from quotaflow.llm.base import table
+from pyspark.sql import functions as F
+
+from quotaflow.llm import pieces, toxicity
+from quotaflow.llm.base import crc_mod, table
 
 
 def ids(df):
@@ -22,6 +24,13 @@ def test_stages(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     kept = pipeline.drop_toxic(spark, docs, sf_dir)
     assert set(ids(kept)) <= set(ids(docs)) and kept.columns == docs.columns
+    labels = table(spark, sf_dir, "labels").where(crc_mod(F.col("doc_id"), 5) != 0)
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    assert ids(kept) == ids(scored.where("score < 0.5"))
+    # What labels say of documents the classifier has not seen.
+    told = {r["doc_id"]: r["toxic"] for r in table(spark, sf_dir, "labels").where(crc_mod(F.col("doc_id"), 5) == 0).collect()}
+    right = [(i in set(ids(kept))) != bool(t) for i, t in told.items() if t is not None]
+    assert sum(right) >= 0.9 * len(right)
 
     one = pipeline.drop_near_duplicates(spark, kept, sf_dir).cache()
     assert ids(one) == sorted(i for i, _, c in brute.groups(pairs(kept)) if i == c)
@@ -46,6 +55,14 @@ def test_stages(spark, sf_dir):
     assert last.columns[0] == "doc_id"
 
 
+def test_one_row_of_each_group_where_ids_repeat(spark, sf_dir):
+    a, b, c = (" ".join(cases.prose(s, 60)) for s in (1, 2, 3))
+    rows = [(0, a), (1, a), (1, b), (2, b), (3, c), (3, c), (4, ""), (5, None), (5, " "), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = pairs(pipeline.drop_near_duplicates(spark, docs, sf_dir))
+    assert sorted(kept, key=repr) == sorted([(0, a), (1, b), (3, c), (4, ""), (5, None), (5, " "), (None, a)], key=repr)
+
+
 def test_run(spark, sf_dir):
     assert pipeline.run(spark, sf_dir).count() > 0
     assert [name for name, _ in pipeline.STAGES] == ["toxicity", "near_duplicates", "repeated_passages", "benchmark_leaks", "subwords"]
