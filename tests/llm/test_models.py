@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import random
+from itertools import combinations
 
 import cases
 import numpy as np
@@ -355,6 +357,72 @@ def test_given_url_rules(spark):
     assert url_rules.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_toxicity_does_not_depend_on_the_order_of_labels(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    other = labels.unionByName(labels.where("doc_id % 3 = 0").withColumn("toxic", 1 - F.col("toxic")))
+    a = toxicity.fit(docs, other.repartition(7, "toxic"))
+    b = toxicity.fit(docs.repartition(5), other.orderBy(F.desc("toxic"), "doc_id"))
+    assert a.voters.lexicon == b.voters.lexicon and np.array_equal(a.weights, b.weights) and a.bias == b.bias
+
+
+def url_verdicts_over_all_subsets(rows, confidence, support):
+    """Verdict and rule of each url without a given rule: all token sets, counted and pruned one by one."""
+    labelled = [(frozenset(t), v) for _, t, v in rows if v is not None]
+    least = max(1, math.ceil(support * len(labelled)))
+    sets = {frozenset(c) for t in {t for t, _ in labelled} for k in range(1, len(t) + 1) for c in combinations(sorted(t), k)}
+
+    def sure(items, verdict):
+        said = [v for t, v in labelled if items <= t]
+        return said.count(verdict) / len(said), said.count(verdict)
+
+    rules = {}
+    for items in sets:
+        for verdict in ("allow", "block"):
+            share, n = sure(items, verdict)
+            less = [items - {t} for t in items] if len(items) > 1 else []
+            if n >= least and share >= confidence and all(sure(i, verdict)[0] < share for i in less):
+                rules[items, verdict] = share, n / len(labelled)
+    urls = {t: frozenset(i for i, (u, _) in enumerate(labelled) if t in u) for u, _ in labelled for t in u}
+    name = {t: min(o for o in urls if urls[o] == urls[t]) for t in urls}
+    out = {}
+    for page, tokens, verdict in rows:
+        if verdict is None:
+            fits = [(*much, len(i), sorted(map(name.get, i)), v) for (i, v), much in rules.items() if i <= frozenset(tokens)]
+            out[page] = (max(fits)[-1], " ".join(max(fits)[-2])) if fits else ("allow", None)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_url_rules_equal_all_subsets(spark, seed):
+    r = random.Random(seed)
+    rows = []
+    for i in range(160):
+        tail = "/".join(sorted(r.sample(["a", "b", "c", "dd", "e", "f9"], r.randint(0, 4))))
+        host = r.choice(["x.com", "y.com", "example.com", "z.org", "t.net"])
+        start = r.choice(["en", "es", "en/es", "q"]) + ("/twin/also" if r.random() < 0.3 else "")
+        rows.append((i, f"http://{host}/{start}/{tail}" + r.choice(["", "?k=1&l=2", "?k=3"])))
+    rows += [(900, rows[0][1]), (901, rows[5][1]), (902, None), (903, "none"), (904, "http://q.org/also")]
+    pages = spark.createDataFrame([(*x, "mine", 1.0) for x in rows], "page_id long, url string, tokens string, name double")
+    found = {x["page_id"]: x for x in url_rules.judge(pages, confidence=0.6, support=0.03).collect()}
+    assert len(found) == len(rows)
+    host, path = url_rules.split_url(F.col("url"))
+    cut = pages.select("page_id", host.alias("h"), path.alias("p"), url_rules.tokens(F.col("url"), host, path).alias("t")).collect()
+    told = [(x["page_id"], x["t"] if x["h"] else [], found[x["page_id"]]["verdict"] if found[x["page_id"]]["rule"] else None) for x in cut]
+    wanted = url_verdicts_over_all_subsets(told, 0.6, 0.03)
+    assert {p: (found[p]["verdict"], found[p]["mined_rule"]) for p in wanted} == wanted
+    assert {v for v, _ in wanted.values()} == {"allow", "block"} and any(m and " " in m for _, m in wanted.values())
+
+
+def test_long_urls_do_not_multiply_rules(spark):
+    deep = "/".join(f"s{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60))
+    rows = [(i, f"http://a.net/es/{deep}") for i in range(500)] + [(i, f"http://b.com/es/{deep}") for i in range(500, 1000)]
+    rows += [(1000, f"http://c.org/{deep}"), (1001, "http://c.org/saa"), (1002, "http://a.org/")]
+    found = url_rules.judge(spark.createDataFrame(rows, "page_id long, url string")).where("page_id >= 1000")
+    assert {(x["page_id"], x["verdict"], x["mined_rule"]) for x in found.collect()} == {
+        (1000, "allow", None), (1001, "allow", None), (1002, "block", "host=a"),
+    }
+
+
 def test_url_query(spark, sf_dir):
     found = QUERIES["op4_url_filters"](spark, sf_dir)
     assert found.count() == table(spark, sf_dir, "pages").count()
