@@ -8,11 +8,11 @@ gives the host a verdict (``trusted``, ``usual``, ``strict``), and the verdict t
 by which the limits of its documents are stretched or tightened.
 
 Only DataFrame functions run here; nothing is aggregated before its per-host partial
-sums, and only numbers are shuffled, never texts.  The counts are written to the shared
-folder once, so this starts a job when it is called.
+sums, and only numbers are shuffled, never texts.  The counts and the verdicts of the hosts
+are written to the shared folder once, so this starts jobs when it is called.
 
 Defined cases: a null text has no words and fails the base rules; a null source is a
-host of its own; repeated rows count as often as they occur; one host alone has no
+host of its own, apart from the empty one; repeated rows count as often as they occur; one host alone has no
 spread, so the prior is at its strongest; an empty table gives an empty result.
 """
 
@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import small_side
 from .base import written
 
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -143,13 +144,15 @@ def host_verdicts(counted: DataFrame) -> DataFrame:
 
 def judge(docs: DataFrame) -> DataFrame:
     """One row per document: its counts, the base rules, the verdict of its host, and whether it is kept."""
-    raw = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"), measures(F.col("text")).alias("m"))
+    raw = docs.select("doc_id", F.col("source").cast("string").alias("host"), measures(F.col("text")).alias("m"))
     counted = raw.select("doc_id", "host", "m.words.*", "m.lines.*", "m.n_symbols", "m.n_shouts").withColumn(
         "base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     )
     counted = written(counted, "host-quality")
     scale = F.when(F.col("host_verdict") == "trusted", STRETCH).when(F.col("host_verdict") == "strict", TIGHTEN).otherwise(1.0)
-    return counted.join(host_verdicts(counted), "host").select(
+    # Documents stay where they are while the hosts are few enough; a null host meets itself.
+    hosts = small_side(written(host_verdicts(counted), "host-verdicts").withColumnRenamed("host", "of_host"))
+    return counted.join(hosts, F.col("host").eqNullSafe(F.col("of_host"))).select(
         "doc_id",
         "n_words",
         "word_chars",

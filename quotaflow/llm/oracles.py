@@ -22,7 +22,7 @@ def _soft(scale: str) -> str:
 
 
 OP1 = rf"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text, {WORDS} AS words FROM documents),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source AS host, coalesce(text, '') AS text, {WORDS} AS words FROM documents),
 l AS (SELECT *, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
 w AS (SELECT rid, i, array_to_string(words[i:i + {_Q.WINDOW - 1}], ' ') AS k FROM d, unnest(range(1, len(words) - {_Q.WINDOW - 2})) AS t(i)),
 twice AS (SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, k) AS n FROM w) WHERE n > 1),
@@ -42,7 +42,7 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
        NOT base_failed AND NOT {_soft(f"CASE host_verdict WHEN 'trusted' THEN {_Q.STRETCH} WHEN 'strict' THEN {_Q.TIGHTEN} ELSE 1.0 END")} AS kept,
        host_verdict
-FROM b JOIN j USING (host)"""
+FROM b JOIN j ON b.host IS NOT DISTINCT FROM j.host"""
 
 _S = repeats.WINDOW
 OP6 = rf"""
