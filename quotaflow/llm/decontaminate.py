@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from .base import pieces, text_bytes, written
 
 WINDOW = 10
-# Benchmark text behind one automaton; a larger benchmark is split and scanned part by part.
-AUTOMATON_BYTES = 32 << 20
+# Benchmark text behind one automaton, which takes some 350 bytes for each of it in every worker;
+# a larger benchmark is split and scanned part by part.
+AUTOMATON_BYTES = 1 << 20
 _FORM = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )

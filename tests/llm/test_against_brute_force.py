@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
 import brute
 import cases
 import pytest
@@ -46,6 +50,35 @@ def test_hosts_move_the_limits(spark):
     assert kept == {2000: (True, "trusted"), 2001: (False, "strict"), 2002: (True, "strict")}
 
 
+def test_a_null_host_is_not_the_empty_one(spark, monkeypatch):
+    clean, bad = " ".join(cases.prose(1, 40)), " ".join(w + "##" for w in cases.prose(2, 40))
+    rows = [(i, clean, None) for i in range(300)] + [(1000 + i, bad, "") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    wanted = {("trusted", True, 300), ("strict", False, 100)}
+    assert {tuple(r) for r in host_quality.judge(docs).groupBy("host_verdict", "kept").count().collect()} == wanted
+    # The same without a broadcast.
+    monkeypatch.setattr(host_quality, "small_side", lambda hosts: hosts)
+    assert {tuple(r) for r in host_quality.judge(docs).groupBy("host_verdict", "kept").count().collect()} == wanted
+
+
+def test_an_automaton_fits_a_worker():
+    """A share of the benchmark at its limit takes less than 600 MB."""
+    code = f"""
+import random, resource, sys
+sys.path.insert(0, {str(Path(decontaminate.__file__).parents[2])!r})
+from quotaflow.llm import decontaminate as d
+r, items, size = random.Random(0), [], 0
+while size < d.AUTOMATON_BYTES:
+    items.append((len(items), " ".join("w%x" % r.randrange(1 << 20) for _ in range(40)).encode()))
+    size += len(items[-1][1])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+machine = d.build(d.patterns(iter(items), d.WINDOW))
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    told = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=300)
+    assert int(told.stdout) < 600
+
+
 def test_repeats(spark, sf_dir):
     found = QUERIES["op6_substring_dedup"](spark, sf_dir)
     assert bag(found.collect()) == bag(brute.repeats(pairs_of(spark, sf_dir), repeats.WINDOW))
