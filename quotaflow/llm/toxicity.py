@@ -17,7 +17,7 @@ Fitting takes a bounded sample of the labelled rows (``TOXIC_DOCS`` and ``CLEAN_
 rows chosen by a hash of id and text; near copies in it count once); every row is scored on its
 whole text.  Defined cases: null, empty and wordless texts have no feature and get the
 score of the bias; labels that are null, or missing one class, give a score of 0 to
-everything; repeated rows score alike.
+everything; an id with different labels counts as toxic; repeated rows score alike.
 """
 
 from __future__ import annotations
@@ -222,7 +222,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, clean_
 
     None where a class is missing.
     """
-    named = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "toxic").dropDuplicates(["doc_id"])
+    named = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     balance = named.agg(F.avg("toxic")).first()[0]
     # Texts stay where they are until rows are picked by the hash of id and text: at most toxic_docs + clean_docs.
     hashed = docs.where("text IS NOT NULL").withColumn("row_hash", F.xxhash64("doc_id", "text"))
