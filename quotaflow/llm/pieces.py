@@ -9,10 +9,8 @@ skipped when a keyed hash of (seed, row, position of the unit, unit, place, piec
 below ``dropout``, else it is made and its new neighbours are added.  So every occurrence
 of a word is cut on its own, within and across texts, and repeatably.
 
-What is kept of a unit are its candidates, not its cuts: the candidates that come up while
-none is skipped, and for each first skip that occurred those that come up after it, and so
-on.  The hashes of many occurrences are compared at once, and lead through these lists to
-the cut that the agenda gives.
+The agendas of many occurrences are worked off side by side, as columns of arrays: a step takes
+the best merge of each of them.  Nothing is kept from one occurrence for the next.
 
 With ``dropout`` 0 this is the model's own segmentation.  Decoding joins pieces and bytes
 and takes the first mark away; the literal mark character is always spelled in bytes, so
@@ -42,11 +40,14 @@ from .scan import U64, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 17
-# Lists of candidates a worker keeps, and units that are looked up at once.
-CACHE, AT_ONCE = 540_000, 100_000
-# Characters up to which scanning a unit's agenda beats a heap.
+# Units that are cut at once.
+AT_ONCE = 400_000
+# Characters up to which a unit is cut together with others; a longer one has a heap of its own.
 SHORT_UNIT = 40
-_NONE = 1 << 30
+# Units are padded to the next of these lengths.
+_WIDTHS = [*range(1, 15), 16, 18, 21, 25, 30, SHORT_UNIT]
+_PLACE_BITS = 6
+_NONE, _GONE = 1 << 30, -1
 MARK = "▁"
 _MASK = (1 << 32) - 1
 _LITERAL = re.compile(f"([{MARK}\0])")
@@ -97,50 +98,85 @@ def spread(x):
     return (x ^ x >> 15) * 0x735A2D97 & _MASK
 
 
+class Pairs:
+    """For two neighbouring symbols the rank of their concatenation: a hash table of arrays.
+
+    A symbol is the rank of its piece; characters without a piece that a piece begins or ends
+    with are numbered after the ranks, and ``other`` stands for all that merges with nothing.
+    """
+
+    BITS = 20
+    EMPTY = U64(0xFFFFFFFFFFFFFFFF)
+
+    def __init__(self, rank: dict[str, int]):
+        self.other = len(rank)
+        symbols = dict(rank)
+        left, right, made = [], [], []
+        for piece, r in rank.items():
+            for k in range(1, len(piece)):
+                halves = piece[:k], piece[k:]
+                for h in halves:
+                    if len(h) == 1 and h not in symbols:
+                        symbols[h] = len(symbols) + 1
+                if halves[0] in symbols and halves[1] in symbols:
+                    left.append(symbols[halves[0]])
+                    right.append(symbols[halves[1]])
+                    made.append(r)
+        self.of_char = np.full(0x110000, self.other, np.int32)
+        for symbol, number in symbols.items():
+            if len(symbol) == 1:
+                self.of_char[ord(symbol)] = number
+        self.many = U64(len(symbols) + 1)
+        self.bits = max(self.BITS, (2 * len(made)).bit_length())
+        self.keys = np.full(1 << self.bits, self.EMPTY, U64)
+        self.ranks = np.full(1 << self.bits, _NONE, np.int32)
+        keys, ranks = np.array(left, U64) * self.many + np.array(right, U64), np.array(made, np.int32) << _PLACE_BITS
+        at = self._home(keys)
+        while len(keys):
+            # Of several pairs that want a free slot the first gets it, the rest go on to the next slot.
+            free = np.flatnonzero(self.keys[at] == self.EMPTY)
+            free = free[np.unique(at[free], return_index=True)[1]]
+            self.keys[at[free]], self.ranks[at[free]] = keys[free], ranks[free]
+            left_over = np.ones(len(keys), bool)
+            left_over[free] = False
+            keys, ranks, at = keys[left_over], ranks[left_over], self._next(at[left_over])
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * U64(0x9E3779B97F4A7C15) >> U64(64 - self.bits)).astype(np.int64)
+
+    def _next(self, at: np.ndarray) -> np.ndarray:
+        return at + 1 & (1 << self.bits) - 1
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks, shifted to leave room for a place; ``_NONE`` where no piece is spelled so."""
+        keys = left.astype(U64) * self.many + right.astype(U64)
+        at = self._home(keys)
+        there = self.keys[at]
+        out = self.ranks[at]
+        wrong = np.flatnonzero(there != keys)
+        out[wrong] = _NONE
+        wrong = wrong[there[wrong] != self.EMPTY]
+        keys, at = keys[wrong], at[wrong]
+        while len(wrong):
+            at = self._next(at)
+            there = self.keys[at]
+            same = there == keys
+            out[wrong[same]] = self.ranks[at[same]]
+            on = ~same & (there != self.EMPTY)
+            wrong, keys, at = wrong[on], keys[on], at[on]
+        return out
+
+
 class Encoder:
-    def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED, cache: int = CACHE):
-        self.v, self.dropout, self.seed, self.cache = vocabulary, dropout, seed, cache
+    def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED, at_once: int = AT_ONCE):
+        self.v, self.dropout, self.seed, self.at_once = vocabulary, dropout, seed, at_once
         self.below = int(dropout * (1 << 32))
-        self.of_piece = [spread(r + 1) for r in range(len(vocabulary.rank))]
-        self.of_place = [spread(p + 0x5BD1E995) for p in range(SHORT_UNIT)]
-        # A node is a unit with the candidates skipped so far; ``known`` has the nodes without a skip, ``after`` those
-        # after one more skip.  Node 0 is empty.
-        self.known: dict[str, int] = {}
-        self.after: dict[int, int] = {}
-        self.unit, self.skipped, self.crc = [""], [()], array("I", [0])
-        self.ids, self.id_at = array("i"), array("q", [0, 0])
-        self.salts, self.salt_at = array("I"), array("q", [0, 0])
-
-    def _by_scan(self, unit: str, key: int, skipped: tuple[int, ...] = (), salts: list[int] | None = None) -> list[str]:
-        """The agenda of a short unit is a list of its neighbours' ranks; the first least one is next.
-
-        With ``salts``, the candidates' parts of the key are appended to it, and those numbered in ``skipped`` are skipped.
-        """
-        get, below, symbols = self.v.rank.get, self.below, list(unit)
-        of_piece, of_place = self.of_piece, self.of_place
-        agenda = [get(a + b, _NONE) for a, b in zip(symbols, symbols[1:])]
-        place = list(range(len(symbols)))
-        while agenda:
-            r = min(agenda)
-            if r == _NONE:
-                break
-            i = agenda.index(r)
-            salt = of_place[place[i]] ^ of_piece[r]
-            if salts is None:
-                skip = below and spread(key ^ salt) < below
-            else:
-                skip = len(salts) in skipped
-                salts.append(salt)
-            if skip:
-                agenda[i] = _NONE
-                continue
-            symbols[i] += symbols[i + 1]
-            del symbols[i + 1], place[i + 1], agenda[i]
-            if i:
-                agenda[i - 1] = get(symbols[i - 1] + symbols[i], _NONE)
-            if i < len(agenda):
-                agenda[i] = get(symbols[i] + symbols[i + 1], _NONE)
-        return symbols
+        self.pairs = Pairs(vocabulary.rank)
+        self.of_piece = spread(np.arange(1, len(vocabulary.rank) + 1).astype(np.uint32))
+        self.of_place = spread(np.arange(SHORT_UNIT).astype(np.uint32) + np.uint32(0x5BD1E995))
+        by_rank = sorted(vocabulary.rank, key=vocabulary.rank.get)
+        self.id_of = np.array([vocabulary.ids[p] for p in by_rank], np.int32)
+        self.byte = np.array(vocabulary.byte, np.int32)
 
     def _by_heap(self, unit: str, key: int) -> list[str]:
         """The agenda of a long unit is a heap, with stale entries passed over."""
@@ -162,7 +198,7 @@ class Encoder:
             j = after[i]
             if symbols[i] != left or j >= n or symbols[j] != right:
                 continue
-            if self.below and spread(key ^ spread(i + 0x5BD1E995 & _MASK) ^ self.of_piece[r]) < self.below:
+            if self.below and spread(key ^ spread(i + 0x5BD1E995 & _MASK) ^ int(self.of_piece[r])) < self.below:
                 continue
             symbols[i], symbols[j] = left + right, ""
             after[i] = after[j]
@@ -172,6 +208,82 @@ class Encoder:
             offer(i, after[i])
         return [s for s in symbols if s]
 
+    def _agendas(self, symbols: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """The agendas of many short units, a column each, step by step.
+
+        A row is a place.  The symbols that are left stay at the places of their first
+        characters, those merged into another become ``_GONE``.  An entry of ``agenda`` is the rank and
+        place of a merge in one number, so the least of a column is the unit's next.
+        """
+        width, n = symbols.shape
+        whole = np.empty((width, n), np.int32)
+        column = np.arange(n)
+        # One more row is the end of every unit and the place before its first.
+        symbols = np.vstack([symbols, np.full((1, n), self.pairs.other, np.int32)])
+        places = np.arange(width + 1, dtype=np.int32)[:, None]
+        after, before = np.repeat(places + 1, n, 1), np.repeat(places - 1, n, 1)
+        before[0] = width
+        agenda = np.full((width + 1, n), _NONE, np.int32)
+        agenda[: width - 1] = self.pairs.find(symbols[: width - 1].ravel(), symbols[1:width].ravel()).reshape(-1, n) | places[: width - 1]
+        while True:
+            best = agenda.min(0)
+            act = np.flatnonzero(best < _NONE)
+            n = len(best)
+            if len(act) < 0.6 * n or not len(act):
+                # Columns that are done leave.
+                done = np.flatnonzero(best >= _NONE)
+                whole[:, column[done]] = symbols[:width, done]
+                if not len(act):
+                    return whole
+                symbols, after, before, agenda = (m.take(act, 1) for m in (symbols, after, before, agenda))
+                key, column, best, n, act = key[act], column[act], best[act], len(act), np.arange(len(act))
+            best = best[act]
+            i, r = best & (1 << _PLACE_BITS) - 1, best >> _PLACE_BITS
+            at = i.astype(np.int64) * n + act
+            if self.below:
+                skip = spread(key[act] ^ self.of_place[i] ^ self.of_piece[r]) < np.uint32(min(self.below, _MASK))
+                if self.below > _MASK:
+                    skip[:] = True
+                agenda.ravel()[at[skip]] = _NONE
+                made = ~skip
+                act, i, r, at = act[made], i[made], r[made], at[made]
+            symbol, nexts, prior, waiting = symbols.ravel(), after.ravel(), before.ravel(), agenda.ravel()
+            j = nexts[at].astype(np.int64) * n + act
+            k, h = nexts[j], prior[at]
+            symbol[at], symbol[j], waiting[j], nexts[at] = r, _GONE, _NONE, k
+            k = k.astype(np.int64) * n + act
+            prior[k] = i
+            waiting[at] = self.pairs.find(r, symbol[k]) | i
+            left = np.flatnonzero(h < width)
+            h = h[left]
+            at = h.astype(np.int64) * n + act[left]
+            waiting[at] = self.pairs.find(symbol[at], r[left]) | h
+
+    def cut(self, codes: np.ndarray, first: np.ndarray, of_occurrence: np.ndarray) -> np.ndarray:
+        """For every character the symbol that begins there, or ``_GONE``; units run from each ``first`` to the next one."""
+        final = np.full(len(codes), _GONE, np.int32)
+        size = np.diff(first, append=len(codes))
+        order = np.argsort(size, kind="stable")
+        ends = np.searchsorted(size[order], _WIDTHS, side="right")
+        for width, a, b in zip(_WIDTHS, [0, *ends], ends):
+            if a == b:
+                continue
+            mine = order[a:b]
+            place = np.arange(width)[:, None]
+            within = place < size[mine]
+            at = np.minimum(first[mine] + place, len(codes) - 1)
+            letters = codes[at]
+            key = _crc(letters, within, self.seed) ^ of_occurrence[mine]
+            found = self._agendas(np.where(within, self.pairs.of_char[letters], np.int32(self.pairs.other)), key)
+            final[at[within]] = found[within]
+        for i in order[ends[-1] :]:
+            unit = codes[first[i] : first[i] + size[i]].tobytes().decode("utf-32-le")
+            at = first[i]
+            for symbol in self._by_heap(unit, unit_key(self.seed, int(of_occurrence[i]), unit)):
+                final[at] = self.v.rank.get(symbol, self.pairs.other)
+                at += len(symbol)
+        return final
+
     def spell(self, symbols: list[str]) -> list[int]:
         """Ids of the symbols; those without a piece are spelled in bytes."""
         ids, out = self.v.ids, []
@@ -183,125 +295,67 @@ class Encoder:
                 out += [self.v.byte[b] for b in s.encode()]
         return out
 
-    def _node(self, unit: str, skipped: tuple[int, ...] = ()) -> int:
-        """A new node: the agenda of ``unit`` with exactly the candidates of these numbers skipped."""
-        if unit[0] == "\0":
-            # A literal mark or NUL: spelled in bytes, so that no merge takes it.
-            salts, ids = [], [self.v.byte[b] for b in (unit[1:] or unit).encode()]
-        else:
-            salts: list[int] = []
-            ids = self.spell(self._by_scan(unit, 0, skipped, salts))
-        self.unit.append(unit)
-        self.skipped.append(skipped)
-        self.crc.append(unit_key(self.seed, 0, unit))
-        self.ids.extend(ids)
-        self.id_at.append(len(self.ids))
-        # Those up to the last skip are decided.
-        self.salts.extend(salts[skipped[-1] + 1 :] if skipped else salts)
-        self.salt_at.append(len(self.salts))
-        return len(self.unit) - 1
-
-    def _shrink(self) -> None:
-        """Common units come early: the first half stays."""
-        n = self.cache // 2 + 1
-        self.known = {u: e for u, e in self.known.items() if e < n}
-        self.after = {c: e for c, e in self.after.items() if e < n}
-        del self.unit[n:], self.skipped[n:], self.crc[n:], self.id_at[n + 1 :], self.salt_at[n + 1 :]
-        del self.ids[self.id_at[-1] :], self.salts[self.salt_at[-1] :]
-
-    def _cut(self, found: list[str], of_occurrence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the units one after the other, and the number of each."""
-        if len(self.unit) > self.cache:
-            self._shrink()
-        nodes = list(map(self.known.get, found))
-        long = []
-        if None in nodes:
-            for i, node in enumerate(nodes):
-                if node is None:
-                    u = found[i]
-                    if len(u) > SHORT_UNIT:
-                        long.append(i)
-                        nodes[i] = 0
-                    else:
-                        node = self.known.get(u)
-                        if node is None:
-                            node = self.known[u] = self._node(u)
-                        nodes[i] = node
-        node = np.array(nodes, np.int64)
-        if self.below:
-            key = of_occurrence ^ np.frombuffer(self.crc, np.uint32)[node]
-            open_ = np.arange(len(node))
-            while len(open_):
-                at = np.frombuffer(self.salt_at, np.int64)
-                first = at[node[open_]]
-                size = at[node[open_] + 1] - first
-                del at
-                owner, place = _runs(size)
-                h = spread(np.frombuffer(self.salts, np.uint32)[first[owner] + place] ^ key[open_][owner])
-                hit = np.flatnonzero(h < np.uint64(self.below))
-                hit = hit[np.flatnonzero(np.diff(owner[hit], prepend=-1))]
-                open_, place = open_[owner[hit]], place[hit]
-                codes = (node[open_] * SHORT_UNIT**2 + place).tolist()
-                nexts = list(map(self.after.get, codes))
-                if None in nexts:
-                    for i, (code, known) in enumerate(zip(codes, nexts)):
-                        if known is None:
-                            known = self.after.get(code)
-                            if known is None:
-                                known = self.after[code] = self._after(*divmod(code, SHORT_UNIT**2))
-                            nexts[i] = known
-                node[open_] = nexts
-        at = np.frombuffer(self.id_at, np.int64)
-        first = at[node]
-        size = at[node + 1] - first
-        del at
-        cuts = []
-        for i in long:
-            key = unit_key(self.seed, int(of_occurrence[i]), found[i])
-            cuts.append(np.array(self.spell(self._by_heap(found[i], key)), np.int32))
-            size[i] = len(cuts[-1])
-        owner, place = _runs(size)
-        source = first[owner] + place
-        if not long:
-            return (np.frombuffer(self.ids, np.int32)[source] if len(source) else np.zeros(0, np.int32)), size
-        is_long = np.zeros(len(node), bool)
-        is_long[long] = True
-        out, inside = np.empty(len(source), np.int32), is_long[owner]
-        out[~inside] = np.frombuffer(self.ids, np.int32)[source[~inside]] if not inside.all() else 0
-        out[inside] = np.concatenate(cuts)
-        return out, size
-
-    def _after(self, node: int, place: int) -> int:
-        skipped = self.skipped[node]
-        return self._node(self.unit[node], (*skipped, (skipped[-1] + 1 if skipped else 0) + place))
+    def _ids(self, codes: np.ndarray, final: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the symbols one after the other, and how many begin at each character."""
+        count = (final != _GONE).astype(np.int8)
+        spelled = np.flatnonzero(final >= len(self.id_of))
+        if not len(spelled):
+            return self.id_of[final[final != _GONE]], count
+        lead, more = _utf8(codes[spelled])
+        count[spelled] = 1 + more
+        begin = np.cumsum(count, dtype=np.int64) - count
+        out = np.empty(int(begin[-1]) + int(count[-1]), np.int32)
+        plain = np.flatnonzero((final != _GONE) & (final < len(self.id_of)))
+        out[begin[plain]] = self.id_of[final[plain]]
+        out[begin[spelled]] = self.byte[lead]
+        for k in range(1, 4):
+            some = more >= k
+            out[begin[spelled[some]] + k] = self.byte[_continued(codes[spelled[some]], more[some] - k)]
+        return out, count
 
     def encode_all(self, texts: list[str], keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts one after the other, and the number of each; ``keys`` are those of their rows."""
-        out, sizes = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64)
-        found, of_text, position, n = [], [], [], 0
-
-        def flush() -> None:
-            nonlocal found, of_text, position, n
-            if n:
-                text, place = np.concatenate(of_text), np.concatenate(position)
-                rows = np.array([keys[i] & (1 << 64) - 1 for i in range(text[0], text[-1] + 1)], U64)[text - text[0]]
-                ids, size = self._cut(found, occurrences(self.seed, rows, place))
-                out.append(ids)
-                np.add.at(sizes, text, size)
-            found, of_text, position, n = [], [], [], 0
-
+        marked, literal = [], {}
         for i, text in enumerate(texts):
-            own = self._units(text)
-            for first in range(0, len(own), AT_ONCE):
-                part = own[first : first + AT_ONCE]
-                found += part
-                of_text.append(np.full(len(part), i))
-                position.append(np.arange(first, first + len(part)))
-                n += len(part)
-                if n >= AT_ONCE:
-                    flush()
-        flush()
-        return np.concatenate(out), sizes
+            if MARK in text or "\0" in text:
+                literal[i] = self._units(text)
+                marked.append("".join(literal[i]))
+            else:
+                marked.append(MARK + text.replace(" ", MARK) if text else "")
+        codes = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32)
+        if not len(codes):
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        begin = np.concatenate([[0], np.cumsum(np.fromiter(map(len, marked), np.int64, len(marked)))])
+        starts = codes == ord(MARK)
+        starts[1:] &= ~starts[:-1]
+        starts[begin[:-1][np.diff(begin) > 0]] = True
+        kept = []
+        for i, own in literal.items():
+            size = np.fromiter(map(len, own), np.int64, len(own))
+            at = begin[i] + np.cumsum(size) - size
+            starts[begin[i] : begin[i + 1]] = False
+            starts[at] = True
+            kept.append(at[[u[0] == "\0" for u in own]])
+        first = np.flatnonzero(starts)
+        before = np.concatenate([[0], np.cumsum(starts)])[begin]
+        text = np.repeat(np.arange(len(texts)), np.diff(before))
+        rows = np.array([k & (1 << 64) - 1 for k in keys], U64)
+        of_occurrence = occurrences(self.seed, rows[text], np.arange(len(first)) - before[:-1][text])
+        out, count = [], np.zeros(len(codes) + 1, np.int64)
+        kept = np.concatenate(kept) if kept else np.zeros(0, np.int64)
+        for a in range(0, len(first), self.at_once):
+            some = slice(first[a], first[a + self.at_once] if a + self.at_once < len(first) else len(codes))
+            final = self.cut(codes[some], first[a : a + self.at_once] - some.start, of_occurrence[a : a + self.at_once])
+            # A literal mark or NUL is spelled in bytes, so that no merge takes it; the NUL before a mark only tells it apart.
+            mine = kept[(kept >= some.start) & (kept < some.stop)]
+            final[mine - some.start] = self.pairs.other
+            is_mark = mine[np.append(codes, 0)[mine + 1] == ord(MARK)] if len(mine) else mine
+            is_mark = is_mark[~np.append(starts, True)[is_mark + 1]]
+            final[is_mark - some.start] = _GONE
+            final[is_mark + 1 - some.start] = self.pairs.other
+            ids, count[1:][some] = self._ids(codes[some], final)
+            out.append(ids)
+        return np.concatenate(out), np.diff(np.cumsum(count)[begin])
 
     def encode(self, text: str, key: int = 0) -> array:
         """Ids of a text; ``key`` is that of its row."""
@@ -344,10 +398,43 @@ def units(text: str, first: bool = True) -> list[str]:
     return out
 
 
-def _runs(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For runs of these sizes, each element's run and its place there."""
-    owner = np.repeat(np.arange(len(size)), size)
-    return owner, np.arange(len(owner)) - (np.cumsum(size) - size)[owner]
+def _utf8(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes of the characters, and how many bytes follow each."""
+    more = (codes >= 0x80).astype(np.int8) + (codes >= 0x800) + (codes >= 0x10000)
+    mark = np.array([0, 0xC0, 0xE0, 0xF0], np.uint32)[more]
+    return mark | codes >> (6 * more).astype(np.uint32), more
+
+
+def _continued(codes: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """A following byte of each character, with ``left`` more after it."""
+    return 0x80 | codes >> (6 * left).astype(np.uint32) & 0x3F
+
+
+# Remainders of the single bytes under the reversed polynomial of crc32.
+_CRC = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    _CRC = np.where(_CRC & 1, _CRC >> 1 ^ np.uint32(0xEDB88320), _CRC >> 1)
+
+
+def _crc(letters: np.ndarray, within: np.ndarray, seed: int) -> np.ndarray:
+    """``unit_key`` of occurrence 0 for the units in the columns."""
+    state = np.full(letters.shape[1], (seed * 0x9E3779B1 & _MASK) ^ _MASK, np.uint32)
+
+    def take(some, byte) -> None:
+        now = state[some]
+        state[some] = _CRC[(now ^ byte) & 0xFF] ^ now >> 8
+
+    for row, ok in zip(letters, within):
+        mine = slice(None) if ok.all() else np.flatnonzero(ok)
+        lead, more = _utf8(row[mine])
+        take(mine, lead)
+        wide = np.flatnonzero(more)
+        if len(wide):
+            at, more, code = (np.arange(len(row))[mine][wide], more[wide], row[mine][wide])
+            for k in range(1, int(more.max()) + 1):
+                some = more >= k
+                take(at[some], _continued(code[some], more[some] - k))
+    return state ^ np.uint32(_MASK)
 
 
 _encoders: dict[tuple, Encoder] = {}

@@ -217,10 +217,30 @@ def test_pieces_come_back_exactly(vocabulary, dropout):
 @pytest.mark.parametrize("dropout", [0.0, 0.3])
 def test_both_agendas_cut_alike(vocabulary, dropout):
     encoder = pieces.Encoder(vocabulary, dropout)
-    for unit in ["▁international", "▁aaaaaaa", "▁thththth.", "é▁", "x", "▁▁▁▁x", "▁" + "un" * 15]:
-        for variant in range(4):
-            key = pieces.unit_key(encoder.seed, variant, unit)
-            assert encoder._by_scan(unit, key) == encoder._by_heap(unit, key)
+    units = ["▁international", "▁aaaaaaa", "▁thththth.", "é▁", "x", "▁▁▁▁x", "▁" + "un" * 15, "▁" + "un" * 19 + "é", "▁日本語🙂𝒳ab", "▁" + "z" * 60]
+    codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
+    first = np.cumsum([0, *map(len, units)])[:-1]
+    for variant in range(4):
+        final = encoder.cut(codes, first, np.full(len(units), variant, np.uint32))
+        for unit, at in zip(units, first):
+            plain, place = encoder._by_heap(unit, pieces.unit_key(encoder.seed, variant, unit)), int(at)
+            for symbol in plain:
+                assert final[place] == vocabulary.rank.get(symbol, final[place])
+                assert (final[place + 1 : place + len(symbol)] < 0).all()
+                place += len(symbol)
+
+
+def test_pairs_are_those_that_spell_a_piece(vocabulary):
+    pairs, rank = pieces.Pairs(vocabulary.rank), vocabulary.rank
+    names = sorted(rank, key=rank.get)
+    r = np.random.default_rng(4)
+    left, right = r.integers(0, len(names), 20_000), r.integers(0, len(names), 20_000)
+    split = [(p[:k], p[k:]) for p in names[::7] for k in range(1, len(p)) if p[:k] in rank and p[k:] in rank]
+    left, right = np.append(left, [rank[a] for a, _ in split]), np.append(right, [rank[b] for _, b in split])
+    found = pairs.find(left, right)
+    for a, b, at in zip(left, right, found):
+        whole = rank.get(names[a] + names[b])
+        assert at == (pieces._NONE if whole is None else whole << pieces._PLACE_BITS)
 
 
 def test_dropout_varies_and_repeats(vocabulary):
@@ -253,17 +273,22 @@ def test_texts_with_a_literal_mark_vary_too(vocabulary):
 
 
 @pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5, 1.0])
-@pytest.mark.parametrize("cache", [40, pieces.CACHE])
-def test_kept_candidates_give_the_agendas_cuts(vocabulary, spark, sf_dir, dropout, cache):
-    encoder = pieces.Encoder(vocabulary, dropout, cache=cache)
-    texts = [t for t in TEXTS if "▁" not in t and "\0" not in t]
-    texts += [r["text"] for r in table(spark, sf_dir, "documents").select("text").limit(30).collect()]
+@pytest.mark.parametrize("at_once", [40, pieces.AT_ONCE])
+def test_agendas_side_by_side_give_the_cuts_of_one(vocabulary, spark, sf_dir, dropout, at_once):
+    encoder = pieces.Encoder(vocabulary, dropout, at_once=at_once)
+    texts = [*TEXTS, *(r["text"] for r in table(spark, sf_dir, "documents").select("text").limit(30).collect())]
+    flat, sizes = encoder.encode_all(texts, list(range(len(texts))))
+    ends = np.cumsum(sizes)
     for row, text in enumerate(texts):
-        found = pieces.units(text) if text else []
+        found = encoder._units(text)
         of = pieces.occurrences(encoder.seed, np.full(len(found), row, np.uint64), np.arange(len(found)))
-        keys = [pieces.unit_key(encoder.seed, int(k), u) for k, u in zip(of, found)]
-        plain = [encoder.spell(encoder._by_heap(u, k)) for u, k in zip(found, keys)]
-        assert list(encoder.encode(text, row)) == [i for ids in plain for i in ids]
+        plain = []
+        for k, u in zip(of, found):
+            if u[0] == "\0":
+                plain += [vocabulary.byte[b] for b in (u[1:] or u).encode()]
+            else:
+                plain += encoder.spell(encoder._by_heap(u, pieces.unit_key(encoder.seed, int(k), u)))
+        assert flat[ends[row] - sizes[row] : ends[row]].tolist() == plain
 
 
 def test_pieces_query(spark, sf_dir):
