@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from collections import Counter
 from itertools import combinations
 
 import cases
@@ -106,9 +107,9 @@ def test_training_samples_are_bounded_in_rows(spark, monkeypatch):
     assert seen == [30]
 
     class Tokens(lm_score.Subwords):
-        def types(self, word):
-            texts.append(word)
-            return super().types(word)
+        def cut(self, words):
+            texts.extend(words)
+            return super().cut(words)
 
     texts = []
     monkeypatch.setattr(lm_score, "Subwords", Tokens)
@@ -156,10 +157,75 @@ def test_attention_scores_each_token_once_and_causally():
     assert (whole < 0).all()
 
 
+def forward(net, stream, at):
+    """Log-probabilities of the classes at one place of a text, number by number."""
+    p, w, half = net.p, attention.WINDOW, attention.STRIDE
+    begin = at // half * half - half
+    rows = [net.start if i <= 0 else net.row[stream[i - 1]] for i in range(max(begin, 0), at + 1)]
+    x = p["E"][rows].astype(np.float64)
+    gap = np.arange(len(rows))[::-1]
+    s = (x[-1] @ p["q"]) @ (x @ p["k"]).T * attention.WIDTH**-0.5 + p["r"][gap]
+    # Places of the window before the text are read as its start.
+    if begin < 0:
+        start = p["E"][net.start].astype(np.float64)
+        ahead = np.array([(x[-1] @ p["q"]) @ (start @ p["k"]) * attention.WIDTH**-0.5 + p["r"][at - i] for i in range(begin, 0)])
+        x, s = np.vstack([np.repeat(start[None], -begin, 0), x]), np.concatenate([ahead, s])
+    assert len(x) <= w
+    weight = np.exp(s - s.max())
+    h = x[-1] + (weight / weight.sum()) @ (x @ p["v"]) @ p["o"]
+    t = (h + np.maximum(h @ p["f"] + p["fb"], 0) @ p["g"]) @ p["c"] + p["cb"]
+    return t - t.max() - np.log(np.exp(t - t.max()).sum())
+
+
+def test_lm_scores_are_those_of_a_plain_forward_pass(spark, monkeypatch):
+    rows = [(i, " ".join(cases.prose(i, 45 + i)), i % 3 > 0) for i in range(24)]
+    rows += [(50, "Unseen zorgle, vexmuddle!", False), (51, None, False), (52, "", True), (53, "é 日本語 " * 20, False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean")
+    vocabulary, nets, fit = lm_score.read_vocabulary(), [], lm_score.fit
+    monkeypatch.setattr(lm_score, "fit", lambda *a: nets.append(fit(*a)) or nets[0])
+    found = {r["doc_id"]: r for r in lm_score.score(docs, vocabulary).collect()}
+    net, cutter, end = nets[0], lm_score.Subwords(vocabulary), b"\n"
+    fold = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+    tokens = {i: [*(t or "").encode().translate(fold).split(), end] for i, t, _ in rows}
+    cut = {w: cutter.cut([w])[0].tolist() for ws in tokens.values() for w in ws if w != end} | {end: [cutter.end]}
+    count, of_type, of_class = Counter(), np.zeros(cutter.n_types), Counter()
+    for i, _, learn in rows:
+        for w in tokens[i] if learn else ():
+            count[w] += 1
+            of_class[net.classes[cut[w][0]]] += 1
+            np.add.at(of_type, cut[w], 1)
+    n, v = sum(count.values()), len(count)
+    in_class = np.bincount(net.classes, of_type + lm_score.SMOOTH)
+    free = min(0.5, lm_score.DISCOUNT * v / n)
+    for i, words in tokens.items():
+        stream, total = [t for w in words for t in cut[w]], 0.0
+        at = 0
+        for w in words:
+            spelled = 0.0
+            for k, t in enumerate(cut[w]):
+                of = forward(net, stream, at + k)[net.classes[t]]
+                spelled += (of if k else 0) + np.log((of_type[t] + lm_score.SMOOTH) / in_class[net.classes[t]])
+                head = of if not k else head
+            at += len(cut[w])
+            counted = (1 - free) * count[w] / max(1, of_class[net.classes[cut[w][0]]])
+            total += (head + np.log(counted + free * np.exp(spelled))) / np.log(10)
+        assert found[i]["score"] == pytest.approx(total, rel=1e-4), i
+        assert found[i]["n_tokens"] == len(words)
+
+
+def test_subwords_of_many_words_are_those_of_each(spark, sf_dir):
+    tokens = lm_score.Subwords(lm_score.read_vocabulary())
+    words = [w.encode() for r in table(spark, sf_dir, "documents").limit(20).collect() for w in (r["text"] or "").split()] + ["日本語".encode(), b"\x00", b"x" * 500]
+    types, length = tokens.cut(words)
+    each = [[2 * i for i in tokens.encoder.encode_ordinary(w.decode())] for w in words]
+    assert types.tolist() == [t for ts in each for t in (*ts[:-1], ts[-1] + 1)]
+    assert length.tolist() == list(map(len, each))
+    assert [len(x) for x in tokens.cut([])] == [0, 0]
+
+
 def test_lm_query(spark, sf_dir):
     found = QUERIES["op7_lm_scoring"](spark, sf_dir).collect()
     docs = {r["doc_id"]: r["text"] for r in table(spark, sf_dir, "documents").select("doc_id", "text").collect()}
-    from collections import Counter
     from zlib import crc32
 
     import brute
