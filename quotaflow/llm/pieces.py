@@ -10,7 +10,8 @@ below ``dropout``, else it is made and its new neighbours are added.  So every o
 of a word is cut on its own, within and across texts, and repeatably.
 
 The agendas of many occurrences are worked off side by side, as columns of arrays: a step takes
-the best merge of each of them.  Nothing is kept from one occurrence for the next.
+the best merge of each of them.  Nothing is kept from one occurrence for the next.  A text is
+whole in memory while it is cut, with some 30 bytes for each of its characters.
 
 With ``dropout`` 0 this is the model's own segmentation.  Decoding joins pieces and bytes
 and takes the first mark away; the literal mark character is always spelled in bytes, so
