@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .base import written
 
 MOST_ROUNDS = 60
+FILE_EDGES = 1 << 20
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -18,31 +19,49 @@ def _large(edges: DataFrame) -> DataFrame:
 
 
 def _small(edges: DataFrame) -> DataFrame:
-    """Every smaller neighbour of a node, and the node, are linked to the least of them."""
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    """Every smaller neighbour of a node, and the node, are linked to the least of them; ``a`` is the larger end.
+
+    One exchange by the node does for the repeats, the minimum and the join.
+    """
+    down = edges.repartition("a").distinct()
     least = down.groupBy("a").agg(F.min("b").alias("least"))
-    moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-    return moved.unionByName(least.select("a", F.col("least").alias("b")))
+    # The least neighbour's own row gives the node's link.
+    return down.join(least, "a").select(F.when(F.col("b") == F.col("least"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("least").alias("b"))
 
 
 def _clean(edges: DataFrame) -> DataFrame:
     return edges.where("a <> b").distinct()
 
 
+def _round(edges: DataFrame) -> DataFrame:
+    return _clean(_small(_large(edges).where("a <> b")))
+
+
+def _kept(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The written edges, with their number and a sum of their hashes that the writing tasks take."""
+    seen = Observation()
+    mark = (F.count(F.lit(1)).alias("n"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)).alias("mark"))
+    kept = written(edges.observe(seen, *mark), "links")
+    # An empty table may be left without figures.
+    found = dict(seen.get)
+    return kept, (found.get("n", 0), found.get("mark", 0))
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``least`` (the smallest node it reaches) for every node of the links ``a``, ``b``.
 
-    Each round is written to the shared folder, so a lost executor costs one round; the
-    rounds needed grow with the logarithm of the longest path.
+    Each round is written to the shared folder, in files of ``FILE_EDGES`` links, so a lost
+    executor costs one round; the rounds needed grow with the logarithm of the longest path.
     """
-    edges = written(_clean(links.select("a", "b")), "links")
-    mark = None
+    edges, mark = _kept(_clean(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))))
     for _ in range(MOST_ROUNDS):
-        now = edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first()
-        if tuple(now) == mark or not now[0]:
+        if not mark[0]:
+            break
+        # Few links are not written to a file for each shuffle partition.
+        edges, now = _kept(_round(edges).coalesce(1 + 2 * mark[0] // FILE_EDGES))
+        if now == mark:
             break
-        mark = tuple(now)
-        edges = written(_clean(_small(_clean(_large(edges)))), "links")
+        mark = now
     else:
         raise RuntimeError(f"links are not resolved after {MOST_ROUNDS} rounds")
     # Stars: every node but a centre has one link, to its centre.

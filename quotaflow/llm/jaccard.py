@@ -338,7 +338,9 @@ def join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, detail: bool
     reached = written(components(first), "components")
     placed = postings.join(reached.withColumnRenamed("node", "class"), "class", "left").select("class", "h", F.coalesce("least", "class").alias("c"))
     second = written(_fields(candidates, placed).groupBy("field", "lo", "hi").applyInArrow(lambda g: _block_links(g, percent), LINKS), "block-links")
-    reached = components(first.unionByName(second))
+    # The components found so far, as stars, stand for the links that made them.
+    stars = reached.select(F.col("node").alias("a"), F.col("least").alias("b"))
+    reached = components(stars.unionByName(second))
     classes = sets.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("doc"))
     placed = classes.join(reached.withColumnRenamed("node", "class"), "class", "left").select("class", "doc", F.coalesce("least", "class").alias("c"))
     named = placed.join(placed.groupBy("c").agg(F.min("doc").alias("component_id")), "c").select("class", "component_id", F.col("c").alias("component"))

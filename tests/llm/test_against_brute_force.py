@@ -223,3 +223,18 @@ def test_components_of_a_long_path(spark):
     found = components(links)
     assert found.where("least <> 0").count() == 0 and found.select("node").distinct().count() == 201
     assert components(links.limit(0)).count() == 0
+
+
+def test_components_on_many_shuffle_partitions(spark):
+    """A round is at most four exchanges and one file for few links, whatever the number of partitions."""
+    from quotaflow.llm import components as C
+
+    links = spark.createDataFrame([(7, 3), (3, 5), (9, 9), (12, 11), (5, 7)], "a long, b long")
+    turn = C._round(links)
+    turn.collect()
+    plan = turn._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    done = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+    assert len(done) <= 4
+    found = C.components(links)
+    assert {tuple(r) for r in found.collect()} == {(3, 3), (5, 3), (7, 3), (11, 11), (12, 11)}
+    assert len(found.inputFiles()) == 1
