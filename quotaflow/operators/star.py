@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import small_side
+from ..sources.scratch import small_side, staged
 from .cleaning import add_calendar, add_quarter
 from .numbering import number_rows
 
@@ -101,12 +101,21 @@ def fact_sales(sales: DataFrame, client: DataFrame, product: DataFrame, time: Da
     return keyed.select(*keys, "volume_hl", "revenue", "is_b2b")
 
 
-def build_star(sales: DataFrame, variant: str = "local") -> Star:
+# The columns of the sales a star is built from.
+NEEDED = ("client_id", "brand", "sale_date", "postal_code", "volume_hl", "revenue", "is_b2b")
+
+
+def build_star(sales: DataFrame, variant: str = "local", stage: bool = True) -> Star:
     """``local``: year-month in the time dimension, null brand is a member.
 
     ``notebook``: quarter in the time dimension, null brand left out, date kept
     in the fact.
+
+    The three dimensions and the fact each read the sales, so their columns are written
+    once; ``stage=False`` is for sales that are a written table already.
     """
+    if stage:
+        sales = staged(sales.select(*NEEDED), "star-sales")
     dimensions = build_dimensions(sales, variant)
     return Star(*dimensions, fact_sales(sales, *dimensions, variant))
 

@@ -28,7 +28,7 @@ def _(spark, d):
     "dim_geo",
 )
 def _(spark, d):
-    star = S.build_star(sales(spark, d, "client_id", "brand", "sale_date", "postal_code", "volume_hl", "revenue", "is_b2b"))
+    star = S.build_star(sales(spark, d, *S.NEEDED))
     rows = G.geo_sales(
         S.fact_with_brand(star.fact, star.dim_product), G.join_geography(star.dim_client, geography(spark, d))
     )

@@ -5,8 +5,9 @@ from ...operators.cleaning import clean
 from ...operators.columns import as_doubles
 from ...operators.geo import apply_geography, enriched_count
 from ...operators.reports import first_rows
-from ...operators.star import build_star
+from ...operators.star import NEEDED, build_star
 from ...operators.targets import reconciliation_check, targets_for_year
+from ...sources.scratch import staged
 from .registry import client_targets, clients, geography, query, sales, targets, view
 
 COLUMNS = {
@@ -161,8 +162,8 @@ def _(spark, d):
     "sales",
 )
 def _(spark, d):
-    rows = sales(spark, d)
-    return Q.star_integrity(build_star(rows), rows)
+    rows = staged(sales(spark, d, *NEEDED))
+    return Q.star_integrity(build_star(rows, stage=False), rows)
 
 
 @query(

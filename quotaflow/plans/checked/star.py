@@ -5,7 +5,6 @@ from ...operators.columns import as_doubles
 from .registry import clients, query, sales
 
 MEASURES = "CAST(s.volume_hl AS DOUBLE) AS volume_hl, CAST(s.revenue AS DOUBLE) AS revenue, s.is_b2b"
-NEEDED = ("client_id", "brand", "sale_date", "postal_code", "volume_hl", "revenue", "is_b2b")
 
 
 @query("w1_client_key", "SELECT * FROM dim", "dim")
@@ -58,7 +57,7 @@ def _(spark, d):
     "prod",
 )
 def _(spark, d):
-    star = S.build_star(sales(spark, d, *NEEDED))
+    star = S.build_star(sales(spark, d, *S.NEEDED))
     joined = S.fact_with_brand(star.fact, star.dim_product)
     return as_doubles(joined.select("product_key", "brand", "volume_hl", "revenue", "is_b2b"))
 
@@ -72,7 +71,7 @@ def _(spark, d):
     "times",
 )
 def _(spark, d):
-    return as_doubles(S.build_star(sales(spark, d, *NEEDED)).fact)
+    return as_doubles(S.build_star(sales(spark, d, *S.NEEDED)).fact)
 
 
 @query(
@@ -84,4 +83,4 @@ def _(spark, d):
     "times",
 )
 def _(spark, d):
-    return as_doubles(S.build_star(sales(spark, d, *NEEDED), "notebook").fact)
+    return as_doubles(S.build_star(sales(spark, d, *S.NEEDED), "notebook").fact)

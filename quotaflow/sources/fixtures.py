@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scratch import small_side
 
 # Declared, so that opening a table starts no job to look into file footers.
 TABLES = {
@@ -30,37 +31,62 @@ def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
     All columns, or the named ones.  Every foreign key of the tables resolves
     (a test checks it), so a lookup none of whose columns is asked for is left
-    out: it could neither drop nor repeat a sale.
+    out: it could neither drop nor repeat a sale.  Lines and orders are cut to what a
+    sale needs before they meet, customers meet the orders and not the lines, and
+    a lookup that passes the size check is broadcast.
     """
-    line, order = source(spark, sf_dir, "lineitem"), source(spark, sf_dir, "orders")
+    line, order = source(spark, sf_dir, "lineitem").select(*_line_columns()), source(spark, sf_dir, "orders").select(*_order_columns())
     part, customer = source(spark, sf_dir, "part"), source(spark, sf_dir, "customer")
-    joined = line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
-    if not columns or {"brand", "material", "packaging_code"} & set(columns):
-        joined = joined.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    if not columns or "postal_code" in columns:
-        joined = joined.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     available = _sale_columns()
+    asked = {*columns} or {*available}
+    if "postal_code" in asked:
+        order = order.join(small_side(customer), F.col("client_id") == F.col("c_custkey"))
+    joined = line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
+    if told := [c for c in ("brand", "material", "packaging_code") if c in asked]:
+        lookup = part.select("p_partkey", *[_PART_COLUMNS[c] for c in told])
+        joined = joined.join(small_side(lookup), F.col("material_id") == F.col("p_partkey"))
     return joined.select(*[available[c].alias(c) for c in columns or available])
 
 
-def _sale_columns() -> dict[str, Column]:
+def _line_columns() -> list[Column]:
     discount = F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
-    unflagged = (F.col("l_orderkey") * 7 + F.col("l_partkey")) % 997 == 0
-    unbranded = (F.col("l_orderkey") + F.col("l_partkey")) % 101 == 0
+    return [
+        F.col("l_orderkey"),
+        F.col("l_partkey").alias("material_id"),
+        ((F.col("l_orderkey") * 7 + F.col("l_partkey")) % 997 == 0).alias("unflagged"),
+        ((F.col("l_orderkey") + F.col("l_partkey")) % 101 == 0).alias("unbranded"),
+        F.col("l_quantity").cast("decimal(12,2)").alias("volume_hl"),
+        (F.col("l_extendedprice").cast("decimal(12,2)") * discount).cast("decimal(18,4)").alias("revenue"),
+    ]
+
+
+def _order_columns() -> list[Column]:
+    return [
+        F.col("o_orderkey"),
+        F.col("o_custkey").alias("client_id"),
+        F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").alias("urgent"),
+        F.col("o_orderdate").cast("date").alias("sale_date"),
+    ]
+
+
+def _sale_columns() -> dict[str, Column]:
     return {
-        "client_id": F.col("o_custkey"),
-        "material_id": F.col("l_partkey"),
-        "is_b2b": F.when(~unflagged, F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")),
-        "volume_hl": F.col("l_quantity").cast("decimal(12,2)"),
-        "revenue": (F.col("l_extendedprice").cast("decimal(12,2)") * discount).cast("decimal(18,4)"),
-        "sale_date": F.col("o_orderdate").cast("date"),
+        "client_id": F.col("client_id"),
+        "material_id": F.col("material_id"),
+        "is_b2b": F.when(~F.col("unflagged"), F.col("urgent")),
+        "volume_hl": F.col("volume_hl"),
+        "revenue": F.col("revenue"),
+        "sale_date": F.col("sale_date"),
         "packaging_code": F.col("p_size"),
-        "brand": F.when(~unbranded, F.col("p_brand")),
+        "brand": F.when(~F.col("unbranded"), F.col("p_brand")),
         "material": F.col("p_name"),
         "postal_code": _postal("c_nationkey"),
     }
 
 
+_PART_COLUMNS = {"brand": "p_brand", "material": "p_name", "packaging_code": "p_size"}
+
+
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All brands for the years 2000 and 2001; those above 10 under a name that nobody sells."""
     number = F.substring("p_brand", 7, 10).cast("long")

@@ -58,3 +58,25 @@ def test_broken_star_fails_its_checks(sold):
     broken = S.Star(star.dim_client.where("client_id = 10"), star.dim_product, star.dim_time, star.fact.limit(5))
     failed = {r.check for r in Q.star_integrity(broken, sold).where("not passed").collect()}
     assert failed == {"fact client_key is in its dimension", "fact has one row per sale"}
+
+
+def counting(df, seen):
+    """``df``, whose rows are counted each time they are worked out."""
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema)
+
+
+def test_the_sales_are_worked_out_once(spark, sold):
+    seen = spark.sparkContext.accumulator(0)
+    assert S.build_star(counting(sold, seen)).fact.count() == 6 and seen.value == 6
+
+
+def test_integrity_works_the_fact_out_once(spark, sold):
+    star, seen = S.build_star(sold), spark.sparkContext.accumulator(0)
+    counted = S.Star(star.dim_client, star.dim_product, star.dim_time, counting(star.fact, seen))
+    assert all(r.passed for r in Q.star_integrity(counted, sold).collect()) and seen.value == 6
