@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text
 from ..schemas import ESTIMATED_PRICE, NOT_CONSULTED, NOT_INFORMED
-from ..sources.scratch import BROADCAST_BYTES, cut_lineage, is_small
+from ..sources.scratch import BROADCAST_BYTES, is_small, staged
 
 
 def parse_dates(df: DataFrame, column: str = "sale_date", pattern: str = "yyyy-MM-dd") -> DataFrame:
@@ -68,12 +68,16 @@ def dedupe_counted(df: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[DataFra
     """One of each set of fully equal rows, and a row with the number of rows before, after and dropped.
 
     Rows meet by a digest of 128 bits; only those whose digest occurs twice are compared as a whole, and shuffled.
-    Should there be too many such digests to send them to every task, all rows are.  Starts a job.
+    Should there be too many such digests to send them to every task, all rows are.  The rows are counted by the
+    tasks that take the digests.  Starts a job.
     """
+    seen = Observation()
     digest = {"_high": F.xxhash64(*df.columns), "_low": F.xxhash64(F.lit("low"), *reversed(df.columns))}
     keyed = df.withColumns(digest)
-    twice = keyed.groupBy("_high", "_low").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_high", "_low")
-    twice = cut_lineage(twice)
+    counted = keyed.groupBy("_high", "_low").agg(F.count(F.lit(1)).alias("_n"))
+    counted = counted.observe(seen, F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"))
+    twice = staged(counted.where("_n > 1").select("_high", "_low"), "twice")
+    rows = F.lit(seen.get["rows"]).cast("long")
     if is_small(twice, limit):
         again = keyed.join(F.broadcast(twice), ["_high", "_low"], "left_semi").select(*df.columns)
         once = keyed.join(F.broadcast(twice), ["_high", "_low"], "left_anti").select(*df.columns)
@@ -84,8 +88,7 @@ def dedupe_counted(df: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[DataFra
         kept = once.unionByName(unique)
     else:
         kept = df.dropDuplicates()
-        dropped = df.groupBy(*df.columns).count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("dropped"))
-    rows = df.agg(F.count(F.lit(1)).alias("rows_before")).scalar()
+        dropped = kept.agg((rows - F.count(F.lit(1))).alias("dropped"))
     report = dropped.select(
         rows.alias("rows_before"), (rows - F.col("dropped")).alias("rows_after"), F.col("dropped").alias("dropped_rows")
     )

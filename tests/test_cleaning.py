@@ -119,3 +119,20 @@ def test_not_null_reaches_the_scan(raw, tmp_path, capsys):
     known(raw.sparkSession.read.parquet(str(tmp_path / "t")), "brand").groupBy("brand").count().explain()
     plan = capsys.readouterr().out
     assert "PushedFilters: [IsNotNull(brand)]" in plan and "ReadSchema: struct<brand:string>" in plan
+
+
+def test_counting_dropped_rows_works_the_rows_out_as_rarely_as_needed(spark):
+    """Once for the digests and once for the whole rows; counting them costs no further pass."""
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, None), (3, None), (3, None)], "k long, t string")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    kept, report = C.dedupe_counted(rows.mapInArrow(count, rows.schema), limit=0)
+    assert [tuple(r) for r in report.collect()] == [(6, 3, 3)]
+    assert seen.value == 12
+    assert kept.count() == 3
+    assert [tuple(r) for r in C.dedupe_counted(rows.limit(0))[1].collect()] == [(0, 0, 0)]
