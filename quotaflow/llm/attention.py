@@ -17,35 +17,47 @@ _NEVER = np.float32(-1e9)
 _MOST = np.float32(60)
 
 
-def cluster(types: np.ndarray, breaks: np.ndarray, n_types: int, is_last: np.ndarray, end: int, seed: int = 3) -> np.ndarray:
-    """A class for every type, from the neighbours it has in a token stream.
+CONTEXTS = 256
 
-    ``breaks`` marks the first token of each text.  Class 0 is the end of a text, 1 and 2
-    are the rare types that do and do not end a word, the rest are k-means clusters.
+
+def contexts(counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each of the most frequent types among ``CONTEXTS``, -1 for others; and the types common enough to be clustered."""
+    of = np.full(len(counts), -1)
+    frequent = np.argsort(-counts, kind="stable")[:CONTEXTS]
+    of[frequent] = np.arange(len(frequent))
+    return of, np.flatnonzero((counts >= 5) & (np.arange(len(counts)) != end))
+
+
+def neighbours(types: np.ndarray, breaks: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often frequent types stand left and right of each type of a stream: keys ``type * 2 * CONTEXTS + column``, times.
+
+    ``breaks`` marks the first token of each text.
+    """
+    inner = np.flatnonzero(~breaks[1:]) + 1
+    left, right = types[inner - 1], types[inner]
+    before = right * (2 * CONTEXTS) + context[left]
+    after = left * (2 * CONTEXTS) + CONTEXTS + context[right]
+    return np.unique(np.concatenate([before[context[left] >= 0], after[context[right] >= 0]]), return_counts=True)
+
+
+def point(columns: np.ndarray, times: np.ndarray, is_last: np.ndarray, seed: int = 3) -> np.ndarray:
+    """Where a type lies by its neighbours; by whether it ends words alone if it has none."""
+    base = np.random.default_rng(seed).normal(0, 1, (2 * CONTEXTS + 1, 64)).astype(np.float32)
+    seen = np.sqrt(times / max(1, times.sum())).astype(np.float32)
+    return (seen @ base[columns] + np.float32(is_last) * base[-1]) / 8
+
+
+def cluster(points: np.ndarray, common: np.ndarray, counts: np.ndarray, is_last: np.ndarray, end: int) -> np.ndarray:
+    """A class for every type, from the points of the ``common`` ones.
+
+    Class 0 is the end of a text, 1 and 2 are the rare types that do and do not end a
+    word, the rest are k-means clusters.
     """
-    count = np.bincount(types, minlength=n_types)
     classes = np.where(is_last, 1, 2)
     classes[end] = 0
-    common = np.flatnonzero((count >= 5) & (np.arange(n_types) != end))
     if len(common) < CLASSES:
         return classes
-    frequent = np.argsort(-count, kind="stable")[:256]
-    context = np.full(n_types, -1)
-    context[frequent] = np.arange(len(frequent))
-    row = np.full(n_types, -1)
-    row[common] = np.arange(len(common))
-    seen = np.zeros((len(common), 512), np.float32)
-    inner = np.flatnonzero(~breaks[1:]) + 1
-    left, right = types[inner - 1], types[inner]
-    ok = (row[right] >= 0) & (context[left] >= 0)
-    np.add.at(seen, (row[right[ok]], context[left[ok]]), 1)
-    ok = (row[left] >= 0) & (context[right] >= 0)
-    np.add.at(seen, (row[left[ok]], 256 + context[right[ok]]), 1)
-    seen = np.sqrt(seen / np.maximum(seen.sum(1, keepdims=True), 1))
-    seen = np.hstack([seen, is_last[common, None].astype(np.float32)])
-    r = np.random.default_rng(seed)
-    points = seen @ r.normal(0, 1, (seen.shape[1], 64)).astype(np.float32) / 8
-    weight = count[common].astype(np.float64)
+    weight = counts[common].astype(np.float64)
     k = CLASSES - 3
     centres = points[np.argsort(-weight, kind="stable")[:k]].copy()
     for _ in range(15):
@@ -158,6 +170,25 @@ class Network:
         scored = np.where(place[:, STRIDE:] < ends, place[:, STRIDE:], -1)
         return scored, rows
 
+    def rows_between(self, types: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Windows side by side, in which every token is predicted once: places and input rows, -1 for none."""
+        length = np.diff(first)
+        n = -(-length // WINDOW)
+        text = np.repeat(np.arange(len(length)), n)
+        begin, ends = first[:-1][text], first[1:][text][:, None]
+        place = (begin + WINDOW * (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)))[:, None] + np.arange(WINDOW)[None]
+        before = np.where(place > begin[:, None], self.row[types[np.clip(place - 1, 0, max(0, len(types) - 1))]], self.start)
+        return np.where(place < ends, place, -1), np.where(place < ends, before, self.start)
+
+    def weights(self) -> np.ndarray:
+        return np.concatenate([w.ravel() for w in self.p.values()])
+
+    def set_weights(self, flat: np.ndarray) -> None:
+        at = 0
+        for name, w in self.p.items():
+            self.p[name] = flat[at : at + w.size].reshape(w.shape).astype(np.float32)
+            at += w.size
+
     def class_scores(self, types: np.ndarray, first: np.ndarray, batch: int = 128) -> np.ndarray:
         """Natural log-probability of every token's class, each scored once with at least STRIDE tokens of context where there are."""
         p, out = self.p, np.zeros(len(types), np.float64)

@@ -15,7 +15,10 @@ V / N``.  Both parts are distributions over the words of a class.
 
 Word and type counts cover every training document and grow with it: a chunk sends its
 distinct words (as 64-bit hashes) with their counts to buckets, and gets the sums back for
-its words.  The network's weights are fitted on a bounded sample (``SAMPLE_DOCS`` documents).
+its words.  The classes come from the neighbours that types have in all training documents.
+The network starts from a bounded sample (``SAMPLE_DOCS`` documents); from there every task
+trains it on all tokens of its training documents, and the weights of the tasks are averaged by
+their tokens, so the last digits of a score depend on how the rows are dealt to the tasks.
 
 Defined cases: a null text is empty: its only token is the end.  A null id is never held
 out and not learnt from.  Repeated rows count as often as they occur.  Without training
@@ -25,7 +28,9 @@ documents every count is 0 and the network is untrained.
 from __future__ import annotations
 
 import base64
+import copy
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -35,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import attention, chunks, scan
-from .base import written
+from .base import pieces, written
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SAMPLE_DOCS = 800
@@ -199,8 +204,110 @@ def _inside(classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.log((counts + SMOOTH) / total[classes])
 
 
+def _streams(batches: Iterator[pa.RecordBatch], share) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The types of whole texts, one after the other, and where each text begins (last: the end); an end after each text."""
+    tokens = _subwords(share)
+    for batch in pieces(batches):
+        if not batch.num_rows:
+            continue
+        found = scan.words(batch.column("text"), lower=True)
+        first = found.first + np.arange(batch.num_rows + 1)
+        every, seen, at = np.unique(found.hashes, return_index=True, return_inverse=True)
+        word, is_word = np.full(first[-1], len(every)), np.ones(first[-1], bool)
+        is_word[first[1:] - 1] = False
+        word[is_word] = at
+        flat, length = tokens.cut(_word_bytes(found, seen))
+        flat, length = np.append(flat, tokens.end), np.append(length, 1)
+        sizes = length[word]
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        yield flat[np.repeat((np.cumsum(length) - length)[word] - starts[:-1], sizes) + np.arange(starts[-1])], starts[first]
+
+
+HELD_PAIRS = 1 << 20
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch], share, context) -> Iterator[pa.RecordBatch]:
+    """Neighbour counts of a task's texts; given on when many are held."""
+    told = lambda k, n: pa.RecordBatch.from_arrays(
+        [pa.array((k // (2 * attention.CONTEXTS)).astype(np.int32)), pa.array((k % (2 * attention.CONTEXTS)).astype(np.int32)), pa.array(n.astype(np.int64))],
+        ["type", "context", "times"],
+    )
+    keys, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for types, first in _streams(batches, share):
+        breaks = np.zeros(len(types), bool)
+        breaks[first[:-1]] = True
+        k, n = attention.neighbours(types, breaks, context.value)
+        both, at = np.unique(np.concatenate([keys, k]), return_inverse=True)
+        keys, times = both, np.bincount(at, np.concatenate([times, n]), len(both)).astype(np.int64)
+        if len(keys) > HELD_PAIRS:
+            yield told(keys, times)
+            keys, times = keys[:0], times[:0]
+    yield told(keys, times)
+
+
+def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        types = batch.column("type").to_numpy()
+        points = [
+            attention.point(np.array(c, np.int64), np.array(n, np.float64), t % 2 == 1).astype(np.float32).tobytes()
+            for t, c, n in zip(types.tolist(), batch.column("contexts").to_pylist(), batch.column("times").to_pylist(), strict=True)
+        ]
+        yield pa.RecordBatch.from_arrays([batch.column("type"), pa.array(points, pa.binary())], ["type", "point"])
+
+
+def _classes(training: DataFrame, share, counts: np.ndarray, is_last: np.ndarray, end: int) -> np.ndarray:
+    """Classes by the neighbours of the types in all training texts; one point per type, bounded by the vocabulary, comes to the driver."""
+    context, common = attention.contexts(counts, end)
+    if len(common) < attention.CLASSES:
+        return attention.cluster(np.zeros((len(common), 64), np.float32), common, counts, is_last, end)
+    shared = training.sparkSession.sparkContext.broadcast(context)
+    pairs = training.select("text").mapInArrow(lambda b: _neighbours(b, share, shared), "type int, context int, times long")
+    sums = pairs.groupBy("type", "context").agg(F.sum("times").alias("times"))
+    # One row per type, of at most 2 * CONTEXTS entries, in a fixed order.
+    entries = F.array_sort(F.collect_list(F.struct("context", "times"))).alias("e")
+    by_type = sums.groupBy("type").agg(entries).select("type", F.col("e.context").alias("contexts"), F.col("e.times").alias("times"))
+    points = np.stack([attention.point(np.zeros(0, np.int64), np.zeros(0), bool(is_last[t])) for t in (0, 1)])[common % 2]
+    place = np.full(len(counts), -1)
+    place[common] = np.arange(len(common))
+    for row in written(by_type.mapInArrow(_points, "type int, point binary"), "points").toLocalIterator():
+        if place[row["type"]] >= 0:
+            points[place[row["type"]]] = np.frombuffer(row["point"], np.float32)
+    return attention.cluster(points, common, counts, is_last, end)
+
+
+BATCH, RATE = 256, 0.002
+
+
+def _train(batches: Iterator[pa.RecordBatch], share, start) -> Iterator[pa.RecordBatch]:
+    """The weights after all tokens of a task's texts, and their number."""
+    net, n = copy.deepcopy(start.value), 0
+    for types, first in _streams(batches, share):
+        place, rows = net.rows_between(types, first)
+        net.train(rows, net.classes[types[np.maximum(place, 0)]], (place >= 0).astype(np.float32), epochs=1, batch=BATCH, rate=RATE)
+        n += len(types)
+    if n:
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([net.weights().astype("<f4").tobytes()], pa.binary())], ["tokens", "weights"])
+
+
+def _trained(net: attention.Network, training: DataFrame, share) -> attention.Network:
+    """``net`` after one pass over every training text, in place; the tasks' weights are summed one by one."""
+    start = training.sparkSession.sparkContext.broadcast(net)
+    total, tokens = np.zeros(len(net.weights())), 0
+    # Written first, by all tasks at once; the iterator alone would run one after the other.
+    trained = written(training.select("text").mapInArrow(lambda b: _train(b, share, start), "tokens long, weights binary"), "weights")
+    for row in trained.orderBy("tokens", "weights").toLocalIterator():
+        total += row["tokens"] * np.frombuffer(row["weights"], "<f4")
+        tokens += row["tokens"]
+    if tokens:
+        net.set_weights(total / tokens)
+    return net
+
+
 def fit(training: DataFrame, vocabulary: list[bytes], counts: np.ndarray, sample_docs: int = SAMPLE_DOCS, seed: int = 2) -> attention.Network:
-    """The network, on ``SAMPLE_TOKENS`` types from each of at most ``sample_docs`` distinct training rows, chosen by a hash of id and text."""
+    """The network, trained on every training row.
+
+    It starts from ``SAMPLE_TOKENS`` types of each of at most ``sample_docs`` distinct rows, chosen by a hash of id and text.
+    """
     hashed = training.where("doc_id IS NOT NULL").withColumn("row_hash", F.xxhash64("doc_id", "text"))
     picked = hashed.select("doc_id", "row_hash").distinct().orderBy("row_hash", "doc_id").limit(sample_docs)
     sample = (
@@ -221,15 +328,15 @@ def fit(training: DataFrame, vocabulary: list[bytes], counts: np.ndarray, sample
     if not streams:
         streams = [np.array([tokens.end])]
     flat, first = np.concatenate(streams), np.concatenate([[0], np.cumsum([len(s) for s in streams])])
-    breaks = np.zeros(len(flat), bool)
-    breaks[first[:-1]] = True
-    net = attention.Network(attention.cluster(flat, breaks, tokens.n_types, is_last, tokens.end), counts)
+    every = training.where("doc_id IS NOT NULL")
+    share = uuid.uuid4().hex, training.sparkSession.sparkContext.broadcast(vocabulary)
+    net = attention.Network(_classes(every, share, counts, is_last, tokens.end), counts)
     # Training windows: the same as in scoring, every predicted token of the window's second half.
     scored, rows = net.inputs(flat, first)
     place = np.hstack([np.full((len(rows), attention.STRIDE), -1), scored])
     target = net.classes[flat[np.maximum(place, 0)]]
     net.train(np.where(rows < 0, net.start, rows), target, (place >= 0).astype(np.float32))
-    return net
+    return _trained(net, every, share)
 
 
 def score(docs: DataFrame, vocabulary: list[bytes]) -> DataFrame:

@@ -519,3 +519,16 @@ def test_url_query(spark, sf_dir):
     assert found.count() == table(spark, sf_dir, "pages").count()
     assert found.where("verdict NOT IN ('allow', 'block') OR verdict IS NULL").count() == 0
     assert found.where("rule = 'com/' AND verdict <> 'allow' OR rule = 'net/fr/' AND verdict <> 'block'").count() == 0
+
+
+def test_lm_learns_from_every_training_row(spark):
+    """Classes and weights change with a row that the starting sample does not hold."""
+    rows = [(i, " ".join(cases.prose(i, 60))) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    vocabulary = lm_score.read_vocabulary()
+    counts = np.zeros(2 * len(vocabulary) + 2)
+    counts[: 400] = 50
+    picked = docs.withColumn("h", F.xxhash64("doc_id", "text")).orderBy("h", "doc_id").limit(5).select("doc_id", "text").coalesce(1)
+    few, all_rows = (lm_score.fit(d, vocabulary, counts, 5) for d in (picked, docs))
+    assert not np.allclose(few.p["c"], all_rows.p["c"])
+    assert (few.classes != all_rows.classes).any()
