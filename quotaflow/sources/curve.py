@@ -12,9 +12,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.numbering import running_total
-from .scratch import small_side
+from .scratch import small_side, staged
 
 BITS, FILES = 8, 64
 
@@ -41,10 +42,12 @@ def _place(cells: Sequence[Column], bits: int) -> Column:
 def write_curve(df: DataFrame, path: str, keys: Sequence[str], files: int = FILES, bits: int = BITS) -> DataFrame:
     """Writes ``df`` in about ``files`` files along the curve over ``keys``, and their statistics.
 
+    The rows are written once before they are laid out, as each key's cells, the range bounds and the files read them.
     Values meet their cells by a join behind a size check.  A row number spreads rows of one place over the
     files, so a value that most rows share does not fall to one task.  A null key is in the first cell.
     Starts jobs: the values are numbered along their order.
     """
+    df = staged(df, "curve-rows")
     spark, placed = df.sparkSession, df
     for key in keys:
         cells = small_side(_cells(df, key, bits))
@@ -54,13 +57,27 @@ def write_curve(df: DataFrame, path: str, keys: Sequence[str], files: int = FILE
     ordered = placed.repartitionByRange(files, "_place", "_row").sortWithinPartitions("_place", *keys)
     ordered.select(*df.columns).write.mode("overwrite").parquet(f"{path}/rows")
     written = spark.read.schema(df.schema).parquet(f"{path}/rows")
-    ends = [f(k).alias(f"{name}_{k}") for k in keys for name, f in (("least", F.min), ("most", F.max))]
-    nulls = [F.count_if(F.col(k).isNull()).alias(f"nulls_{k}") for k in keys]
-    stats = written.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"), *ends, *nulls)
-    stats.coalesce(1).write.mode("overwrite").parquet(f"{path}/files")
+    _statistics(written, keys).coalesce(1).write.mode("overwrite").parquet(f"{path}/files")
     return written
 
 
+def _statistics(written: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows, ends and nulls of each key per file.
+
+    The ends of texts are taken from their distinct values: an aggregate that holds a text sorts its
+    input, and would sort all rows of a task.
+    """
+    of_file = written.select(F.col("_metadata.file_path").alias("file"), *keys)
+    texts = [k for k in keys if isinstance(written.schema[k].dataType, (T.StringType, T.BinaryType))]
+    ends = lambda k: [F.min(k).alias(f"least_{k}"), F.max(k).alias(f"most_{k}")]
+    fixed = [e for k in keys if k not in texts for e in ends(k)]
+    nulls = [F.count_if(F.col(k).isNull()).alias(f"nulls_{k}") for k in keys]
+    stats = of_file.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), *fixed, *nulls)
+    for k in texts:
+        stats = stats.join(of_file.select("file", k).distinct().groupBy("file").agg(*ends(k)), "file")
+    return stats
+
+
 def files_for(spark: SparkSession, path: str, **equals) -> list[str]:
     """The files that may hold rows with these values of the keys."""
     stats = spark.read.parquet(f"{path}/files")

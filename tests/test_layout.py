@@ -124,3 +124,26 @@ def test_rows_are_numbered_as_they_come(spark):
     found = numbering.number_as_they_come(rows, "place")
     assert frames.rows(found, "place", "v") == [(i + 1, 4999 - i) for i in range(5000)]
     assert numbering.number_as_they_come(rows.limit(0), "place").count() == 0
+
+
+def test_rows_are_worked_out_once_for_the_curve(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(60).select((F.col("id") % 7).alias("a"), (F.col("id") % 5).alias("b"))
+    written = curve.write_curve(rows.mapInArrow(count, rows.schema), str(tmp_path / "curve"), ["a", "b"], files=4)
+    assert written.count() == 60 and seen.value == 60
+
+
+def test_file_statistics_do_not_sort_the_rows(spark, tmp_path):
+    rows = spark.range(60).select((F.col("id") % 7).alias("a"), F.when(F.col("id") % 5 > 0, F.concat(F.lit("b"), F.col("id") % 5)).alias("b"))
+    written = curve.write_curve(rows, str(tmp_path / "curve"), ["a", "b"], files=1)
+    found = spark.read.parquet(str(tmp_path / "curve" / "files")).agg(F.sum("rows"), F.min("least_b"), F.max("most_b"), F.sum("nulls_b"), F.max("most_a"))
+    assert tuple(found.first()) == (60, "b1", "b4", 12, 6)
+    plan = frames.plan(curve._statistics(written, ["a", "b"]))
+    # Sorted aggregates see distinct values only: below each is the aggregate that makes them.
+    assert plan.count("HashAggregate") >= plan.count("SortAggregate") and "HashAggregate(keys=[file" in plan
