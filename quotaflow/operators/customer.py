@@ -49,13 +49,14 @@ def monthly_grain(sales: DataFrame) -> DataFrame:
 
     The distance is part of the grain, so this is one row per purchase day
     (days of one month only meet when their distance is the same, as at month
-    ends).
+    ends).  The month is written out after the sums, so only where it is read.
     """
+    sums = ("volume_hl", "revenue", "b2b_revenue", "b2b_volume")
     return (
         _with_last(sales)
-        .withColumn("year_month", F.date_format("sale_date", "yyyy-MM"))
-        .groupBy("client_id", "year_month", "last_purchase", "months_from_last")
-        .agg(*[F.sum(c).alias(c) for c in ("volume_hl", "revenue", "b2b_revenue", "b2b_volume")])
+        .groupBy("client_id", F.trunc("sale_date", "month").alias("_month"), "last_purchase", "months_from_last")
+        .agg(*[F.sum(c).alias(c) for c in sums])
+        .select("client_id", F.date_format("_month", "yyyy-MM").alias("year_month"), "last_purchase", "months_from_last", *sums)
     )
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,18 +49,17 @@ def _again(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
 
 
 def _load(marked: DataFrame, path: str) -> dict:
-    """Writes the typed rows with what was rejected in them, in one pass; the writing tasks count both.
+    """Writes the typed rows with what was rejected in them, in one pass whose tasks count the rows.
 
-    The rejects get a table of their own out of the written copy, of which only that column is read.
+    The rejects get a table of their own out of the written copy, of which only that column is read; they are counted there.
     """
     spark, names = marked.sparkSession, files.typed_columns(marked)
-    kinds = [(c, r) for c in names for r in (files.UNREAD, files.ROUNDED)]
-    counts = {f"{r}_{c}": files.count_rejected(c, r).alias(f"{r}_{c}") for c, r in kinds}
-    seen = Observation()
-    files.write_parquet(marked.observe(seen, F.count(F.lit(1)).alias("_rows"), *counts.values()), path)
-    found = dict(seen.get)
-    files.write_parquet(files.rejects(_again(spark, marked, path)), f"{path}_rejects")
-    return {"rows": found["_rows"]} | {r: {c: n for c in names if (n := found[f"{r}_{c}"])} for r in (files.UNREAD, files.ROUNDED)}
+    rows, rejects = files.write_counted(marked, path), files.rejects(_again(spark, marked, path))
+    files.write_parquet(rejects, f"{path}_rejects")
+    # A text has one reason, so there are at most two rows per column.
+    counted = _again(spark, rejects, f"{path}_rejects").groupBy("reason", "column_name").agg(F.count(F.lit(1)).alias("n"))
+    found = {(row["reason"], row["column_name"]): row["n"] for row in counted.collect()}
+    return {"rows": rows} | {r: {c: found[r, c] for c in names if (r, c) in found} for r in (files.UNREAD, files.ROUNDED)}
 
 
 def _clean(spark: SparkSession, raw: DataFrame, path: str) -> dict:
@@ -74,7 +73,7 @@ def _profile(raw: DataFrame, targets: DataFrame) -> dict[str, DataFrame]:
     """The exploration of both inputs, and what the filling policy will put in."""
     return {
         "sales_schema": quality.schema_report(raw),
-        "sales_statistics": quality.describe(raw),
+        "sales_statistics": quality.describe_written(raw),
         "sales_sample": raw.limit(SAMPLE_ROWS),
         "sales_nulls": quality.null_profile(raw),
         "sales_filled": quality.clean_report(raw),

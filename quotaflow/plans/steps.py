@@ -15,7 +15,7 @@ from ..sources import places
 from ..sources.files import RunConfig, require_input
 
 # Raise it when a step writes something else than before.
-LAYOUT = 1
+LAYOUT = 2
 _NO_PART = ("output", "shuffle_partitions", "resume")
 
 

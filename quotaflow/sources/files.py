@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -23,6 +24,7 @@ REQUIRED = {"sales": ("client_id", "sale_date", "volume_hl"), "targets": ("brand
 # Column with the texts of a row that are no value of their type or more exact than it.
 REJECTED = "__rejected"
 UNREAD, ROUNDED = "unread", "rounded"
+_REJECTS = "array<struct<file:string,column_name:string,raw:string,reason:string>>"
 
 
 @dataclass(frozen=True)
@@ -97,7 +99,10 @@ def _is_rounded(raw: Column, value: Column, kind: T.DataType) -> Column:
         return F.lit(False)
     exact = raw.try_cast(T.DecimalType(38, 18))
     beyond = raw.rlike(rf"^[^eE]*\.[0-9]{{{kind.scale}}}[0-9]*[1-9][^eE]*$")
-    return value.isNotNull() & (beyond | F.coalesce(exact != value, F.lit(False)))
+    # Without an exponent, and with no more characters after the point than the type has places, nothing can be lost.
+    point = F.instr(raw, ".")
+    long = ((point > 0) & (F.length(raw) - point > kind.scale)) | raw.contains("e") | raw.contains("E")
+    return value.isNotNull() & long & (beyond | F.coalesce(exact != value, F.lit(False)))
 
 
 def _read(
@@ -107,7 +112,7 @@ def _read(
 
     A header that lacks a required column is an error.  With ``mark`` an array column has, for each text
     of a row that could not be read or was rounded, file, column, the text itself and which of both
-    it is (see ``rejects``).
+    it is, and null for the row's other texts (see ``rejects``); it is empty where all were read as they stand.
 
     A folder's files must agree on their header; one that differs is an error
     and not a table with its columns mixed up.
@@ -130,13 +135,16 @@ def _read(
     typed = [_typed(*[text_, name, kind]) for name, text_, kind in fields]
     if not mark:
         return raw.select(typed)
-    found = []
+    # One projection of generated code, which parses a text once; only rows with a reason get an array made.
+    bad, found = [], []
     for (name, text_, kind), value in zip(fields, typed, strict=True):
+        unread, rounded = value.isNull() & (F.trim(text_) != ""), _is_rounded(text_, value, kind)
+        bad.append(unread | rounded)
         entry = [F.col("_metadata.file_name").alias("file"), F.lit(name).alias("column_name"), text_.alias("raw")]
-        unread = (F.trim(text_) != "") & value.isNull()
-        reason = F.when(unread, UNREAD).when(_is_rounded(text_, value, kind), ROUNDED)
-        found.append(F.when(reason.isNotNull(), F.struct(*entry, reason.alias("reason"))))
-    return raw.select(*typed, F.array_compact(F.array(*found)).alias(REJECTED))
+        reason = F.when(unread, UNREAD).when(rounded, ROUNDED).alias("reason")
+        found.append(F.when(bad[-1], F.struct(*entry, reason)))
+    rejected = F.when(reduce(Column.__or__, bad), F.array(*found)).otherwise(F.array().cast(_REJECTS))
+    return raw.select(*typed, rejected.alias(REJECTED))
 
 
 def read_sales(
@@ -166,7 +174,7 @@ def count_unread(marked: DataFrame) -> DataFrame:
 
 def rejects(marked: DataFrame) -> DataFrame:
     """File, column, raw text and reason of every text that was not read as it stands."""
-    return marked.where(F.size(REJECTED) > 0).select(F.inline(REJECTED))
+    return marked.where(F.size(REJECTED) > 0).select(F.inline(REJECTED)).where("reason IS NOT NULL")
 
 
 def rows_to_df(spark: SparkSession, rows: Sequence, schema: T.StructType | str) -> DataFrame:

@@ -21,6 +21,14 @@ def test_describe(df):
     assert (got["s"]["count"], got["s"].mean, got["s"].min, got["s"].max) == (2, None, "a", "b")
 
 
+def test_statistics_of_numbers_need_no_sorted_aggregate(df):
+    split = Q.describe_written(df)
+    assert frames.rows(split.where("column_name <> 'd'")) == frames.rows(Q.describe(df.drop("d")))
+    numbers, texts = split._jdf.queryExecution().executedPlan().toString().split("partial_count(s", 1)
+    assert "SortAggregate" not in Q.describe(df.drop("s"))._jdf.queryExecution().executedPlan().toString() and "partial_stddev" not in texts
+    assert "partial_count(i" in numbers
+
+
 def test_schema_size_and_guard(df):
     assert [tuple(r) for r in Q.schema_report(df).collect()] == [("i", 1, "bigint", 4), ("s", 2, "string", 2), ("d", 3, "double", 3)]
     assert tuple(Q.table_size(df).first()) == (3, 4)

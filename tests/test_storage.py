@@ -96,6 +96,27 @@ def test_float_artefacts_are_rounded(spark, tmp_path, raw, value, rounded):
     assert [(r.raw, r.reason) for r in files.rejects(marked).collect()] == ([(raw, "rounded")] if rounded else [])
 
 
+def test_marked_texts_are_parsed_by_generated_code(spark, inputs):
+    marked = files.read_sales(spark, str(inputs / "sales.csv"), mark=True)
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    # No lambda, which is interpreted, keeps the projection out of generated code.
+    assert "lambda" not in plan and plan.lstrip().startswith("*(1) Project")
+    assert marked.first()[files.REJECTED] == []
+
+
+@pytest.mark.parametrize("raw", [" 1.12345678901 ", "1.1234567890 ", "1E2", "1.e1", ".5", "-0.00000000009", "+1.00000000000", "1.12345678900001", "12e-11", "1.5f", "1,5", "7.", "1.2.3", ""])
+def test_rounding_is_found_as_by_exact_numbers(spark, tmp_path, raw):
+    (tmp_path / "sales.csv").write_text(f"{LOCAL.split(chr(10))[0]}\n1,1,True,\"{raw}\",1,2024-01-31,1,1,A,x,1\n", encoding="utf-8")
+    try:
+        exact = Decimal(raw) if raw.strip() and "f" not in raw else None
+    except ArithmeticError:
+        exact = None
+    wanted = [] if not raw else ["unread"] if exact is None else ["rounded"] if exact != round(exact, 10) else []
+    marked = files.read_sales(spark, str(tmp_path / "sales.csv"), mark=True)
+    assert [r.reason for r in files.rejects(marked).collect()] == wanted
+    assert marked.first().volume_hl == (None if exact is None else round(exact, 10).quantize(Decimal("1e-10")))
+
+
 def test_wrong_header_is_an_error(spark, inputs):
     with pytest.raises(ValueError, match="data_doc"):
         files.read_sales(spark, str(inputs / "sales.csv"), "notebook")
