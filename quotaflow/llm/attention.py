@@ -94,45 +94,64 @@ class Network:
         return np.where(gap >= 0, self.p["r"][np.clip(gap, 0, WINDOW - 1)], _NEVER).astype(np.float32)
 
     def loss(self, rows: np.ndarray, target: np.ndarray, mask: np.ndarray):
-        """Mean loss and gradients; rows: windows x WINDOW inputs, mask: which predictions count."""
+        """Mean loss and gradients; rows: windows x WINDOW inputs, mask: which predictions count.
+
+        Predictions are rows of flat matrices, one product each; only attention itself goes window by window.  What
+        attention takes of an input and gives back to it is worked out per row of E, of which a batch repeats most.
+        """
         p, (b, w) = self.p, rows.shape
-        place, scale = np.arange(w), np.float32(WIDTH**-0.5)
-        x = p["E"][rows]
-        q, k, v = x @ p["q"], x @ p["k"], x @ p["v"]
-        s = q @ k.transpose(0, 2, 1) * scale + self.bias(place, place)
-        a = np.exp(s - s.max(-1, keepdims=True))
-        a /= a.sum(-1, keepdims=True)
-        z = a @ v
-        h = x + z @ p["o"]
-        u = h @ p["f"] + p["fb"]
-        f = np.maximum(u, 0)
+        place, scale, flat = np.arange(w), np.float32(WIDTH**-0.5), rows.ravel()
+        order = np.argsort(flat.astype(np.int16), kind="stable")
+        begin = np.flatnonzero(np.diff(flat[order], prepend=-1))
+        used = flat[order[begin]]
+        own = p["E"][used]
+        at_row = np.empty(len(flat), np.intp)
+        at_row[order] = np.repeat(np.arange(len(used)), np.diff(begin, append=len(flat)))
+        deal = lambda m: m.take(at_row, 0).reshape(b, w, WIDTH)
+        q, k, v = deal(own @ p["q"] * scale), deal(own @ p["k"]), deal(own @ p["v"])
+        a = q @ k.transpose(0, 2, 1)
+        a += self.bias(place, place)
+        a -= a.max(-1, keepdims=True)
+        np.exp(a, out=a)
+        a /= a @ np.ones((w, 1), np.float32)
+        z = (a @ v).reshape(-1, WIDTH)
+        h = own.take(at_row, 0)
+        h += z @ p["o"]
+        f = h @ p["f"]
+        f += p["fb"]
+        np.maximum(f, 0, out=f)
         y = h + f @ p["g"]
-        t = y @ p["c"] + p["cb"]
-        t = np.exp(t - t.max(-1, keepdims=True))
-        t /= t.sum(-1, keepdims=True)
-        total = max(mask.sum(), 1)
-        at = np.take_along_axis(t, target[..., None], -1)[..., 0]
+        t = y @ p["c"]
+        t += p["cb"]
+        t -= t.max(-1, keepdims=True)
+        np.exp(t, out=t)
+        t /= t @ np.ones((CLASSES, 1), np.float32)
+        total, mask, each = max(mask.sum(), 1), mask.ravel(), np.arange(len(flat))
+        at = t[each, target.ravel()]
         loss = -(np.log(at + 1e-9) * mask).sum() / total
-        np.put_along_axis(t, target[..., None], (at - 1)[..., None], -1)
-        t *= (mask / total)[..., None].astype(np.float32)
-        flat = lambda m: m.reshape(-1, m.shape[-1])
-        g = {"c": flat(y).T @ flat(t), "cb": t.sum((0, 1))}
+        t[each, target.ravel()] = at - 1
+        t *= (mask / total)[:, None].astype(np.float32)
+        g = {"c": y.T @ t, "cb": t.sum(0)}
         dy = t @ p["c"].T
-        g["g"] = flat(f).T @ flat(dy)
-        du = (dy @ p["g"].T) * (u > 0)
-        g["f"], g["fb"] = flat(h).T @ flat(du), du.sum((0, 1))
-        dh = dy + du @ p["f"].T
-        g["o"] = flat(z).T @ flat(dh)
-        dz = dh @ p["o"].T
-        da, dv = dz @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dz
-        ds = a * (da - (da * a).sum(-1, keepdims=True))
+        g["g"] = f.T @ dy
+        du = dy @ p["g"].T
+        du *= f > 0
+        g["f"], g["fb"] = h.T @ du, du.sum(0)
+        dh = dy
+        dh += du @ p["f"].T
+        g["o"] = z.T @ dh
+        dz = (dh @ p["o"].T).reshape(b, w, WIDTH)
+        ds, dv = dz @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dz
+        ds -= np.einsum("bij,bij->bi", ds, a)[..., None]
+        ds *= a
         gap = place[:, None] - place[None]
         g["r"] = np.bincount(gap[gap >= 0], ds.sum(0)[gap >= 0], WINDOW).astype(np.float32)
-        dq, dk = ds @ k * scale, ds.transpose(0, 2, 1) @ q * scale
-        g["q"], g["k"], g["v"] = (flat(x).T @ flat(m) for m in (dq, dk, dv))
-        dx = dh + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
+        dq, dk = ds @ k * scale, ds.transpose(0, 2, 1) @ q
+        back = lambda m: np.add.reduceat(m.reshape(-1, WIDTH).take(order, 0), begin)
+        dq, dk, dv, dh = back(dq), back(dk), back(dv), back(dh)
+        g["q"], g["k"], g["v"] = own.T @ dq, own.T @ dk, own.T @ dv
         g["E"] = np.zeros_like(p["E"])
-        np.add.at(g["E"], rows.ravel(), flat(dx))
+        g["E"][used] = dh + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
         return float(loss), g
 
     def train(self, rows: np.ndarray, target: np.ndarray, mask: np.ndarray, epochs: int = 4, batch: int = 64, rate: float = 0.006, seed: int = 1):

@@ -145,6 +145,49 @@ def test_attention_gradients():
         assert np.allclose([g[name][p] for p in places], wanted, atol=3e-3), name
 
 
+def _plain_loss(net, rows, target, mask):
+    """Mean loss, window by window."""
+    p, scale, lost = {k: w.astype(np.float64) for k, w in net.p.items()}, attention.WIDTH**-0.5, 0
+    for row, wanted, use in zip(rows, target, mask, strict=True):
+        x = p["E"][row]
+        s = (x @ p["q"]) @ (x @ p["k"]).T * scale + net.bias(np.arange(len(row)), np.arange(len(row)))
+        a = np.exp(s - s.max(1, keepdims=True))
+        h = x + a / a.sum(1, keepdims=True) @ (x @ p["v"]) @ p["o"]
+        t = (h + np.maximum(h @ p["f"] + p["fb"], 0) @ p["g"]) @ p["c"] + p["cb"]
+        lost -= ((t - np.log(np.exp(t).sum(1, keepdims=True)))[np.arange(len(row)), wanted] * use).sum()
+    return lost / mask.sum()
+
+
+def test_training_step_projects_rows_once_and_gives_every_gradient():
+    r = np.random.default_rng(3)
+    net = attention.Network(np.arange(40) % attention.CLASSES, np.full(40, 5.0))
+    net.p["r"] = np.linspace(0, -1, attention.WINDOW).astype(np.float32)
+    rows, target = r.choice([0, 3, 39, net.start], (6, attention.WINDOW)), r.integers(0, 40, (6, attention.WINDOW))
+    mask = (r.random(rows.shape) < 0.7).astype(np.float32)
+    seen, table = [], net.p["E"]
+
+    class Watched(np.ndarray):
+        def __getitem__(self, at):
+            seen.append(np.size(at))
+            return np.asarray(self)[at]
+
+    net.p["E"] = table.view(Watched)
+    loss, g = net.loss(rows, target, mask)
+    net.p["E"] = table
+    # Not a row for each of the batch's inputs.
+    assert seen == [4]
+    assert loss == pytest.approx(_plain_loss(net, rows, target, mask), rel=1e-5)
+    net.p = {k: w.astype(np.float64) for k, w in net.p.items()}
+    for name, places in (("E", [(0, 2), (39, 5), (net.start, 1), (7, 0)]), ("r", [(0,), (5,)]), ("k", [(1, 2)]), ("q", [(2, 1)]), ("fb", [(3,)]), ("cb", [(4,)])):
+        for at in places:
+            sides = []
+            for step in (1e-4, -1e-4):
+                net.p[name][at] += step
+                sides.append(_plain_loss(net, rows, target, mask))
+                net.p[name][at] -= step
+            assert g[name][at] == pytest.approx((sides[0] - sides[1]) / 2e-4, abs=2e-4), (name, at)
+
+
 def test_attention_scores_each_token_once_and_causally():
     r = np.random.default_rng(2)
     net = attention.Network(np.arange(50) % attention.CLASSES, np.ones(50))
