@@ -18,6 +18,28 @@ _MOST = np.float32(60)
 
 
 CONTEXTS = 256
+# Windows of a training batch worked on together.
+PART = 64
+
+
+class _Room:
+    """Memory of arrays that every step needs anew, by name."""
+
+    def __init__(self):
+        self.kept: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        size = int(np.prod(shape))
+        if name not in self.kept or self.kept[name].size < size:
+            self.kept[name] = np.empty(size, np.float32)
+        return self.kept[name][:size].reshape(shape)
+
+
+def _exponentials(m: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """``m`` in place as exponentials, of rows less their largest only where those could get too large, or vanish with ``some`` entry of each row."""
+    if m.max() > _MOST or some.min() < -_MOST:
+        m -= m.max(-1, keepdims=True)
+    return np.exp(m, out=m)
 
 
 def contexts(counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,82 +115,114 @@ class Network:
         gap = queries[:, None] - keys[None]
         return np.where(gap >= 0, self.p["r"][np.clip(gap, 0, WINDOW - 1)], _NEVER).astype(np.float32)
 
-    def loss(self, rows: np.ndarray, target: np.ndarray, mask: np.ndarray):
+    def loss(self, rows: np.ndarray, target: np.ndarray, mask: np.ndarray, room: _Room | None = None):
         """Mean loss and gradients; rows: windows x WINDOW inputs, mask: which predictions count.
 
-        Predictions are rows of flat matrices, one product each; only attention itself goes window by window.  What
-        attention takes of an input and gives back to it is worked out per row of E, of which a batch repeats most.
+        What attention takes of an input and gives back to it is worked out per row of E, of which a batch repeats
+        most; all between goes by ``PART`` windows, whose arrays stay in a core's cache.  ``room`` keeps their memory.
         """
-        p, (b, w) = self.p, rows.shape
-        place, scale, flat = np.arange(w), np.float32(WIDTH**-0.5), rows.ravel()
+        p, room, (b, w), d = self.p, room or _Room(), rows.shape, WIDTH
+        flat, ask = rows.ravel(), p["q"] * np.float32(d**-0.5)
         order = np.argsort(flat.astype(np.int16), kind="stable")
         begin = np.flatnonzero(np.diff(flat[order], prepend=-1))
         used = flat[order[begin]]
         own = p["E"][used]
         at_row = np.empty(len(flat), np.intp)
         at_row[order] = np.repeat(np.arange(len(used)), np.diff(begin, append=len(flat)))
-        deal = lambda m: m.take(at_row, 0).reshape(b, w, WIDTH)
-        q, k, v = deal(own @ p["q"] * scale), deal(own @ p["k"]), deal(own @ p["v"])
-        a = q @ k.transpose(0, 2, 1)
-        a += self.bias(place, place)
-        a -= a.max(-1, keepdims=True)
-        np.exp(a, out=a)
-        a /= a @ np.ones((w, 1), np.float32)
-        z = (a @ v).reshape(-1, WIDTH)
-        h = own.take(at_row, 0)
-        h += z @ p["o"]
-        f = h @ p["f"]
+        value = own @ p["v"]
+        # A last column of ones sums the weights that multiply it.
+        tables = own, own @ ask, own @ p["k"], np.hstack([value @ p["o"], np.ones((len(used), 1), np.float32)])
+        weight, target = (mask / max(mask.sum(), 1)).astype(np.float32).ravel(), target.ravel()
+        g = {name: np.zeros(x.shape, np.float32) for name, x in p.items()}
+        back, by_gap, total = room("back", b * w, 4 * d), np.zeros((w, w), np.float32), 0.0
+        place = np.arange(w)
+        gap, bias = place[:, None] - place, self.bias(place, place)
+        for i in range(0, b * w, PART * w):
+            j = min(b * w, i + PART * w)
+            total += self._part(tables, at_row[i:j], target[i:j], weight[i:j], bias, room, g, back[i:j], by_gap)
+        g["r"] = np.bincount(gap[gap >= 0], by_gap[gap >= 0], WINDOW).astype(np.float32)
+        sums = np.add.reduceat(np.take(back, order, 0, out=room("sorted", b * w, 4 * d), mode="clip"), begin)
+        dh, dq, dk, do = (sums[:, d * n : d * (n + 1)] for n in range(4))
+        dv = do @ p["o"].T
+        g["q"], g["k"], g["v"], g["o"] = own.T @ dq * np.float32(d**-0.5), own.T @ dk, own.T @ dv, value.T @ do
+        g["E"][used] = dh + dq @ ask.T + dk @ p["k"].T + dv @ p["v"].T
+        return float(total), g
+
+    def _part(self, tables, at_row, target, weight, bias, room, g, back, by_gap) -> float:
+        """The loss of some windows; adds to the gradients of what follows attention, gives those of the inputs' rows in ``back``."""
+        p, n, w, d = self.p, len(at_row), len(bias), WIDTH
+        by_window = lambda m: m.reshape(-1, w, m.shape[-1])
+        own, q, k, v = (np.take(m, at_row, 0, out=room(f"row{i}", n, m.shape[1]), mode="clip") for i, m in enumerate(tables))
+        q, k, v = by_window(q), by_window(k), by_window(v)
+        a = np.matmul(q, k.transpose(0, 2, 1), out=room("a", n // w, w, w))
+        a += bias
+        _exponentials(a, np.diagonal(a, axis1=1, axis2=2))
+        z = np.matmul(a, v, out=room("z", n // w, w, d + 1)).reshape(n, d + 1)
+        inverse = 1 / z[:, d:]
+        z = np.multiply(z[:, :d], inverse, out=room("mean", n, d))
+        h = own
+        h += z
+        f = np.matmul(h, p["f"], out=room("f", n, HIDDEN))
         f += p["fb"]
         np.maximum(f, 0, out=f)
-        y = h + f @ p["g"]
-        t = y @ p["c"]
+        y = np.matmul(f, p["g"], out=room("y", n, d))
+        y += h
+        t = np.matmul(y, p["c"], out=room("t", n, CLASSES))
         t += p["cb"]
-        t -= t.max(-1, keepdims=True)
-        np.exp(t, out=t)
-        t /= t @ np.ones((CLASSES, 1), np.float32)
-        total, mask, each = max(mask.sum(), 1), mask.ravel(), np.arange(len(flat))
-        at = t[each, target.ravel()]
-        loss = -(np.log(at + 1e-9) * mask).sum() / total
-        t[each, target.ravel()] = at - 1
-        t *= (mask / total)[:, None].astype(np.float32)
-        g = {"c": y.T @ t, "cb": t.sum(0)}
-        dy = t @ p["c"].T
-        g["g"] = f.T @ dy
-        du = dy @ p["g"].T
+        _exponentials(t, t[:, 0])
+        total, ones = t @ np.ones(CLASSES, np.float32), np.ones(n, np.float32)
+        each, t_flat = np.arange(n) * CLASSES + target, t.reshape(-1)
+        lost = -(np.log(t_flat[each] / total + 1e-9) * weight).sum()
+        t *= (weight / total)[:, None]
+        t_flat[each] -= weight
+        g["c"] += y.T @ t
+        g["cb"] += ones @ t
+        dh = np.matmul(t, p["c"].T, out=y)
+        g["g"] += f.T @ dh
+        du = np.matmul(dh, p["g"].T, out=room("du", n, HIDDEN))
         du *= f > 0
-        g["f"], g["fb"] = h.T @ du, du.sum(0)
-        dh = dy
-        dh += du @ p["f"].T
-        g["o"] = z.T @ dh
-        dz = (dh @ p["o"].T).reshape(b, w, WIDTH)
-        ds, dv = dz @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dz
-        ds -= np.einsum("bij,bij->bi", ds, a)[..., None]
+        g["f"] += h.T @ du
+        g["fb"] += ones @ du
+        dh += np.matmul(du, p["f"].T, out=room("dh", n, d))
+        back[:, :d] = dh
+        # Of a weight: what its value gives, less the mean of all, which is in the column of ones.
+        dz = room("dz", n, d + 1)
+        np.multiply(dh, inverse, out=dz[:, :d])
+        np.negative(np.einsum("ij,ij->i", dz[:, :d], z), out=dz[:, d])
+        dz = by_window(dz)
+        ds = np.matmul(dz, v.transpose(0, 2, 1), out=room("ds", n // w, w, w))
         ds *= a
-        gap = place[:, None] - place[None]
-        g["r"] = np.bincount(gap[gap >= 0], ds.sum(0)[gap >= 0], WINDOW).astype(np.float32)
-        dq, dk = ds @ k * scale, ds.transpose(0, 2, 1) @ q
-        back = lambda m: np.add.reduceat(m.reshape(-1, WIDTH).take(order, 0), begin)
-        dq, dk, dv, dh = back(dq), back(dk), back(dv), back(dh)
-        g["q"], g["k"], g["v"] = own.T @ dq, own.T @ dk, own.T @ dv
-        g["E"] = np.zeros_like(p["E"])
-        g["E"][used] = dh + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
-        return float(loss), g
+        by_gap += ds.sum(0)
+        back = by_window(back)
+        back[:, :, d : 2 * d] = ds @ k
+        back[:, :, 2 * d : 3 * d] = ds.transpose(0, 2, 1) @ q
+        back[:, :, 3 * d :] = a.transpose(0, 2, 1) @ dz[:, :, :d]
+        return lost
 
     def train(self, rows: np.ndarray, target: np.ndarray, mask: np.ndarray, epochs: int = 4, batch: int = 64, rate: float = 0.006, seed: int = 1):
-        r, m, v, step, losses = np.random.default_rng(seed), {}, {}, 0, []
+        r, step, losses, room = np.random.default_rng(seed), 0, [], _Room()
         steps = epochs * -(-len(rows) // batch)
+        # All weights as one run of numbers, of which ``p`` holds views.
+        weights = self.weights()
+        self.set_weights(weights)
+        m, v = np.zeros_like(weights), np.zeros_like(weights)
         for _ in range(epochs):
             order = r.permutation(len(rows))
             for a in range(0, len(rows), batch):
                 pick = order[a : a + batch]
-                loss, g = self.loss(rows[pick], target[pick], mask[pick])
+                loss, g = self.loss(rows[pick], target[pick], mask[pick], room)
                 losses.append(loss)
                 step += 1
                 now = rate * (1 - 0.9 * step / steps)
-                for k, d in g.items():
-                    m[k] = 0.9 * m.get(k, 0) + 0.1 * d
-                    v[k] = 0.98 * v.get(k, 0) + 0.02 * d * d
-                    self.p[k] -= (now * np.sqrt(1 - 0.98**step) / (1 - 0.9**step) * m[k] / (np.sqrt(v[k]) + 1e-8)).astype(np.float32)
+                d = np.concatenate([g[name].ravel() for name in self.p])
+                m += np.float32(0.1) * (d - m)
+                d *= d
+                v += np.float32(0.02) * (d - v)
+                np.sqrt(v, out=d)
+                d += np.float32(1e-8)
+                np.divide(m, d, out=d)
+                d *= np.float32(now * np.sqrt(1 - 0.98**step) / (1 - 0.9**step))
+                weights -= d
         return losses
 
     def inputs(self, types: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,7 +259,7 @@ class Network:
     def set_weights(self, flat: np.ndarray) -> None:
         at = 0
         for name, w in self.p.items():
-            self.p[name] = flat[at : at + w.size].reshape(w.shape).astype(np.float32)
+            self.p[name] = flat[at : at + w.size].reshape(w.shape).astype(np.float32, copy=False)
             at += w.size
 
     def class_scores(self, types: np.ndarray, first: np.ndarray, batch: int = 128) -> np.ndarray:

@@ -188,6 +188,49 @@ def test_training_step_projects_rows_once_and_gives_every_gradient():
             assert g[name][at] == pytest.approx((sides[0] - sides[1]) / 2e-4, abs=2e-4), (name, at)
 
 
+@pytest.mark.parametrize("large", [False, True])
+def test_training_step_goes_by_parts_with_the_gradients_of_the_whole(monkeypatch, large):
+    r = np.random.default_rng(5)
+    net = attention.Network(np.arange(40) % attention.CLASSES, np.full(40, 5.0))
+    net.p["r"] = np.linspace(0, -1, attention.WINDOW).astype(np.float32)
+    if large:  # exponentials of these scores and logits are not finite
+        net.p["q"], net.p["c"] = net.p["q"] * 300, net.p["c"] * 80
+    rows, target = r.integers(0, 40, (7, attention.WINDOW)), r.integers(0, 40, (7, attention.WINDOW))
+    mask = (r.random(rows.shape) < 0.7).astype(np.float32)
+    mask[4] = 0
+    whole, wanted = net.loss(rows, target, mask)
+    sizes, part = [], attention.Network._part
+    monkeypatch.setattr(attention.Network, "_part", lambda self, tables, at_row, *a: sizes.append(len(at_row)) or part(self, tables, at_row, *a))
+    monkeypatch.setattr(attention, "PART", 2)
+    loss, found = net.loss(rows, target, mask)
+    assert sizes == [2 * attention.WINDOW] * 3 + [attention.WINDOW]
+    assert loss == pytest.approx(whole, rel=1e-5) and (large or loss == pytest.approx(_plain_loss(net, rows, target, mask), rel=1e-5))
+    for name in net.p:
+        assert np.isfinite(found[name]).all() and np.allclose(found[name], wanted[name], rtol=1e-3, atol=1e-4 * abs(wanted[name]).max()), name
+
+
+def test_training_keeps_its_memory_and_follows_the_gradients():
+    r = np.random.default_rng(6)
+    rows, target = r.integers(0, 40, (10, attention.WINDOW)), r.integers(0, 40, (10, attention.WINDOW))
+    mask = np.ones(rows.shape, np.float32)
+    net, plain = (attention.Network(np.arange(40) % attention.CLASSES, np.full(40, 5.0)) for _ in range(2))
+    rooms, step = [], net.loss
+    net.loss = lambda *a: rooms.append(a[3]) or step(*a)
+    net.train(rows, target, mask, epochs=2, batch=4)
+    assert len(rooms) == 6 and all(x is rooms[0] for x in rooms)
+    order, n, m, v = np.random.default_rng(1), 0, {}, {}
+    for _ in range(2):
+        mixed = order.permutation(10)
+        for a in range(0, 10, 4):
+            g, n = plain.loss(*(x[mixed[a : a + 4]] for x in (rows, target, mask)))[1], n + 1
+            for k, d in g.items():
+                m[k], v[k] = 0.9 * m.get(k, 0) + 0.1 * d, 0.98 * v.get(k, 0) + 0.02 * d * d
+                rate = 0.006 * (1 - 0.9 * n / 6) * np.sqrt(1 - 0.98**n) / (1 - 0.9**n)
+                plain.p[k] -= (rate * m[k] / (np.sqrt(v[k]) + 1e-8)).astype(np.float32)
+    for name in net.p:
+        assert np.allclose(net.p[name], plain.p[name], atol=2e-4), name
+
+
 def test_attention_scores_each_token_once_and_causally():
     r = np.random.default_rng(2)
     net = attention.Network(np.arange(50) % attention.CLASSES, np.ones(50))
