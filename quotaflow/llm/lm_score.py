@@ -45,6 +45,8 @@ from .base import pieces, written
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SAMPLE_DOCS = 800
 SAMPLE_TOKENS = 320
+# Words whose types a worker keeps, and a fourth of the types it keeps.
+KEPT_WORDS = 1 << 19
 DISCOUNT, SMOOTH = 0.75, 0.1
 U64 = np.uint64
 END_WORD = U64(0x656E642D746F6B65)
@@ -67,6 +69,27 @@ class Subwords:
         self.between = ranks[b"\n"]
         self.end = 2 * len(vocabulary) + 1
         self.n_types = self.end + 1
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.begin, self.length, self.types = np.zeros(0, U64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def of(self, found: scan.Words, hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``cut``, of the words at ``at`` of ``found`` with these ascending hashes; words of earlier calls are not cut again."""
+        if len(self.known) > KEPT_WORDS or len(self.types) > 4 * KEPT_WORDS:
+            self._forget()
+        place, there = chunks.find(hashes, self.known)
+        if not there.all():
+            new = np.flatnonzero(~there)
+            types, length = self.cut(_word_bytes(found, at[new]))
+            before = np.searchsorted(self.known, hashes[new])
+            self.begin = np.insert(self.begin, before, len(self.types) + np.cumsum(length) - length)
+            self.length = np.insert(self.length, before, length)
+            self.known = np.insert(self.known, before, hashes[new])
+            self.types = np.append(self.types, types.astype(np.int32))
+            place = np.searchsorted(self.known, hashes)
+        length = self.length[place]
+        return self.types[_spread(self.begin[place], length)], length
 
     def cut(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The types of the words one after the other, and the number of each."""
@@ -79,6 +102,14 @@ class Subwords:
         return types[inner], np.diff(last, prepend=-1) - 1
 
 
+def _spread(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """``begin``, ``begin + 1`` ... of each run, one run after the other."""
+    ends = np.cumsum(length)
+    out = np.repeat((begin - ends + length).astype(np.int32), length)
+    out += np.arange(len(out), dtype=np.int32)
+    return out
+
+
 _open: dict[str, Subwords] = {}
 
 
@@ -113,11 +144,11 @@ def _learnt(group: pa.Table) -> np.ndarray:
 def _count(group: pa.Table, share, buckets: int) -> pa.Table:
     """Distinct words of a chunk with their training counts, and the training counts of types."""
     found, learn = scan.words(chunks.texts_of(group), lower=True), _learnt(group)
-    every, first, at = np.unique(found.hashes, return_index=True, return_inverse=True)
+    every, first, at = scan.distinct(found.hashes)
     count = np.bincount(at, learn[found.doc], len(every)).astype(np.int64) if len(every) else np.zeros(0, np.int64)
     chunk, tokens = group.column("chunk")[0].as_py(), _subwords(share)
     seen = np.flatnonzero(count)
-    types, length = tokens.cut(_word_bytes(found, first[seen]))
+    types, length = tokens.of(found, every[seen], first[seen])
     total = np.bincount(np.append(types, tokens.end), np.append(np.repeat(count[seen], length), learn.sum()), tokens.n_types)
     # The counts of types as the first of a word follow those of all.
     heads = types[np.cumsum(length) - length]
@@ -162,8 +193,8 @@ def _score(group: pa.Table, told: pa.Table, share, model, names: list[str], n: i
     # One token per word and one end per text, in order.
     first = found.first + np.arange(docs + 1)
     # Distinct words are looked up and cut once; the last entry is the end.
-    every, seen, at = np.unique(found.hashes, return_index=True, return_inverse=True)
-    word = np.full(first[-1], len(every))
+    every, seen, at = scan.distinct(found.hashes)
+    word = np.full(first[-1], len(every), np.int32)
     is_word = np.ones(first[-1], bool)
     is_word[first[1:] - 1] = False
     word[is_word] = at
@@ -171,8 +202,8 @@ def _score(group: pa.Table, told: pa.Table, share, model, names: list[str], n: i
     owner = np.repeat(np.arange(docs), np.diff(first))
     base = np.bincount(owner, np.log10((c + SMOOTH) / (n + SMOOTH * (v + 1))), docs)
     known = np.bincount(owner, c > 0, docs).astype(np.int64)
-    flat, length = tokens.cut(_word_bytes(found, seen))
-    flat, length = np.append(flat, tokens.end), np.append(length, 1)
+    flat, length = tokens.of(found, every, seen)
+    flat, length = np.append(flat, np.int32(tokens.end)), np.append(length, np.int32(1))
     begin = np.cumsum(length) - length
     score, a = np.zeros(docs), 0
     block = max(1, docs // max(1, len(found.hashes) // 40_000))
@@ -181,7 +212,7 @@ def _score(group: pa.Table, told: pa.Table, share, model, names: list[str], n: i
         mine = word[first[a] : first[b]]
         sizes = length[mine]
         starts = np.concatenate([[0], np.cumsum(sizes)])
-        types = flat[np.repeat(begin[mine] - starts[:-1], sizes) + np.arange(starts[-1])]
+        types = flat[_spread(begin[mine], sizes)]
         of_text = starts[first[a : b + 1] - first[a]]
         of_class = net.class_scores(types, of_text)
         head = starts[:-1]
@@ -212,15 +243,15 @@ def _streams(batches: Iterator[pa.RecordBatch], share) -> Iterator[tuple[np.ndar
             continue
         found = scan.words(batch.column("text"), lower=True)
         first = found.first + np.arange(batch.num_rows + 1)
-        every, seen, at = np.unique(found.hashes, return_index=True, return_inverse=True)
-        word, is_word = np.full(first[-1], len(every)), np.ones(first[-1], bool)
+        every, seen, at = scan.distinct(found.hashes)
+        word, is_word = np.full(first[-1], len(every), np.int32), np.ones(first[-1], bool)
         is_word[first[1:] - 1] = False
         word[is_word] = at
-        flat, length = tokens.cut(_word_bytes(found, seen))
-        flat, length = np.append(flat, tokens.end), np.append(length, 1)
+        flat, length = tokens.of(found, every, seen)
+        flat, length = np.append(flat, np.int32(tokens.end)), np.append(length, np.int32(1))
         sizes = length[word]
         starts = np.concatenate([[0], np.cumsum(sizes)])
-        yield flat[np.repeat((np.cumsum(length) - length)[word] - starts[:-1], sizes) + np.arange(starts[-1])], starts[first]
+        yield flat[_spread((np.cumsum(length) - length)[word], sizes)], starts[first]
 
 
 HELD_PAIRS = 1 << 20
@@ -232,17 +263,29 @@ def _neighbours(batches: Iterator[pa.RecordBatch], share, context) -> Iterator[p
         [pa.array((k // (2 * attention.CONTEXTS)).astype(np.int32)), pa.array((k % (2 * attention.CONTEXTS)).astype(np.int32)), pa.array(n.astype(np.int64))],
         ["type", "context", "times"],
     )
-    keys, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    held, size = [], 0
     for types, first in _streams(batches, share):
         breaks = np.zeros(len(types), bool)
         breaks[first[:-1]] = True
-        k, n = attention.neighbours(types, breaks, context.value)
-        both, at = np.unique(np.concatenate([keys, k]), return_inverse=True)
-        keys, times = both, np.bincount(at, np.concatenate([times, n]), len(both)).astype(np.int64)
-        if len(keys) > HELD_PAIRS:
-            yield told(keys, times)
-            keys, times = keys[:0], times[:0]
-    yield told(keys, times)
+        held.append(attention.neighbours(types.astype(np.int64), breaks, context.value))
+        size += len(held[-1][0])
+        if size > HELD_PAIRS:
+            held = [_added(held)]
+            size = len(held[0][0])
+            if size > HELD_PAIRS // 2:
+                yield told(*held[0])
+                held, size = [], 0
+    if held:
+        yield told(*_added(held))
+
+
+def _added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, ascending, and the sums of their times."""
+    keys, times = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(keys)
+    keys = keys[order]
+    begin = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[begin], np.add.reduceat(times[order], begin) if len(begin) else times[:0]
 
 
 def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -114,6 +114,18 @@ def words(texts: pa.Array, lower: bool = False) -> Words:
     return Words(data, begin, end, first, doc, hashes)
 
 
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different hashes, ascending, a place of each, and each hash's place among them; only the different ones are sorted."""
+    coded = pa.array(hashes).dictionary_encode()
+    codes, every = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+    seen = np.empty(len(every), np.int64)
+    seen[codes] = np.arange(len(codes))
+    order = np.argsort(every)
+    rank = np.empty(len(every), np.int32)
+    rank[order] = np.arange(len(every), dtype=np.int32)
+    return every[order], seen[order], rank[codes]
+
+
 def windows(found: Words, size: int) -> np.ndarray:
     """Hash of ``size`` words from every word on; meaningless where a text ends before.  See ``inside``."""
     n = len(found.hashes)

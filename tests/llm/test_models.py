@@ -9,10 +9,11 @@ from itertools import combinations
 
 import cases
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quotaflow.llm import attention, language, licences, lm_score, pieces, toxicity, url_rules
+from quotaflow.llm import attention, language, licences, lm_score, pieces, scan, toxicity, url_rules
 from quotaflow.llm.base import table
 from quotaflow.llm.queries import QUERIES
 
@@ -309,6 +310,59 @@ def test_subwords_of_many_words_are_those_of_each(spark, sf_dir):
     assert [len(x) for x in tokens.cut([])] == [0, 0]
 
 
+def test_a_worker_cuts_a_word_once(monkeypatch):
+    tokens, cut = lm_score.Subwords(lm_score.read_vocabulary()), []
+    plain = tokens.cut
+    monkeypatch.setattr(tokens, "cut", lambda words: cut.extend(words) or plain(words))
+
+    def types(*texts):
+        found = scan.words(pa.array(texts), lower=True)
+        every, seen, at = scan.distinct(found.hashes)
+        assert (np.diff(every.astype(object)) > 0).all() and (every[at] == found.hashes).all() and (found.hashes[seen] == every).all()
+        flat, length = tokens.of(found, every, seen)
+        assert [x.tolist() for x in np.split(flat, np.cumsum(length)[:-1])] == [plain([w])[0].tolist() for w in lm_score._word_bytes(found, seen)]
+
+    types("the zorgle the vexmuddle", "", "Zorgle")
+    assert sorted(cut) == [b"the", b"vexmuddle", b"zorgle"]
+    types("new words and the ZORGLE")
+    assert sorted(cut[3:]) == [b"and", b"new", b"words"]
+    # What is kept is bounded.
+    monkeypatch.setattr(lm_score, "KEPT_WORDS", 5)
+    types("zorgle")
+    assert cut[6:] == [b"zorgle"] and len(tokens.known) == 1
+    none = scan.words(pa.array(["", None]))
+    assert [len(x) for x in tokens.of(none, *scan.distinct(none.hashes)[:2])] == [0, 0]
+
+
+@pytest.mark.parametrize("held", [1, 50, 1 << 20])
+def test_neighbours_held_or_given_on_add_up(monkeypatch, held):
+    texts = [" ".join(cases.prose(i, 30)) for i in range(40)] + [None, ""]
+    tokens = lm_score.Subwords(lm_score.read_vocabulary())
+    context = np.full(tokens.n_types, -1)
+    often = Counter(t for x in texts for t in tokens.cut((x or "").encode().split())[0].tolist()).most_common(8)
+    context[[t for t, _ in often]] = np.arange(len(often))
+    wanted = Counter()
+    for x in texts:
+        stream = [*tokens.cut((x or "").encode().lower().split())[0].tolist(), tokens.end]
+        for a, b in zip(stream, stream[1:]):
+            if context[a] >= 0:
+                wanted[b, context[a]] += 1
+            if context[b] >= 0:
+                wanted[a, attention.CONTEXTS + context[b]] += 1
+
+    class Shared:
+        def __init__(self, value):
+            self.value = value
+
+    monkeypatch.setattr(lm_score, "HELD_PAIRS", held)
+    batches = (pa.RecordBatch.from_arrays([pa.array(texts[i : i + 7])], ["text"]) for i in range(0, len(texts), 7))
+    found = Counter()
+    for b in lm_score._neighbours(batches, (f"held{held}", Shared(lm_score.read_vocabulary())), Shared(context)):
+        for r in b.to_pylist():
+            found[r["type"], r["context"]] += r["times"]
+    assert found == wanted
+
+
 def test_lm_query(spark, sf_dir):
     found = QUERIES["op7_lm_scoring"](spark, sf_dir).collect()
     docs = {r["doc_id"]: r["text"] for r in table(spark, sf_dir, "documents").select("doc_id", "text").collect()}
