@@ -8,6 +8,7 @@ inputs: an input is the type before the predicted one.
 from __future__ import annotations
 
 import numpy as np
+from numpy.lib.stride_tricks import sliding_window_view
 
 WINDOW, STRIDE = 32, 16
 WIDTH, HIDDEN, CLASSES = 24, 48, 64
@@ -20,6 +21,8 @@ _MOST = np.float32(60)
 CONTEXTS = 256
 # Windows of a training batch worked on together.
 PART = 64
+# Rows multiplied together where a product sums over very many.
+ROWS = 128
 
 
 class _Room:
@@ -42,6 +45,18 @@ def _exponentials(m: np.ndarray, some: np.ndarray) -> np.ndarray:
     return np.exp(m, out=m)
 
 
+def _copied(m: np.ndarray, out: np.ndarray) -> np.ndarray:
+    np.copyto(out, m)
+    return out
+
+
+def _inner(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``x.T @ y`` of many rows, by ``ROWS`` rows: numpy's products of that size are faster."""
+    n = len(x) - len(x) % ROWS
+    by_rows = lambda m: m[:n].reshape(-1, ROWS, m.shape[1])
+    return (by_rows(x).transpose(0, 2, 1) @ by_rows(y)).sum(0) + x[n:].T @ y[n:]
+
+
 def contexts(counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The place of each of the most frequent types among ``CONTEXTS``, -1 for others; and the types common enough to be clustered."""
     of = np.full(len(counts), -1)
@@ -123,80 +138,92 @@ class Network:
         """
         p, room, (b, w), d = self.p, room or _Room(), rows.shape, WIDTH
         flat, ask = rows.ravel(), p["q"] * np.float32(d**-0.5)
-        order = np.argsort(flat.astype(np.int16), kind="stable")
-        begin = np.flatnonzero(np.diff(flat[order], prepend=-1))
+        short = flat.astype(np.int16)
+        order = np.argsort(short, kind="stable")
+        begin = np.flatnonzero(np.diff(short[order], prepend=np.int16(-1)))
         used = flat[order[begin]]
         own = p["E"][used]
         at_row = np.empty(len(flat), np.intp)
         at_row[order] = np.repeat(np.arange(len(used)), np.diff(begin, append=len(flat)))
         value = own @ p["v"]
-        # A last column of ones sums the weights that multiply it.
-        tables = own, own @ ask, own @ p["k"], np.hstack([value @ p["o"], np.ones((len(used), 1), np.float32)])
+        ones = np.ones((len(used), 1), np.float32)
+        tables = np.hstack([own, 0 * ones]), own @ ask, own @ p["k"], np.hstack([value @ p["o"], ones])
+        # What takes gradients of queries, keys and values back to an input.
+        returns, layers = np.vstack([ask.T, p["k"].T, p["o"].T @ p["v"].T]), self._layers()
         weight, target = (mask / max(mask.sum(), 1)).astype(np.float32).ravel(), target.ravel()
         g = {name: np.zeros(x.shape, np.float32) for name, x in p.items()}
-        back, by_gap, total = room("back", b * w, 4 * d), np.zeros((w, w), np.float32), 0.0
+        back, by_gap, by_input, total = room("back", b * w, d), np.zeros((w, w), np.float32), np.zeros((d, 3 * d), np.float32), 0.0
         place = np.arange(w)
         gap, bias = place[:, None] - place, self.bias(place, place)
         for i in range(0, b * w, PART * w):
             j = min(b * w, i + PART * w)
-            total += self._part(tables, at_row[i:j], target[i:j], weight[i:j], bias, room, g, back[i:j], by_gap)
+            total += self._part(tables, at_row[i:j], target[i:j], weight[i:j], bias, returns, layers, room, g, back[i:j], by_gap, by_input)
         g["r"] = np.bincount(gap[gap >= 0], by_gap[gap >= 0], WINDOW).astype(np.float32)
-        sums = np.add.reduceat(np.take(back, order, 0, out=room("sorted", b * w, 4 * d), mode="clip"), begin)
-        dh, dq, dk, do = (sums[:, d * n : d * (n + 1)] for n in range(4))
-        dv = do @ p["o"].T
-        g["q"], g["k"], g["v"], g["o"] = own.T @ dq * np.float32(d**-0.5), own.T @ dk, own.T @ dv, value.T @ do
-        g["E"][used] = dh + dq @ ask.T + dk @ p["k"].T + dv @ p["v"].T
+        dq, dk, do = np.hsplit(by_input, 3)
+        g["q"], g["k"], g["v"], g["o"] = dq * np.float32(d**-0.5), dk, do @ p["o"].T, p["v"].T @ do
+        g["E"][used] = np.add.reduceat(np.take(back, order, 0, out=room("sorted", b * w, d), mode="clip"), begin)
         return float(total), g
 
-    def _part(self, tables, at_row, target, weight, bias, room, g, back, by_gap) -> float:
-        """The loss of some windows; adds to the gradients of what follows attention, gives those of the inputs' rows in ``back``."""
+    def _layers(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What follows attention, for inputs with a last column of ones, which multiplies the biases: the second keeps that column out."""
+        p = self.p
+        return np.vstack([p["f"], p["fb"]]), np.hstack([p["g"], np.zeros((HIDDEN, 1), np.float32)]), np.vstack([p["c"], p["cb"]])
+
+    def _part(self, tables, at_row, target, weight, bias, returns, layers, room, g, back, by_gap, by_input) -> float:
+        """The loss of some windows; adds to the gradients, gives those of the inputs' rows in ``back``.
+
+        ``by_input`` sums inputs times gradients of their queries, keys and values.  Arrays whose use is over give their memory to later ones.
+        """
         p, n, w, d = self.p, len(at_row), len(bias), WIDTH
         by_window = lambda m: m.reshape(-1, w, m.shape[-1])
+        turned = lambda m: _copied(m.transpose(0, 2, 1), room("turned", n // w, m.shape[2], w))
         own, q, k, v = (np.take(m, at_row, 0, out=room(f"row{i}", n, m.shape[1]), mode="clip") for i, m in enumerate(tables))
         q, k, v = by_window(q), by_window(k), by_window(v)
-        a = np.matmul(q, k.transpose(0, 2, 1), out=room("a", n // w, w, w))
+        a = np.matmul(q, turned(k), out=room("a", n // w, w, w))
         a += bias
         _exponentials(a, np.diagonal(a, axis1=1, axis2=2))
+        a *= 1 / (a @ np.ones((w, 1), np.float32))
+        # The last column of the values sums the weights, so that of z, h and y is one.
         z = np.matmul(a, v, out=room("z", n // w, w, d + 1)).reshape(n, d + 1)
-        inverse = 1 / z[:, d:]
-        z = np.multiply(z[:, :d], inverse, out=room("mean", n, d))
-        h = own
-        h += z
-        f = np.matmul(h, p["f"], out=room("f", n, HIDDEN))
-        f += p["fb"]
+        h = np.add(own, z, out=room("h", n, d + 1))
+        f = np.matmul(h, layers[0], out=room("f", n, HIDDEN))
         np.maximum(f, 0, out=f)
-        y = np.matmul(f, p["g"], out=room("y", n, d))
+        y = np.matmul(f, layers[1], out=room("y", n, d + 1))
         y += h
-        t = np.matmul(y, p["c"], out=room("t", n, CLASSES))
-        t += p["cb"]
+        t = np.matmul(y, layers[2], out=room("t", n, CLASSES))
         _exponentials(t, t[:, 0])
-        total, ones = t @ np.ones(CLASSES, np.float32), np.ones(n, np.float32)
+        total = t @ np.ones(CLASSES, np.float32)
         each, t_flat = np.arange(n) * CLASSES + target, t.reshape(-1)
         lost = -(np.log(t_flat[each] / total + 1e-9) * weight).sum()
-        t *= (weight / total)[:, None]
-        t_flat[each] -= weight
-        g["c"] += y.T @ t
-        g["cb"] += ones @ t
-        dh = np.matmul(t, p["c"].T, out=y)
-        g["g"] += f.T @ dh
-        du = np.matmul(dh, p["g"].T, out=room("du", n, HIDDEN))
+        # The gradient of the logits is ``t`` times ``scale``, which multiplies the narrower factor of its products.
+        t_flat[each] -= total
+        scale = (weight / total)[:, None]
+        y *= scale
+        by_y = _inner(y, t)
+        g["c"] += by_y[:d]
+        g["cb"] += by_y[d]
+        dh = np.matmul(t, p["c"].T, out=room("y", n, d))
+        dh *= scale
+        g["g"] += _inner(f, dh)
+        du = np.matmul(dh, p["g"].T, out=room("t", n, HIDDEN))
         du *= f > 0
-        g["f"] += h.T @ du
-        g["fb"] += ones @ du
-        dh += np.matmul(du, p["f"].T, out=room("dh", n, d))
-        back[:, :d] = dh
-        # Of a weight: what its value gives, less the mean of all, which is in the column of ones.
-        dz = room("dz", n, d + 1)
-        np.multiply(dh, inverse, out=dz[:, :d])
-        np.negative(np.einsum("ij,ij->i", dz[:, :d], z), out=dz[:, d])
-        dz = by_window(dz)
-        ds = np.matmul(dz, v.transpose(0, 2, 1), out=room("ds", n // w, w, w))
+        by_h = _inner(h, du)
+        g["f"] += by_h[:d]
+        g["fb"] += by_h[d]
+        dh += np.matmul(du, p["f"].T, out=room("f", n, d))
+        # Of a weight: what its value gives, less the mean of all.
+        ds = np.matmul(by_window(dh), turned(v[:, :, :d]), out=room("t", n // w, w, w))
+        ds -= np.einsum("ij,ij->i", dh, z[:, :d]).reshape(-1, w, 1)
         ds *= a
         by_gap += ds.sum(0)
-        back = by_window(back)
-        back[:, :, d : 2 * d] = ds @ k
-        back[:, :, 2 * d : 3 * d] = ds.transpose(0, 2, 1) @ q
-        back[:, :, 3 * d :] = a.transpose(0, 2, 1) @ dz[:, :, :d]
+        given = room("given", n, 3 * d)
+        dq, dk, do = (by_window(given[:, d * i : d * (i + 1)]) for i in range(3))
+        np.matmul(ds, k, out=dq)
+        np.matmul(ds.transpose(0, 2, 1), q, out=dk)
+        np.matmul(a.transpose(0, 2, 1), by_window(dh), out=do)
+        by_input += _inner(own, given)[:d]
+        np.matmul(given, returns, out=back)
+        back += dh
         return lost
 
     def train(self, rows: np.ndarray, target: np.ndarray, mask: np.ndarray, epochs: int = 4, batch: int = 64, rate: float = 0.006, seed: int = 1):
@@ -263,29 +290,48 @@ class Network:
             at += w.size
 
     def class_scores(self, types: np.ndarray, first: np.ndarray, batch: int = 128) -> np.ndarray:
-        """Natural log-probability of every token's class, each scored once with at least STRIDE tokens of context where there are."""
-        p, out = self.p, np.zeros(len(types), np.float64)
-        scored, rows = self.inputs(types, first)
-        keys, queries = np.arange(WINDOW), np.arange(STRIDE, WINDOW)
-        bias, scale = self.bias(queries, keys), np.float32(WIDTH**-0.5)
+        """Natural log-probability of every token's class, each scored once with at least STRIDE tokens of context where there are.
+
+        Texts are laid out in blocks of STRIDE inputs, a block of starts before each; a block is scored with the one before it,
+        so that what attention takes of an input is looked up once.
+        """
+        p, d, length = self.p, WIDTH, np.diff(first)
+        ends = STRIDE * np.cumsum(1 - (-length // STRIDE))
+        # Place of each token; the last entries of a text's blocks have none.
+        place = np.arange(len(types)) + np.repeat(np.append(0, ends[:-1]) + STRIDE - first[:-1], length)
+        rows, target = (np.full((ends[-1] if len(ends) else 0) + STRIDE, x) for x in (self.start, 0))
+        # One more block of starts comes first.
+        rows[STRIDE + place] = np.append(self.start, self.row[types])[:-1]
+        rows[STRIDE + place[first[:-1][length > 0]]] = self.start
+        target[place] = self.classes[types]
+        found = np.zeros(len(rows), np.float32)
+        bias, room, layers = self.bias(np.arange(STRIDE, WINDOW), np.arange(WINDOW)), _Room(), self._layers()
         # An input is one of the rows of E, and what attention makes of a row does not depend on its place.
-        asks, keyed, given = p["E"] @ p["q"] * scale, p["E"] @ p["k"], p["E"] @ (p["v"] @ p["o"])
-        ones_w, ones_c = np.ones(WINDOW, np.float32), np.ones(CLASSES, np.float32)
-        for a in range(0, len(rows), batch):
-            row, at = rows[a : a + batch], scored[a : a + batch]
-            row = np.where(row < 0, self.start, row)
-            mine = np.ascontiguousarray(row[:, STRIDE:])
-            s = asks.take(mine, 0) @ keyed.take(row, 0).transpose(0, 2, 1)
+        ones = np.ones((len(p["E"]), 1), np.float32)
+        own, asks, keyed = np.hstack([p["E"], 0 * ones]), p["E"] @ p["q"] * np.float32(d**-0.5), p["E"] @ p["k"]
+        given = np.hstack([p["E"] @ (p["v"] @ p["o"]), ones])
+        for a in range(0, len(rows) - STRIDE, batch * STRIDE):
+            row = rows[a : a + (batch + 1) * STRIDE]
+            mine, n = row[STRIDE:], len(row) - STRIDE
+            h, q = (np.take(m, mine, 0, out=room(f"mine{i}", n, m.shape[1]), mode="clip") for i, m in enumerate((own, asks)))
+            # Of each block and the one before it, an input a column.
+            k, v = (
+                sliding_window_view(np.take(m, row, 0, out=room(f"row{i}", len(row), m.shape[1]), mode="clip"), WINDOW, 0)[::STRIDE]
+                for i, m in enumerate((keyed, given))
+            )
+            s = np.matmul(q.reshape(-1, STRIDE, d), _copied(k, room("k", *k.shape)), out=room("s", len(k), STRIDE, WINDOW))
             s += bias
-            np.exp(np.minimum(s, _MOST, out=s), out=s)
-            h = (s @ given.take(row, 0)).reshape(-1, WIDTH)
-            h /= (s.reshape(-1, WINDOW) @ ones_w)[:, None]
-            h += p["E"].take(mine.ravel(), 0)
-            y = h + np.maximum(h @ p["f"] + p["fb"], 0) @ p["g"]
-            t = y @ p["c"] + p["cb"]
-            np.minimum(t, _MOST, out=t)
-            use = np.flatnonzero(at.ravel() >= 0)
-            token = at.ravel()[use]
-            of_class = t[use, self.classes[types[token]]]
-            out[token] = of_class - np.log(np.exp(t, out=t) @ ones_c)[use]
-        return out
+            np.minimum(s, _MOST, out=s) if s.max() > _MOST else None
+            np.exp(s, out=s)
+            z = np.matmul(s, v.transpose(0, 2, 1), out=room("z", len(k), STRIDE, d + 1)).reshape(n, d + 1)
+            z *= 1 / z[:, d:]
+            h += z
+            f = np.matmul(h, layers[0], out=room("f", n, HIDDEN))
+            np.maximum(f, 0, out=f)
+            y = np.matmul(f, layers[1], out=room("y", n, d + 1))
+            y += h
+            t = np.matmul(y, layers[2], out=room("t", n, CLASSES))
+            np.minimum(t, _MOST, out=t) if t.max() > _MOST else None
+            of_class = t.reshape(-1)[np.arange(n) * CLASSES + target[a : a + n]]
+            found[a : a + n] = of_class - np.log(np.exp(t, out=t) @ np.ones(CLASSES, np.float32))
+        return found[place].astype(np.float64)

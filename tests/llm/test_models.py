@@ -210,6 +210,32 @@ def test_training_step_goes_by_parts_with_the_gradients_of_the_whole(monkeypatch
         assert np.isfinite(found[name]).all() and np.allclose(found[name], wanted[name], rtol=1e-3, atol=1e-4 * abs(wanted[name]).max()), name
 
 
+def test_training_step_gives_back_one_narrow_row_for_each_input(monkeypatch):
+    """What queries, keys and values give back is joined before it is sorted; long sums go by rows."""
+    r = np.random.default_rng(7)
+    net = attention.Network(np.arange(40) % attention.CLASSES, np.full(40, 5.0))
+    net.p["r"] = np.linspace(0, -1, attention.WINDOW).astype(np.float32)
+    rows, target = (r.integers(0, 40, (5, attention.WINDOW)) for _ in range(2))
+    mask = (r.random(rows.shape) < 0.7).astype(np.float32)
+    loss, wanted = net.loss(rows, target, mask)
+    taken, take = [], np.take
+    monkeypatch.setattr(attention.np, "take", lambda m, at, *a, **k: taken.append((len(at), m.shape[-1])) or take(m, at, *a, **k))
+    monkeypatch.setattr(attention, "ROWS", 24)
+    monkeypatch.setattr(attention, "PART", 3)
+    found = net.loss(rows, target, mask)[1]
+    assert [x for x in taken if x[0] == rows.size] == [(rows.size, attention.WIDTH)]
+    assert loss == pytest.approx(_plain_loss(net, rows, target, mask), rel=1e-5)
+    for name in net.p:
+        assert np.allclose(found[name], wanted[name], rtol=1e-3, atol=1e-4 * abs(wanted[name]).max()), name
+
+
+@pytest.mark.parametrize("n", [0, 1, 24, 25, 100])
+def test_sums_over_many_rows_are_those_of_one_product(monkeypatch, n):
+    monkeypatch.setattr(attention, "ROWS", 24)
+    x, y = (np.random.default_rng(n).normal(size=(n, k)).astype(np.float32) for k in (3, 5))
+    assert np.allclose(attention._inner(x, y), x.T @ y, atol=1e-5)
+
+
 def test_training_keeps_its_memory_and_follows_the_gradients():
     r = np.random.default_rng(6)
     rows, target = r.integers(0, 40, (10, attention.WINDOW)), r.integers(0, 40, (10, attention.WINDOW))
@@ -264,6 +290,27 @@ def forward(net, stream, at):
     return t - t.max() - np.log(np.exp(t - t.max()).sum())
 
 
+@pytest.mark.parametrize("batch", [1, 3, 128])
+def test_scoring_looks_up_what_attention_takes_of_an_input_once(monkeypatch, batch):
+    """Texts of every length beside a block's, in batches that end inside them."""
+    r = np.random.default_rng(4)
+    net = attention.Network(np.arange(50) % attention.CLASSES, np.ones(50))
+    net.p["r"] = np.linspace(0, -1, attention.WINDOW).astype(np.float32)
+    half = attention.STRIDE
+    lengths = np.array([0, 1, half - 1, half, 0, half + 1, 2 * half, 5 * half + 3, 0])
+    first = np.append(0, np.cumsum(lengths))
+    types = r.integers(0, 50, first[-1])
+    taken, take = [], np.take
+    monkeypatch.setattr(attention.np, "take", lambda m, at, *a, **k: taken.append(len(at)) or take(m, at, *a, **k))
+    found = net.class_scores(types, first, batch)
+    for a, b in zip(first, first[1:]):
+        wanted = [forward(net, types[a:b], i)[net.classes[t]] for i, t in enumerate(types[a:b])]
+        assert np.allclose(found[a:b], wanted, atol=1e-4), (a, b)
+    # Blocks, one of starts for each text among them; keys and values once more for the block before a batch.
+    blocks = int((1 - (-lengths // half)).sum())
+    assert sum(taken) == half * (4 * blocks + 2 * -(-blocks // batch))
+
+
 def test_lm_scores_are_those_of_a_plain_forward_pass(spark, monkeypatch):
     rows = [(i, " ".join(cases.prose(i, 45 + i)), i % 3 > 0) for i in range(24)]
     rows += [(50, "Unseen zorgle, vexmuddle!", False), (51, None, False), (52, "", True), (53, "é 日本語 " * 20, False)]
