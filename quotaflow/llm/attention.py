@@ -7,8 +7,9 @@ inputs: an input is the type before the predicted one.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-from numpy.lib.stride_tricks import sliding_window_view
 
 WINDOW, STRIDE = 32, 16
 WIDTH, HIDDEN, CLASSES = 24, 48, 64
@@ -32,7 +33,7 @@ class _Room:
         self.kept: dict[str, np.ndarray] = {}
 
     def __call__(self, name: str, *shape: int) -> np.ndarray:
-        size = int(np.prod(shape))
+        size = math.prod(shape)
         if name not in self.kept or self.kept[name].size < size:
             self.kept[name] = np.empty(size, np.float32)
         return self.kept[name][:size].reshape(shape)
@@ -50,6 +51,12 @@ def _copied(m: np.ndarray, out: np.ndarray) -> np.ndarray:
     return out
 
 
+def _with_block_before(m: np.ndarray) -> np.ndarray:
+    """The rows of each block of STRIDE but the first, after those of the block before it, without a copy."""
+    row, one = m.strides
+    return np.ndarray((len(m) // STRIDE - 1, WINDOW, m.shape[1]), m.dtype, m, strides=(STRIDE * row, row, one))
+
+
 def _inner(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """``x.T @ y`` of many rows, by ``ROWS`` rows: numpy's products of that size are faster."""
     n = len(x) - len(x) % ROWS
@@ -314,16 +321,14 @@ class Network:
             row = rows[a : a + (batch + 1) * STRIDE]
             mine, n = row[STRIDE:], len(row) - STRIDE
             h, q = (np.take(m, mine, 0, out=room(f"mine{i}", n, m.shape[1]), mode="clip") for i, m in enumerate((own, asks)))
-            # Of each block and the one before it, an input a column.
-            k, v = (
-                sliding_window_view(np.take(m, row, 0, out=room(f"row{i}", len(row), m.shape[1]), mode="clip"), WINDOW, 0)[::STRIDE]
-                for i, m in enumerate((keyed, given))
-            )
-            s = np.matmul(q.reshape(-1, STRIDE, d), _copied(k, room("k", *k.shape)), out=room("s", len(k), STRIDE, WINDOW))
+            keys, values = (np.take(m, row, 0, out=room(f"row{i}", len(row), m.shape[1]), mode="clip") for i, m in enumerate((keyed, given)))
+            k, v = _with_block_before(keys), _with_block_before(values)
+            turned = _copied(k.transpose(0, 2, 1), room("turned", len(k), d, WINDOW))
+            s = np.matmul(q.reshape(-1, STRIDE, d), turned, out=room("s", len(k), STRIDE, WINDOW))
             s += bias
             np.minimum(s, _MOST, out=s) if s.max() > _MOST else None
             np.exp(s, out=s)
-            z = np.matmul(s, v.transpose(0, 2, 1), out=room("z", len(k), STRIDE, d + 1)).reshape(n, d + 1)
+            z = np.matmul(s, v, out=room("z", len(k), STRIDE, d + 1)).reshape(n, d + 1)
             z *= 1 / z[:, d:]
             h += z
             f = np.matmul(h, layers[0], out=room("f", n, HIDDEN))

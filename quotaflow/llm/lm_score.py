@@ -346,10 +346,11 @@ def _trained(net: attention.Network, training: DataFrame, share) -> attention.Ne
     return net
 
 
-def fit(training: DataFrame, vocabulary: list[bytes], counts: np.ndarray, sample_docs: int = SAMPLE_DOCS, seed: int = 2) -> attention.Network:
+def fit(training: DataFrame, vocabulary: list[bytes], counts: np.ndarray, sample_docs: int = SAMPLE_DOCS, share=None, seed: int = 2) -> attention.Network:
     """The network, trained on every training row.
 
     It starts from ``SAMPLE_TOKENS`` types of each of at most ``sample_docs`` distinct rows, chosen by a hash of id and text.
+    With the ``share`` of earlier steps the workers go on with the words they have cut there.
     """
     hashed = training.where("doc_id IS NOT NULL").withColumn("row_hash", F.xxhash64("doc_id", "text"))
     picked = hashed.select("doc_id", "row_hash").distinct().orderBy("row_hash", "doc_id").limit(sample_docs)
@@ -372,7 +373,7 @@ def fit(training: DataFrame, vocabulary: list[bytes], counts: np.ndarray, sample
         streams = [np.array([tokens.end])]
     flat, first = np.concatenate(streams), np.concatenate([[0], np.cumsum([len(s) for s in streams])])
     every = training.where("doc_id IS NOT NULL")
-    share = uuid.uuid4().hex, training.sparkSession.sparkContext.broadcast(vocabulary)
+    share = share or (uuid.uuid4().hex, training.sparkSession.sparkContext.broadcast(vocabulary))
     net = attention.Network(_classes(every, share, counts, is_last, tokens.end), counts)
     # Training windows: the same as in scoring, every predicted token of the window's second half.
     scored, rows = net.inputs(flat, first)
@@ -402,7 +403,7 @@ def score(docs: DataFrame, vocabulary: list[bytes]) -> DataFrame:
     for row in types.collect():
         counts[row["types"]] = row["times"]
     counts, starts = np.split(counts, 2)
-    net = fit(docs.where("learn"), vocabulary, counts)
+    net = fit(docs.where("learn"), vocabulary, counts, SAMPLE_DOCS, share)
     model = context.broadcast((net, _inside(net.classes, counts), np.bincount(net.classes, starts, attention.CLASSES)))
     told = summed.where("chunk IS NOT NULL").select("chunk", "hashes", "counts")
     scored = dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(

@@ -381,6 +381,29 @@ def test_a_worker_cuts_a_word_once(monkeypatch):
     assert [len(x) for x in tokens.of(none, *scan.distinct(none.hashes)[:2])] == [0, 0]
 
 
+def test_fitting_goes_on_with_the_words_that_workers_have_cut(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "zorgle vexmuddle", True)], "doc_id long, text string, learn boolean")
+    shares, names, uuid4 = [], [], lm_score.uuid.uuid4
+
+    def named():
+        names.append(uuid4())
+        return names[-1]
+
+    class Stop(Exception):
+        pass
+
+    def stop(training, share, *rest):
+        shares.append(share)
+        raise Stop
+
+    monkeypatch.setattr(lm_score, "_classes", stop)
+    monkeypatch.setattr(lm_score.uuid, "uuid4", named)
+    with pytest.raises(Stop):
+        lm_score.score(docs, lm_score.read_vocabulary())
+    # The first name is that of the counting step.
+    assert shares[0][0] == names[0].hex
+
+
 @pytest.mark.parametrize("held", [1, 50, 1 << 20])
 def test_neighbours_held_or_given_on_add_up(monkeypatch, held):
     texts = [" ".join(cases.prose(i, 30)) for i in range(40)] + [None, ""]
